@@ -51,3 +51,83 @@ def trimmed_versions(spark, sf):
     v = tb.versions(spark, sf)
     return _per_frame(v, lambda v, a, b: ver.trim_versions(ver.select_versions(v, a, b))).select(
         "frame", "page_id", "version_id", "capture_time", "is_baseline")
+
+
+# ---------------------------------------------------------------- text
+from changelens.functions import text as tx  # noqa: E402
+from changelens.operators import diffs as dif  # noqa: E402
+from changelens.operators import terms as trm  # noqa: E402
+from changelens.plans.oracle import STOP_WORDS, TERMS  # noqa: E402
+
+
+def _labelled(spark, sf, kind="src"):
+    pairs = tb.doc_pairs(spark, sf, kind)
+    docs = tb.table(spark, sf, "documents")
+    return dif.label_units(dif.text_units(pairs, docs))
+
+
+def _dictionary(spark):
+    return trm.term_dictionary(spark.createDataFrame([(t,) for t in TERMS], "term string"))
+
+
+def _stop_words(spark):
+    return spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+
+
+@register
+def normalized_text(spark, sf):
+    d = tb.table(spark, sf, "documents")
+    return d.select("doc_id", tx.normalize_text(F.col("text")).alias("norm_text"))
+
+
+@register
+def line_diff(spark, sf):
+    return _labelled(spark, sf).select("pair_id", "side", "pos", "unit", "op")
+
+
+@register
+def diff_runs(spark, sf):
+    return dif.runs(_labelled(spark, sf)).select(
+        "pair_id", "side", F.col("run_id").cast("bigint").alias("run_id"), "op",
+        F.col("n_units").cast("bigint").alias("n_units"), F.col("length").cast("bigint").alias("length"), "first_pos")
+
+
+@register
+def diff_metrics(spark, sf):
+    return dif.text_metrics(_labelled(spark, sf, "near"))
+
+
+@register
+def change_hash(spark, sf):
+    return dif.text_metrics(_labelled(spark, sf)).select("pair_id", "diff_hash")
+
+
+@register
+def term_dictionary(spark, sf):
+    # reads the documents only through the dictionary's use; the table
+    # itself is the caller's input (F4)
+    return _dictionary(spark).select("term", F.col("n_words").cast("int").alias("n_words"))
+
+
+def _ngrams(spark, sf):
+    return trm.changed_ngrams(_labelled(spark, sf), _dictionary(spark), _stop_words(spark))
+
+
+@register
+def changed_ngrams(spark, sf):
+    return _ngrams(spark, sf).select("pair_id", "side", "pos", "wpos", F.col("n").cast("int").alias("n"), "term")
+
+
+@register
+def key_term_net(spark, sf):
+    return trm.key_term_net(_ngrams(spark, sf))
+
+
+@register
+def key_term_summary(spark, sf):
+    s = trm.key_term_summary(trm.key_term_net(_ngrams(spark, sf)))
+    return s.select(
+        "pair_id",
+        F.array_join(F.transform(F.map_entries("key_terms"),
+                                 lambda e: F.concat(e["key"], F.lit(": "), e["value"].cast("string"))), ", ").alias("key_terms"),
+        "key_terms_changed", "key_terms_change_count")
