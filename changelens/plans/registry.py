@@ -131,3 +131,43 @@ def key_term_summary(spark, sf):
         F.array_join(F.transform(F.map_entries("key_terms"),
                                  lambda e: F.concat(e["key"], F.lit(": "), e["value"].cast("string"))), ", ").alias("key_terms"),
         "key_terms_changed", "key_terms_change_count")
+
+
+# ---------------------------------------------------------------- URLs
+from changelens.functions import urls as U  # noqa: E402
+
+
+@register
+def url_canonical(spark, sf):
+    p = tb.table(spark, sf, "pages")
+    return p.select("page_id", "url", U.canonical_key(F.col("url")).alias("url_key"))
+
+
+@register
+def url_normalized(spark, sf):
+    pr = tb.url_probes(spark, sf)
+    return pr.select("page_id", "pos", "href", U.normalize_url(F.col("href"), F.col("url")).alias("normalized"))
+
+
+@register
+def session_free_urls(spark, sf):
+    pr = tb.url_probes(spark, sf)
+    return pr.select("page_id", "pos",
+                     U.remove_session_id(U.absolute_url(F.col("url"), F.col("href"))).alias("session_free"))
+
+
+@register
+def url_change_types(spark, sf):
+    pp = tb.page_pairs(spark, sf)
+    p = tb.table(spark, sf, "pages").select("page_id", "url")
+    a = p.select(F.col("page_id").alias("a_page"), F.col("url").alias("a_url"))
+    b = p.select(F.col("page_id").alias("b_page"), F.col("url").alias("b_url"))
+    j = pp.join(a, "a_page").join(b, "b_page")
+    return j.select("pair_id", "a_url", "b_url", U.url_change_type(F.col("a_url"), F.col("b_url")).alias("change_type"))
+
+
+@register
+def home_pages(spark, sf):
+    p = tb.table(spark, sf, "pages").select("page_id", "url")
+    m = tb.page_meta(spark, sf).select("page_id", "url")
+    return p.unionByName(m).select("page_id", "url", U.is_home_page(F.col("url")).alias("is_home"))

@@ -1,0 +1,125 @@
+"""DuckDB SQL text for the scalar functions, used only by the oracle SQL.
+
+Each builder takes SQL expressions (strings) and returns an SQL expression.
+"""
+
+from __future__ import annotations
+
+from changelens.functions import urls as U
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def part(u, g):
+    return f"regexp_extract({u}, {q(U.URL_RE)}, {g})"
+
+
+def is_valid(u):
+    return f"coalesce(regexp_matches({u}, {q(U.URL_RE)}), FALSE)"
+
+
+def host(u):
+    return f"regexp_replace(lower({part(u, 4)}), '^[^@]*@', '')"
+
+
+def _canon_parts(u):
+    lu = f"lower(trim({u}))"
+    h = f"regexp_replace(regexp_replace(regexp_replace({part(lu, 4)}, '^[^@]*@', ''), ':(80|443)?$', ''), '^www\\d*\\.', '')"
+    p0 = part(lu, 5)
+    p1 = f"(CASE WHEN {p0} = '' THEN '/' ELSE {p0} END)"
+    p = f"(CASE WHEN length({p1}) > 1 AND ends_with({p1}, '/') THEN regexp_replace({p1}, '/$', '') ELSE {p1} END)"
+    q0 = part(lu, 7)
+    qq = f"(CASE WHEN {q0} = '' THEN '' ELSE '?' || array_to_string(list_sort(string_split({q0}, '&')), '&') END)"
+    return lu, h, p, qq
+
+
+def canonical_key(u):
+    lu, h, p, qq = _canon_parts(u)
+    rev = f"array_to_string(list_reverse(string_split({h}, '.')), ',')"
+    return f"(CASE WHEN {is_valid(lu)} AND {h} <> '' THEN {rev} || ')' || {p} || {qq} END)"
+
+
+def canonical_url(u):
+    lu, h, p, qq = _canon_parts(u)
+    return f"({part(lu, 2)} || '://' || {h} || {p} || {qq})"
+
+
+def key_host(k):
+    return f"split_part({k}, ')', 1)"
+
+
+def key_path(k):
+    return f"regexp_extract({k}, '^[^)]*\\)(.*)$', 1)"
+
+
+def is_home_path(p):
+    pp = f"regexp_replace(coalesce({p}, ''), '[?#].*$', '')"
+    return f"(CASE WHEN {pp} = '' THEN TRUE ELSE regexp_matches({pp}, {q(U.HOME_PATH_RE)}) END)"
+
+
+def is_home_page(u):
+    return is_home_path(part(u, 5))
+
+
+def dot_segments(p, rounds=4):
+    p = f"regexp_replace({p}, '/(\\./)+', '/', 'g')"
+    p = f"regexp_replace({p}, '/\\.$', '/')"
+    for _ in range(rounds):
+        p = f"regexp_replace({p}, '/[^/]+/\\.\\.(/|$)', '/', 'g')"
+    return f"regexp_replace({p}, '^/\\.\\.(/|$)', '/')"
+
+
+def absolute_url(base, href):
+    h = f"trim({href})"
+    b_nofrag = f"regexp_replace({base}, '#.*$', '')"
+    origin = f"({part(base, 1)} || '//' || {part(base, 4)})"
+    bp = part(base, 5)
+    b_dir = f"regexp_replace(CASE WHEN {bp} = '' THEN '/' ELSE {bp} END, '[^/]*$', '')"
+    return f"""(CASE WHEN {h} IS NULL THEN NULL
+      WHEN regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN {h}
+      WHEN starts_with({h}, '//') THEN {part(base, 1)} || {h}
+      WHEN starts_with({h}, '/') THEN {origin} || {dot_segments(h)}
+      WHEN starts_with({h}, '?') THEN {origin} || {bp} || {h}
+      WHEN starts_with({h}, '#') THEN {b_nofrag} || {h}
+      WHEN {h} = '' THEN {b_nofrag}
+      ELSE {origin} || {dot_segments(f"{b_dir} || {h}")} END)"""
+
+
+def remove_session_id(u):
+    x = f"regexp_replace({u}, {q(U.SERVLET_SESSION_RE)}, '')"
+    x = f"regexp_replace({x}, {q(U.ASP_SESSION_RE)}, '/')"
+    frag = f"regexp_extract({x}, '(#.*)$', 1)"
+    nofrag = f"regexp_replace({x}, '#.*$', '')"
+    base = f"split_part({nofrag}, '?', 1)"
+    query = f"regexp_extract({nofrag}, '^[^?]*\\?(.*)$', 1)"
+    keys = "[" + ", ".join(q(k) for k in U.SESSION_QUERY_KEYS) + "]"
+    kept = f"list_filter(string_split({query}, '&'), lambda kv: kv <> '' AND NOT list_contains({keys}, lower(split_part(kv, '=', 1))))"
+    q2 = f"array_to_string({kept}, '&')"
+    return (f"(CASE WHEN {u} IS NULL THEN NULL ELSE {base} || "
+            f"(CASE WHEN contains({nofrag}, '?') AND {q2} <> '' THEN '?' || {q2} ELSE '' END) || {frag} END)")
+
+
+def normalize_url(href, base):
+    h = f"trim({href})"
+    absu = absolute_url(base, h)
+    frag = f"regexp_extract({absu}, '#(.*)$', 1)"
+    canon = canonical_url(absu)
+    same = f"({frag} <> '' AND {canon} = {canonical_url(base)})"
+    wf = f"({canon} || CASE WHEN {frag} <> '' THEN '#' || {frag} ELSE '' END)"
+    https = f"(CASE WHEN starts_with({wf}, 'http:') THEN 'https:' || substring({wf}, 6) ELSE {wf} END)"
+    return f"""(CASE WHEN {h} = '#' THEN '#'
+      WHEN NOT {is_valid(absu)} OR {host(absu)} = '' THEN {href}
+      WHEN {same} THEN '#' || {frag}
+      ELSE {remove_session_id(https)} END)"""
+
+
+def url_change_type(a, b):
+    ka, kb = canonical_key(a), canonical_key(b)
+    R = q(U.KEY_SPLIT_RE)
+    return f"""(CASE WHEN {ka} IS NOT DISTINCT FROM {kb} THEN NULL
+      WHEN NOT coalesce(regexp_matches({ka}, {R}) AND regexp_matches({kb}, {R}), FALSE) THEN 'path'
+      WHEN regexp_extract({ka}, {R}, 1) <> regexp_extract({kb}, {R}, 1) THEN 'domain'
+      WHEN regexp_extract({ka}, {R}, 2) <> regexp_extract({kb}, {R}, 2) THEN 'path'
+      ELSE 'name' END)"""

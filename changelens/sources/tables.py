@@ -140,3 +140,28 @@ def page_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("prev_page_id").alias("a_page"),
         F.col("page_id").alias("b_page"),
     )
+
+
+LINK_RE = r'<a[^>]+href="([^"]*)"'
+
+
+def url_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of every page (regexp form of BLK-02) plus hrefs derived from
+    the page URL that reach every branch of URL normalisation:
+    (page_id, url, pos, href)."""
+    p = table(spark, sf_dir, "pages")
+    url = F.col("url")
+    bare = F.regexp_replace(url, "[?#].*$", "")
+    variants = F.array(
+        F.lit("#"), F.lit("#top"), F.lit(""), F.lit("?page=3"), F.lit("a/../b.html"), F.lit("./c/./d"),
+        F.lit("../up/x.html"), F.lit("//cdn.example.org/lib.js"), F.lit("mailto:news@example.org"),
+        F.lit("javascript:void(0)"), F.lit("/(S(x1y2z3))/default.aspx"),
+        F.concat(bare, F.lit(";jsessionid=AB12CD")),
+        F.regexp_replace(url, "^https:", "http:"),
+        F.concat(bare, F.lit("?SID=7&q=1&PHPSESSID=9&b=2")),
+        F.concat(bare, F.lit("/#section-2")),
+        F.upper(bare),
+        F.lit("not a url"),
+    )
+    hrefs = F.concat(F.regexp_extract_all(F.col("html"), F.lit(LINK_RE), 1), variants)
+    return p.select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
