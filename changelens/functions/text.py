@@ -13,6 +13,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Latin letters with diacritics and their base letters.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
@@ -42,7 +43,7 @@ def _exact(text: str | None) -> str | None:
     return s
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold_exact(s: pd.Series) -> pd.Series:
     return s.map(_exact)
 

@@ -47,10 +47,12 @@ def text_units(pairs: DataFrame, bodies: DataFrame, a: str = "a_doc", b: str = "
     return j.select("pair_id", "side", F.inline(lines))
 
 
-def label_units(units: DataFrame) -> DataFrame:
-    """DIF-03: add ``op`` (0 unchanged, -1 removed from a, +1 added in b)."""
-    w_side = Window.partitionBy("pair_id", "unit", "side").orderBy("pos")
-    w_unit = Window.partitionBy("pair_id", "unit")
+def label_units(units: DataFrame, group: tuple[str, ...] = ("pair_id",)) -> DataFrame:
+    """DIF-03: add ``op`` (0 unchanged, -1 removed from a, +1 added in b).
+
+    ``group`` identifies one diff (a pair, or a pair and a unit kind)."""
+    w_side = Window.partitionBy(*group, "unit", "side").orderBy("pos")
+    w_unit = Window.partitionBy(*group, "unit")
     na = F.sum(F.when(F.col("side") == "a", 1).otherwise(0)).over(w_unit)
     nb = F.sum(F.when(F.col("side") == "b", 1).otherwise(0)).over(w_unit)
     k = F.row_number().over(w_side)

@@ -27,8 +27,10 @@ def default_stop_words(spark: SparkSession) -> DataFrame:
     normalised like the text (quotes removed)."""
     from pyspark.ml.feature import StopWordsRemover
 
+    from changelens.sources.local import values_table
+
     words = StopWordsRemover.loadDefaultStopWords("english") + EXTRA_STOP_WORDS
-    df = spark.createDataFrame([(w,) for w in words], "word string")
+    df = values_table(spark, words, ["word"])
     return df.select(F.regexp_replace(F.lower("word"), tx.INFIX_QUOTES, "").alias("word")).distinct()
 
 

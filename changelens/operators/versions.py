@@ -174,7 +174,7 @@ def trim_versions(sel: DataFrame, key: str = "page_id") -> DataFrame:
           .otherwise(F.col("_pred")))
     hi = F.when(F.col("_m1").isNull(), F.col("_o.ok")).otherwise(F.col("_succ"))
     bounds = TU.select(key, lo.alias("_lo"), hi.alias("_hi"))
-    out = sel.join(bounds, key, "left").where(
+    out = x.drop("_ec").join(bounds, key, "left").where(
         (F.col("_lo").isNull() | (ok >= F.col("_lo"))) & (F.col("_hi").isNull() | (ok <= F.col("_hi"))))
     return out.drop("_lo", "_hi")
 

@@ -58,6 +58,7 @@ from changelens.functions import text as tx  # noqa: E402
 from changelens.operators import diffs as dif  # noqa: E402
 from changelens.operators import terms as trm  # noqa: E402
 from changelens.plans.oracle import STOP_WORDS, TERMS  # noqa: E402
+from changelens.sources.local import values_table  # noqa: E402
 
 
 def _labelled(spark, sf, kind="src"):
@@ -67,11 +68,11 @@ def _labelled(spark, sf, kind="src"):
 
 
 def _dictionary(spark):
-    return trm.term_dictionary(spark.createDataFrame([(t,) for t in TERMS], "term string"))
+    return trm.term_dictionary(values_table(spark, TERMS, ["term"]))
 
 
 def _stop_words(spark):
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    return values_table(spark, STOP_WORDS, ["word"])
 
 
 @register

@@ -65,3 +65,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="changelens-ckpt-")
     sc.setCheckpointDir(d)
     return d
+
+
+def stage_table(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: a lineage cut that survives executor loss and keeps later plans
+    small.  Used at the few points where a result feeds several branches.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
