@@ -172,3 +172,36 @@ def home_pages(spark, sf):
     p = tb.table(spark, sf, "pages").select("page_id", "url")
     m = tb.page_meta(spark, sf).select("page_id", "url")
     return p.unionByName(m).select("page_id", "url", U.is_home_page(F.col("url")).alias("is_home"))
+
+
+# ---------------------------------------------------------------- pair analysis
+from changelens.plans.weekly import change_results  # noqa: E402
+
+
+def _results(spark, sf, frame=0):
+    a, b = FRAMES[frame]
+    return change_results(
+        tb.versions(spark, sf), tb.page_meta(spark, sf), tb.table(spark, sf, "documents"),
+        tb.version_bodies(spark, sf), a, b, _dictionary(spark), _stop_words(spark),
+        html_ref="version_id", html_key="version_id")
+
+
+@register
+def page_priority(spark, sf):
+    r = _results(spark, sf)
+    A = "analysis."
+    return r.where(F.col("error_kind").isNull() | (F.col("error_kind") != "no_change")).select(
+        "page_id", "n_versions", "error_kind",
+        F.round(F.col(A + "priority"), 6).alias("priority"),
+        F.col(A + "status_a").alias("status_a"), F.col(A + "status_b").alias("status_b"),
+        F.col(A + "status_changed").alias("status_changed"), F.col(A + "root_page").alias("root_page"),
+        F.col(A + "links.diff_length").alias("links_diff_length"),
+        F.col(A + "links.removed_self_link").alias("removed_self_link"),
+        F.col(A + "source.diff_count").alias("source_diff_count"),
+        F.col(A + "text.diff_count").alias("text_diff_count"),
+        F.col(A + "text.percent_changed").alias("text_percent_changed"),
+        F.col(A + "text.diff_hash").alias("text_diff_hash"),
+        F.col(A + "text.key_terms_change_count").alias("key_terms_change_count"),
+        F.col(A + "redirect.change_type").alias("change_type"),
+        F.col(A + "redirect.client_state").alias("client_state"),
+    )

@@ -123,3 +123,102 @@ def url_change_type(a, b):
       WHEN regexp_extract({ka}, {R}, 1) <> regexp_extract({kb}, {R}, 1) THEN 'domain'
       WHEN regexp_extract({ka}, {R}, 2) <> regexp_extract({kb}, {R}, 2) THEN 'path'
       ELSE 'name' END)"""
+
+
+# ---------------------------------------------------------------- status, gates, redirects
+from changelens.functions import gates as G  # noqa: E402
+from changelens.functions import redirects as R  # noqa: E402
+from changelens.functions import status as ST  # noqa: E402
+
+
+def arr(items):
+    return "[" + ", ".join(q(x) for x in items) + "]"
+
+
+def client_redirect(body):
+    tag = f"regexp_extract({body}, {q(R.META_REFRESH_RE)}, 0)"
+    return f"nullif(regexp_extract({tag}, {q(R.META_REFRESH_URL_RE)}, 2), '')"
+
+
+def all_redirects(server, client):
+    return (f"(coalesce({server}, CAST([] AS VARCHAR[])) || "
+            f"CASE WHEN {client} IS NOT NULL THEN [{client}] ELSE CAST([] AS VARCHAR[]) END)")
+
+
+def final_url(redirects, url):
+    return f"coalesce({redirects}[-1], {url})"
+
+
+def base_status(status, network_error):
+    return (f"coalesce(nullif({status}, 0), CASE WHEN coalesce({network_error}, '') <> '' THEN 600 ELSE 200 END)")
+
+
+def title_status(title):
+    msgs = arr(ST.STANDARD_STATUS_MESSAGES)
+    rules = "\n".join(f"WHEN regexp_matches(s, {q(p)}) THEN {c}" for p, c in ST.TITLE_RULES)
+    sec = (f"CASE WHEN list_contains({msgs}, s) THEN CAST(split_part(s, ' ', 1) AS INTEGER) "
+           f"WHEN regexp_matches(s, {q(ST.TITLE_CODE_RE)}) THEN CAST(regexp_extract(s, {q(ST.TITLE_CODE_RE)}, 1) AS INTEGER) "
+           f"{rules} END")
+    return (f"list_filter(list_transform(list_transform(regexp_split_to_array(lower({title}), {q(ST.TITLE_SPLIT_RE)}), "
+            f"lambda x: trim(x)), lambda s: {sec}), lambda c: c IS NOT NULL)[1]")
+
+
+def effective_status(url, status, network_error, title, redirects):
+    base = base_status(status, network_error)
+    t = f"coalesce({title}, '')"
+    has = f"(coalesce(len({redirects}), 0) > 0)"
+    last = f"{redirects}[-1]"
+    ku, kd = canonical_key(url), canonical_key(last)
+    home_rule = (f"({has} AND {key_host(ku)} = {key_host(kd)} AND NOT {is_home_path(key_path(ku))} "
+                 f"AND {is_home_path(key_path(kd))})")
+    differ = f"({has} AND {ku} IS DISTINCT FROM {kd})"
+    f500 = " OR ".join(f"contains(coalesce({url}, ''), {q(h)})" for h in ST.FALSE_500_HOSTS)
+    ov = ""
+    for src, dest, code in ST.DEFAULT_STATUS_OVERRIDES:
+        cond = f"{differ} AND {kd} = {q(dest)}" + (f" AND {key_host(ku)} = {q(src)}" if src else "")
+        ov += f" WHEN coalesce({cond}, FALSE) THEN {code}"
+    ts = title_status(t)
+    return f"""CAST(CASE WHEN {base} = 500 AND ({f500}) AND NOT contains({t}, '500') THEN 200
+      WHEN {base} >= 400 THEN {base}
+      WHEN coalesce({home_rule}, FALSE) THEN 404 {ov}
+      WHEN {ts} IS NOT NULL THEN {ts}
+      WHEN {has} AND coalesce(regexp_matches({last}, {q(ST.ASPX_ERROR_RE)}), FALSE) THEN 500
+      ELSE {base} END AS INTEGER)"""
+
+
+def error_type(e):
+    return f"(CASE WHEN {e} >= 600 THEN 'network' WHEN {e} >= 500 THEN 'server' WHEN {e} >= 400 THEN 'user' END)"
+
+
+def status_factor(a, b):
+    ea, eb = error_type(a), error_type(b)
+    return (f"(CASE WHEN {ea} IS NULL OR {eb} IS NULL THEN 1.0 WHEN {ea} = {eb} THEN {ST.SAME_ERROR_FACTOR} "
+            f"ELSE {ST.OTHER_ERROR_FACTOR} END)")
+
+
+def is_fetchable(u):
+    return f"(starts_with(coalesce({u}, ''), 'http:') OR starts_with(coalesce({u}, ''), 'https:'))"
+
+
+def is_allowed_extension(u):
+    e = f"regexp_extract({part(u, 5)}, '[^/](\\.[^./]+)$', 1)"
+    return f"({e} = '' OR NOT list_contains({arr(G.DISALLOWED_EXTENSIONS)}, {e}))"
+
+
+def is_analyzable_media(m, u):
+    return (f"(CASE WHEN {m} IS NOT NULL AND {m} <> '' THEN list_contains({arr(G.ALLOWED_MEDIA)}, {m}) OR "
+            f"(starts_with({m}, 'text/') AND NOT list_contains({arr(G.DISALLOWED_MEDIA)}, {m})) "
+            f"ELSE {is_allowed_extension(_coalesce_empty(u))} END)")
+
+
+def is_content_analyzable(u):
+    return f"NOT coalesce(regexp_matches(lower({u}), {q(G.METADATA_ONLY_RE)}), FALSE)"
+
+
+def is_news_page(u, t):
+    return (f"(coalesce(regexp_matches(lower({u}), {q(G.NEWS_URL_RE)}), FALSE) OR "
+            f"coalesce(regexp_matches(lower({t}), {q(G.NEWS_TITLE_RE)}), FALSE))")
+
+
+def _coalesce_empty(u):
+    return f"coalesce({u}, '')"

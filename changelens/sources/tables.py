@@ -165,3 +165,18 @@ def url_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     hrefs = F.concat(F.regexp_extract_all(F.col("html"), F.lit(LINK_RE), 1), variants)
     return p.select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
+
+
+def version_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTML body of each capture: the page row chosen by ``html_id``, with a
+    refresh tag put in front for some captures so client redirects occur
+    (to a moved page when version_id % 23 = 0; without target when % 29 = 0)."""
+    v = versions(spark, sf_dir).select("version_id", "page_id", "html_id")
+    p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("html_id"), "html")
+    vid = F.col("version_id")
+    tag = (F.when(vid % 23 == 0, F.concat(
+        F.lit('<meta http-equiv="refresh" content="0; url=https://moved.example.org/r/'),
+        F.col("page_id").cast("string"), F.lit('">')))
+        .when(vid % 29 == 0, F.lit('<meta http-equiv="refresh" content="5">'))
+        .otherwise(F.lit("")))
+    return v.join(p, "html_id").select("version_id", F.concat(tag, F.col("html")).alias("html"))
