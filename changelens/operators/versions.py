@@ -189,19 +189,15 @@ def endpoints(trimmed: DataFrame, key: str = "page_id") -> DataFrame:
     )
 
 
-def latest_valid(v: DataFrame, selected: DataFrame, key: str = "page_id") -> DataFrame:
-    """VER-06: latest capture of each page and the latest *valid* one
-    (the newest selected capture, else the latest capture)."""
-    latest = v.groupBy(key).agg(F.max(_record(["capture_time", "version_id"])).alias("_l"))
-    valid = selected.where(~F.col("is_baseline")).groupBy(key).agg(
-        F.max(_record(["capture_time", "version_id"])).alias("_s"))
-    return latest.join(valid, key, "left").select(
-        key,
-        F.col("_l.capture_time").alias("latest_time"),
-        F.col("_l.version_id").alias("latest_version"),
-        F.coalesce(F.col("_s.capture_time"), F.col("_l.capture_time")).alias("valid_time"),
-        F.coalesce(F.col("_s.version_id"), F.col("_l.version_id")).alias("valid_version"),
-    )
+def latest_valid(v: DataFrame, trimmed: DataFrame, key: str = "page_id") -> DataFrame:
+    """VER-06: latest capture of each page and the latest *valid* one (the
+    newest capture of the trimmed selection, else the latest capture)."""
+    cols = [c for c in v.columns if c != key]
+    latest = v.groupBy(key).agg(F.max(_record(cols)).alias("latest"))
+    valid = trimmed.groupBy(key).agg(F.max(_record([c for c in trimmed.columns if c != key])).alias("_s"))
+    out = latest.join(valid, key, "left")
+    return out.select(key, "latest", F.coalesce(F.col("_s.version_id"), F.col("latest.version_id")).alias("valid_id"),
+                      F.coalesce(F.col("_s.capture_time"), F.col("latest.capture_time")).alias("valid_time"))
 
 
 # Fixed values of the (unused by the reference) change-rate factor.

@@ -205,3 +205,225 @@ def page_priority(spark, sf):
         F.col(A + "redirect.change_type").alias("change_type"),
         F.col(A + "redirect.client_state").alias("client_state"),
     )
+
+
+# ---------------------------------------------------------------- versions, continued
+from changelens.functions import gates as G  # noqa: E402
+from changelens.functions import redirects as RD  # noqa: E402
+from changelens.functions import status as ST  # noqa: E402
+from changelens.operators import sheets as sh  # noqa: E402
+from changelens.operators.analysis import count_metrics, source_metrics  # noqa: E402
+
+
+@register
+def catalog_scan(spark, sf):
+    """SRC-01: active pages, URL pattern, any-of tags, ordered by created_at."""
+    m = tb.page_meta(spark, sf)
+    tags = F.array(F.lit("category:BUILDING"), F.lit("news"))
+    return (m.where(F.col("active") & F.col("url").like("%/p/%") & F.arrays_overlap(F.col("tags"), tags))
+            .orderBy("created_at").select("page_id", "url", "created_at"))
+
+
+@register
+def change_pairs(spark, sf):
+    v = tb.versions(spark, sf)
+    a, b = FRAMES[0]
+    pairs = ver.endpoints(ver.trim_versions(ver.select_versions(v, a, b)))
+    kind, _ = G.gate(F.col("n_versions"))
+    return pairs.withColumn("error_kind", kind).where(
+        F.col("error_kind").isNull() | (F.col("error_kind") != "no_change")).select(
+        "page_id", "n_versions", F.col("a.version_id").alias("a_id"), F.col("b.version_id").alias("b_id"),
+        F.col("a.capture_time").alias("a_time"), F.col("b.capture_time").alias("b_time"), "error_kind")
+
+
+@register
+def latest_valid(spark, sf):
+    v = tb.versions(spark, sf)
+    a, b = FRAMES[3]
+    vb = v.where(F.col("capture_time") < ver.ts_lit(b))
+    lv = ver.latest_valid(vb, ver.trim_versions(ver.select_versions(v, a, b)))
+    return lv.select("page_id", F.col("latest.version_id").alias("latest_id"),
+                     F.col("latest.capture_time").alias("latest_time"), "valid_id", "valid_time")
+
+
+@register
+def change_rate(spark, sf):
+    v = tb.versions(spark, sf)
+    a, b = FRAMES[0]
+    return ver.change_rate(ver.trim_versions(ver.select_versions(v, a, b)), a, b)
+
+
+@register
+def effective_status(spark, sf):
+    v = tb.versions(spark, sf)
+    bodies = tb.version_bodies(spark, sf)
+    j = v.join(bodies, "version_id")
+    client = RD.client_redirect(F.col("html"))
+    return j.select("version_id", ST.effective_status(
+        F.col("url"), F.col("status"), F.col("network_error"), F.col("title"), None,
+        RD.all_redirects(F.col("redirects"), client)).alias("effective_status"))
+
+
+@register
+def status_factor(spark, sf):
+    r = _results(spark, sf).where(F.col("analysis").isNotNull())
+    sa, sb = F.col("analysis.status_a"), F.col("analysis.status_b")
+    return r.select("page_id", sa.alias("status_a"), sb.alias("status_b"),
+                    ST.error_type(sa).alias("error_a"), ST.error_type(sb).alias("error_b"),
+                    ST.status_changed(sa, sb).alias("status_changed"),
+                    ST.status_factor(sa, sb).alias("factor"))
+
+
+@register
+def page_links(spark, sf):
+    p = tb.table(spark, sf, "pages")
+    return p.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(tb.LINK_RE), 1)).alias("pos", "href"))
+
+
+def _page_pair_units(spark, sf):
+    from changelens.operators import analysis as an
+    pp = tb.page_pairs(spark, sf)
+    pages = tb.table(spark, sf, "pages")
+    e = pp.select("pair_id", F.inline(F.array(F.struct(F.lit("a").alias("side"), F.col("a_page").alias("pid")),
+                                              F.struct(F.lit("b").alias("side"), F.col("b_page").alias("pid")))))
+    e = e.join(pages.select(F.col("page_id").alias("pid"), F.struct("url").alias("v"), F.col("html").alias("_body")), "pid")
+    return an.html_units(e, F.lit(True))
+
+
+@register
+def link_diff(spark, sf):
+    hu = _page_pair_units(spark, sf).where(F.col("kind") == "link")
+    return count_metrics(dif.label_units(hu))
+
+
+@register
+def self_link_removed(spark, sf):
+    pp = tb.page_pairs(spark, sf)
+    pages = tb.table(spark, sf, "pages").select("page_id", "url")
+    lab = dif.label_units(_page_pair_units(spark, sf).where(F.col("kind") == "link"))
+    selfs = (pp.join(pages.select(F.col("page_id").alias("a_page"), F.col("url").alias("a_url")), "a_page")
+             .join(pages.select(F.col("page_id").alias("b_page"), F.col("url").alias("b_url")), "b_page")
+             .select("pair_id", U.normalize_url(F.col("a_url"), F.col("a_url")).alias("sa"),
+                     U.normalize_url(F.col("b_url"), F.col("b_url")).alias("sb")))
+    hits = lab.where(F.col("op") == -1).join(selfs, "pair_id").where(
+        (F.col("unit") == F.col("sa")) | (F.col("unit") == F.col("sb"))).select("pair_id").distinct()
+    return selfs.join(hits.withColumn("hit", F.lit(True)), "pair_id", "left").select(
+        "pair_id", F.coalesce(F.col("hit"), F.lit(False)).alias("removed_self_link"))
+
+
+@register
+def source_diff(spark, sf):
+    hu = _page_pair_units(spark, sf).where(F.col("kind") == "source")
+    return source_metrics(dif.label_units(hu))
+
+
+@register
+def client_redirects(spark, sf):
+    v = tb.versions(spark, sf)
+    j = v.join(tb.version_bodies(spark, sf), "version_id")
+    client = RD.client_redirect(F.col("html"))
+    allr = RD.all_redirects(F.col("redirects"), client)
+    return j.select("version_id", client.alias("client"), F.array_join(allr, " ").alias("all_redirects"),
+                    RD.final_url(allr, F.col("url")).alias("final_url"))
+
+
+def _sheeted(spark, sf):
+    r = sh.drop_no_change(_results(spark, sf))
+    m = tb.page_meta(spark, sf).select("page_id", "url", "title", "tags", "maintainers")
+    return r.join(m, "page_id", "left")
+
+
+@register
+def redirect_changes(spark, sf):
+    r = _sheeted(spark, sf).withColumn("sheet", sh.sheet_key(F.col("tags")))
+    return sh.redirect_changes(r).drop("_url")
+
+
+@register
+def redirects_current(spark, sf):
+    r = _sheeted(spark, sf).where(F.col("analysis").isNotNull()).withColumn("sheet", sh.sheet_key(F.col("tags")))
+    allb = RD.all_redirects(F.col("b.redirects"), F.col("analysis.redirect.b_client"))
+    last = F.try_element_at(allb, F.lit(-1))
+    ct = U.url_change_type(F.col("b.url"), last)
+    return r.where(F.size(allb) > 0).withColumn("ct", ct).where(F.col("ct").isNotNull()).select(
+        "page_id", "sheet", F.col("ct").alias("redirect_type"), F.col("b.url").alias("monitored_url"),
+        last.alias("redirected_url"),
+        fm.format_redirects(F.col("analysis.redirect.b_server"), F.col("analysis.redirect.b_client")).alias("all_redirects"))
+
+
+@register
+def media_gate(spark, sf):
+    pr = tb.url_probes(spark, sf)
+    absu = U.absolute_url(F.col("url"), F.col("href"))
+    media = F.element_at(F.array(F.lit("text/html"), F.lit("application/xhtml+xml"), F.lit("text/calendar"),
+                                 F.lit("application/pdf"), F.lit(None).cast("string")), (F.col("pos") % 5 + 1).cast("int"))
+    return pr.select("page_id", "pos", G.is_fetchable(absu).alias("fetchable"),
+                     G.is_allowed_extension(absu).alias("allowed_extension"),
+                     G.is_analyzable_media(media, absu).alias("analyzable_media"))
+
+
+@register
+def news_pages(spark, sf):
+    p = tb.table(spark, sf, "pages")
+    title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
+    return p.select("page_id", G.is_news_page(F.col("url"), title).alias("is_news"))
+
+
+@register
+def metadata_only(spark, sf):
+    pr = tb.url_probes(spark, sf)
+    absu = U.absolute_url(F.col("url"), F.col("href"))
+    return pr.select("page_id", "pos", G.is_content_analyzable(absu).alias("content_analyzable"))
+
+
+@register
+def sheet_keys(spark, sf):
+    m = tb.page_meta(spark, sf)
+    return m.select("page_id", sh.sheet_key(F.col("tags")).alias("sheet"))
+
+
+@register
+def agency_tags(spark, sf):
+    m = tb.page_meta(spark, sf)
+    return m.select("page_id", sh.prefixed_values(F.col("tags"), "agency:").alias("agencies"),
+                    sh.prefixed_values(F.col("tags"), "office:").alias("offices"))
+
+
+@register
+def hash_groups(spark, sf):
+    g = sh.hash_groups(_sheeted(spark, sf))
+    return g.select("sheet", "change_group", F.col("pages").cast("bigint").alias("pages"),
+                    F.round("group_priority", 6).alias("group_priority"), "first_url")
+
+
+@register
+def sheet_rows(spark, sf):
+    o = sh.order_sheets(sh.threshold(_sheeted(spark, sf), 0.25))
+    return o.select("sheet", F.col("Index").cast("bigint").alias("idx"), "page_id",
+                    F.round("analysis.priority", 6).alias("priority"), "error", "change_group")
+
+
+@register
+def status_sheet(spark, sf):
+    """SHT-05 for the 7 days before the end of the fixture month."""
+    v = tb.versions(spark, sf)
+    before = "2024-01-31"
+    after = "2024-01-24"
+    vb = v.where(F.col("capture_time") < ver.ts_lit(before))
+    lv = ver.latest_valid(vb, ver.trim_versions(ver.select_versions(v, after, before)))
+    vv = v.select(F.col("version_id").alias("valid_id"), F.struct(*v.columns).alias("vv"))
+    body = tb.version_bodies(spark, sf).select(F.col("version_id").alias("valid_id"), "html")
+    j = lv.join(vv, "valid_id").join(body, "valid_id", "left")
+    eff = ST.effective_status(F.col("vv.url"), F.col("vv.status"), F.col("vv.network_error"), F.col("vv.title"),
+                              None, RD.all_redirects(F.col("vv.redirects"), RD.client_redirect(F.col("html"))))
+    m = tb.page_meta(spark, sf).select("page_id", "url", "tags")
+    return j.join(m, "page_id").select(
+        sh.prefixed_values(F.col("tags"), "agency:").alias("agencies"),
+        sh.prefixed_values(F.col("tags"), "office:").alias("offices"),
+        "url", fm.format_status(F.col("latest.status")).alias("status"),
+        fm.format_status(eff).alias("effective_status"),
+        fm.format_datetime(F.col("latest.capture_time")).alias("capture_time"),
+        fm.format_datetime(F.col("valid_time")).alias("valid_capture_time"))
+
+
+from changelens.functions import formats as fm  # noqa: E402
