@@ -427,3 +427,51 @@ def status_sheet(spark, sf):
 
 
 from changelens.functions import formats as fm  # noqa: E402
+
+
+# ---------------------------------------------------------------- HTML blocks (rows-only checks)
+from changelens.operators import blocks as bk  # noqa: E402
+
+
+def _nodes(spark, sf):
+    return bk.parse_html(tb.table(spark, sf, "pages"), "page_id", "html")
+
+
+@register
+def blocks(spark, sf):
+    return bk.content_blocks(_nodes(spark, sf)).select("doc", "pos", "text", F.size("anc").alias("depth"))
+
+
+@register
+def stripped_blocks(spark, sf):
+    p = tb.table(spark, sf, "pages").select(F.col("page_id").alias("doc"), "url",
+                                             F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"))
+    b = bk.content_blocks(_nodes(spark, sf)).join(p, "doc")
+    s = bk.strip_blocks(b, is_news=G.is_news_page(F.col("url"), F.col("title")), host=U.host(F.col("url")))
+    return s.select("doc", "pos", "text")
+
+
+@register
+def main_content(spark, sf):
+    n = _nodes(spark, sf)
+    m = bk.main_content(bk.strip_blocks(bk.content_blocks(n)), n)
+    return m.select("doc", "pos", "text", "found_content_area")
+
+
+@register
+def readerable(spark, sf):
+    n = _nodes(spark, sf)
+    s = bk.strip_blocks(bk.content_blocks(n))
+    return bk.readerable(s).join(bk.readable(bk.main_content(s, n)), "doc", "full")
+
+
+@register
+def accordion_links(spark, sf):
+    n = _nodes(spark, sf).where(F.col("kind") == "link")
+    return bk.fix_accordion_links(n).select("doc", "pos", "href", "text")
+
+
+@register
+def ordered_diff(spark, sf):
+    pairs = tb.doc_pairs(spark, sf, "near")
+    return dif.ordered_diff(dif.text_units(pairs, tb.table(spark, sf, "documents")))
