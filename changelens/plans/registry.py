@@ -475,3 +475,91 @@ def accordion_links(spark, sf):
 def ordered_diff(spark, sf):
     pairs = tb.doc_pairs(spark, sf, "near")
     return dif.ordered_diff(dif.text_units(pairs, tb.table(spark, sf, "documents")))
+
+
+# ---------------------------------------------------------------- deep search (rows-only)
+from changelens.operators import deep as dp  # noqa: E402
+from changelens.session import stage_table  # noqa: E402
+
+
+@register
+def deep_changes(spark, sf):
+    # one-day frame: deep search re-analyses every half of every round
+    a, b = FRAMES[1]
+    v = tb.versions(spark, sf)
+    trimmed = stage_table(ver.trim_versions(ver.select_versions(v, a, b)), "trimmed")
+    pairs = ver.endpoints(trimmed)
+    refs = dict(html_ref="version_id", html_key="version_id")
+    pages = tb.page_meta(spark, sf)
+    docs, bodies = tb.table(spark, sf, "documents"), tb.version_bodies(spark, sf)
+    res = an.analyze_pairs(pairs, pages, docs, bodies, _dictionary(spark), _stop_words(spark), **refs)
+    d = dp.deep_changes(res, trimmed, pages, docs, bodies, 0.5, _dictionary(spark), _stop_words(spark), **refs)
+    if d is None:
+        return spark.createDataFrame([], "page_id long, node string, depth int, a_id long, b_id long, priority double")
+    return d.select("page_id", "node", "depth", F.col("a.version_id").alias("a_id"),
+                    F.col("b.version_id").alias("b_id"), F.round("analysis.priority", 6).alias("priority"))
+
+
+from changelens.operators import analysis as an  # noqa: E402
+
+
+# ---------------------------------------------------------------- streaming
+from changelens.streaming import captures as stc  # noqa: E402
+
+
+def _capture_feed(spark, sf):
+    """The F1 captures as a file stream: the events table's own directory
+    (the stream picks the events file by glob) projected to captures."""
+    ev = tb.table(spark, sf, "events")
+    s = stc.capture_stream(spark, sf, ev.schema, "events.parquet")
+    return s.select(F.col("user_id").alias("page_id"), F.col("event_id").alias("version_id"),
+                    F.col("ts").alias("capture_time"),
+                    F.md5(F.concat(F.col("event_type"), F.lit("/"),
+                                   F.floor(F.col("value") / 200).cast("bigint").cast("string"))).alias("body_hash"))
+
+
+def _stream_name(prefix):
+    import uuid
+    return f"{prefix}_{uuid.uuid4().hex[:8]}"
+
+
+@register
+def capture_dedup_stream(spark, sf):
+    from changelens.session import checkpoint_dir
+    name = _stream_name("dedup")
+    out = stc.run_available_now(stc.dedup_captures(_capture_feed(spark, sf)), name,
+                                f"{checkpoint_dir(spark)}/stream-{name}")
+    return out.select("page_id", "body_hash")
+
+
+@register
+def daily_changes_stream(spark, sf):
+    from changelens.session import checkpoint_dir
+    name = _stream_name("daily")
+    out = stc.run_available_now(stc.daily_changes(_capture_feed(spark, sf)), name,
+                                f"{checkpoint_dir(spark)}/stream-{name}")
+    return out.select("page_id", F.col("day").cast("timestamp_ntz").alias("day"), F.col("captures").cast("bigint").alias("captures"))
+
+
+# ---------------------------------------------------------------- sinks and reloads
+from changelens.sources import results_io as rio  # noqa: E402
+
+RESHEET_TAGS = ["category:BUILDING", "category:MACHINERY"]
+RESHEET_THRESHOLD = 0.3
+
+
+@register
+def results_roundtrip(spark, sf):
+    """SNK-01 -> SRC-04 -> SRC-05: write the raw results, read them back,
+    re-filter by tags and threshold."""
+    import uuid
+
+    from changelens.session import checkpoint_dir
+    raw = rio.raw_results(sh.drop_no_change(_results(spark, sf)),
+                          tb.page_meta(spark, sf).select("page_id", "url", "title", "tags", "maintainers"))
+    path = f"{checkpoint_dir(spark)}/results-{uuid.uuid4().hex[:8]}"
+    rio.write_results(raw, path)
+    back = rio.read_results(spark, path, raw.schema)
+    f = rio.refilter(back, RESHEET_TAGS, RESHEET_THRESHOLD)
+    return f.select(F.col("page.page_id").alias("page_id"), F.col("page.url_key").alias("url_key"),
+                    F.round("overall.priority", 6).alias("priority"), "error")
