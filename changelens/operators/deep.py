@@ -67,8 +67,8 @@ def deep_changes(results: DataFrame, trimmed: DataFrame, pages: DataFrame, text_
             "node", (F.col("_o.capture_time") + F.expr("INTERVAL 1 MINUTE")).alias("_after"),
             (F.col("_e.capture_time") + F.expr("INTERVAL 1 MINUTE")).alias("_before"))
         cand = halves.join(ends, "node")
-        sel = ver.select_versions(cand, F.col("_after"), F.col("_before"), key="node")
-        tr = stage_table(ver.trim_versions(sel, key="node").drop("_after", "_before", "is_baseline"), f"deep-{depth}")
+        tr = stage_table(ver.select_and_trim(cand, F.col("_after"), F.col("_before"), key="node")
+                         .drop("_after", "_before", "is_baseline"), f"deep-{depth}")
         pairs = ver.endpoints(tr.drop("parent", "page_id"), key="node")
         info = tr.select("node", "parent", "page_id").distinct()
         node_pages = info.join(page_urls, "page_id").select("node", "url")

@@ -219,3 +219,15 @@ def change_rate(trimmed: DataFrame, after, before, key: str = "page_id") -> Data
         F.greatest(1 - (rate - RATE_PEAK) / (RATE_ZERO - RATE_PEAK), F.lit(RATE_FLOOR)))
     return agg.select(key, F.col("n_changes").cast("bigint").alias("n_changes"),
                       F.round(rate, 6).alias("changes_per_day"), F.round(factor, 6).alias("rate_factor"))
+
+
+def select_and_trim(v: DataFrame, after, before, key: str = "page_id", stage: bool = True) -> DataFrame:
+    """VER-01..04 with the selection written once to the shared checkpoint
+    folder: trimming reads it four times (three aggregates and the final
+    filter), and the staged copy keeps those reads off the source scan."""
+    from changelens.session import stage_table
+
+    sel = select_versions(v, after, before, key=key)
+    if stage:
+        sel = stage_table(sel, "selected")
+    return trim_versions(sel, key=key)

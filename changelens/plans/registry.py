@@ -49,7 +49,7 @@ def baseline_lookback(spark, sf):
 @register
 def trimmed_versions(spark, sf):
     v = tb.versions(spark, sf)
-    return _per_frame(v, lambda v, a, b: ver.trim_versions(ver.select_versions(v, a, b))).select(
+    return _per_frame(v, lambda v, a, b: ver.select_and_trim(v, a, b)).select(
         "frame", "page_id", "version_id", "capture_time", "is_baseline")
 
 
@@ -228,7 +228,7 @@ def catalog_scan(spark, sf):
 def change_pairs(spark, sf):
     v = tb.versions(spark, sf)
     a, b = FRAMES[0]
-    pairs = ver.endpoints(ver.trim_versions(ver.select_versions(v, a, b)))
+    pairs = ver.endpoints(ver.select_and_trim(v, a, b))
     kind, _ = G.gate(F.col("n_versions"))
     return pairs.withColumn("error_kind", kind).where(
         F.col("error_kind").isNull() | (F.col("error_kind") != "no_change")).select(
@@ -241,7 +241,7 @@ def latest_valid(spark, sf):
     v = tb.versions(spark, sf)
     a, b = FRAMES[3]
     vb = v.where(F.col("capture_time") < ver.ts_lit(b))
-    lv = ver.latest_valid(vb, ver.trim_versions(ver.select_versions(v, a, b)))
+    lv = ver.latest_valid(vb, ver.select_and_trim(v, a, b))
     return lv.select("page_id", F.col("latest.version_id").alias("latest_id"),
                      F.col("latest.capture_time").alias("latest_time"), "valid_id", "valid_time")
 
@@ -250,7 +250,7 @@ def latest_valid(spark, sf):
 def change_rate(spark, sf):
     v = tb.versions(spark, sf)
     a, b = FRAMES[0]
-    return ver.change_rate(ver.trim_versions(ver.select_versions(v, a, b)), a, b)
+    return ver.change_rate(ver.select_and_trim(v, a, b), a, b)
 
 
 @register
@@ -410,7 +410,7 @@ def status_sheet(spark, sf):
     before = "2024-01-31"
     after = "2024-01-24"
     vb = v.where(F.col("capture_time") < ver.ts_lit(before))
-    lv = ver.latest_valid(vb, ver.trim_versions(ver.select_versions(v, after, before)))
+    lv = ver.latest_valid(vb, ver.select_and_trim(v, after, before))
     vv = v.select(F.col("version_id").alias("valid_id"), F.struct(*v.columns).alias("vv"))
     body = tb.version_bodies(spark, sf).select(F.col("version_id").alias("valid_id"), "html")
     j = lv.join(vv, "valid_id").join(body, "valid_id", "left")
@@ -487,7 +487,7 @@ def deep_changes(spark, sf):
     # one-day frame: deep search re-analyses every half of every round
     a, b = FRAMES[1]
     v = tb.versions(spark, sf)
-    trimmed = stage_table(ver.trim_versions(ver.select_versions(v, a, b)), "trimmed")
+    trimmed = stage_table(ver.select_and_trim(v, a, b), "trimmed")
     pairs = ver.endpoints(trimmed)
     refs = dict(html_ref="version_id", html_key="version_id")
     pages = tb.page_meta(spark, sf)

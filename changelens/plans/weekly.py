@@ -17,6 +17,5 @@ from changelens.session import stage_table
 def change_results(v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_bodies: DataFrame,
                    after, before, dictionary: DataFrame | None = None, stop_words: DataFrame | None = None,
                    key: str = "page_id", **body_refs) -> DataFrame:
-    sel = stage_table(ver.select_versions(v, after, before, key=key), "selected")
-    pairs = stage_table(ver.endpoints(ver.trim_versions(sel, key=key), key=key), "pairs")
+    pairs = stage_table(ver.endpoints(ver.select_and_trim(v, after, before, key=key), key=key), "pairs")
     return an.analyze_pairs(pairs, pages, text_bodies, html_bodies, dictionary, stop_words, key=key, **body_refs)
