@@ -231,3 +231,27 @@ def select_and_trim(v: DataFrame, after, before, key: str = "page_id", stage: bo
     if stage:
         sel = stage_table(sel, "selected")
     return trim_versions(sel, key=key)
+
+
+SELECTION_COLUMNS = ["version_id", "capture_time", "status", "body_hash"]
+
+
+def narrow(v: DataFrame, key: str = "page_id", quality: str = "quality") -> DataFrame:
+    """The columns selection and trimming need; wide capture fields (URL,
+    title, redirect chains, headers) stay behind until ``widen``."""
+    return v.select(key, *SELECTION_COLUMNS, quality)
+
+
+def widen(pairs: DataFrame, v: DataFrame, key: str = "page_id") -> DataFrame:
+    """Replace the narrow ``a``/``b`` structs of ``endpoints`` by the full
+    capture records: one scan of the captures, joined on the (small) set of
+    end version ids, which AQE broadcasts."""
+    ids = pairs.select(key, F.inline(F.array(
+        F.struct(F.lit("a").alias("_side"), F.col("a.version_id").alias("_vid")),
+        F.struct(F.lit("b").alias("_side"), F.col("b.version_id").alias("_vid")))))
+    cols = [c for c in v.columns if c != key]
+    full = v.select(F.col("version_id").alias("_vid"), _record(cols).alias("_rec"))
+    recs = ids.join(full, "_vid").groupBy(key).agg(
+        F.max(F.when(F.col("_side") == "a", F.col("_rec"))).alias("a"),
+        F.max(F.when(F.col("_side") == "b", F.col("_rec"))).alias("b"))
+    return pairs.select(key, "n_versions").join(recs, key)

@@ -17,5 +17,8 @@ from changelens.session import stage_table
 def change_results(v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_bodies: DataFrame,
                    after, before, dictionary: DataFrame | None = None, stop_words: DataFrame | None = None,
                    key: str = "page_id", **body_refs) -> DataFrame:
-    pairs = stage_table(ver.endpoints(ver.select_and_trim(v, after, before, key=key), key=key), "pairs")
+    # Selection runs on the narrow capture columns; the wide fields are
+    # fetched for the two end captures of each page only.
+    ends = ver.endpoints(ver.select_and_trim(ver.narrow(v, key), after, before, key=key), key=key)
+    pairs = stage_table(ver.widen(ends, v, key=key), "pairs")
     return an.analyze_pairs(pairs, pages, text_bodies, html_bodies, dictionary, stop_words, key=key, **body_refs)
