@@ -22,6 +22,7 @@ from changelens.functions import text as tx
 from changelens.functions import urls as U
 from changelens.operators import diffs as dif
 from changelens.operators import terms as trm
+from changelens.operators.joins import small
 from changelens.session import stage_table
 
 
@@ -39,9 +40,18 @@ def ends(pairs: DataFrame, key: str = "page_id") -> DataFrame:
         F.struct(F.lit("b").alias("side"), F.col("b").alias("v"), F.col("content").alias("content")))))
 
 
+# Ends of up to this many pairs are broadcast to the body scan (checked
+# count); beyond it the join shuffles both sides by the body key.
+MAX_BROADCAST_ENDS = 2_000_000
+
+
 def _join_body(e: DataFrame, bodies: DataFrame, ref: str, body_key: str, body_col: str) -> DataFrame:
+    """Late body join: the narrow ends (pair, side, body ref, URL, content
+    flag) meet the body table, each body read once per end."""
     b = bodies.select(F.col(body_key).alias("_ref"), F.col(body_col).alias("_body"))
-    return e.withColumn("_ref", F.col(f"v.{ref}")).join(b, "_ref")
+    narrow = e.select("pair_id", "side", F.col(f"v.{ref}").alias("_ref"),
+                      F.struct(F.col("v.url").alias("url")).alias("v"), "content")
+    return small(narrow, MAX_BROADCAST_ENDS).join(b, "_ref")
 
 
 def html_units(e_html: DataFrame, content: Column) -> DataFrame:

@@ -563,3 +563,22 @@ def results_roundtrip(spark, sf):
     f = rio.refilter(back, RESHEET_TAGS, RESHEET_THRESHOLD)
     return f.select(F.col("page.page_id").alias("page_id"), F.col("page.url_key").alias("url_key"),
                     F.round("overall.priority", 6).alias("priority"), "error")
+
+
+@register
+def sheet_files(spark, sf):
+    """SHT-01 + SNK-02: write the formatted sheets as one CSV folder per
+    sheet, read them back (all columns as text)."""
+    import uuid
+
+    from changelens.session import checkpoint_dir
+    o = sh.order_sheets(sh.threshold(_sheeted(spark, sf), 0.25))
+    rows = sh.sheet_rows(o, run_time=F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    path = f"{checkpoint_dir(spark)}/sheets-{uuid.uuid4().hex[:8]}"
+    rio.write_sheets(rows, path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select("sheet", F.col("Index").cast("bigint").alias("idx"), F.col("URL").alias("url"),
+                       F.col("Effective Status").alias("effective_status"),
+                       # CSV has no null/empty distinction: analysed rows have text here
+                       F.when(F.col("Effective Status").isNotNull(),
+                              F.coalesce(F.col("Redirects Changed?"), F.lit(""))).alias("redirect_change"))

@@ -19,9 +19,6 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Bodies joined to the few chosen captures: a runtime bloom filter
-    # prunes the body scan before any shuffle when the ends are not broadcast.
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
