@@ -58,8 +58,9 @@ def html_units(e_html: DataFrame, content: Column) -> DataFrame:
     """One pass over each HTML body: (pair_id, side, kind, pos, unit) with
     kind 'link' (BLK-02 regexp form + SC-01 with the capture URL as base),
     'source' (trimmed non-empty source lines, DIF-07) and 'client' (SC-08).
-    Link and source units only for content-analysable pairs (FLT-06)."""
-    base = F.col("v.url")
+    Link and source units only for content-analysable pairs (FLT-06).
+    Links resolve against the page's ``<base href>`` when it has one (BLK-08)."""
+    base = U.base_url(F.col("_body"), F.col("v.url"))
     empty = F.array().cast("array<struct<kind:string,pos:int,unit:string>>")
     links = F.transform(F.regexp_extract_all(F.col("_body"), F.lit(LINK_RE), 1),
                         lambda h, i: F.struct(F.lit("link").alias("kind"), i.alias("pos"),

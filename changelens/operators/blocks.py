@@ -28,7 +28,7 @@ ANC = T.StructType([
 NODE_SCHEMA = T.StructType([
     T.StructField("doc", T.LongType()),
     T.StructField("pos", T.IntegerType()),
-    T.StructField("kind", T.StringType()),      # text | comment | link | element
+    T.StructField("kind", T.StringType()),      # text | comment | link | media | element
     T.StructField("text", T.StringType()),
     T.StructField("href", T.StringType()),
     T.StructField("aria_controls", T.StringType()),
@@ -75,6 +75,11 @@ class _Flattener(HTMLParser):
         self.eid += 1
         node = {"eid": self.eid, "tag": tag, "id": a.get("id"), "cls": a.get("class"), "role": a.get("role"),
                 "hidden": _hidden(a)}
+        if tag in ("img", "source") and a.get("src"):
+            # BLK-04: media URL kept (normalised later), srcset dropped
+            self.stack.append(node)
+            self._emit("media", href=a.get("src"))
+            self.stack.pop()
         if tag in VOID:
             self.stack.append(node)
             self._emit("element", text=a.get("type"))
@@ -333,3 +338,12 @@ def fix_accordion_links(links: DataFrame) -> DataFrame:
     h = F.coalesce(F.trim("href"), F.lit(""))
     dead = F.col("aria_controls").isNotNull() & ((h == "") | h.startswith("#") | F.lower(h).startswith("javascript:"))
     return links.withColumn("href", F.when(dead, F.lit("#")).otherwise(F.col("href")))
+
+
+def media_urls(nodes: DataFrame, page_url: Column) -> DataFrame:
+    """BLK-04: normalised ``src`` of images and sources (``srcset`` is never
+    read)."""
+    from changelens.functions import urls as U
+
+    return nodes.where(F.col("kind") == "media").select(
+        "doc", "pos", U.normalize_url(F.col("href"), page_url).alias("src"))

@@ -168,3 +168,8 @@ def redirect_changes(ordered: DataFrame, key: str = "page_id", view_url: str = V
         fm.format_redirects(an["redirect"]["b_server"], an["redirect"]["b_client"]).alias("All Redirects New"),
         F.col("url").alias("_url"),
     )
+
+
+def failures(results: DataFrame) -> DataFrame:
+    """PRI-03: the unexpected errors only (side output for operators)."""
+    return results.where(F.col("error_kind") == "failed")
