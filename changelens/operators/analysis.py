@@ -76,6 +76,41 @@ def html_units(e_html: DataFrame, content: Column) -> DataFrame:
     return e_html.select("pair_id", "side", F.inline(allu))
 
 
+def html_text_units(e_html: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """BLK-14: text units taken from the HTML itself.
+
+    Per end: content blocks (BLK-05) without boilerplate (BLK-07/12); when
+    both ends of a pair have a main content area (BLK-09) only those blocks
+    are diffed and ``readable`` is 'fallback-yes' / 'fallback-no' (BLK-10),
+    else the whole page ('no').  Returns (units, per-pair flags)."""
+    from changelens.operators import blocks as bk
+
+    docs = e_html.select(F.concat_ws(":", F.col("pair_id").cast("string"), "side").alias("_d"),
+                         "pair_id", "side", "_body")
+    ids = docs.select("_d", "pair_id", "side").withColumn("doc", F.xxhash64("_d"))
+    nodes = bk.parse_html(docs.withColumn("doc", F.xxhash64("_d")), "doc", "_body")
+    blocks = bk.strip_blocks(bk.content_blocks(nodes))
+    main = bk.main_content(blocks, nodes)
+    found = main.groupBy("doc").agg(F.max("found_content_area").alias("found"))
+    rd = bk.readable(main)
+    per_end = ids.join(found, "doc", "left").join(rd, "doc", "left")
+    flags = per_end.groupBy("pair_id").agg(
+        F.min(F.coalesce(F.col("found"), F.lit(False))).alias("found_content_area"),
+        F.min(F.coalesce(F.col("readable"), F.lit(False))).alias("_both_readable"))
+    flags = flags.select("pair_id", "found_content_area",
+                         F.when(~F.col("found_content_area"), F.lit("no"))
+                         .when(F.col("_both_readable"), F.lit("fallback-yes"))
+                         .otherwise(F.lit("fallback-no")).alias("readable"))
+    use_main = flags.select("pair_id", F.col("found_content_area").alias("_main"))
+    tagged_main = main.select("doc", "pos", "text").withColumn("_m", F.lit(True))
+    tagged_all = blocks.select("doc", "pos", "text").withColumn("_m", F.lit(False))
+    chosen = (tagged_main.unionByName(tagged_all).join(ids, "doc").join(use_main, "pair_id")
+              .where(F.col("_m") == F.col("_main")))
+    units = chosen.select("pair_id", "side", "pos", F.trim(tx.normalize_text(F.col("text"))).alias("unit")) \
+        .where(F.col("unit") != "")
+    return units, flags
+
+
 def text_units(e_text: DataFrame) -> DataFrame:
     return e_text.select("pair_id", "side", F.inline(tx.normalized_lines(F.col("_body"))))
 
@@ -180,10 +215,18 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
     links = link_metrics(hl.where(F.col("kind") == "link"), ok, key)
     source = source_metrics(hl.where(F.col("kind") == "source"))
 
-    # Text bodies: line diff and key terms.
-    e_text = _join_body(e.where("content"), text_bodies, text_ref, text_key, text_col)
-    labelled = stage(dif.label_units(text_units(e_text)), "text_labelled")
+    # Text: lines of the text bodies, or blocks of the HTML (BLK-14).
+    if text_bodies is not None:
+        e_text = _join_body(e.where("content"), text_bodies, text_ref, text_key, text_col)
+        tu, text_flags = text_units(e_text), None
+    else:
+        tu, text_flags = html_text_units(e_html.where("content"))
+    labelled = stage(dif.label_units(tu), "text_labelled")
     text = dif.text_metrics(labelled)
+    if text_flags is not None:
+        text = text.join(text_flags, "pair_id", "left")
+    else:
+        text = text.select("*", F.lit("no").alias("readable"), F.lit(False).alias("found_content_area"))
     if dictionary is not None:
         sw = stop_words if stop_words is not None else trm.default_stop_words(pairs.sparkSession)
         kt = trm.key_term_summary(trm.key_term_net(trm.changed_ngrams(labelled, dictionary, sw)))
@@ -198,12 +241,15 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
          .join(links.select(t("pair_id").alias(key), F.struct("diff_hash", "diff_length", "diff_ratio", "removed_self_link").alias("links")), key, "left")
          .join(source.select(t("pair_id").alias(key), F.struct("diff_hash", "diff_count", "diff_length", "diff_ratio").alias("source")), key, "left")
          .join(text.select(t("pair_id").alias(key), F.struct(
+             F.coalesce(t("readable"), F.lit("no")).alias("readable"),
+             F.coalesce(t("found_content_area"), F.lit(False)).alias("found_content_area"),
              F.coalesce(t("key_terms"), F.create_map().cast("map<string,bigint>")).alias("key_terms"),
              F.coalesce(t("key_terms_changed"), F.lit(False)).alias("key_terms_changed"),
              F.coalesce(t("key_terms_change_count"), F.lit(0)).cast("bigint").alias("key_terms_change_count"),
              "percent_changed", "diff_hash", "diff_count", "diff_length", "diff_max_length").alias("text")), key, "left"))
     # Content pairs without any text units still get an (empty) text result.
     empty_text = F.struct(
+        F.lit("no").alias("readable"), F.lit(False).alias("found_content_area"),
         F.create_map().cast("map<string,bigint>").alias("key_terms"), F.lit(False).alias("key_terms_changed"),
         F.lit(0).cast("bigint").alias("key_terms_change_count"), F.lit(0.0).alias("percent_changed"),
         F.lit(dif.EMPTY_HASH).alias("diff_hash"), F.lit(0).cast("bigint").alias("diff_count"),

@@ -235,8 +235,8 @@ def main_content(blocks: DataFrame, comments: DataFrame | None = None) -> DataFr
     head" comment); footer start = first block of the last ``footer`` /
     ``role=contentinfo`` (or a "begin/start foot" comment); the first ``nav``
     is dropped; if a ``main``/``role=main``/``#main`` (or a single
-    ``article``) exists only it is kept.  ``found`` = header and footer both
-    found.  Documents with no landmark keep every block."""
+    ``article``) exists only it is kept.  ``found_content_area`` = some
+    landmark was found.  Documents with no landmark keep every block."""
     b = blocks
     in_header = F.exists("anc", lambda a: (a["tag"] == "header") | (F.lower(a["role"]) == "banner"))
     in_footer = F.exists("anc", lambda a: (a["tag"] == "footer") | (F.lower(a["role"]) == "contentinfo"))
@@ -278,8 +278,7 @@ def main_content(blocks: DataFrame, comments: DataFrame | None = None) -> DataFr
             & (F.col("_navend").isNull() | (F.col("pos") > F.col("_navend")))
             & F.when(F.col("_nmain") > 0, F.col("_m"))
             .when(F.col("_narticles") == 1, F.col("_art").isNotNull()).otherwise(F.lit(True)))
-    found = F.col("head_end").isNotNull() & F.col("foot_start").isNotNull()
-    out = y.where(~has_landmark | keep).withColumn("found_content_area", found)
+    out = y.where(~has_landmark | keep).withColumn("found_content_area", has_landmark)
     return out.drop("_h", "_f", "_m", "_art", "_nav", "_feid", "_navend", "_nmain", "_narticles")
 
 

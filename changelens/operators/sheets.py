@@ -132,7 +132,7 @@ def sheet_rows(ordered: DataFrame, key: str = "page_id", run_time: Column | None
         "Changed status?": F.when(has, bstr(an["status_changed"])),
         "Effective Status": F.when(has, fm.format_status(an["status_b"])),
         "Status": F.when(has, fm.format_status(B["status"])),
-        "Readable?": F.when(has & an["text"].isNotNull(), F.lit("no")),
+        "Readable?": F.when(has & an["text"].isNotNull(), an["text"]["readable"]),
         "Key Terms": F.when(has & an["text"].isNotNull(), kt),
         "% Changed Text": F.when(has & an["text"].isNotNull(), _fmt3(an["text"]["percent_changed"])),
         "Longest Text Change": F.when(has, an["text"]["diff_max_length"].cast("string")),

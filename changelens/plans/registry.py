@@ -582,3 +582,16 @@ def sheet_files(spark, sf):
                        # CSV has no null/empty distinction: analysed rows have text here
                        F.when(F.col("Effective Status").isNotNull(),
                               F.coalesce(F.col("Redirects Changed?"), F.lit(""))).alias("redirect_change"))
+
+
+@register
+def html_text_priority(spark, sf):
+    """PRI-01 with the diffed text taken from the HTML (BLK-14)."""
+    a, b = FRAMES[0]
+    r = change_results(tb.versions(spark, sf), tb.page_meta(spark, sf), None, tb.version_bodies(spark, sf),
+                       a, b, _dictionary(spark), _stop_words(spark), html_ref="version_id", html_key="version_id")
+    return r.where(F.col("analysis").isNotNull()).select(
+        "page_id", F.round("analysis.priority", 6).alias("priority"),
+        F.col("analysis.text.readable").alias("readable"),
+        F.col("analysis.text.found_content_area").alias("found_content_area"),
+        F.col("analysis.text.diff_count").alias("text_diff_count"))
