@@ -20,8 +20,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register a query; the session gets the job settings (UTC session time
+    zone, AQE, skew join) before it runs."""
+    import functools
+
+    from changelens.session import apply_job_conf
+
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        apply_job_conf(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _per_frame(v: DataFrame, build) -> DataFrame:
