@@ -45,21 +45,21 @@ def _per_frame(v: DataFrame, build) -> DataFrame:
 
 @register
 def versions_in_frame(spark, sf):
-    v = tb.versions(spark, sf)
+    v = ver.narrow(tb.versions(spark, sf))
     return _per_frame(v, lambda v, a, b: ver.select_versions(v, a, b)).select(
         "frame", "page_id", "version_id", "capture_time", "is_baseline")
 
 
 @register
 def baseline_lookback(spark, sf):
-    v = tb.versions(spark, sf)
+    v = ver.narrow(tb.versions(spark, sf))
     return _per_frame(v, lambda v, a, b: ver.select_versions(v, a, b)).where("is_baseline").select(
         "frame", "page_id", F.col("version_id").alias("baseline_id"), F.col("capture_time").alias("baseline_time"))
 
 
 @register
 def trimmed_versions(spark, sf):
-    v = tb.versions(spark, sf)
+    v = ver.narrow(tb.versions(spark, sf))
     return _per_frame(v, lambda v, a, b: ver.select_and_trim(v, a, b)).select(
         "frame", "page_id", "version_id", "capture_time", "is_baseline")
 
@@ -252,14 +252,14 @@ def latest_valid(spark, sf):
     v = tb.versions(spark, sf)
     a, b = FRAMES[3]
     vb = v.where(F.col("capture_time") < ver.ts_lit(b))
-    lv = ver.latest_valid(vb, ver.select_and_trim(v, a, b))
+    lv = ver.latest_valid(vb, ver.select_and_trim(ver.narrow(v), a, b))
     return lv.select("page_id", F.col("latest.version_id").alias("latest_id"),
                      F.col("latest.capture_time").alias("latest_time"), "valid_id", "valid_time")
 
 
 @register
 def change_rate(spark, sf):
-    v = tb.versions(spark, sf)
+    v = ver.narrow(tb.versions(spark, sf))
     a, b = FRAMES[0]
     return ver.change_rate(ver.select_and_trim(v, a, b), a, b)
 
@@ -421,7 +421,7 @@ def status_sheet(spark, sf):
     before = "2024-01-31"
     after = "2024-01-24"
     vb = v.where(F.col("capture_time") < ver.ts_lit(before))
-    lv = ver.latest_valid(vb, ver.select_and_trim(v, after, before))
+    lv = ver.latest_valid(vb, ver.select_and_trim(ver.narrow(v), after, before))
     vv = v.select(F.col("version_id").alias("valid_id"), F.struct(*v.columns).alias("vv"))
     body = tb.version_bodies(spark, sf).select(F.col("version_id").alias("valid_id"), "html")
     j = lv.join(vv, "valid_id").join(body, "valid_id", "left")
