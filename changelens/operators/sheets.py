@@ -108,6 +108,10 @@ def sheet_rows(ordered: DataFrame, key: str = "page_id", run_time: Column | None
     has = an.isNotNull()
     A, B = F.col(a), F.col(b)
     bstr = lambda c: F.when(c.isNull(), F.lit("")).otherwise(F.when(c, F.lit("True")).otherwise(F.lit("False")))
+    fields = ordered.schema[a].dataType.fieldNames() if a in ordered.columns else []
+    ia = (fm.archive_compare_url(A["source_type"], B["source_type"], A["url"], B["url"],
+                                 A["capture_time"], B["capture_time"])
+          if "source_type" in fields else F.lit(""))
     kt = F.array_join(F.transform(F.map_entries(an["text"]["key_terms"]),
                                   lambda e: F.concat(e["key"], F.lit(": "), e["value"].cast("string"))), ", ")
     cols = {
@@ -119,7 +123,7 @@ def sheet_rows(ordered: DataFrame, key: str = "page_id", run_time: Column | None
         "Page Title": F.coalesce(F.trim(F.regexp_replace(F.col("title"), r"\s+", " ")), F.lit("")),
         "URL": F.col("url"),
         "Scanner Comparison": fm.view_url(view_url, F.col(key), A["version_id"], B["version_id"]),
-        "IA Comparison": F.lit(""),
+        "IA Comparison": ia,
         "Date Found - Latest": fm.format_datetime(B["capture_time"]),
         "Date Found - Base": fm.format_datetime(A["capture_time"]),
         "Diff Length": F.when(has, an["source"]["diff_length"].cast("string")),
