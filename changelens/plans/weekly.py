@@ -22,3 +22,47 @@ def change_results(v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_
     ends = ver.endpoints(ver.select_and_trim(ver.narrow(v, key), after, before, key=key), key=key)
     pairs = stage_table(ver.widen(ends, v, key=key), "pairs")
     return an.analyze_pairs(pairs, pages, text_bodies, html_bodies, dictionary, stop_words, key=key, **body_refs)
+
+
+def write_outputs(results: DataFrame, pages: DataFrame, out_dir: str, threshold: float = 0.0,
+                  deep: bool = False, key: str = "page_id") -> None:
+    """The job's outputs, all written by Spark writers:
+
+    * ``_results.json.gz/`` raw results, no-change rows dropped (SNK-01);
+    * ``sheets/sheet=<name>/`` one CSV per sheet, threshold applied (SNK-02);
+    * ``_redirects-changed/`` and ``_redirects-current/`` (SNK-03/04).
+    """
+    from pyspark.sql import functions as F
+
+    from changelens.functions import formats as fm
+    from changelens.functions import redirects as RD
+    from changelens.functions import urls as U
+    from changelens.operators import sheets as sh
+    from changelens.sources import results_io as rio
+
+    kept = sh.drop_no_change(results)
+    meta = pages.select(key, "url", "title", "tags", "maintainers")
+    rio.write_results(rio.raw_results(kept, meta, key), f"{out_dir}/_results.json.gz")
+    joined = kept.join(meta, key, "left")
+    ordered = sh.order_sheets(sh.threshold(joined, threshold), deep=deep)
+    rio.write_sheets(sh.sheet_rows(ordered, key), f"{out_dir}/sheets")
+    with_sheet = joined.withColumn("sheet", sh.sheet_key(F.col("tags")))
+    changed = sh.redirect_changes(with_sheet, key)
+    rio.write_csv(changed.withColumn("_cat", F.col("Category")).withColumn("_dom", F.col("Domain")),
+                  f"{out_dir}/_redirects-changed", ["_cat", "_dom", "_url"])
+    cur = with_sheet.where(F.col("analysis").isNotNull())
+    allb = RD.all_redirects(F.col("b.redirects"), F.col("analysis.redirect.b_client"))
+    last = F.try_element_at(allb, F.lit(-1))
+    current = cur.where(F.size(allb) > 0).select(
+        fm.view_url(sh.VIEW_URL, F.col(key), F.col("a.version_id"), F.col("b.version_id")).alias("Scanner"),
+        F.regexp_extract("sheet", r"^(.*)--(.*?)$", 1).alias("Category"),
+        F.when(F.col("sheet").contains("--"), F.regexp_extract("sheet", r"^(.*)--(.*?)$", 2))
+        .otherwise(F.col("sheet")).alias("Domain"),
+        fm.format_status(F.col("analysis.status_b")).alias("Status"),
+        U.url_change_type(F.col("b.url"), last).alias("Redirect Type"),
+        F.col("b.url").alias("Monitored URL"), last.alias("Redirected URL"),
+        fm.format_redirects(F.col("analysis.redirect.b_server"), F.col("analysis.redirect.b_client")).alias("All Redirects"),
+        F.col("url").alias("_url"),
+    ).where(F.col("Redirect Type").isNotNull())
+    rio.write_csv(current.withColumn("_cat", F.col("Category")).withColumn("_dom", F.col("Domain")),
+                  f"{out_dir}/_redirects-current", ["_cat", "_dom", "_url"])

@@ -59,6 +59,8 @@ def write_sheets(rows: DataFrame, path: str) -> None:
 
 def write_csv(rows: DataFrame, path: str, order: list[str] | None = None) -> None:
     """SNK-03/04/05: a summary sheet as CSV (range-partitioned by the order
-    columns, so part files concatenate in order)."""
+    columns, so part files concatenate in order; helper columns starting
+    with '_' are not written)."""
     r = rows.repartitionByRange(*order).sortWithinPartitions(*order) if order else rows
+    r = r.drop(*[c for c in r.columns if c.startswith("_")])
     r.write.mode("overwrite").option("header", True).csv(path)
