@@ -417,24 +417,9 @@ def sheet_rows(spark, sf):
 @register
 def status_sheet(spark, sf):
     """SHT-05 for the 7 days before the end of the fixture month."""
-    v = tb.versions(spark, sf)
-    before = "2024-01-31"
-    after = "2024-01-24"
-    vb = v.where(F.col("capture_time") < ver.ts_lit(before))
-    lv = ver.latest_valid(vb, ver.select_and_trim(ver.narrow(v), after, before))
-    vv = v.select(F.col("version_id").alias("valid_id"), F.struct(*v.columns).alias("vv"))
-    body = tb.version_bodies(spark, sf).select(F.col("version_id").alias("valid_id"), "html")
-    j = lv.join(vv, "valid_id").join(body, "valid_id", "left")
-    eff = ST.effective_status(F.col("vv.url"), F.col("vv.status"), F.col("vv.network_error"), F.col("vv.title"),
-                              None, RD.all_redirects(F.col("vv.redirects"), RD.client_redirect(F.col("html"))))
-    m = tb.page_meta(spark, sf).select("page_id", "url", "tags")
-    return j.join(m, "page_id").select(
-        sh.prefixed_values(F.col("tags"), "agency:").alias("agencies"),
-        sh.prefixed_values(F.col("tags"), "office:").alias("offices"),
-        "url", fm.format_status(F.col("latest.status")).alias("status"),
-        fm.format_status(eff).alias("effective_status"),
-        fm.format_datetime(F.col("latest.capture_time")).alias("capture_time"),
-        fm.format_datetime(F.col("valid_time")).alias("valid_capture_time"))
+    from changelens.plans.status import status_sheet as build
+
+    return build(tb.versions(spark, sf), tb.page_meta(spark, sf), tb.version_bodies(spark, sf), "2024-01-31")
 
 
 from changelens.functions import formats as fm  # noqa: E402
