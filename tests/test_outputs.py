@@ -20,3 +20,20 @@ def test_weekly_outputs(spark, tmp_path):
     assert glob.glob(f"{out}/sheets/sheet=*/*.csv")
     for d in ("_redirects-changed", "_redirects-current"):
         assert os.path.isdir(f"{out}/{d}")
+
+
+def test_resheet_from_raw(spark, tmp_path):
+    from changelens.plans import registry as rg
+    from changelens.plans.resheet import resheet
+    from changelens.sources import results_io as rio
+    from changelens.sources import tables as tb
+
+    from changelens.operators import sheets as sh
+    raw = rio.raw_results(sh.drop_no_change(rg._results(spark, SF)),
+                          tb.page_meta(spark, SF).select("page_id", "url", "title", "tags", "maintainers"))
+    src = str(tmp_path / "raw")
+    rio.write_results(raw, src)
+    rows = resheet(spark, src, raw.schema, str(tmp_path / "sheets"), ["news"], 0.0)
+    n_news = raw.where("array_contains(page.tags, 'news')").count()
+    assert rows.count() == n_news
+    assert glob.glob(f"{tmp_path}/sheets/sheet=*/*.csv") or n_news == 0
