@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,21 +51,35 @@ def apply_job_conf(spark: SparkSession) -> None:
             pass
 
 
+# Folders staged by this process, per application id, for ``drop_stages``.
+_STAGED: dict[str, list[str]] = {}
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, as named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by whoever runs the job (a shared file
     system).  Only a local-mode session without the setting gets a private
-    scratch folder, which is what tests and benches use.
+    scratch folder (one per application), which is what tests and benches use.
     """
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d.rstrip("/")
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        if not (sc.master or "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running deep search")
-        d = tempfile.mkdtemp(prefix="changelens-ckpt-")
-    sc.setCheckpointDir(d)
-    return d
+    if not (sc.master or "").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = sc.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="changelens-stage-")
+    return _LOCAL_SCRATCH[app]
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    path = f"{checkpoint_dir(spark)}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage_table(df, name: str):
@@ -72,9 +87,19 @@ def stage_table(df, name: str):
     back: a lineage cut that survives executor loss and keeps later plans
     small.  Used at the few points where a result feeds several branches.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    path = stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete every folder this application has staged; call it once the
+    results that read them have been written.  Returns how many were deleted."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
