@@ -44,14 +44,22 @@ def let(c: Column, f) -> Column:
     return F.element_at(F.transform(F.array(c), f), 1)
 
 
+def free_name(base: str, *frames: DataFrame) -> str:
+    """``base``, with underscores behind it until no frame has a column of that name."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def join_on(left: DataFrame, right: DataFrame, cols: dict[str, str] | list[str], how: str = "inner") -> DataFrame:
     """Join on null-safe equality of ``cols`` (left name: right name); the
     right side's key columns are dropped, so its other names must not clash."""
     pairs = cols if isinstance(cols, dict) else {c: c for c in cols}
-    right = right.withColumnsRenamed({r: f"_on_{r}" for r in pairs.values()})
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_on_{r}")) for k, r in pairs.items()])
-    joined = left.join(right, on, how)
-    return joined.drop(*[f"_on_{r}" for r in pairs.values()])
+    names = {r: free_name(f"_on_{r}", left, right) for r in pairs.values()}
+    right = right.withColumnsRenamed(names)
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(names[r])) for k, r in pairs.items()])
+    return left.join(right, on, how).drop(*names.values())
 
 
 def with_rank(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:

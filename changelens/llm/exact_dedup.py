@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changelens.llm.common import ascii_lower, join_on, table
+from changelens.llm.common import ascii_lower, free_name, join_on, table
 from changelens.session import stage_path, stage_table
 
 #: Keys (distinct hashes) that a bucket may hold before it is split.
@@ -67,7 +67,7 @@ def build_index(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFr
     """(keys, index).  ``keys``: doc_id, h, text_sha256 of every row.  ``index``:
     the bucket files read back: h, chain, text_sha256, keep_id, group_size, bucket."""
     spark = docs.sparkSession
-    norm = docs.select("doc_id", normalised(F.col("text")).alias("norm")).withColumn("h", F.xxhash64("norm"))
+    norm = docs.select(F.col("doc_id").cast("long"), normalised(F.col("text")).alias("norm")).withColumn("h", F.xxhash64("norm"))
     keys = stage_table(norm.select("doc_id", "h", F.sha2("norm", 256).alias("text_sha256")), "dedup-keys")
     entries, depth = directory(keys, bucket_rows)
     groups = (
@@ -107,8 +107,9 @@ def drop_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     gone = stage_table(
         keys.join(index, ["h", "text_sha256"]).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .select("doc_id", "h").distinct(), "dedup-gone")
-    named = docs.withColumn("_h", F.xxhash64(normalised(F.col("text"))))
-    return join_on(named, gone, {"doc_id": "doc_id", "_h": "h"}, "left_anti").drop("_h")
+    h = free_name("_h", docs)
+    named = docs.withColumn(h, F.xxhash64(normalised(F.col("text"))))
+    return join_on(named, gone, {"doc_id": "doc_id", h: "h"}, "left_anti").drop(h)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changelens.llm.common import count_words, join_on, table, unit, with_rank
+from changelens.llm.common import count_words, free_name, join_on, table, unit, with_rank
 from changelens.session import stage_table
 
 BLOCK = 64
@@ -137,13 +137,13 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
     Rows that share a doc_id and size share their copies evenly, rounded.
     """
+    n, size, copy = (free_name(c, docs) for c in ("_copies", "_size", "_copy"))
     copies = (
-        mix(docs, seed).groupBy("doc_id", "size").agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
-        .where(F.col("_copies") > 0)
+        mix(docs, seed).groupBy("doc_id", "size").agg(F.round(F.avg("copies")).cast("int").alias(n)).where(F.col(n) > 0)
     )
-    named = docs.withColumn("_words", count_words(F.col("text")))
-    return join_on(named, copies, {"doc_id": "doc_id", "_words": "size"}).withColumn(
-        "_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    named = docs.withColumn(size, count_words(F.col("text")))
+    return join_on(named, copies, {"doc_id": "doc_id", size: "size"}).withColumn(
+        copy, F.explode(F.array_repeat(F.lit(1), F.col(n)))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changelens.llm.common import SPACE_RE, join_on, table, words
+from changelens.llm.common import SPACE_RE, free_name, join_on, table, words
 from changelens.session import stage_table
 
 ALPHA = 0.02
@@ -154,8 +154,9 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     bad = stage_table(
         judge(docs, labels).where(~F.col("kept")).select("doc_id", "text_hash").distinct(), "quality-bad")
-    named = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return join_on(named, bad, {"doc_id": "doc_id", "_hash": "text_hash"}, "left_anti").drop("_hash")
+    h = free_name("_hash", docs)
+    named = docs.withColumn(h, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return join_on(named, bad, {"doc_id": "doc_id", h: "text_hash"}, "left_anti").drop(h)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
