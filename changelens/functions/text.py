@@ -1,9 +1,10 @@
 """Text normalisation (SC-05, SC-06, SC-15) as native Column expressions.
 
 Spark 4.1 has no Unicode normalisation function, so the native accent
-stripper maps the Latin letters with diacritics that occur in Western
-European text; ``normalize_text_exact`` is an Arrow ``pandas_udf`` running
-NFD / combining-mark removal / NFKC / casefold for any script.
+stripper removes combining marks and maps the precomposed Latin, Greek and
+Cyrillic letters to their base letter, by a table derived from the Unicode
+data; ``normalize_text_exact`` is an Arrow ``pandas_udf`` running NFD /
+combining-mark removal / NFKC / casefold for any script.
 """
 
 from __future__ import annotations
@@ -15,9 +16,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Latin letters with diacritics and their base letters.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+
+
+def _base_letters() -> dict[str, str]:
+    """Precomposed letters of the blocks up to Greek Extended with the letter
+    that is left when their marks go."""
+    out = {}
+    for code in (*range(0xC0, 0x530), *range(0x1E00, 0x2000)):
+        parts = unicodedata.normalize("NFD", chr(code))
+        base = "".join(c for c in parts if not unicodedata.combining(c))
+        if len(parts) > 1 and len(base) == 1 and base.isalpha():
+            out[chr(code)] = base
+    return out
+
+
+_BASE = _base_letters()
+ACCENTED, UNACCENTED = "".join(_BASE), "".join(_BASE.values())
 # Punctuation removed inside words before splitting.
 INFIX_QUOTES = "['‘’]"
 # Any run of characters that are not letters, digits or underscore.
@@ -26,7 +40,7 @@ NON_WORD = r"[^\p{L}\p{N}_]+"
 
 def remove_accents(c: Column) -> Column:
     """SC-05 (native form)."""
-    return F.translate(c, ACCENTED, UNACCENTED)
+    return F.regexp_replace(F.translate(c, ACCENTED, UNACCENTED), r"\p{M}+", "")
 
 
 def normalize_text(c: Column) -> Column:

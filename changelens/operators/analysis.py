@@ -20,16 +20,15 @@ from changelens.functions import redirects as R
 from changelens.functions import status as ST
 from changelens.functions import text as tx
 from changelens.functions import urls as U
+from changelens.operators import blocks as bk
 from changelens.operators import diffs as dif
 from changelens.operators import terms as trm
-from changelens.operators.joins import small
 from changelens.session import stage_table
 
 
 def stage(df: DataFrame, name: str, enabled: bool = True) -> DataFrame:
     return stage_table(df, name) if enabled else df
 
-LINK_RE = r'<a[^>]+href="([^"]*)"'
 VIEW_URL = "https://monitor.example.org/page/{page}/{a}..{b}"
 
 
@@ -40,74 +39,69 @@ def ends(pairs: DataFrame, key: str = "page_id") -> DataFrame:
         F.struct(F.lit("b").alias("side"), F.col("b").alias("v"), F.col("content").alias("content")))))
 
 
-# Ends of up to this many pairs are broadcast to the body scan (checked
-# count); beyond it the join shuffles both sides by the body key.
-MAX_BROADCAST_ENDS = 2_000_000
-
-
 def _join_body(e: DataFrame, bodies: DataFrame, ref: str, body_key: str, body_col: str) -> DataFrame:
-    """Late body join: the narrow ends (pair, side, body ref, URL, content
-    flag) meet the body table, each body read once per end."""
+    """Late body join: the narrow ends (pair, side, body ref, URL, title,
+    content flag) meet the body table, each body read once per end.  The ends
+    are a result of their own size, which AQE knows: it broadcasts them when
+    they are small and shuffles both sides when they are not."""
     b = bodies.select(F.col(body_key).alias("_ref"), F.col(body_col).alias("_body"))
-    narrow = e.select("pair_id", "side", F.col(f"v.{ref}").alias("_ref"),
-                      F.struct(F.col("v.url").alias("url")).alias("v"), "content")
-    return small(narrow, MAX_BROADCAST_ENDS).join(b, "_ref")
-
-
-def html_units(e_html: DataFrame, content: Column) -> DataFrame:
-    """One pass over each HTML body: (pair_id, side, kind, pos, unit) with
-    kind 'link' (BLK-02 regexp form + SC-01 with the capture URL as base),
-    'source' (trimmed non-empty source lines, DIF-07) and 'client' (SC-08).
-    Link and source units only for content-analysable pairs (FLT-06).
-    Links resolve against the page's ``<base href>`` when it has one (BLK-08)."""
-    base = U.base_url(F.col("_body"), F.col("v.url"))
-    empty = F.array().cast("array<struct<kind:string,pos:int,unit:string>>")
-    links = F.transform(F.regexp_extract_all(F.col("_body"), F.lit(LINK_RE), 1),
-                        lambda h, i: F.struct(F.lit("link").alias("kind"), i.alias("pos"),
-                                              U.normalize_url(h, base).alias("unit")))
-    lines = F.filter(F.transform(F.split(F.col("_body"), "\n"),
-                                 lambda l, i: F.struct(F.lit("source").alias("kind"), i.alias("pos"),
-                                                       F.trim(l).alias("unit"))),
-                     lambda x: x["unit"] != "")
-    client = R.client_redirect(F.col("_body"))
-    cl = F.when(client.isNotNull(), F.array(F.struct(F.lit("client").alias("kind"), F.lit(0).alias("pos"),
-                                                     client.alias("unit")))).otherwise(empty)
-    allu = F.concat(F.when(content, F.concat(links, lines)).otherwise(empty), cl)
-    return e_html.select("pair_id", "side", F.inline(allu))
-
-
-def html_text_units(e_html: DataFrame) -> tuple[DataFrame, DataFrame]:
+    narrow = e.select("pair_id", "side", F.col(f"v.{ref}").alias("_ref"), F.col("v.url").alias("url"),
+                      F.col("v.title").alias("title"), "content")
+    return narrow.join(b, "_ref").drop("_ref")
+
+
+DOC = ["pair_id", "side"]
+
+
+def html_nodes(e_html: DataFrame) -> DataFrame:
+    """The parse of both ends' bodies, once: node rows (BLK-01) with pair_id,
+    side, url, news, content and the client redirect (SC-08).  Bodies of
+    pairs that are not content-analysable (FLT-06) are not parsed further."""
+    e = e_html.select(
+        *DOC, "url", G.is_news_page(F.col("url"), F.col("title")).alias("news"), "content",
+        R.client_redirect(F.col("_body")).alias("client"),
+        F.when(F.col("content") | F.col("_body").isNull(), F.col("_body")).otherwise(F.lit("")).alias("_body"))
+    return bk.parse_html(e, [*DOC, "url", "news", "content", "client"], "_body")
+
+
+def html_units(nodes: DataFrame) -> DataFrame:
+    """(pair_id, side, kind, pos, unit): 'link' units are href TAB text
+    (BLK-02/03, SC-01), 'source' units the cleaned source (DIF-07, BLK-05..07)."""
+    n = nodes.where(F.col("content"))
+    url, news = F.col("url"), F.col("news")
+    links = bk.links(n.where(~bk.is_stripped(url, news)), url).select(
+        *DOC, F.lit("link").alias("kind"), "pos", F.concat("href", F.lit("\t"), "text").alias("unit"))
+    source = n.where(bk.is_source(url, news)).select(
+        *DOC, F.lit("source").alias("kind"), "pos", bk.source_unit(url).alias("unit")).where(F.col("unit") != "")
+    return links.unionByName(source)
+
+
+def html_text_units(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """BLK-14: text units taken from the HTML itself.
 
-    Per end: content blocks (BLK-05) without boilerplate (BLK-07/12); when
-    both ends of a pair have a main content area (BLK-09) only those blocks
-    are diffed and ``readable`` is 'fallback-yes' / 'fallback-no' (BLK-10),
-    else the whole page ('no').  Returns (units, per-pair flags)."""
-    from changelens.operators import blocks as bk
-
-    docs = e_html.select(F.concat_ws(":", F.col("pair_id").cast("string"), "side").alias("_d"),
-                         "pair_id", "side", "_body")
-    ids = docs.select("_d", "pair_id", "side").withColumn("doc", F.xxhash64("_d"))
-    nodes = bk.parse_html(docs.withColumn("doc", F.xxhash64("_d")), "doc", "_body")
-    blocks = bk.strip_blocks(bk.content_blocks(nodes))
-    main = bk.main_content(blocks, nodes)
-    found = main.groupBy("doc").agg(F.max("found_content_area").alias("found"))
-    rd = bk.readable(main)
-    per_end = ids.join(found, "doc", "left").join(rd, "doc", "left")
-    flags = per_end.groupBy("pair_id").agg(
-        F.min(F.coalesce(F.col("found"), F.lit(False))).alias("found_content_area"),
-        F.min(F.coalesce(F.col("readable"), F.lit(False))).alias("_both_readable"))
-    flags = flags.select("pair_id", "found_content_area",
-                         F.when(~F.col("found_content_area"), F.lit("no"))
-                         .when(F.col("_both_readable"), F.lit("fallback-yes"))
-                         .otherwise(F.lit("fallback-no")).alias("readable"))
-    use_main = flags.select("pair_id", F.col("found_content_area").alias("_main"))
-    tagged_main = main.select("doc", "pos", "text").withColumn("_m", F.lit(True))
-    tagged_all = blocks.select("doc", "pos", "text").withColumn("_m", F.lit(False))
-    chosen = (tagged_main.unionByName(tagged_all).join(ids, "doc").join(use_main, "pair_id")
-              .where(F.col("_m") == F.col("_main")))
-    units = chosen.select("pair_id", "side", "pos", F.trim(tx.normalize_text(F.col("text"))).alias("unit")) \
-        .where(F.col("unit") != "")
+    Per end: content blocks (BLK-05) without boilerplate (BLK-07).  When both
+    ends have a content area (BLK-09) only its blocks are diffed: 'yes' when
+    both are also readerable (BLK-11; invisible blocks are left out then),
+    else 'fallback-yes' / 'fallback-no' (BLK-10); otherwise the whole page
+    ('no').  Returns (units, per-pair flags)."""
+    url, news = F.col("url"), F.col("news")
+    n = nodes.where(F.col("content"))
+    kept = n.where(~bk.is_stripped(url, news) & ~bk.inside("script", "style", "link"))
+    docs = n.where(F.col("kind") == "doc").select(*DOC, "url")
+    bounds = bk.main_bounds(kept.where(F.col("kind").isin("element", "comment", "text", "doc")), DOC)
+    blocks = bk.content_blocks(kept)
+    choice = bk.text_choice(bk.main_content(blocks, bounds, DOC), n, bounds, docs, DOC, url)
+    flags = choice.groupBy("pair_id").agg(*[F.min(c).alias(c) for c in ("found", "readable", "readerable")]).select(
+        "pair_id", F.col("found").alias("found_content_area"),
+        F.when(~F.col("found"), F.lit("no")).when(F.col("readerable"), F.lit("yes"))
+        .when(F.col("readable"), F.lit("fallback-yes")).otherwise(F.lit("fallback-no")).alias("readable"))
+    p = F.col("pos")
+    in_main = (p > F.col("after")) & (p < F.col("until")) & (
+        F.col("main_pos").isNull() | p.between(F.col("main_pos"), F.col("main_last")))
+    shown = ~F.col("hidden") & ~F.col("path").rlike(bk.READABLE_HIDE_RE)
+    units = (blocks.join(bounds.drop("found"), DOC).join(flags, "pair_id")
+             .where((F.col("readable") == "no") | (in_main & ((F.col("readable") != "yes") | shown)))
+             .select(*DOC, "pos", F.trim(tx.normalize_text(F.col("text"))).alias("unit")).where(F.col("unit") != ""))
     return units, flags
 
 
@@ -137,8 +131,9 @@ def link_metrics(labelled: DataFrame, pairs: DataFrame, key: str = "page_id") ->
         F.col(key).alias("pair_id"),
         U.normalize_url(F.col("a.url"), F.col("a.url")).alias("_sa"),
         U.normalize_url(F.col("b.url"), F.col("b.url")).alias("_sb"))
+    href = F.substring_index("unit", "\t", 1)
     removed_self = (labelled.where(F.col("op") == -1).join(selfs, "pair_id")
-                    .where((F.col("unit") == F.col("_sa")) | (F.col("unit") == F.col("_sb")))
+                    .where((href == F.col("_sa")) | (href == F.col("_sb")))
                     .select("pair_id").distinct().withColumn("removed_self_link", F.lit(True)))
     return count_metrics(labelled).join(removed_self, "pair_id", "left").select(
         "pair_id", "diff_hash", "diff_length", "diff_ratio",
@@ -198,20 +193,22 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
     ``html_ref`` (both may be the same table keyed by version id).
     """
     kind, msg = G.gate(F.col("n_versions"))
-    pg = pages.select(F.col(key), F.col("url").alias("page_url"))
+    page_status = F.col("status") if "status" in pages.columns else F.lit(None)
+    pg = pages.select(F.col(key), F.col("url").alias("page_url"), page_status.cast("int").alias("page_status"))
     p = (pairs.join(pg, key, "left")
          .withColumn("error_kind", kind).withColumn("error", msg)
          .withColumn("content", G.is_content_analyzable(F.coalesce(F.col("page_url"), F.col("b.url")))))
     ok = p.where(F.col("error_kind").isNull())
     e = ends(ok.select(key, "a", "b", "content"), key)
 
-    # HTML bodies, read once: links, source lines and client redirects.
-    e_html = _join_body(e, html_bodies, html_ref, html_key, html_col)
-    hu = stage(html_units(e_html, F.col("content")), "html_units")
-    client = hu.where(F.col("kind") == "client").groupBy("pair_id").agg(
-        F.max(F.when(F.col("side") == "a", F.col("unit"))).alias("a_client"),
-        F.max(F.when(F.col("side") == "b", F.col("unit"))).alias("b_client"))
-    hl = stage(dif.label_units(hu.where(F.col("kind") != "client"), ("pair_id", "kind")), "html_labelled")
+    # HTML bodies, read and parsed once: links, source, text blocks, client redirects.
+    nodes = stage(html_nodes(_join_body(e, html_bodies, html_ref, html_key, html_col)), "html_nodes")
+    read = nodes.where(F.col("kind") == "doc")
+    client = read.groupBy("pair_id").agg(
+        F.max(F.when(F.col("side") == "a", F.col("client"))).alias("a_client"),
+        F.max(F.when(F.col("side") == "b", F.col("client"))).alias("b_client"),
+        F.count("*").alias("_ends"))
+    hl = stage(dif.label_units(html_units(nodes), ("pair_id", "kind")), "html_labelled")
     links = link_metrics(hl.where(F.col("kind") == "link"), ok, key)
     source = source_metrics(hl.where(F.col("kind") == "source"))
 
@@ -220,7 +217,7 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
         e_text = _join_body(e.where("content"), text_bodies, text_ref, text_key, text_col)
         tu, text_flags = text_units(e_text), None
     else:
-        tu, text_flags = html_text_units(e_html.where("content"))
+        tu, text_flags = html_text_units(nodes)
     labelled = stage(dif.label_units(tu), "text_labelled")
     text = dif.text_metrics(labelled)
     if text_flags is not None:
@@ -277,10 +274,15 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
                          t(key).cast("string"), t("a.version_id").cast("string"), t("b.version_id").cast("string"))
     analysis = F.struct(
         prio.alias("priority"), t("n_versions").alias("versions"), home.alias("root_page"),
-        t("b.status").alias("status"), st_changed.alias("status_changed"),
+        F.coalesce(t("page_status"), t("b.status")).alias("status"), st_changed.alias("status_changed"),
         t("status_a"), t("status_b"), vu.alias("view_url"),
         t("links"), t("source"), t("text"), t("redirect"))
-    done = j.select(key, "n_versions", "a", "b", "error_kind", "error", analysis.alias("analysis"))
+    # PRI-02: a pair with an end whose body is missing or unreadable failed.
+    whole = F.coalesce(t("_ends"), F.lit(0)) == 2
+    done = j.select(
+        key, "n_versions", "a", "b", F.when(~whole, F.lit("failed")).alias("error_kind"),
+        F.when(~whole, F.lit("A capture's body is missing or cannot be read")).alias("error"),
+        F.when(whole, analysis).alias("analysis"))
     failed = p.where(F.col("error_kind").isNotNull()).select(
         key, "n_versions", "a", "b", "error_kind", "error",
         F.lit(None).cast(done.schema["analysis"].dataType).alias("analysis"))

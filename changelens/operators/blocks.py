@@ -1,169 +1,202 @@
 """HTML structure: one parse job, then relational rules (BLK-01..14).
 
-``parse_html`` is the only Python step: a ``mapInPandas`` generator over
-Arrow batches that runs the standard library's ``html.parser`` on each body
-and emits flat rows - text blocks, comments and links - each with its chain
-of ancestor elements.  Everything after it (dropping script/style, strip
-rules, landmarks, readability scores) is Column expressions, aggregates and
+``parse_html`` is the only Python step: a ``mapInPandas`` generator that runs
+the standard library's ``html.parser`` over each body and emits flat rows -
+elements, text, comments and links - in document order.  Everything after it
+(strip rules, landmarks, readability) is Column expressions, aggregates and
 joins over that table.
+
+A row's place in the tree is two things: ``pos``/``last``, the interval of
+row numbers an element covers, and ``path``, its chain of elements as text:
+``/tag:eid#id| class class `` for each one, ``eid`` being the element's own
+``pos``; ids and classes in lower case with ``-`` as ``_``.  So "inside an
+element that matches a rule" is one regular expression on ``path``.
+
+``keys`` names the columns that identify a document, of any type.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ANC = T.StructType([
-    T.StructField("eid", T.IntegerType()),
-    T.StructField("tag", T.StringType()),
-    T.StructField("id", T.StringType()),
-    T.StructField("cls", T.StringType()),
-    T.StructField("role", T.StringType()),
-    T.StructField("hidden", T.BooleanType()),
-])
-NODE_SCHEMA = T.StructType([
-    T.StructField("doc", T.LongType()),
+from changelens.functions import text as tx
+from changelens.functions import urls as U
+
+NODE_FIELDS = [
     T.StructField("pos", T.IntegerType()),
-    T.StructField("kind", T.StringType()),      # text | comment | link | media | element
+    T.StructField("last", T.IntegerType()),
+    T.StructField("kind", T.StringType()),      # doc | element | text | comment | link | error
+    T.StructField("tag", T.StringType()),       # own element, or the one around text and comments
     T.StructField("text", T.StringType()),
-    T.StructField("href", T.StringType()),
+    T.StructField("href", T.StringType()),      # href of links and base, src of media
     T.StructField("aria_controls", T.StringType()),
-    T.StructField("anc", T.ArrayType(ANC)),
-])
+    T.StructField("attrs", T.StringType()),     # other attributes of an element, by name
+    T.StructField("path", T.StringType()),
+    T.StructField("hidden", T.BooleanType()),   # BLK-12, of the element or one around it
+    T.StructField("base", T.StringType()),      # BLK-08, first <base href> of the document
+]
 
-# Elements without content, and elements that an opening
-# sibling closes implicitly (the parser does not repair markup).
+# Elements without content, and elements that an opening tag
+# closes implicitly (the parser does not repair markup).
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr"}
-AUTO_CLOSE = {"p": {"p", "div", "ul", "ol", "table", "section", "article", "header", "footer", "nav", "h1", "h2",
-                    "h3", "h4", "h5", "h6", "pre", "form", "aside", "main"},
-              "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
-              "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
-# A <select> with more options than this is dropped before parsing (BLK-13).
+AUTO_CLOSE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"td", "th", "tr"},
+              "td": {"td", "th"}, "th": {"td", "th"}}
+AUTO_CLOSE |= {t: {"p"} for t in ("p", "div", "ul", "ol", "dl", "table", "section", "article", "header", "footer", "nav", "h1", "h2",
+                                  "h3", "h4", "h5", "h6", "pre", "form", "aside", "main", "blockquote", "figure")}
+# Elements that keep such a sibling inside them from being closed.
+SCOPE = {"ul", "ol", "dl", "table", "button", "select", "td", "th", "tr", "caption", "object"}
+# A <select> with more options than this is dropped (BLK-13).
 MAX_SELECT_OPTIONS = 10
+# Documents per output batch of the parser: bounds a task's memory.
+DOCS_PER_BATCH = 200
 
 
 def _hidden(attrs: dict) -> bool:
+    """BLK-12 after BLK-13's un-hide step: the ``hidden`` attribute does not count."""
     style = (attrs.get("style") or "").replace(" ", "").lower()
-    return ("hidden" in attrs or "display:none" in style
+    return ("display:none" in style
             or (attrs.get("aria-hidden") == "true" and "fallback-image" not in (attrs.get("class") or "")))
 
 
+def _name(value: str) -> str:
+    return re.sub(r"[/|#\s]", "", value).lower().replace("-", "_")
+
+
 class _Flattener(HTMLParser):
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.stack: list[dict] = []
-        self.rows: list[tuple] = []
-        self.eid = 0
-        self.link: dict | None = None
+        self.rows: list[dict] = []
+        self.stack: list[dict] = []      # rows of the open elements
+        self.count: dict[str, int] = {}  # open elements by tag
+        self.base: str | None = None
+        self.feed(html)
+        self.close()
+        while self.stack:
+            self._pop()
 
-    def _anc(self):
-        return [(a["eid"], a["tag"], a["id"], a["cls"], a["role"], a["hidden"]) for a in self.stack]
+    def parse_marked_section(self, i, report=1):
+        end = self.rawdata.find(">", i)  # such a section is a comment in HTML
+        return end + 1 if end >= 0 else -1
 
-    def _emit(self, kind, text=None, href=None, aria=None):
-        self.rows.append((len(self.rows), kind, text, href, aria, self._anc()))
+    def _row(self, kind, tag=None, **given):
+        around = self.stack[-1] if self.stack else None
+        row = {"pos": len(self.rows), "last": len(self.rows), "kind": kind, "tag": tag or (around and around["tag"]),
+               "path": around["path"] if around else "", "hidden": bool(around and around["hidden"]), **given}
+        self.rows.append(row)
+        return row
 
     def handle_starttag(self, tag, attrs):
-        a = {k: (v if v is not None else "") for k, v in attrs}
-        closes = AUTO_CLOSE
-        while self.stack and self.stack[-1]["tag"] in closes and tag in closes[self.stack[-1]["tag"]]:
-            self._pop()
-        self.eid += 1
-        node = {"eid": self.eid, "tag": tag, "id": a.get("id"), "cls": a.get("class"), "role": a.get("role"),
-                "hidden": _hidden(a)}
-        if tag in ("img", "source") and a.get("src"):
-            # BLK-04: media URL kept (normalised later), srcset dropped
-            self.stack.append(node)
-            self._emit("media", href=a.get("src"))
-            self.stack.pop()
+        for old in AUTO_CLOSE.get(tag, ()):
+            self._close(old, SCOPE - {old, tag})
+        a = {k: (v if v is not None else "") for k, v in reversed(attrs)}
+        if tag == "base" and self.base is None and a.get("href", "").strip():
+            self.base = a["href"]
+        own = "src" if tag in ("img", "source") else "href" if tag in ("a", "base") else None
+        rest = "".join(f' {k}="{v}"' for k, v in sorted(a.items()) if k != own and k != "srcset")
+        row = self._row("element", tag, href=a.get(own) if own else None, attrs=rest, aria_controls=a.get("aria-controls"))
+        classes = "".join(f"{_name(c)} " for c in a.get("class", "").split())
+        row["path"] += f"/{tag}:{row['pos']}#{_name(a.get('id', ''))}| {classes}"
+        row["hidden"] = row["hidden"] or _hidden(a)
         if tag in VOID:
-            self.stack.append(node)
-            self._emit("element", text=a.get("type"))
-            self.stack.pop()
             return
-        self.stack.append(node)
-        self._emit("element", text=a.get("type"))
         if tag == "a":
-            self.link = {"href": a.get("href"), "aria": a.get("aria-controls"), "text": [],
-                         "anc": self._anc(), "pos": len(self.rows)}
+            link = {**row, "kind": "link", "pos": len(self.rows), "last": len(self.rows), "text": []}
+            self.rows.append(link)
+            row["link"] = link
+        if tag == "option":
+            for r in reversed(self.stack):
+                if r["tag"] == "select":
+                    r["options"] = r.get("options", 0) + 1
+                    break
+        self.stack.append(row)
+        self.count[tag] = self.count.get(tag, 0) + 1
+
+    def _pop(self, closed=False):
+        row = self.stack.pop()
+        tag = row["tag"]
+        self.count[tag] -= 1
+        row["last"] = len(self.rows) - 1
+        if tag == "a":
+            row["link"]["text"] = " ".join("".join(row["link"]["text"]).split())
+        if tag == "select" and closed and row.get("options", 0) > MAX_SELECT_OPTIONS:
+            del self.rows[row["pos"]:]
 
-    def _pop(self):
-        node = self.stack.pop()
-        if node["tag"] == "a" and self.link is not None:
-            self.rows.append((len(self.rows), "link", " ".join(" ".join(self.link["text"]).split()),
-                              self.link["href"], self.link["aria"], self.link["anc"]))
-            self.link = None
+    def _close(self, tag, stop=frozenset()):
+        """Close the innermost open ``tag`` and all inside it, unless an element of ``stop`` is in between."""
+        if not self.count.get(tag):
+            return
+        for at in range(len(self.stack) - 1, -1, -1):
+            if self.stack[at]["tag"] == tag:
+                while len(self.stack) > at:
+                    self._pop(closed=len(self.stack) == at + 1)
+                return
+            if self.stack[at]["tag"] in stop:
+                return
 
     def handle_endtag(self, tag):
-        if not any(n["tag"] == tag for n in self.stack):
-            return
-        while self.stack:
-            top = self.stack[-1]["tag"]
-            self._pop()
-            if top == tag:
-                break
+        self._close(tag)
 
     def handle_data(self, data):
         if data.strip():
-            self._emit("text", text=data)
-            if self.link is not None:
-                self.link["text"].append(data)
+            self._row("text", text=data)
+            if self.count.get("a"):
+                for r in reversed(self.stack):
+                    if r["tag"] == "a":
+                        r["link"]["text"].append(data)
+                        break
 
     def handle_comment(self, data):
-        self._emit("comment", text=data)
-
-    def close(self):
-        super().close()
-        while self.stack:
-            self._pop()
+        self._row("comment", text=data)
 
 
 def _flatten(html: str | None) -> list[tuple]:
-    if not html:
-        return []
-    p = _Flattener()
+    """Rows of one body after a ``doc`` row for the body itself.  A body that
+    is missing or cannot be parsed is one ``error`` row instead, so that it
+    fails as a whole and does not pass for a shorter page."""
+    names = [f.name for f in NODE_FIELDS]
+    doc = {"pos": -1, "last": -1, "kind": "doc", "path": "", "hidden": False}
     try:
-        p.feed(html)
-        p.close()
-    except Exception:  # malformed markup: keep what was parsed
-        pass
-    return p.rows
-
+        if html is None:
+            raise ValueError("no body")
+        p = _Flattener(html)
+    except (AssertionError, ValueError) as e:
+        return [tuple({**doc, "kind": "error", "text": f"{type(e).__name__}: {e}"}.get(n) for n in names)]
+    return [tuple({**r, "base": p.base}.get(n) for n in names) for r in (doc, *p.rows)]
 
-def _parse_batches(it):
-    cols = [f.name for f in NODE_SCHEMA.fields]
-    for pdf in it:
-        out = []
-        for doc, html in zip(pdf["doc"], pdf["html"]):
-            for row in _flatten(html):
-                out.append((int(doc), *row))
-        yield pd.DataFrame(out, columns=cols) if out else pd.DataFrame({c: [] for c in cols})
 
+def parse_html(bodies: DataFrame, keys: str | list[str], html_col: str = "html") -> DataFrame:
+    """BLK-01: the node rows of every body, with the columns ``keys`` as they are."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    schema = T.StructType([bodies.schema[k] for k in keys] + NODE_FIELDS)
+    cols = schema.fieldNames()
 
-def drop_big_selects(html: Column, max_options: int = MAX_SELECT_OPTIONS) -> Column:
-    """BLK-13 pre-clean: remove <select> elements with more than N options."""
-    pattern = r"(?is)<select\b[^>]*>(?:(?!</select>).)*?(?:<option\b(?:(?!</select>).)*?){" + str(max_options + 1) + r",}</select>"
-    return F.regexp_replace(html, pattern, "")
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for at in range(0, len(pdf), DOCS_PER_BATCH):
+                part = pdf.iloc[at:at + DOCS_PER_BATCH]
+                out = [(*k, *row) for *k, html in part.itertuples(index=False, name=None) for row in _flatten(html)]
+                yield pd.DataFrame(out, columns=cols) if out else pd.DataFrame({c: [] for c in cols})
 
-
-def parse_html(bodies: DataFrame, key: str, html_col: str) -> DataFrame:
-    """BLK-01: (doc, pos, kind, text, href, aria_controls, anc) for every body."""
-    src = bodies.select(F.col(key).cast("long").alias("doc"), drop_big_selects(F.col(html_col)).alias("html"))
-    return src.mapInPandas(_parse_batches, NODE_SCHEMA)
+    return bodies.select(*keys, F.col(html_col).alias("_html")).mapInPandas(batches, schema)
 
 
 # ------------------------------------------------------------------ rules
-def norm_token(c: Column) -> Column:
-    """Class/id comparison form: lower-case, '-' -> '_'."""
-    return F.replace(F.lower(F.coalesce(c, F.lit(""))), F.lit("-"), F.lit("_"))
+def inside(*tags: str) -> Column:
+    """The row is in (or is) an element of one of these tags."""
+    return F.col("path").rlike("/(" + "|".join(tags) + "):")
 
 
-def in_any(tags: list[str]) -> Column:
-    return F.exists("anc", lambda a: a["tag"].isin(*tags))
+def _parent() -> Column:
+    """``/tag:eid#id| classes `` of the element right around a text row, or of an element row itself."""
+    return F.regexp_extract("path", r"/[^/]*$", 0)
 
 
 NON_CONTENT_TAGS = ["script", "style", "link", "noscript", "template"]
@@ -171,178 +204,255 @@ NON_CONTENT_TAGS = ["script", "style", "link", "noscript", "template"]
 
 def content_blocks(nodes: DataFrame) -> DataFrame:
     """BLK-05: text blocks outside script, style, link, noscript, template."""
-    return nodes.where((F.col("kind") == "text") & ~in_any(NON_CONTENT_TAGS))
-
-
-# Default boilerplate rules (rule_id, tag, id_has, class_token,
-# class_has, within_tag, host_has, not_on_news).  Callers may pass their own.
-DEFAULT_STRIP_RULES = [
-    ("share", None, "share", None, "share", None, None, False),
-    ("social", None, "social", None, "social", None, None, False),
-    ("feed", None, None, None, "feed", None, None, False),
-    ("teaser", None, None, None, "teaser", None, None, False),
-    ("related", None, None, None, "related", None, None, True),
-    ("ad", None, None, "ad", None, None, None, False),
-    ("icon", "i", None, None, None, None, None, False),
-    ("svg", "svg", None, None, None, None, None, False),
-    ("hidden_input", "input", None, None, None, None, None, False),
+    return nodes.where((F.col("kind") == "text") & ~inside(*NON_CONTENT_TAGS))
+
+
+def rule(classes: str = "", has: str = "", id: str = "", id_has: str = "", tag: str = "", within: str = "") -> str:
+    """Pattern on ``path`` of one strip rule: an element with all of
+    ``classes``, a class that contains ``has``, this ``id`` (or one that
+    contains ``id_has``), this ``tag``, somewhere inside a ``within`` element."""
+    own_id = id or (f"[^|/]*{id_has}[^|/]*" if id_has else r"[^|/]*")
+    looks = "".join(f"(?=[^/]* {c} )" for c in classes.split()) + (rf"(?=[^/]*\|[^/]*{has})" if has else "")
+    return (f"/{within}:.*" if within else "") + f"/{tag or '[^/:]+'}:{looks}\\d+#{own_id}\\|"
+
+
+# Elements that are no part of a page's own content.  Ids and
+# classes are compared in lower case with "-" as "_".
+STRIP_ALWAYS = [
+    rule("follow_links"), rule("social_links"),
+    rule(id_has="social"), rule(id_has="share"), rule(id_has="sharing"),
+    rule(has="social"), rule(has="share"), rule(has="sharing"),
+    rule(has="twitter_feed"), rule(has="tweet_feed"),
+    rule("carousel_teaser"), rule("multimedia_teaser"), rule("fa", tag="i"),
+]
+STRIP_UNLESS_NEWS = [
+    rule("news_section"), rule("news_content"), rule("box news"), rule("box related_info"),
+    rule("pane news"), rule("pane related_info"), rule("panel news"), rule("panel related_info"),
+    rule("panel_pane news"), rule("panel_pane related_info"), rule(has="pane_news"), rule("news_feed"),
+    rule("home_news_feed"), rule(has="pane_blog"), rule("whats_new"), rule("press_room"), rule(id="nav_news"),
+    rule("news", within="nav"), rule("news_teaser_list"), rule("nrcc_webinar_content", within="nav"),
+    rule(id_has="blog_content", within="nav"), rule(has="blog_content", within="nav"),
+    rule(has="pane_related_content"), rule(has="panel_related_content"), rule(has="related_content_pane"),
 ]
+STRIP_ON_HOST = {
+    "defense.gov/": [rule("dgov_carousel_explore")], "globalchange.gov/": [rule(has="related_reports", within="aside")],
+    "fema.gov/": [rule(has="blockfeed_on_disaster_pages")], "epa.gov/": [rule(has="epa_banner")],
+}
 
 
-def rule_match(rule: tuple, is_news: Column, host: Column) -> Column:
-    """One strip rule as an ``exists(anc, ...)`` predicate."""
-    rid, tag, id_has, class_token, class_has, within_tag, host_has, not_on_news = rule
-
-    def on(a):
-        c = F.lit(True)
-        if tag:
-            c = c & (a["tag"] == tag)
-        if id_has:
-            c = c & norm_token(a["id"]).contains(id_has.replace("-", "_"))
-        if class_token:
-            c = c & F.array_contains(F.split(norm_token(a["cls"]), r"\s+"), class_token.replace("-", "_"))
-        if class_has:
-            c = c & norm_token(a["cls"]).contains(class_has.replace("-", "_"))
-        return c
-    m = F.exists("anc", on)
-    if within_tag:
-        m = m & in_any([within_tag])
-    if host_has:
-        m = m & F.coalesce(host.contains(host_has), F.lit(False))
-    if not_on_news:
-        m = m & ~is_news
-    return m
-
-
-def strip_blocks(blocks: DataFrame, rules: list[tuple] | None = None,
-                 is_news: Column | None = None, host: Column | None = None) -> DataFrame:
-    """BLK-07: drop blocks inside boilerplate (any rule matches an ancestor);
-    BLK-12: drop invisible blocks."""
-    rules = DEFAULT_STRIP_RULES if rules is None else rules
-    is_news = F.lit(False) if is_news is None else is_news
-    host = F.lit("") if host is None else host
-    hit = F.lit(False)
-    for r in rules:
-        hit = hit | rule_match(r, is_news, host)
-    visible = ~F.exists("anc", lambda a: F.coalesce(a["hidden"], F.lit(False)))
-    return blocks.where(~hit & visible)
-
-
-def main_content(blocks: DataFrame, comments: DataFrame | None = None) -> DataFrame:
-    """BLK-09: keep the main content of each document.
-
-    Header end = last block inside ``header``/``role=banner`` (or an "end
-    head" comment); footer start = first block of the last ``footer`` /
-    ``role=contentinfo`` (or a "begin/start foot" comment); the first ``nav``
-    is dropped; if a ``main``/``role=main``/``#main`` (or a single
-    ``article``) exists only it is kept.  ``found_content_area`` = some
-    landmark was found.  Documents with no landmark keep every block."""
-    b = blocks
-    in_header = F.exists("anc", lambda a: (a["tag"] == "header") | (F.lower(a["role"]) == "banner"))
-    in_footer = F.exists("anc", lambda a: (a["tag"] == "footer") | (F.lower(a["role"]) == "contentinfo"))
-    in_main = F.exists("anc", lambda a: (a["tag"] == "main") | (F.lower(a["role"]) == "main") | (F.lower(a["id"]) == "main"))
-    article = F.try_element_at(F.filter("anc", lambda a: a["tag"] == "article"), F.lit(1))["eid"]
-    nav = F.try_element_at(F.filter("anc", lambda a: a["tag"] == "nav"), F.lit(1))["eid"]
-    footer_eid = F.try_element_at(F.filter("anc", lambda a: (a["tag"] == "footer") | (F.lower(a["role"]) == "contentinfo")), F.lit(1))["eid"]
-    x = b.select("*", in_header.alias("_h"), in_footer.alias("_f"), in_main.alias("_m"),
-                 article.alias("_art"), nav.alias("_nav"), footer_eid.alias("_feid"))
-    agg = x.groupBy("doc").agg(
-        F.max(F.when(F.col("_h"), F.col("pos"))).alias("_hend"),
-        F.max("_feid").alias("_last_footer"),
-        F.count(F.when(F.col("_m"), 1)).alias("_nmain"),
-        F.count_distinct("_art").alias("_narticles"),
-        F.min("_nav").alias("_first_nav"),
-    )
-    if comments is not None:
-        cm = comments.where(F.col("kind") == "comment").groupBy("doc").agg(
-            F.max(F.when(F.lower("text").rlike(r"end\s*head"), F.col("pos"))).alias("_chend"),
-            F.min(F.when(F.lower("text").rlike(r"(begin|start)\s*foot"), F.col("pos"))).alias("_cfstart"))
-        agg = agg.join(cm, "doc", "left")
-    else:
-        agg = agg.select("*", F.lit(None).cast("int").alias("_chend"), F.lit(None).cast("int").alias("_cfstart"))
-    fstart = x.join(agg.select("doc", "_last_footer"), "doc").where(F.col("_feid") == F.col("_last_footer")) \
-        .groupBy("doc").agg(F.min("pos").alias("_fstart"))
-    nav_end = x.join(agg.select("doc", "_first_nav"), "doc").where(F.col("_nav") == F.col("_first_nav")) \
-        .groupBy("doc").agg(F.max("pos").alias("_navend"))
-    bounds = agg.join(fstart, "doc", "left").join(nav_end, "doc", "left").select(
-        "doc",
-        F.coalesce("_hend", "_chend").alias("head_end"),
-        F.coalesce("_fstart", "_cfstart").alias("foot_start"),
-        "_navend", "_nmain", "_narticles",
+def _any(rules: list[str]) -> Column:
+    return F.col("path").rlike("|".join(f"(?:{r})" for r in rules))
+
+
+def is_stripped(url: Column, is_news: Column) -> Column:
+    """BLK-07: the row is inside boilerplate of a page at ``url``."""
+    hit = _any(STRIP_ALWAYS) | (~is_news & _any(STRIP_UNLESS_NEWS))
+    for host, rules in STRIP_ON_HOST.items():
+        hit = hit | (F.coalesce(url, F.lit("")).contains(host) & _any(rules))
+    return hit
+
+
+def strip_blocks(blocks: DataFrame, url: Column | None = None, is_news: Column | None = None) -> DataFrame:
+    """BLK-07: drop rows inside boilerplate."""
+    return blocks.where(~is_stripped(F.lit("") if url is None else url, F.lit(False) if is_news is None else is_news))
+
+
+# Fixed value: classes that readability never shows (BLK-13).
+READABLE_HIDE_RE = r"\|[^/]*(teaser|related)"
+
+
+def visible_blocks(blocks: DataFrame) -> DataFrame:
+    """BLK-12/13: drop invisible blocks and teaser/related classes (readable text only)."""
+    return blocks.where(~F.col("hidden") & ~F.col("path").rlike(READABLE_HIDE_RE))
+
+
+# ------------------------------------------------------------------ links, media, source
+def fix_accordion_links(links: DataFrame) -> DataFrame:
+    """BLK-03: ARIA-control links without a real target become '#'."""
+    h = F.coalesce(F.col("href"), F.lit(""))
+    dead = (F.coalesce(F.col("aria_controls"), F.lit("")) != "") & (
+        (h == "") | h.startswith("#") | h.startswith("javascript:"))
+    return links.withColumn("href", F.when(dead, F.lit("#")).otherwise(F.col("href")))
+
+
+def base_of(url: Column) -> Column:
+    """BLK-08: what a document's URLs resolve against."""
+    return F.when(F.col("base").isNotNull(), U.absolute_url(url, F.col("base"))).otherwise(url)
+
+
+def links(nodes: DataFrame, url: Column) -> DataFrame:
+    """BLK-02/03: the ``<a href>`` of every document: normalised ``href`` and ``text`` (SC-01, SC-06)."""
+    a = fix_accordion_links(nodes.where(F.col("kind") == "link")).where(F.col("href").isNotNull())
+    href = F.when(F.trim("href") == "", F.col("href")).otherwise(U.normalize_url(F.col("href"), base_of(url)))
+    return a.withColumn("href", href).withColumn("text", F.trim(tx.normalize_text(F.col("text"))))
+
+
+def media_urls(nodes: DataFrame, url: Column) -> DataFrame:
+    """BLK-04: normalised ``src`` of images and sources (``srcset`` is never read)."""
+    return nodes.where((F.col("kind") == "element") & F.col("tag").isin("img", "source") & (F.coalesce("href", F.lit("")) != "")
+                       ).withColumn("src", U.normalize_url(F.col("href"), base_of(url)))
+
+
+def is_source(url: Column, is_news: Column) -> Column:
+    """BLK-05/06/07: the row belongs to the cleaned source: no script, style,
+    link and meta (but for charset), no hidden or postback fields, no boilerplate."""
+    attrs = F.coalesce(F.col("attrs"), F.lit(""))
+    postback = (F.col("tag") == "input") & (attrs.contains(' type="hidden"') | attrs.contains(' name="__'))
+    meta = (F.col("tag") == "meta") & ~attrs.contains(' charset="')
+    return (F.col("kind").isin("element", "text", "comment") & ~inside("script", "style", "link") & ~postback & ~meta
+            & ~is_stripped(url, is_news))
+
+
+def source_unit(url: Column) -> Column:
+    """One unit of cleaned source: a start tag with normalised URLs, a
+    normalised text or a comment; empty text is ''."""
+    named = F.when(F.col("tag").isin("img", "source"), F.lit("src")).otherwise(F.lit("href"))
+    target = F.when(F.coalesce("href", F.lit("")) == "", F.lit("")).otherwise(
+        F.concat(F.lit(" "), named, F.lit('="'), U.normalize_url(F.col("href"), base_of(url)), F.lit('"')))
+    return (F.when(F.col("kind") == "element", F.concat(F.lit("<"), "tag", target, F.coalesce("attrs", F.lit("")), F.lit(">")))
+            .when(F.col("kind") == "comment", F.concat(F.lit("<!--"), F.trim("text"), F.lit("-->")))
+            .otherwise(F.trim(tx.normalize_text(F.col("text")))))
+
+
+# ------------------------------------------------------------------ main content
+def main_bounds(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """BLK-09, per document and in one aggregate: ``found`` (there is a
+    content area), the rows ``after`` < pos < ``until`` that are left when
+    all up to the header's end, from the footer on and up to the end of the
+    first nav is gone, and the main element's rows ``main_pos``..``main_last``."""
+    el, note = F.col("kind") == "element", F.lower(F.col("text"))
+    role = F.regexp_extract("attrs", r' role="([^"]*)"', 1)
+    span = F.struct("pos", "last")
+    in_head = inside("head") | F.col("tag").isin("html", "head", "body", "title", "meta", "link", "base")
+    comment = F.col("kind") == "comment"
+
+    def first(cond):
+        return F.min(F.when(cond, span))
+
+    g = nodes.groupBy(*keys).agg(
+        F.coalesce(first(el & (role == "banner")), first(el & (F.col("tag") == "header")),
+                   first(comment & (note.contains("end head") | note.contains("/head")))).alias("head"),
+        F.coalesce(first(el & (role == "contentinfo")), F.max(F.when(el & (F.col("tag") == "footer"), span)),
+                   first(comment & (note.contains("begin foot") | note.contains("start foot")))).alias("foot"),
+        F.coalesce(first(el & (F.col("tag") == "main")), first(el & (role == "main")),
+                   first(el & F.col("path").rlike(r"/[^/]*#main\|[^/]*$")),
+                   F.when(F.count(F.when(el & (F.col("tag") == "article"), 1)) == 1,
+                          F.max(F.when(el & (F.col("tag") == "article"), span)))).alias("main"),
+        F.coalesce(first(el & (F.col("tag") == "nav")), first(el & (role == "navigation"))).alias("nav"),
+        F.count(F.when(el & ~in_head, 1)).alias("elements"),
+        F.count(F.when((F.col("kind") == "text") & ~inside("head", "title", *NON_CONTENT_TAGS), 1)).alias("texts"),
     )
-    y = x.join(bounds, "doc", "left")
-    has_landmark = (F.col("head_end").isNotNull() | F.col("foot_start").isNotNull() | (F.col("_nmain") > 0)
-                    | (F.col("_narticles") == 1))
-    keep = ((F.col("head_end").isNull() | (F.col("pos") > F.col("head_end")))
-            & (F.col("foot_start").isNull() | (F.col("pos") < F.col("foot_start")))
-            & (F.col("_navend").isNull() | (F.col("pos") > F.col("_navend")))
-            & F.when(F.col("_nmain") > 0, F.col("_m"))
-            .when(F.col("_narticles") == 1, F.col("_art").isNotNull()).otherwise(F.lit(True)))
-    out = y.where(~has_landmark | keep).withColumn("found_content_area", has_landmark)
-    return out.drop("_h", "_f", "_m", "_art", "_nav", "_feid", "_navend", "_nmain", "_narticles")
+    plain = (F.col("elements") == 0) | (F.col("texts") == 0)
+    nav_counts = F.col("foot").isNull() | (F.col("nav.pos") < F.col("foot.pos"))
+    after = F.greatest(F.coalesce("head.last", F.lit(-1)), F.when(nav_counts, F.col("nav.last")), F.lit(-1))
+    found = plain | F.col("head").isNotNull() | F.col("foot").isNotNull() | F.col("main").isNotNull()
+    cut = found & ~plain
+    return g.select(
+        *keys, found.alias("found"),
+        F.when(cut, after).otherwise(-1).alias("after"),
+        F.when(cut & F.col("foot").isNotNull(), F.col("foot.pos")).otherwise(F.lit(2147483647)).alias("until"),
+        F.when(cut, F.col("main.pos")).alias("main_pos"), F.when(cut, F.col("main.last")).alias("main_last"))
+
+
+def main_content(blocks: DataFrame, bounds: DataFrame, keys: list[str]) -> DataFrame:
+    """BLK-09: the blocks of each document's content area, all of them where none was found."""
+    p = F.col("pos")
+    in_main = F.col("main_pos").isNull() | p.between(F.col("main_pos"), F.col("main_last"))
+    return blocks.join(bounds, keys).where((p > F.col("after")) & (p < F.col("until")) & in_main)
 
 
 # Fixed values of the readability checks.
-READABLE_DROP_TAGS = ["aside", "nav", "table", "h1", "h2", "h3", "h4", "h5", "h6", "label", "figcaption",
-                      "button", "select", "form"]
-READABLE_DROP_CLASSES = ["banner", "aside", "header"]
+READABLE_DROP_TAGS = ["aside", "nav", "table", "dl", "label", "fieldset", "noscript", "template", "header", "footer",
+                      "h1", "h2", "h3", "h4", "h5", "h6"]
+READABLE_DROP_CLASS_RE = r"\|[^/]*(banner|aside|header)"
 READABLE_MIN_CHARS = 500
 LI_MIN = 200
 DIV_MIN = 125
-READERABLE_TAGS = ["p", "pre", "article"]
 READERABLE_MIN_LEN = 140
 READERABLE_MIN_SCORE = 20.0
 UNLIKELY_RE = r"-ad-|ai2html|banner|breadcrumbs|combx|comment|community|cover-wrap|disqus|extra|footer|gdpr|header|legends|menu|related|remark|replies|rss|shoutbox|sidebar|skyscraper|social|sponsor|supplemental|ad-break|agegate|pagination|pager|popup|yom-remote"
 LIKELY_RE = r"and|article|body|column|content|main|shadow"
 
 
-def readable(main: DataFrame) -> DataFrame:
-    """BLK-10 per doc: normalised text left after dropping asides, nav,
-    tables, headings, labels, banner/aside/header classes, short ``li``
-    (< 200 chars) and ``div`` (< 125 chars) blocks is longer than 500."""
-    drop_cls = F.exists("anc", lambda a: F.lower(F.coalesce(a["cls"], F.lit(""))).rlike("|".join(READABLE_DROP_CLASSES)))
-    t = F.trim(F.regexp_replace("text", r"\s+", " "))
-    parent = F.element_at("anc", -1)["tag"]
-    short = ((parent == "li") & (F.length(t) < LI_MIN)) | ((parent == "div") & (F.length(t) < DIV_MIN))
-    kept = main.where(~in_any(READABLE_DROP_TAGS) & ~drop_cls & ~short)
-    return (main.select("doc").distinct()
-            .join(kept.groupBy("doc").agg(F.sum(F.length(t)).alias("chars")), "doc", "left")
-            .select("doc", F.coalesce("chars", F.lit(0)).cast("bigint").alias("readable_chars"),
-                    (F.coalesce("chars", F.lit(0)) > READABLE_MIN_CHARS).alias("readable")))
-
-
-def readerable(blocks: DataFrame) -> DataFrame:
-    """BLK-11 per doc: candidate nodes are ``p``, ``pre``, ``article``
-    (not ``li p``), visible, not unlikely by class/id unless also likely;
-    score = sum(sqrt(len - 140)) over nodes with >= 140 chars; readerable
-    when > 20.  Node text = all descendant text blocks."""
-    x = blocks.select("doc", F.length(F.trim(F.regexp_replace("text", r"\s+", " "))).alias("len"),
-                      F.posexplode("anc").alias("depth", "a"), "anc")
-    cand = x.where(F.col("a.tag").isin(*READERABLE_TAGS))
-    ident = F.lower(F.concat_ws(" ", F.col("a.cls"), F.col("a.id")))
-    unlikely = ident.rlike(UNLIKELY_RE) & ~ident.rlike(LIKELY_RE)
-    in_li = F.exists(F.slice("anc", 1, F.col("depth")), lambda b: b["tag"] == "li") & (F.col("a.tag") == "p")
-    hidden = F.exists(F.slice("anc", 1, F.col("depth") + 1), lambda b: F.coalesce(b["hidden"], F.lit(False)))
-    nodes = (cand.where(~unlikely & ~in_li & ~hidden)
-             .groupBy("doc", F.col("a.eid").alias("eid")).agg(F.sum("len").alias("len")))
-    score = (nodes.where(F.col("len") >= READERABLE_MIN_LEN)
-             .groupBy("doc").agg(F.sum(F.sqrt(F.col("len") - READERABLE_MIN_LEN)).alias("score")))
-    return (blocks.select("doc").distinct().join(score, "doc", "left")
-            .select("doc", F.coalesce("score", F.lit(0.0)).alias("score"),
-                    (F.coalesce("score", F.lit(0.0)) > READERABLE_MIN_SCORE).alias("readerable")))
-
-
-def fix_accordion_links(links: DataFrame) -> DataFrame:
-    """BLK-03: ARIA-control links without a real target become '#'."""
-    h = F.coalesce(F.trim("href"), F.lit(""))
-    dead = F.col("aria_controls").isNotNull() & ((h == "") | h.startswith("#") | F.lower(h).startswith("javascript:"))
-    return links.withColumn("href", F.when(dead, F.lit("#")).otherwise(F.col("href")))
-
-
-def media_urls(nodes: DataFrame, page_url: Column) -> DataFrame:
-    """BLK-04: normalised ``src`` of images and sources (``srcset`` is never
-    read)."""
-    from changelens.functions import urls as U
-
-    return nodes.where(F.col("kind") == "media").select(
-        "doc", "pos", U.normalize_url(F.col("href"), page_url).alias("src"))
+def _eids(tags: str) -> Column:
+    """One row for each element of ``tags`` (a pattern) around a row, or that the row is."""
+    return F.explode(F.transform(F.regexp_extract_all("path", F.lit(f"/(?:{tags}):(\\d+)#"), 1), lambda x: x.cast("int")))
+
+
+def _around(blocks: DataFrame, keys: list[str], tags: str, size: Column) -> DataFrame:
+    """(keys, eid, size): total of ``size`` over the blocks inside each element of ``tags`` (a pattern)."""
+    return (blocks.select(*keys, size.alias("_size"), _eids(tags).alias("eid"))
+            .groupBy(*keys, "eid").agg(F.sum("_size").alias("size")))
+
+
+def _without_short(blocks: DataFrame, keys: list[str], tag: str, least: int) -> DataFrame:
+    """Drop the blocks inside elements of ``tag`` with less than ``least`` characters in all.
+    A short element is dropped whole, so only the outermost short one matters."""
+    size = F.length(F.trim(tx.normalize_text(F.col("text"))))
+    short = _around(blocks, keys, tag, size).where(F.col("size") < least).drop("size")
+    hit = (blocks.select(*keys, "pos", _eids(tag).alias("eid"))
+           .join(short, [*keys, "eid"], "left_semi").select(*keys, "pos").distinct())
+    return blocks.join(hit, [*keys, "pos"], "left_anti")
+
+
+def readable(main: DataFrame, docs: DataFrame, keys: list[str]) -> DataFrame:
+    """BLK-10 per document of ``docs``: the main element's normalised text
+    without asides, nav, tables, headings, labels, banner/aside/header
+    classes, short ``li`` (< 200) and then short ``div`` (< 125) is longer than 500."""
+    kept = main.where(F.col("main_pos").isNotNull() & ~inside(*READABLE_DROP_TAGS) & ~F.col("path").rlike(READABLE_DROP_CLASS_RE))
+    kept = _without_short(_without_short(kept, keys, "li", LI_MIN), keys, "div", DIV_MIN)
+    chars = kept.groupBy(*keys).agg(F.sum(F.length(F.trim(tx.normalize_text(F.col("text"))))).alias("chars"))
+    total = F.coalesce("chars", F.lit(0)).cast("bigint")
+    return docs.select(*keys).join(chars, keys, "left").select(
+        *keys, total.alias("readable_chars"), (total > READABLE_MIN_CHARS).alias("readable"))
+
+
+def readerable(nodes: DataFrame, docs: DataFrame, keys: list[str]) -> DataFrame:
+    """BLK-11 per document of ``docs``: candidates are ``p``, ``pre``,
+    ``article``, ``div`` with a ``br`` right inside, and ``li``/``dd`` without
+    ``p`` or ``div`` but with something else than links and lists; visible,
+    not ``li p``, not unlikely by class and id unless also likely; the score
+    is the sum of sqrt(length - 140) of those with 140 characters or more,
+    readerable when > 20."""
+    el = nodes.where(F.col("kind") == "element")
+    up = F.regexp_extract("path", r"/([^/:]+):\d+#[^/]*/[^/]*$", 1)     # of an element row: the one around it
+    up_eid = F.regexp_extract("path", r"/[^/:]+:(\d+)#[^/]*/[^/]*$", 1)
+    with_br = el.where((F.col("tag") == "br") & (up == "div")).select(*keys, up_eid.cast("int").alias("eid"))
+    blocky = el.where(F.col("tag").isin("div", "p")).select(*keys, _eids("li|dd").alias("eid")).distinct()
+    of_item = F.regexp_extract("path", r"/(?:li|dd):(\d+)#[^/]*$", 1)       # of a text row
+    of_item_el = F.regexp_extract("path", r"/(?:li|dd):(\d+)#[^/]*/[^/]*$", 1)
+    other = (nodes.where((F.col("kind") == "text") & (of_item != "")).select(*keys, of_item.cast("int").alias("eid"))
+             .unionByName(el.where((of_item_el != "") & ~F.col("tag").isin("a", "ol", "ul", "dl"))
+                          .select(*keys, of_item_el.cast("int").alias("eid"))))
+    item_ids = other.join(blocky, [*keys, "eid"], "left_anti")
+    ids = (el.where(F.col("tag").isin("p", "pre", "article")).select(*keys, F.col("pos").alias("eid"))
+           .unionByName(with_br).unionByName(item_ids).distinct())
+    ident = F.concat_ws(" ", F.regexp_extract("attrs", r' class="([^"]*)"', 1), F.regexp_extract("attrs", r' id="([^"]*)"', 1))
+    likely = ~F.lower(ident).rlike(UNLIKELY_RE) | F.lower(ident).rlike(LIKELY_RE)
+    fit = el.where(likely & ~F.col("hidden") & ~((F.col("tag") == "p") & F.col("path").rlike("/li:.*/p:"))).select(
+        *keys, F.col("pos").alias("eid"))
+    texts = nodes.where(F.col("kind") == "text")
+    sizes = _around(texts, keys, "p|pre|article|div|li|dd", F.length("text"))
+    score = (sizes.where(F.col("size") >= READERABLE_MIN_LEN).join(ids, [*keys, "eid"], "left_semi").join(fit, [*keys, "eid"], "left_semi")
+             .groupBy(*keys).agg(F.sum(F.sqrt(F.col("size") - READERABLE_MIN_LEN)).alias("score")))
+    total = F.coalesce("score", F.lit(0.0))
+    return docs.select(*keys).join(score, keys, "left").select(
+        *keys, total.alias("score"), (total > READERABLE_MIN_SCORE).alias("readerable"))
+
+
+# Fixed value: URLs that never use the readable text (BLK-14).
+SKIP_READABILITY_URLS = ["cdc.gov/"]
+
+
+def text_choice(main: DataFrame, nodes: DataFrame, bounds: DataFrame, docs: DataFrame, keys: list[str],
+                url: Column) -> DataFrame:
+    """BLK-14, one document's half: (keys, found, readable, readerable) for every row of ``docs``;
+    a document without any node (an empty body) counts as found and not readable."""
+    skip = F.lit(False)
+    for part in SKIP_READABILITY_URLS:
+        skip = skip | F.coalesce(url, F.lit("")).contains(part)
+    d = docs.select(*keys, skip.alias("_skip"))
+    found = d.join(bounds.select(*keys, "found"), keys, "left")
+    return (found.join(readable(main, docs, keys), keys, "left").join(readerable(nodes, docs, keys), keys, "left")
+            .select(*keys, F.coalesce("found", F.lit(True)).alias("found"), F.coalesce("readable", F.lit(False)).alias("readable"),
+                    (F.coalesce("readerable", F.lit(False)) & ~F.col("_skip")).alias("readerable")))

@@ -11,77 +11,107 @@ Kept halves become the next round's nodes.  At the end a kept node is a
 change when no kept node names it as parent (anti join), in depth-first
 order, older half first (path strings sort that way).
 
-The driver loops over rounds only (at most log2(max versions) + 1); every
-round's survivors are written to the shared checkpoint folder, so plans stay
-small and a lost executor costs at most one round.
+The driver loops over rounds only, until no half is left (about log2 of the
+most versions of a page); every round's survivors are written to the shared
+checkpoint folder, so plans stay small and a lost executor costs at most one
+round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelens.operators import analysis as an
 from changelens.operators import versions as ver
+from changelens.operators.sequence import with_rank
 from changelens.session import stage_table
 
 MIN_THRESHOLD = 0.2
 
 
-def _split(nodes: DataFrame) -> DataFrame:
+def _split(nodes: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
     """Rows of the two halves of every node with >= 3 rows; child node key =
-    parent key + '/0' (older half) or '/1' (newer half)."""
-    w = Window.partitionBy("node").orderBy(F.desc("capture_time"), F.desc("version_id"))
-    x = nodes.withColumn("_i", F.row_number().over(w) - 1).withColumn(
-        "_n", F.count("*").over(Window.partitionBy("node")))
-    x = x.where(F.col("_n") >= 3)
-    s = F.floor(F.col("_n") / 2)
-    halves = F.when(F.col("_i") == s, F.array(F.lit("0"), F.lit("1"))).when(
-        F.col("_i") > s, F.array(F.lit("0"))).otherwise(F.array(F.lit("1")))
+    parent key + '/0' (older half) or '/1' (newer half).  Rows are numbered
+    from sorted ranges: at round 1 a node is a page's whole selection."""
+    many = nodes.join(sizes.where("_n >= 3"), "node")
+    x = with_rank(many, ["node"], [F.desc("capture_time"), F.desc("version_id")], name)
+    at, s = F.col(name) - 1, F.floor(F.col("_n") / 2)
+    halves = F.when(at == s, F.array(F.lit("0"), F.lit("1"))).when(
+        at > s, F.array(F.lit("0"))).otherwise(F.array(F.lit("1")))
     y = x.select("*", F.explode(halves).alias("_half"))
     return y.select(*[c for c in nodes.columns if c not in ("node", "parent")],
-                    F.col("node").alias("parent"), F.concat(F.col("node"), F.lit("/"), F.col("_half")).alias("node")).drop("_i", "_n", "_half")
+                    F.col("node").alias("parent"), F.concat(F.col("node"), F.lit("/"), F.col("_half")).alias("node"))
 
 
-def deep_changes(results: DataFrame, trimmed: DataFrame, pages: DataFrame, text_bodies: DataFrame,
+def deep_changes(results: DataFrame, trimmed: DataFrame, v: DataFrame, pages: DataFrame, text_bodies: DataFrame,
                  html_bodies: DataFrame, threshold: float, dictionary=None, stop_words=None,
-                 max_rounds: int = 64, **body_refs) -> DataFrame:
+                 **body_refs) -> DataFrame:
     """Sub-changes of every result whose overall priority >= threshold.
 
     ``results``: output of ``analyze_pairs`` keyed by ``page_id``;
-    ``trimmed``: the trimmed full-period selection the results came from.
-    Returns (page_id, node, depth, n_versions, a, b, analysis)."""
+    ``trimmed``: the (narrow) trimmed selection the results came from; ``v``:
+    the captures, for the fields of the halves' ends.
+    Returns (page_id, node, depth, n_versions, a, b, analysis, error); rows
+    with an error are halves whose analysis failed.  A node has fewer rows
+    than its parent, so the rounds end."""
     t = max(MIN_THRESHOLD, threshold)
     gate = results.where(F.col("analysis.priority") >= F.lit(threshold)).select("page_id")
     cols = [c for c in trimmed.columns if c not in ("is_baseline",)]
     nodes = (trimmed.join(gate, "page_id", "left_semi").select(*cols)
              .withColumn("node", F.col("page_id").cast("string")).withColumn("parent", F.lit(None).cast("string")))
     page_urls = pages.select("page_id", "url")
-    kept = None
-    for depth in range(1, max_rounds + 1):
-        halves = _split(nodes)
+    kept, failed, depth = None, None, 0
+    while True:
+        depth += 1
+        sizes = nodes.groupBy("node").agg(F.count("*").alias("_n"))
+        halves = _split(nodes, sizes, f"deep-{depth}-half")
         ends = halves.groupBy("node").agg(
             F.min(F.struct("capture_time", "version_id", "body_hash")).alias("_o"),
             F.max(F.struct("capture_time", "version_id", "body_hash")).alias("_e"))
         ends = ends.where(~F.col("_o.body_hash").eqNullSafe(F.col("_e.body_hash"))).select(
             "node", (F.col("_o.capture_time") + F.expr("INTERVAL 1 MINUTE")).alias("_after"),
             (F.col("_e.capture_time") + F.expr("INTERVAL 1 MINUTE")).alias("_before"))
-        cand = halves.join(ends, "node")
+        cand = stage_table(halves.join(ends, "node"), f"deep-{depth}-cand")
+        if cand.isEmpty():
+            break
         tr = stage_table(ver.select_and_trim(cand, F.col("_after"), F.col("_before"), key="node")
                          .drop("_after", "_before", "is_baseline"), f"deep-{depth}")
-        pairs = ver.endpoints(tr.drop("parent", "page_id"), key="node")
+        pairs = ver.widen(ver.endpoints(tr.drop("parent", "page_id"), key="node").where(F.col("n_versions") >= 2),
+                          v.drop("page_id"), key="node")
+        pairs = stage_table(pairs, f"deep-{depth}-pairs")
         info = tr.select("node", "parent", "page_id").distinct()
         node_pages = info.join(page_urls, "page_id").select("node", "url")
-        res = an.analyze_pairs(pairs.where(F.col("n_versions") >= 2), node_pages, text_bodies, html_bodies,
+        res = an.analyze_pairs(pairs, node_pages, text_bodies, html_bodies,
                                dictionary, stop_words, key="node", **body_refs)
-        passed = stage_table(
-            res.where(F.col("analysis.priority") >= F.lit(t)).join(info, "node")
-            .withColumn("depth", F.lit(depth)), f"deep-pass-{depth}")
-        if passed.limit(1).count() == 0:
+        wanted = (F.col("analysis.priority") >= F.lit(t)) | (F.col("error_kind") == "failed")
+        passed = stage_table(res.where(wanted).join(info, "node").withColumn("depth", F.lit(depth)), f"deep-pass-{depth}")
+        bad, good = passed.where(F.col("analysis").isNull()), passed.where(F.col("analysis").isNotNull())
+        kept = good if kept is None else kept.unionByName(good)
+        failed = bad if failed is None else failed.unionByName(bad)
+        if good.isEmpty():
             break
-        kept = passed if kept is None else kept.unionByName(passed)
-        nodes = tr.join(passed.select("node"), "node", "left_semi")
+        nodes = tr.join(good.select("node"), "node", "left_semi")
     if kept is None:
-        return None
+        kept = results.where("false").select(
+            "*", F.lit("").alias("node"), F.lit("").alias("parent"), F.lit(0).alias("depth"))
+        failed = kept
     leaves = kept.join(kept.select(F.col("parent").alias("node")).distinct(), "node", "left_anti")
-    return leaves.select("page_id", "node", "depth", "n_versions", "a", "b", "analysis")
+    return leaves.unionByName(failed).select("page_id", "node", "depth", "n_versions", "a", "b", "analysis", "error")
+
+
+def with_changes(results: DataFrame, found: DataFrame, key: str = "page_id") -> DataFrame:
+    """``results`` with ``changes`` (array of a, b, analysis; older first, by
+    depth-first node path), and the error of a page with a failed half.  The
+    changes of one page are as many as its captures at most."""
+    per_page = found.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.when(F.col("analysis").isNotNull(), F.col("node")))).alias("_nodes"),
+        F.map_from_entries(F.collect_list(F.when(F.col("analysis").isNotNull(), F.struct("node", F.struct("a", "b", "analysis"))))).alias("_of"),
+        F.max("error").alias("_half"))
+    joined = results.join(per_page, key, "left")
+    none = F.filter(F.array(F.struct("a", "b", "analysis")), lambda _: F.lit(False))
+    return joined.select(
+        *[c for c in results.columns if c not in ("error", "error_kind")],
+        F.coalesce("error_kind", F.when(F.col("_half").isNotNull(), F.lit("failed"))).alias("error_kind"),
+        F.coalesce("error", "_half").alias("error"),
+        F.coalesce(F.transform("_nodes", lambda n: F.element_at("_of", n)), none).alias("changes"))

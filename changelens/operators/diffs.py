@@ -117,44 +117,24 @@ def text_metrics(labelled: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ DIF-06
-ORDERED_SCHEMA = "pair_id long, seq int, op int, text string"
-
-
-def _ordered_batches(it):
-    import difflib
-
-    import pandas as pd
-
-    for pdf in it:
-        out = []
-        for pid, a, b in zip(pdf["pair_id"], pdf["a_units"], pdf["b_units"]):
-            a = list(a) if a is not None else []
-            b = list(b) if b is not None else []
-            sm = difflib.SequenceMatcher(a=a, b=b, autojunk=False)
-            seq = 0
-            for tag, i1, i2, j1, j2 in sm.get_opcodes():
-                if tag == "equal":
-                    out.append((int(pid), seq, 0, "\n".join(a[i1:i2])))
-                    seq += 1
-                    continue
-                if i2 > i1:
-                    out.append((int(pid), seq, -1, "\n".join(a[i1:i2])))
-                    seq += 1
-                if j2 > j1:
-                    out.append((int(pid), seq, 1, "\n".join(b[j1:j2])))
-                    seq += 1
-        yield pd.DataFrame(out, columns=["pair_id", "seq", "op", "text"])
-
-
-def ordered_diff(units: DataFrame) -> DataFrame:
-    """DIF-06: exact ordered diff of the unit sequences of each pair
-    (``difflib``), one row per change or unchanged run.  Each pair's two
-    unit lists are built by an aggregate (one document each) and diffed in
-    an Arrow batch; metrics over it stay native."""
-    seqs = units.groupBy("pair_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("side") == "a", F.struct("pos", "unit")))).alias("_a"),
-        F.array_sort(F.collect_list(F.when(F.col("side") == "b", F.struct("pos", "unit")))).alias("_b"))
-    x = seqs.select(F.col("pair_id").cast("long").alias("pair_id"),
-                    F.transform("_a", lambda s: s["unit"]).alias("a_units"),
-                    F.transform("_b", lambda s: s["unit"]).alias("b_units"))
-    return x.mapInPandas(_ordered_batches, ORDERED_SCHEMA)
+def ordered_diff(labelled: DataFrame) -> DataFrame:
+    """DIF-06: both documents of each pair as one sequence of units
+    (pair_id, seq, op, unit): the newer document in its order, and each
+    removed unit right after the place, in the newer document, of the last
+    kept unit before it.
+
+    Kept units are partners when they are the same occurrence of the same
+    unit on both sides; that join gives every kept unit of the older document
+    its place in the newer one.  Windows are per pair: one document."""
+    occurrence = F.row_number().over(Window.partitionBy("pair_id", "unit", "side").orderBy("pos"))
+    x = labelled.withColumn("k", occurrence)
+    new = x.where(F.col("side") == "b")
+    partner = new.where(F.col("op") == 0).select("pair_id", "unit", "k", F.col("pos").alias("b_pos"))
+    before = Window.partitionBy("pair_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    old = (x.where(F.col("side") == "a").join(partner, ["pair_id", "unit", "k"], "left")
+           .withColumn("at", F.coalesce(F.last("b_pos", ignorenulls=True).over(before), F.lit(-1)))
+           .where(F.col("op") == -1))
+    rows = new.select("pair_id", F.col("pos").alias("at"), F.lit(0).alias("gone"), "pos", "op", "unit").unionByName(
+        old.select("pair_id", "at", F.lit(1).alias("gone"), "pos", "op", "unit"))
+    seq = F.row_number().over(Window.partitionBy("pair_id").orderBy("at", "gone", "pos"))
+    return rows.select("pair_id", seq.alias("seq"), "op", "unit")

@@ -2,16 +2,23 @@
 FLT-09, FLT-12).
 
 Sheets are a partition column, so writing them is one
-``write.partitionBy('sheet')``; ordering inside a sheet is a window over the
-sheet (``row_number``), evaluated after the threshold filter.
+``write.partitionBy('sheet')``.  Rows of a sheet are numbered from sorted
+ranges (``sequence.with_rank``) and a change group's priority is an aggregate
+joined back, so neither one large sheet nor one large group (all errors share
+one) ends up in a single task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelens.functions import formats as fm
+from changelens.functions import redirects as RD
+from changelens.functions import text as tx
+from changelens.functions import urls as U
+from changelens.operators.sequence import with_rank
+from changelens.session import stage_table
 
 # The reference's sheet prefixes, in order.
 SHEET_PREFIXES = ["category:", "news", "2l-domain:"]
@@ -57,13 +64,12 @@ def order_sheets(results: DataFrame, tags_col: str = "tags", url_col: str = "url
     prio = F.coalesce(F.col("analysis.priority"), F.lit(0.0))
     r = results.withColumn("sheet", sheet_key(F.col(tags_col))).withColumn("_prio", prio)
     if deep:
-        w = Window.partitionBy("sheet").orderBy(F.desc("_prio"), F.col(url_col))
-        return r.withColumn("Index", F.row_number().over(w)).drop("_prio")
-    r = r.withColumn("change_group", change_group(F.col("analysis")))
-    r = r.withColumn("group_priority", F.max("_prio").over(Window.partitionBy("sheet", "change_group")))
-    w = Window.partitionBy("sheet").orderBy(F.desc("group_priority"), F.col("change_group"),
-                                            F.desc("_prio"), F.col(url_col))
-    return r.withColumn("Index", F.row_number().over(w)).drop("_prio")
+        return with_rank(r, ["sheet"], [F.desc("_prio"), F.col(url_col)], "Index").drop("_prio")
+    r = stage_table(r.withColumn("change_group", change_group(F.col("analysis"))), "sheeted")
+    top = r.groupBy(F.col("sheet").alias("_s"), F.col("change_group").alias("_g")).agg(F.max("_prio").alias("group_priority"))
+    r = r.join(top, F.col("sheet").eqNullSafe(F.col("_s")) & (F.col("change_group") == F.col("_g"))).drop("_s", "_g")
+    order = [F.desc("group_priority"), F.col("change_group"), F.desc("_prio"), F.col(url_col)]
+    return with_rank(r, ["sheet"], order, "Index").drop("_prio")
 
 
 def hash_groups(results: DataFrame, tags_col: str = "tags", url_col: str = "url") -> DataFrame:
@@ -101,7 +107,7 @@ def _fmt3(c: Column) -> Column:
 
 def sheet_rows(ordered: DataFrame, key: str = "page_id", run_time: Column | None = None,
                view_url: str = VIEW_URL, version_label: Column | None = None,
-               a: str = "a", b: str = "b", analysis: str = "analysis") -> DataFrame:
+               a: str = "a", b: str = "b", analysis: str = "analysis", keep: tuple[str, ...] = ()) -> DataFrame:
     """SHT-01: one formatted row per result (error rows: Priority '?' and the
     message)."""
     an = F.col(analysis)
@@ -120,7 +126,7 @@ def sheet_rows(ordered: DataFrame, key: str = "page_id", run_time: Column | None
         "Output Date/Time": fm.format_datetime(run_time if run_time is not None else F.current_timestamp()),
         "Maintainers": F.array_join(F.coalesce(F.col("maintainers"), F.array().cast("array<string>")), ", "),
         "Site Name": F.col("sheet"),
-        "Page Title": F.coalesce(F.trim(F.regexp_replace(F.col("title"), r"\s+", " ")), F.lit("")),
+        "Page Title": tx.clean_string(F.col("title")),
         "URL": F.col("url"),
         "Scanner Comparison": fm.view_url(view_url, F.col(key), A["version_id"], B["version_id"]),
         "IA Comparison": ia,
@@ -149,7 +155,20 @@ def sheet_rows(ordered: DataFrame, key: str = "page_id", run_time: Column | None
         "Prior Redirects": F.when(has, fm.format_redirects(an["redirect"]["a_server"], an["redirect"]["a_client"])),
         "Current Redirects": F.when(has, fm.format_redirects(an["redirect"]["b_server"], an["redirect"]["b_client"])),
     }
-    return ordered.select("sheet", F.col("Index").alias("_order"), *[v.alias(k) for k, v in cols.items()])
+    return ordered.select("sheet", F.col("Index").alias("_order"), *keep, *[v.alias(k) for k, v in cols.items()])
+
+
+def deep_sheet_rows(ordered: DataFrame, key: str = "page_id", run_time: Column | None = None,
+                    view_url: str = VIEW_URL) -> DataFrame:
+    """SHT-02: every result as an ``OVERALL`` row, then one row ``i-j`` for
+    each of its changes (``changes``: array of (a, b, analysis), older first)."""
+    overall = sheet_rows(ordered, key, run_time, view_url, version_label=F.lit("OVERALL")).withColumn("_change", F.lit(0))
+    parts = ordered.select(
+        "sheet", key, "url", "title", "maintainers", F.col("Index").alias("_i"), F.lit(None).cast("string").alias("error"),
+        F.posexplode("changes").alias("_j", "_c")).select("*", "_c.a", "_c.b", "_c.analysis").withColumn("Index", F.col("_i"))
+    each = sheet_rows(parts, key, run_time, view_url, keep=("_j",)).withColumn(
+        "Index", F.concat("Index", F.lit("-"), (F.col("_j") + 1).cast("string"))).withColumn("_change", F.col("_j") + 1).drop("_j")
+    return overall.unionByName(each)
 
 
 def redirect_changes(ordered: DataFrame, key: str = "page_id", view_url: str = VIEW_URL) -> DataFrame:
@@ -174,6 +193,25 @@ def redirect_changes(ordered: DataFrame, key: str = "page_id", view_url: str = V
     )
 
 
+def redirects_current(ordered: DataFrame, key: str = "page_id", view_url: str = VIEW_URL) -> DataFrame:
+    """SHT-04: pages whose newest capture redirects to an effectively different URL."""
+    done = ordered.where(F.col("analysis").isNotNull())
+    hops = RD.all_redirects(F.col("b.redirects"), F.col("analysis.redirect.b_client"))
+    last = F.try_element_at(hops, F.lit(-1))
+    return done.where(F.size(hops) > 0).select(
+        F.col(key), "sheet",
+        fm.view_url(view_url, F.col(key), F.col("a.version_id"), F.col("b.version_id")).alias("Scanner"),
+        F.regexp_extract("sheet", r"^(.*)--(.*?)$", 1).alias("Category"),
+        F.when(F.col("sheet").contains("--"), F.regexp_extract("sheet", r"^(.*)--(.*?)$", 2))
+        .otherwise(F.col("sheet")).alias("Domain"),
+        fm.format_status(F.col("analysis.status_b")).alias("Status"),
+        U.url_change_type(F.col("b.url"), last).alias("Redirect Type"),
+        F.col("b.url").alias("Monitored URL"), last.alias("Redirected URL"),
+        fm.format_redirects(F.col("analysis.redirect.b_server"), F.col("analysis.redirect.b_client")).alias("All Redirects"),
+        F.col("url").alias("_url"),
+    ).where(F.col("Redirect Type").isNotNull())
+
+
 def failures(results: DataFrame) -> DataFrame:
     """PRI-03: the unexpected errors only (side output for operators)."""
     return results.where(F.col("error_kind") == "failed")

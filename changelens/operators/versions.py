@@ -58,12 +58,20 @@ def in_frame(after, before, time_type: str = "timestamp_ntz") -> Column:
 
 
 def _record(cols: list[str]) -> Column:
-    # capture_time, version_id first: struct ordering is newest/oldest.
-    rest = [c for c in cols if c not in ("capture_time", "version_id")]
-    return F.struct(*[F.col(c) for c in ["capture_time", "version_id", *rest]])
+    return F.struct(*[F.col(c) for c in cols])
 
 
-def select_versions(v: DataFrame, after, before, key: str = "page_id",
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _newest(rec: Column, where: Column) -> Column:
+    """The record of the newest row that qualifies.  The order is that of
+    time and id alone, so records may hold maps."""
+    return F.max_by(rec, F.when(where, ok_col()))
+
+
+def select_versions(v: DataFrame, after, before, key: str | list[str] = "page_id",
                     quality: Column | str = "quality") -> DataFrame:
     """VER-01 + VER-02.  Returns the selected captures with ``is_baseline``.
 
@@ -72,60 +80,68 @@ def select_versions(v: DataFrame, after, before, key: str = "page_id",
     * plus a baseline: the newest capture before ``after``; if that one is
       questionable, the newest good capture among the next 100 older ones
       and less than 31 days older than it, else the questionable one.
+
+    One aggregate per key yields the counts, the newest older capture and the
+    newest good older one (all good ones are older than a questionable
+    newest).  A second one, for the keys with a questionable baseline only,
+    counts the captures between the two.
     """
     tt = _time_type(v)
+    keys = _keys(key)
     q = F.col(quality) if isinstance(quality, str) else quality
     cols = v.columns
-    after_l, before_l = ts_lit(after, tt), ts_lit(before, tt)
-    c = v.where(F.col("capture_time") < before_l).withColumn("_good", q >= 1.0)
-    inr = F.col("capture_time") >= after_l
+    c = v.where(F.col("capture_time") < ts_lit(before, tt)).withColumn("_good", q >= 1.0)
+    inr = F.col("capture_time") >= ts_lit(after, tt)
     rec = _record(cols + ["_good"])
 
-    s1 = c.groupBy(key).agg(
+    s = c.groupBy(*keys).agg(
         F.count(F.when(inr & F.col("_good"), 1)).alias("_n_good"),
         F.count(F.when(inr & ~F.col("_good"), 1)).alias("_n_q"),
-        F.max(F.when(~inr, rec)).alias("_b0"),
+        _newest(rec, ~inr).alias("_b0"),
+        _newest(rec, ~inr & F.col("_good")).alias("_g"),
     )
     mode = (F.when(F.col("_n_good") > 0, F.lit(1))
             .when(F.col("_b0").isNotNull() & (F.col("_n_q") > 0), F.lit(2)))
-    s1 = s1.withColumn("_mode", mode).where(F.col("_mode").isNotNull())
+    s = s.withColumn("_mode", mode).where(F.col("_mode").isNotNull())
 
     in_sel = (
         c.where(inr)
-        .join(s1.select(key, "_mode"), key)
+        .join(s.select(*keys, "_mode"), keys)
         .where(F.when(F.col("_mode") == 1, F.col("_good")).otherwise(~F.col("_good")))
         .select(*cols, F.lit(False).alias("is_baseline"))
     )
 
-    # Look-back only for pages whose first pre-frame capture is questionable.
-    need = s1.where(F.col("_b0").isNotNull() & ~F.col("_b0._good")).select(key, "_b0")
-    pre = (
-        c.where(~inr)
-        .join(need, key)
-        .where((ok_col() < F.struct(F.col("_b0.capture_time"), F.col("_b0.version_id")))
-               & (F.col("capture_time") > F.col("_b0.capture_time") - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS")))
-    )
-    g = pre.groupBy(key).agg(F.max(F.when(F.col("_good"), rec)).alias("_g")).where(F.col("_g").isNotNull())
+    near = F.col("_g.capture_time") > F.col("_b0.capture_time") - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS")
+    need = s.where(~F.col("_b0._good") & near).select(
+        *keys, F.struct("_g.capture_time", "_g.version_id").alias("_g_ok"))
     between = (
-        pre.join(g.select(key, F.struct(F.col("_g.capture_time"), F.col("_g.version_id")).alias("_g_ok")), key)
-        .where(ok_col() > F.col("_g_ok"))
-        .groupBy(key).agg(F.count("*").alias("_between"))
+        c.where(~inr).select(*keys, ok_col().alias("_ok")).join(need, keys).where(F.col("_ok") > F.col("_g_ok"))
+        .groupBy(*keys).agg(F.count("*").alias("_between"))
     )
+    reached = F.coalesce(F.col("_between") <= LOOKBACK_ROWS, F.lit(False))  # the questionable one itself counts
     base = (
-        s1.where(F.col("_b0").isNotNull()).select(key, "_b0")
-        .join(g, key, "left").join(between, key, "left")
-        .select(
-            key,
-            F.when(F.col("_b0._good"), F.col("_b0"))
-            .when(F.col("_g").isNotNull() & (F.coalesce(F.col("_between"), F.lit(0)) <= LOOKBACK_ROWS - 1), F.col("_g"))
-            .otherwise(F.col("_b0")).alias("_r"),
-        )
+        s.where(F.col("_b0").isNotNull()).select(*keys, "_b0", "_g").join(between, keys, "left")
+        .select(F.when(~F.col("_b0._good") & reached, F.col("_g")).otherwise(F.col("_b0")).alias("_r"))
         .select(*[F.col(f"_r.{c}").alias(c) for c in cols], F.lit(True).alias("is_baseline"))
     )
     return in_sel.unionByName(base)
 
 
-def trim_versions(sel: DataFrame, key: str = "page_id") -> DataFrame:
+def in_frames(v: DataFrame, frames: list[tuple]) -> DataFrame:
+    """Every capture once for each timeframe that it may matter to (all
+    before the frame's end), with ``frame``, ``_after`` and ``_before``."""
+    tt = _time_type(v)
+    known = F.array(*[F.struct(F.lit(i).alias("frame"), ts_lit(a, tt).alias("_after"), ts_lit(b, tt).alias("_before"))
+                      for i, (a, b) in enumerate(frames)])
+    return v.select("*", F.inline(F.filter(known, lambda f: F.col("capture_time") < f["_before"])))
+
+
+def select_frames(v: DataFrame, frames: list[tuple], key: str = "page_id") -> DataFrame:
+    """``select_versions`` for several timeframes in the same passes; adds ``frame``."""
+    return select_versions(in_frames(v, frames), F.col("_after"), F.col("_before"), ["frame", key]).drop("_after", "_before")
+
+
+def trim_versions(sel: DataFrame, key: str | list[str] = "page_id") -> DataFrame:
     """VER-04: collapse a same-ish run at the newest end, then at the oldest.
 
     A run continues while the error class equals the end row's (when that is
@@ -134,9 +150,10 @@ def trim_versions(sel: DataFrame, key: str = "page_id") -> DataFrame:
     end.  Three small aggregates find the bounds ``lo <= ok <= hi``.
     """
     ok = ok_col()
+    keys = _keys(key)
     ec = status_error_class(F.col("status"))
     x = sel.withColumn("_ec", ec)
-    S = x.groupBy(key).agg(
+    S = x.groupBy(*keys).agg(
         F.count("*").alias("_n"),
         F.max(F.struct(ok.alias("ok"), F.col("_ec").alias("ec"), F.col("body_hash").alias("h"))).alias("_e"),
         F.min(F.struct(ok.alias("ok"), F.col("_ec").alias("ec"), F.col("body_hash").alias("h"))).alias("_o"),
@@ -147,8 +164,8 @@ def trim_versions(sel: DataFrame, key: str = "page_id") -> DataFrame:
             F.col("body_hash").eqNullSafe(F.col(f"{end}.h")))
 
     T = (
-        x.join(S.where(F.col("_n") >= 3), key)
-        .groupBy(key)
+        x.join(S.where(F.col("_n") >= 3), keys)
+        .groupBy(*keys)
         .agg(
             F.first("_n").alias("_n"),
             F.first("_o").alias("_o"),
@@ -157,8 +174,8 @@ def trim_versions(sel: DataFrame, key: str = "page_id") -> DataFrame:
         )
     )
     U = (
-        x.join(T.where(F.col("_m1").isNotNull()).select(key, "_m1", "_M"), key)
-        .groupBy(key)
+        x.join(T.where(F.col("_m1").isNotNull()).select(*keys, "_m1", "_M"), keys)
+        .groupBy(*keys)
         .agg(
             F.min(F.when(ok > F.col("_m1"), ok)).alias("_succ"),
             F.count(F.when(ok > F.col("_m1"), 1)).alias("_newer"),
@@ -166,15 +183,15 @@ def trim_versions(sel: DataFrame, key: str = "page_id") -> DataFrame:
             F.first("_M").alias("_M2"),
         )
     )
-    TU = T.join(U, key, "left")
+    TU = T.join(U, keys, "left")
     r1 = F.col("_n") - F.col("_newer") + 1
     lo = (F.when(F.col("_m1").isNull(), F.col("_o.ok"))
           .when(r1 < 3, F.lit(None))
           .when(F.col("_M2").isNull() | (F.col("_M2") > F.col("_succ")), F.col("_succ"))
           .otherwise(F.col("_pred")))
     hi = F.when(F.col("_m1").isNull(), F.col("_o.ok")).otherwise(F.col("_succ"))
-    bounds = TU.select(key, lo.alias("_lo"), hi.alias("_hi"))
-    out = x.drop("_ec").join(bounds, key, "left").where(
+    bounds = TU.select(*keys, lo.alias("_lo"), hi.alias("_hi"))
+    out = x.drop("_ec").join(bounds, keys, "left").where(
         (F.col("_lo").isNull() | (ok >= F.col("_lo"))) & (F.col("_hi").isNull() | (ok <= F.col("_hi"))))
     return out.drop("_lo", "_hi")
 
@@ -184,8 +201,8 @@ def endpoints(trimmed: DataFrame, key: str = "page_id") -> DataFrame:
     rec = _record([c for c in trimmed.columns if c != key])
     return trimmed.groupBy(key).agg(
         F.count("*").cast("int").alias("n_versions"),
-        F.min(rec).alias("a"),
-        F.max(rec).alias("b"),
+        F.min_by(rec, ok_col()).alias("a"),
+        F.max_by(rec, ok_col()).alias("b"),
     )
 
 
@@ -193,8 +210,8 @@ def latest_valid(v: DataFrame, trimmed: DataFrame, key: str = "page_id") -> Data
     """VER-06: latest capture of each page and the latest *valid* one (the
     newest capture of the trimmed selection, else the latest capture)."""
     cols = [c for c in v.columns if c != key]
-    latest = v.groupBy(key).agg(F.max(_record(cols)).alias("latest"))
-    valid = trimmed.groupBy(key).agg(F.max(_record([c for c in trimmed.columns if c != key])).alias("_s"))
+    latest = v.groupBy(key).agg(F.max_by(_record(cols), ok_col()).alias("latest"))
+    valid = trimmed.groupBy(key).agg(F.max(ok_col()).alias("_s"))
     out = latest.join(valid, key, "left")
     return out.select(key, "latest", F.coalesce(F.col("_s.version_id"), F.col("latest.version_id")).alias("valid_id"),
                       F.coalesce(F.col("_s.capture_time"), F.col("latest.capture_time")).alias("valid_time"))
@@ -221,7 +238,7 @@ def change_rate(trimmed: DataFrame, after, before, key: str = "page_id") -> Data
                       F.round(rate, 6).alias("changes_per_day"), F.round(factor, 6).alias("rate_factor"))
 
 
-def select_and_trim(v: DataFrame, after, before, key: str = "page_id", stage: bool = True) -> DataFrame:
+def select_and_trim(v: DataFrame, after, before, key: str | list[str] = "page_id", stage: bool = True) -> DataFrame:
     """VER-01..04 with the selection written once to the shared checkpoint
     folder: trimming reads it four times (three aggregates and the final
     filter), and the staged copy keeps those reads off the source scan."""
@@ -252,6 +269,6 @@ def widen(pairs: DataFrame, v: DataFrame, key: str = "page_id") -> DataFrame:
     cols = [c for c in v.columns if c != key]
     full = v.select(F.col("version_id").alias("_vid"), _record(cols).alias("_rec"))
     recs = ids.join(full, "_vid").groupBy(key).agg(
-        F.max(F.when(F.col("_side") == "a", F.col("_rec"))).alias("a"),
-        F.max(F.when(F.col("_side") == "b", F.col("_rec"))).alias("b"))
+        F.max_by("_rec", F.when(F.col("_side") == "a", F.col("_vid"))).alias("a"),
+        F.max_by("_rec", F.when(F.col("_side") == "b", F.col("_vid"))).alias("b"))
     return pairs.select(key, "n_versions").join(recs, key)

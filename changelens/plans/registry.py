@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from changelens.operators import analysis as an
+from changelens.operators import blocks as bk
 from changelens.operators import versions as ver
+from changelens.operators.catalog import select_pages
 from changelens.plans.oracle import FRAMES
+from changelens.session import stage_path, stage_table
 from changelens.sources import tables as tb
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,32 +39,24 @@ def register(fn):
     return run
 
 
-def _per_frame(v: DataFrame, build) -> DataFrame:
-    out = None
-    for i, (a, b) in enumerate(FRAMES):
-        df = build(v, a, b).withColumn("frame", F.lit(i))
-        out = df if out is None else out.unionByName(df)
-    return out
-
-
 @register
 def versions_in_frame(spark, sf):
     v = ver.narrow(tb.versions(spark, sf))
-    return _per_frame(v, lambda v, a, b: ver.select_versions(v, a, b)).select(
-        "frame", "page_id", "version_id", "capture_time", "is_baseline")
+    return ver.select_frames(v, FRAMES).select("frame", "page_id", "version_id", "capture_time", "is_baseline")
 
 
 @register
 def baseline_lookback(spark, sf):
     v = ver.narrow(tb.versions(spark, sf))
-    return _per_frame(v, lambda v, a, b: ver.select_versions(v, a, b)).where("is_baseline").select(
+    return ver.select_frames(v, FRAMES).where("is_baseline").select(
         "frame", "page_id", F.col("version_id").alias("baseline_id"), F.col("capture_time").alias("baseline_time"))
 
 
 @register
 def trimmed_versions(spark, sf):
     v = ver.narrow(tb.versions(spark, sf))
-    return _per_frame(v, lambda v, a, b: ver.select_and_trim(v, a, b)).select(
+    sel = stage_table(ver.select_frames(v, FRAMES), "selected")
+    return ver.trim_versions(sel, ["frame", "page_id"]).select(
         "frame", "page_id", "version_id", "capture_time", "is_baseline")
 
 
@@ -72,8 +68,8 @@ from changelens.plans.oracle import STOP_WORDS, TERMS  # noqa: E402
 from changelens.sources.local import values_table  # noqa: E402
 
 
-def _labelled(spark, sf, kind="src"):
-    pairs = tb.doc_pairs(spark, sf, kind)
+def _labelled(spark, sf):
+    pairs = tb.doc_pairs(spark, sf)
     docs = tb.table(spark, sf, "documents")
     return dif.label_units(dif.text_units(pairs, docs))
 
@@ -92,6 +88,12 @@ def normalized_text(spark, sf):
     return d.select("doc_id", tx.normalize_text(F.col("text")).alias("norm_text"))
 
 
+@register
+def normalized_text_exact(spark, sf):
+    d = tb.table(spark, sf, "documents")
+    return d.select("doc_id", tx.normalize_text_exact(F.col("text")).alias("norm_text"))
+
+
 @register
 def line_diff(spark, sf):
     return _labelled(spark, sf).select("pair_id", "side", "pos", "unit", "op")
@@ -106,7 +108,7 @@ def diff_runs(spark, sf):
 
 @register
 def diff_metrics(spark, sf):
-    return dif.text_metrics(_labelled(spark, sf, "near"))
+    return dif.text_metrics(_labelled(spark, sf))
 
 
 @register
@@ -116,9 +118,11 @@ def change_hash(spark, sf):
 
 @register
 def term_dictionary(spark, sf):
-    # reads the documents only through the dictionary's use; the table
-    # itself is the caller's input (F4)
-    return _dictionary(spark).select("term", F.col("n_words").cast("int").alias("n_words"))
+    """A dictionary of the corpus: words of six letters and more that 5 to 50 documents have."""
+    d = tb.table(spark, sf, "documents")
+    w = F.array_distinct(F.filter(F.split(F.trim(tx.normalize_text(F.col("text"))), " "), lambda x: F.length(x) >= 6))
+    terms = d.select("doc_id", F.explode(w).alias("term")).groupBy("term").agg(F.count("*").alias("n")).where("n BETWEEN 5 AND 50")
+    return trm.term_dictionary(terms.select("term")).select("term", F.col("n_words").cast("int").alias("n_words"))
 
 
 def _ngrams(spark, sf):
@@ -229,10 +233,8 @@ from changelens.operators.analysis import count_metrics, source_metrics  # noqa:
 @register
 def catalog_scan(spark, sf):
     """SRC-01: active pages, URL pattern, any-of tags, ordered by created_at."""
-    m = tb.page_meta(spark, sf)
-    tags = F.array(F.lit("category:BUILDING"), F.lit("news"))
-    return (m.where(F.col("active") & F.col("url").like("%/p/%") & F.arrays_overlap(F.col("tags"), tags))
-            .orderBy("created_at").select("page_id", "url", "created_at"))
+    m = select_pages(tb.page_meta(spark, sf), "*/p/*", ["category:BUILDING", "news"])
+    return m.orderBy("created_at").select("page_id", "url", "created_at")
 
 
 @register
@@ -271,7 +273,7 @@ def effective_status(spark, sf):
     j = v.join(bodies, "version_id")
     client = RD.client_redirect(F.col("html"))
     return j.select("version_id", ST.effective_status(
-        F.col("url"), F.col("status"), F.col("network_error"), F.col("title"), None,
+        F.col("url"), F.col("status"), F.col("network_error"), F.col("title"), F.col("headers"),
         RD.all_redirects(F.col("redirects"), client)).alias("effective_status"))
 
 
@@ -285,20 +287,27 @@ def status_factor(spark, sf):
                     ST.status_factor(sa, sb).alias("factor"))
 
 
+def _numbered(rows, *cols):
+    """Rows of a page with their place among each other instead of their place among all nodes."""
+    w = Window.partitionBy("page_id").orderBy("pos")
+    return rows.select("page_id", (F.row_number().over(w) - 1).alias("n"), *cols)
+
+
 @register
 def page_links(spark, sf):
-    p = tb.table(spark, sf, "pages")
-    return p.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(tb.LINK_RE), 1)).alias("pos", "href"))
+    nodes = bk.parse_html(tb.table(spark, sf, "pages"), "page_id")
+    return _numbered(nodes.where((F.col("kind") == "link") & F.col("href").isNotNull()), "href", "text")
 
 
 def _page_pair_units(spark, sf):
-    from changelens.operators import analysis as an
     pp = tb.page_pairs(spark, sf)
     pages = tb.table(spark, sf, "pages")
     e = pp.select("pair_id", F.inline(F.array(F.struct(F.lit("a").alias("side"), F.col("a_page").alias("pid")),
                                               F.struct(F.lit("b").alias("side"), F.col("b_page").alias("pid")))))
-    e = e.join(pages.select(F.col("page_id").alias("pid"), F.struct("url").alias("v"), F.col("html").alias("_body")), "pid")
-    return an.html_units(e, F.lit(True))
+    title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
+    e = e.join(pages.select(F.col("page_id").alias("pid"), "url", title.alias("title"), F.lit(True).alias("content"),
+                            F.col("html").alias("_body")), "pid").drop("pid")
+    return an.html_units(an.html_nodes(e))
 
 
 @register
@@ -317,7 +326,7 @@ def self_link_removed(spark, sf):
              .select("pair_id", U.normalize_url(F.col("a_url"), F.col("a_url")).alias("sa"),
                      U.normalize_url(F.col("b_url"), F.col("b_url")).alias("sb")))
     hits = lab.where(F.col("op") == -1).join(selfs, "pair_id").where(
-        (F.col("unit") == F.col("sa")) | (F.col("unit") == F.col("sb"))).select("pair_id").distinct()
+        F.substring_index("unit", "\t", 1).isin(F.col("sa"), F.col("sb"))).select("pair_id").distinct()
     return selfs.join(hits.withColumn("hit", F.lit(True)), "pair_id", "left").select(
         "pair_id", F.coalesce(F.col("hit"), F.lit(False)).alias("removed_self_link"))
 
@@ -352,14 +361,10 @@ def redirect_changes(spark, sf):
 
 @register
 def redirects_current(spark, sf):
-    r = _sheeted(spark, sf).where(F.col("analysis").isNotNull()).withColumn("sheet", sh.sheet_key(F.col("tags")))
-    allb = RD.all_redirects(F.col("b.redirects"), F.col("analysis.redirect.b_client"))
-    last = F.try_element_at(allb, F.lit(-1))
-    ct = U.url_change_type(F.col("b.url"), last)
-    return r.where(F.size(allb) > 0).withColumn("ct", ct).where(F.col("ct").isNotNull()).select(
-        "page_id", "sheet", F.col("ct").alias("redirect_type"), F.col("b.url").alias("monitored_url"),
-        last.alias("redirected_url"),
-        fm.format_redirects(F.col("analysis.redirect.b_server"), F.col("analysis.redirect.b_client")).alias("all_redirects"))
+    r = _sheeted(spark, sf).withColumn("sheet", sh.sheet_key(F.col("tags")))
+    return sh.redirects_current(r).select(
+        "page_id", "sheet", F.col("Redirect Type").alias("redirect_type"), F.col("Monitored URL").alias("monitored_url"),
+        F.col("Redirected URL").alias("redirected_url"), F.col("All Redirects").alias("all_redirects"))
 
 
 @register
@@ -425,78 +430,93 @@ def status_sheet(spark, sf):
 from changelens.functions import formats as fm  # noqa: E402
 
 
-# ---------------------------------------------------------------- HTML blocks (rows-only checks)
-from changelens.operators import blocks as bk  # noqa: E402
+# ---------------------------------------------------------------- HTML blocks
 
 
-def _nodes(spark, sf):
-    return bk.parse_html(tb.table(spark, sf, "pages"), "page_id", "html")
+def _marked_nodes(spark, sf, marks):
+    """Nodes of the pages with extra markup (F8), with the page's url and news flag."""
+    title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
+    p = tb.marked_pages(spark, sf, marks).withColumn("news", G.is_news_page(F.col("url"), title))
+    return bk.parse_html(p, ["page_id", "url", "news"])
 
 
 @register
 def blocks(spark, sf):
-    return bk.content_blocks(_nodes(spark, sf)).select("doc", "pos", "text", F.size("anc").alias("depth"))
+    nodes = bk.parse_html(tb.table(spark, sf, "pages"), "page_id")
+    return _numbered(bk.content_blocks(nodes), "text")
 
 
 @register
 def stripped_blocks(spark, sf):
-    p = tb.table(spark, sf, "pages").select(F.col("page_id").alias("doc"), "url",
-                                             F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"))
-    b = bk.content_blocks(_nodes(spark, sf)).join(p, "doc")
-    s = bk.strip_blocks(b, is_news=G.is_news_page(F.col("url"), F.col("title")), host=U.host(F.col("url")))
-    return s.select("doc", "pos", "text")
+    n = _marked_nodes(spark, sf, [m for m, _ in tb.STRIP_MARKS])
+    return _numbered(bk.strip_blocks(bk.content_blocks(n), F.col("url"), F.col("news")), "text")
 
 
 @register
 def main_content(spark, sf):
-    n = _nodes(spark, sf)
-    m = bk.main_content(bk.strip_blocks(bk.content_blocks(n)), n)
-    return m.select("doc", "pos", "text", "found_content_area")
+    n = stage_table(_marked_nodes(spark, sf, tb.MAIN_MARKS), "nodes")
+    m = bk.main_content(bk.content_blocks(n), bk.main_bounds(n, ["page_id"]), ["page_id"])
+    return _numbered(m, "text", F.col("found").alias("found_content_area"))
 
 
 @register
 def readerable(spark, sf):
-    n = _nodes(spark, sf)
-    s = bk.strip_blocks(bk.content_blocks(n))
-    return bk.readerable(s).join(bk.readable(bk.main_content(s, n)), "doc", "full")
+    n = stage_table(bk.parse_html(tb.table(spark, sf, "pages"), "page_id"), "nodes")
+    key = ["page_id"]
+    docs = n.where(F.col("kind") == "doc").select("page_id")
+    main = bk.main_content(bk.content_blocks(n), bk.main_bounds(n, key), key)
+    return bk.readerable(n, docs, key).withColumn("score", F.round("score", 6)).join(bk.readable(main, docs, key), key)
 
 
 @register
 def accordion_links(spark, sf):
-    n = _nodes(spark, sf).where(F.col("kind") == "link")
-    return bk.fix_accordion_links(n).select("doc", "pos", "href", "text")
+    n = _marked_nodes(spark, sf, [m for m, _ in tb.LINK_MARKS]).where(F.col("kind") == "link")
+    return _numbered(bk.fix_accordion_links(n), "href", "text")
+
+
+@register
+def page_media(spark, sf):
+    """BLK-04 and BLK-08 on pages whose images and base the fixture adds."""
+    n = _marked_nodes(spark, sf, ['<img src="pic.png" srcset="x 2x">', '<base href="/deep/er/"><img src="../pic.png">',
+                                  "<base href='https://cdn.example.org/b/'><source src=a/b.webm><img>"])
+    return _numbered(bk.media_urls(n, F.col("url")), "src")
 
 
 @register
 def ordered_diff(spark, sf):
-    pairs = tb.doc_pairs(spark, sf, "near")
-    return dif.ordered_diff(dif.text_units(pairs, tb.table(spark, sf, "documents")))
+    return dif.ordered_diff(_labelled(spark, sf))
 
 
-# ---------------------------------------------------------------- deep search (rows-only)
+# ---------------------------------------------------------------- deep search
 from changelens.operators import deep as dp  # noqa: E402
-from changelens.session import stage_table  # noqa: E402
+
+DEEP_THRESHOLD = 0.5
+
+
+def _deep_results(spark, sf):
+    """The weekly deep job (frame 0): results with their changes."""
+    a, b = FRAMES[0]
+    return change_results(
+        tb.versions(spark, sf), tb.page_meta(spark, sf), tb.table(spark, sf, "documents"), tb.version_bodies(spark, sf),
+        a, b, _dictionary(spark), _stop_words(spark), deep=True, threshold=DEEP_THRESHOLD,
+        html_ref="version_id", html_key="version_id")
 
 
 @register
 def deep_changes(spark, sf):
-    # one-day frame: deep search re-analyses every half of every round
-    a, b = FRAMES[1]
-    v = tb.versions(spark, sf)
-    trimmed = stage_table(ver.select_and_trim(v, a, b), "trimmed")
-    pairs = ver.endpoints(trimmed)
-    refs = dict(html_ref="version_id", html_key="version_id")
-    pages = tb.page_meta(spark, sf)
-    docs, bodies = tb.table(spark, sf, "documents"), tb.version_bodies(spark, sf)
-    res = an.analyze_pairs(pairs, pages, docs, bodies, _dictionary(spark), _stop_words(spark), **refs)
-    d = dp.deep_changes(res, trimmed, pages, docs, bodies, 0.5, _dictionary(spark), _stop_words(spark), **refs)
-    if d is None:
-        return spark.createDataFrame([], "page_id long, node string, depth int, a_id long, b_id long, priority double")
-    return d.select("page_id", "node", "depth", F.col("a.version_id").alias("a_id"),
-                    F.col("b.version_id").alias("b_id"), F.round("analysis.priority", 6).alias("priority"))
+    r = _deep_results(spark, sf)
+    return r.select("page_id", F.posexplode("changes").alias("n", "c")).select(
+        "page_id", "n", F.col("c.a.version_id").alias("a_id"), F.col("c.b.version_id").alias("b_id"),
+        F.round("c.analysis.priority", 6).alias("priority"))
 
 
-from changelens.operators import analysis as an  # noqa: E402
+@register
+def deep_sheet_rows(spark, sf):
+    """SHT-02 over the weekly deep job."""
+    m = tb.page_meta(spark, sf).select("page_id", "url", "title", "tags", "maintainers")
+    r = sh.threshold(sh.drop_no_change(_deep_results(spark, sf)), DEEP_THRESHOLD).join(m, "page_id", "left")
+    rows = sh.deep_sheet_rows(sh.order_sheets(r, deep=True), run_time=F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    return rows.drop("_order", "_change")
 
 
 # ---------------------------------------------------------------- streaming
@@ -514,26 +534,17 @@ def _capture_feed(spark, sf):
                                    F.floor(F.col("value") / 200).cast("bigint").cast("string"))).alias("body_hash"))
 
 
-def _stream_name(prefix):
-    import uuid
-    return f"{prefix}_{uuid.uuid4().hex[:8]}"
-
-
 @register
 def capture_dedup_stream(spark, sf):
-    from changelens.session import checkpoint_dir
-    name = _stream_name("dedup")
-    out = stc.run_available_now(stc.dedup_captures(_capture_feed(spark, sf)), name,
-                                f"{checkpoint_dir(spark)}/stream-{name}")
+    out = stc.run_available_now(stc.dedup_captures(_capture_feed(spark, sf)),
+                                stage_path(spark, "dedup"), stage_path(spark, "dedup-state"))
     return out.select("page_id", "body_hash")
 
 
 @register
 def daily_changes_stream(spark, sf):
-    from changelens.session import checkpoint_dir
-    name = _stream_name("daily")
-    out = stc.run_available_now(stc.daily_changes(_capture_feed(spark, sf)), name,
-                                f"{checkpoint_dir(spark)}/stream-{name}")
+    out = stc.run_available_now(stc.daily_changes(_capture_feed(spark, sf)),
+                                stage_path(spark, "daily"), stage_path(spark, "daily-state"))
     return out.select("page_id", F.col("day").cast("timestamp_ntz").alias("day"), F.col("captures").cast("bigint").alias("captures"))
 
 
@@ -548,12 +559,9 @@ RESHEET_THRESHOLD = 0.3
 def results_roundtrip(spark, sf):
     """SNK-01 -> SRC-04 -> SRC-05: write the raw results, read them back,
     re-filter by tags and threshold."""
-    import uuid
-
-    from changelens.session import checkpoint_dir
     raw = rio.raw_results(sh.drop_no_change(_results(spark, sf)),
                           tb.page_meta(spark, sf).select("page_id", "url", "title", "tags", "maintainers"))
-    path = f"{checkpoint_dir(spark)}/results-{uuid.uuid4().hex[:8]}"
+    path = stage_path(spark, "raw-results")
     rio.write_results(raw, path)
     back = rio.read_results(spark, path, raw.schema)
     f = rio.refilter(back, RESHEET_TAGS, RESHEET_THRESHOLD)
@@ -565,12 +573,9 @@ def results_roundtrip(spark, sf):
 def sheet_files(spark, sf):
     """SHT-01 + SNK-02: write the formatted sheets as one CSV folder per
     sheet, read them back (all columns as text)."""
-    import uuid
-
-    from changelens.session import checkpoint_dir
     o = sh.order_sheets(sh.threshold(_sheeted(spark, sf), 0.25))
     rows = sh.sheet_rows(o, run_time=F.lit("2024-02-01 00:00:00").cast("timestamp"))
-    path = f"{checkpoint_dir(spark)}/sheets-{uuid.uuid4().hex[:8]}"
+    path = stage_path(spark, "sheets")
     rio.write_sheets(rows, path)
     back = spark.read.option("header", True).csv(path)
     return back.select("sheet", F.col("Index").cast("bigint").alias("idx"), F.col("URL").alias("url"),

@@ -15,12 +15,12 @@ def from_raw(raw: DataFrame, key: str = "page_id") -> DataFrame:
     return raw.select(
         F.col(f"page.{key}").alias(key), "page.url", "page.title", "page.tags", "page.maintainers",
         F.try_element_at("timeframe", F.lit(-1)).alias("a"), F.try_element_at("timeframe", F.lit(1)).alias("b"),
-        F.col("overall").alias("analysis"), "error")
+        F.col("overall").alias("analysis"), "changes", "error")
 
 
 def resheet(spark: SparkSession, input_path: str, schema, out_dir: str,
             tags: list[str] | None = None, threshold: float = 0.0, deep: bool = False) -> DataFrame:
     raw = rio.refilter(rio.read_results(spark, input_path, schema), tags, threshold)
-    rows = sh.sheet_rows(sh.order_sheets(from_raw(raw), deep=deep))
+    rows = (sh.deep_sheet_rows if deep else sh.sheet_rows)(sh.order_sheets(from_raw(raw), deep=deep))
     rio.write_sheets(rows, out_dir)
     return rows

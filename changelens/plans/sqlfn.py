@@ -63,66 +63,78 @@ def is_home_page(u):
     return is_home_path(part(u, 5))
 
 
-def dot_segments(p, rounds=4):
-    p = f"regexp_replace({p}, '/(\\./)+', '/', 'g')"
-    p = f"regexp_replace({p}, '/\\.$', '/')"
-    for _ in range(rounds):
-        p = f"regexp_replace({p}, '/[^/]+/\\.\\.(/|$)', '/', 'g')"
-    return f"regexp_replace({p}, '^/\\.\\.(/|$)', '/')"
+def let(name, value, body):
+    return f"([{body} FOR {name} IN [{value}]])[1]"
+
+
+def dot_segments(p):
+    """A name stays unless the folder depth falls below its own further on
+    (depth: running balance of names and '..', never under the root)."""
+    bal = "[list_sum(stp[1:i]) FOR i IN range(1, len(stp) + 1)]"
+    dep = "[bal[i] - least(0, list_min(bal[1:i])) FOR i IN range(1, len(bal) + 1)]"
+    kept = "[seg[i] FOR i IN range(1, len(seg) + 1) IF stp[i] = 1 AND list_min(dep[i:]) >= dep[i]]"
+    slash = "CASE WHEN regexp_matches(pth, '/\\.{1,2}$') THEN '/' ELSE '' END"
+    out = f"CASE WHEN len(kpt) = 0 THEN '/' ELSE '/' || array_to_string(kpt, '/') || {slash} END"
+    for name, value in (("kpt", kept), ("dep", dep), ("bal", bal),
+                        ("stp", "[CASE s WHEN '..' THEN -1 WHEN '.' THEN 0 ELSE 1 END FOR s IN seg]"),
+                        ("seg", "string_split(substring(pth, 2), '/')"), ("pth", f"regexp_extract({p}, '^[^?#]*')")):
+        out = let(name, value, out)
+    return f"({out} || regexp_extract({p}, '[?#].*$'))"
 
 
 def absolute_url(base, href):
-    h = f"trim({href})"
-    b_nofrag = f"regexp_replace({base}, '#.*$', '')"
-    origin = f"({part(base, 1)} || '//' || {part(base, 4)})"
-    bp = part(base, 5)
-    b_dir = f"regexp_replace(CASE WHEN {bp} = '' THEN '/' ELSE {bp} END, '[^/]*$', '')"
-    return f"""(CASE WHEN {h} IS NULL THEN NULL
-      WHEN regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN {h}
-      WHEN starts_with({h}, '//') THEN {part(base, 1)} || {h}
-      WHEN starts_with({h}, '/') THEN {origin} || {dot_segments(h)}
-      WHEN starts_with({h}, '?') THEN {origin} || {bp} || {h}
-      WHEN starts_with({h}, '#') THEN {b_nofrag} || {h}
-      WHEN {h} = '' THEN {b_nofrag}
-      ELSE {origin} || {dot_segments(f"{b_dir} || {h}")} END)"""
+    body = f"""CASE WHEN xh IS NULL THEN NULL
+      WHEN regexp_matches(xh, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN xh
+      WHEN starts_with(xh, '//') THEN {part('xb', 1)} || xh
+      WHEN starts_with(xh, '?') THEN xo || {part('xb', 5)} || xh
+      WHEN starts_with(xh, '#') THEN regexp_replace(xb, '#.*$', '') || xh
+      WHEN xh = '' THEN regexp_replace(xb, '#.*$', '')
+      ELSE xo || {dot_segments('xt')} END"""
+    b_dir = f"regexp_replace(CASE WHEN {part('xb', 5)} = '' THEN '/' ELSE {part('xb', 5)} END, '[^/]*$', '')"
+    for name, value in (("xt", f"CASE WHEN starts_with(xh, '/') THEN xh ELSE {b_dir} || xh END"),
+                        ("xo", f"({part('xb', 1)} || '//' || {part('xb', 4)})"), ("xh", f"trim({href})"), ("xb", base)):
+        body = let(name, value, body)
+    return body
 
 
 def remove_session_id(u):
-    x = f"regexp_replace({u}, {q(U.SERVLET_SESSION_RE)}, '')"
-    x = f"regexp_replace({x}, {q(U.ASP_SESSION_RE)}, '/')"
-    frag = f"regexp_extract({x}, '(#.*)$', 1)"
-    nofrag = f"regexp_replace({x}, '#.*$', '')"
-    base = f"split_part({nofrag}, '?', 1)"
-    query = f"regexp_extract({nofrag}, '^[^?]*\\?(.*)$', 1)"
     keys = "[" + ", ".join(q(k) for k in U.SESSION_QUERY_KEYS) + "]"
-    kept = f"list_filter(string_split({query}, '&'), lambda kv: kv <> '' AND NOT list_contains({keys}, lower(split_part(kv, '=', 1))))"
-    q2 = f"array_to_string({kept}, '&')"
-    return (f"(CASE WHEN {u} IS NULL THEN NULL ELSE {base} || "
-            f"(CASE WHEN contains({nofrag}, '?') AND {q2} <> '' THEN '?' || {q2} ELSE '' END) || {frag} END)")
+    kept = f"array_to_string([kv FOR kv IN string_split(sq, '&') IF kv <> '' AND NOT list_contains({keys}, lower(split_part(kv, '=', 1)))], '&')"
+    body = """split_part(sn, '?', 1) || (CASE WHEN contains(sn, '?') AND sk <> '' THEN '?' || sk ELSE '' END)
+      || regexp_extract(sx, '(#.*)$', 1)"""
+    path = f"regexp_replace(regexp_replace({u}, {q(U.SERVLET_SESSION_RE)}, ''), {q(U.ASP_SESSION_RE)}, '/')"
+    for name, value in (("sk", kept), ("sq", "regexp_extract(sn, '^[^?]*\\?(.*)$', 1)"),
+                        ("sn", "regexp_replace(sx, '#.*$', '')"), ("sx", path)):
+        body = let(name, value, body)
+    return body
 
 
 def normalize_url(href, base):
-    h = f"trim({href})"
-    absu = absolute_url(base, h)
-    frag = f"regexp_extract({absu}, '#(.*)$', 1)"
-    canon = canonical_url(absu)
-    same = f"({frag} <> '' AND {canon} = {canonical_url(base)})"
-    wf = f"({canon} || CASE WHEN {frag} <> '' THEN '#' || {frag} ELSE '' END)"
-    https = f"(CASE WHEN starts_with({wf}, 'http:') THEN 'https:' || substring({wf}, 6) ELSE {wf} END)"
-    return f"""(CASE WHEN {h} = '#' THEN '#'
-      WHEN NOT {is_valid(absu)} OR {host(absu)} = '' THEN {href}
-      WHEN {same} THEN '#' || {frag}
-      ELSE {remove_session_id(https)} END)"""
+    wf = "(nc || CASE WHEN nf <> '' THEN '#' || nf ELSE '' END)"
+    body = f"""CASE WHEN nh = '#' THEN '#'
+      WHEN NOT {is_valid('na')} OR {host('na')} = '' THEN nr
+      WHEN nf <> '' AND nc = {canonical_url('nb')} THEN '#' || nf
+      ELSE {remove_session_id('nw')} END"""
+    for name, value in (("nw", f"regexp_replace({wf}, '^http:', 'https:')"), ("nc", canonical_url("na")),
+                        ("nf", "regexp_extract(na, '#(.*)$', 1)"), ("na", absolute_url("nb", "nh")),
+                        ("nh", "trim(nr)"), ("nr", href), ("nb", base)):
+        body = let(name, value, body)
+    return body
 
 
 def url_change_type(a, b):
-    ka, kb = canonical_key(a), canonical_key(b)
-    R = q(U.KEY_SPLIT_RE)
-    return f"""(CASE WHEN {ka} IS NOT DISTINCT FROM {kb} THEN NULL
-      WHEN NOT coalesce(regexp_matches({ka}, {R}) AND regexp_matches({kb}, {R}), FALSE) THEN 'path'
-      WHEN regexp_extract({ka}, {R}, 1) <> regexp_extract({kb}, {R}, 1) THEN 'domain'
-      WHEN regexp_extract({ka}, {R}, 2) <> regexp_extract({kb}, {R}, 2) THEN 'path'
-      ELSE 'name' END)"""
+    """By lists instead of the pattern: [host, folder] of each key."""
+    def parts(k):
+        segs = f"string_split(split_part({k}, '?', 1), '/')"
+        ok = f"contains(split_part({k}, '?', 1), ')') AND len({segs}) > 1 AND NOT starts_with({k}, ')')"
+        head = f"array_to_string(({segs})[1:-2], '/')"
+        return f"CASE WHEN {ok} THEN [split_part({head}, ')', 1), substring({head}, length(split_part({head}, ')', 1)) + 2)] END"
+
+    body = """CASE WHEN ka IS NOT DISTINCT FROM kb THEN NULL WHEN pa IS NULL OR pb IS NULL THEN 'path'
+      WHEN pa[1] <> pb[1] THEN 'domain' WHEN pa[2] <> pb[2] THEN 'path' ELSE 'name' END"""
+    for name, value in (("pb", parts("kb")), ("pa", parts("ka")), ("kb", canonical_key(b)), ("ka", canonical_key(a))):
+        body = let(name, value, body)
+    return body
 
 
 # ---------------------------------------------------------------- status, gates, redirects
@@ -163,7 +175,7 @@ def title_status(title):
             f"lambda x: trim(x)), lambda s: {sec}), lambda c: c IS NOT NULL)[1]")
 
 
-def effective_status(url, status, network_error, title, redirects):
+def effective_status(url, status, network_error, title, redirects, apex="NULL"):
     base = base_status(status, network_error)
     t = f"coalesce({title}, '')"
     has = f"(coalesce(len({redirects}), 0) > 0)"
@@ -182,6 +194,7 @@ def effective_status(url, status, network_error, title, redirects):
       WHEN {base} >= 400 THEN {base}
       WHEN coalesce({home_rule}, FALSE) THEN 404 {ov}
       WHEN {ts} IS NOT NULL THEN {ts}
+      WHEN contains(lower(coalesce({apex}, '')), 'level=error') THEN 500
       WHEN {has} AND coalesce(regexp_matches({last}, {q(ST.ASPX_ERROR_RE)}), FALSE) THEN 500
       ELSE {base} END AS INTEGER)"""
 

@@ -13,15 +13,20 @@ from changelens.functions import redirects as RD
 from changelens.functions import status as ST
 from changelens.operators import sheets as sh
 from changelens.operators import versions as ver
+from changelens.operators.catalog import select_pages
+from changelens.sources import results_io as rio
 
 WINDOW_DAYS = 7
+PAGE_URL = "https://monitor.example.org/page/%s"
 
 
 def status_sheet(v: DataFrame, pages: DataFrame, html_bodies: DataFrame, before,
-                 body_key: str = "version_id", body_col: str = "html") -> DataFrame:
+                 body_key: str = "version_id", body_col: str = "html", url_pattern: str | None = None,
+                 tags: list[str] | None = None) -> DataFrame:
     """One row per page with captures before ``before``: latest capture,
     latest valid capture (newest of the trimmed 7-day selection, else the
-    latest) and its effective status."""
+    latest) and its effective status; ``url_pattern`` and ``tags`` as in ``catalog.select_pages``."""
+    pages = select_pages(pages, url_pattern, tags)
     b = _dt.datetime.fromisoformat(str(before)) if not isinstance(before, _dt.datetime) else before
     after = (b - _dt.timedelta(days=WINDOW_DAYS)).isoformat(sep=" ")
     vb = v.where(F.col("capture_time") < ver.ts_lit(before))
@@ -30,12 +35,22 @@ def status_sheet(v: DataFrame, pages: DataFrame, html_bodies: DataFrame, before,
     body = html_bodies.select(F.col(body_key).alias("valid_id"), F.col(body_col).alias("html"))
     j = lv.join(vv, "valid_id").join(body, "valid_id", "left")
     eff = ST.effective_status(F.col("vv.url"), F.col("vv.status"), F.col("vv.network_error"), F.col("vv.title"),
-                              None, RD.all_redirects(F.col("vv.redirects"), RD.client_redirect(F.col("html"))))
-    m = pages.select("page_id", "url", "tags")
+                              F.col("vv.headers") if "headers" in v.columns else None, RD.all_redirects(F.col("vv.redirects"), RD.client_redirect(F.col("html"))))
+    m = pages.select("page_id", "url", "tags")  # pages without captures are absent
     return j.join(m, "page_id").select(
         sh.prefixed_values(F.col("tags"), "agency:").alias("agencies"),
         sh.prefixed_values(F.col("tags"), "office:").alias("offices"),
         "url", fm.format_status(F.col("latest.status")).alias("status"),
         fm.format_status(eff).alias("effective_status"),
         fm.format_datetime(F.col("latest.capture_time")).alias("capture_time"),
-        fm.format_datetime(F.col("valid_time")).alias("valid_capture_time"))
+        fm.format_datetime(F.col("valid_time")).alias("valid_capture_time"),
+        F.format_string(PAGE_URL, F.col("page_id").cast("string")).alias("page_link"))
+
+
+# The sheet's headers, in the order of the columns above.
+HEADERS = ["Agencies", "Offices", "URL", "Status", "Effective Status", "Capture Time", "Latest Valid Capture Time", "Scanner URL"]
+
+
+def write_status_sheet(rows: DataFrame, path: str) -> None:
+    """SNK-05: the status sheet as CSV, by URL."""
+    rio.write_csv(rows.toDF(*HEADERS), path, ["URL"])

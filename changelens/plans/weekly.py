@@ -10,18 +10,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from changelens.operators import analysis as an
+from changelens.operators import deep as dp
 from changelens.operators import versions as ver
+from changelens.operators.catalog import select_pages
 from changelens.session import stage_table
 
 
 def change_results(v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_bodies: DataFrame,
                    after, before, dictionary: DataFrame | None = None, stop_words: DataFrame | None = None,
-                   key: str = "page_id", **body_refs) -> DataFrame:
+                   key: str = "page_id", url_pattern: str | None = None, tags: list[str] | None = None,
+                   deep: bool = False, threshold: float = 0.25, **body_refs) -> DataFrame:
+    """One row per page with captures: gate error or analysis.  ``url_pattern``
+    and ``tags`` choose pages (SRC-01).  ``deep`` adds ``changes``: the parts
+    of each result with priority >= ``threshold``, older first (VER-08/09)."""
+    if url_pattern or tags:
+        pages = select_pages(pages, url_pattern, tags)
+        v = v.join(pages.select(key), key, "left_semi")
     # Selection runs on the narrow capture columns; the wide fields are
     # fetched for the two end captures of each page only.
-    ends = ver.endpoints(ver.select_and_trim(ver.narrow(v, key), after, before, key=key), key=key)
-    pairs = stage_table(ver.widen(ends, v, key=key), "pairs")
-    return an.analyze_pairs(pairs, pages, text_bodies, html_bodies, dictionary, stop_words, key=key, **body_refs)
+    trimmed = ver.select_and_trim(ver.narrow(v, key), after, before, key=key)
+    if deep:
+        trimmed = stage_table(trimmed, "trimmed")
+    pairs = stage_table(ver.widen(ver.endpoints(trimmed, key=key), v, key=key), "pairs")
+    results = an.analyze_pairs(pairs, pages, text_bodies, html_bodies, dictionary, stop_words, key=key, **body_refs)
+    if not deep:
+        return results
+    results = stage_table(results, "results")
+    found = dp.deep_changes(results, trimmed, v, pages, text_bodies, html_bodies, threshold, dictionary, stop_words, **body_refs)
+    return dp.with_changes(results, found, key)
 
 
 def write_outputs(results: DataFrame, pages: DataFrame, out_dir: str, threshold: float = 0.0,
@@ -34,9 +50,6 @@ def write_outputs(results: DataFrame, pages: DataFrame, out_dir: str, threshold:
     """
     from pyspark.sql import functions as F
 
-    from changelens.functions import formats as fm
-    from changelens.functions import redirects as RD
-    from changelens.functions import urls as U
     from changelens.operators import sheets as sh
     from changelens.sources import results_io as rio
 
@@ -45,24 +58,11 @@ def write_outputs(results: DataFrame, pages: DataFrame, out_dir: str, threshold:
     rio.write_results(rio.raw_results(kept, meta, key), f"{out_dir}/_results.json.gz")
     joined = kept.join(meta, key, "left")
     ordered = sh.order_sheets(sh.threshold(joined, threshold), deep=deep)
-    rio.write_sheets(sh.sheet_rows(ordered, key), f"{out_dir}/sheets")
+    rio.write_sheets((sh.deep_sheet_rows if deep else sh.sheet_rows)(ordered, key), f"{out_dir}/sheets")
     with_sheet = joined.withColumn("sheet", sh.sheet_key(F.col("tags")))
     changed = sh.redirect_changes(with_sheet, key)
     rio.write_csv(changed.withColumn("_cat", F.col("Category")).withColumn("_dom", F.col("Domain")),
                   f"{out_dir}/_redirects-changed", ["_cat", "_dom", "_url"])
-    cur = with_sheet.where(F.col("analysis").isNotNull())
-    allb = RD.all_redirects(F.col("b.redirects"), F.col("analysis.redirect.b_client"))
-    last = F.try_element_at(allb, F.lit(-1))
-    current = cur.where(F.size(allb) > 0).select(
-        fm.view_url(sh.VIEW_URL, F.col(key), F.col("a.version_id"), F.col("b.version_id")).alias("Scanner"),
-        F.regexp_extract("sheet", r"^(.*)--(.*?)$", 1).alias("Category"),
-        F.when(F.col("sheet").contains("--"), F.regexp_extract("sheet", r"^(.*)--(.*?)$", 2))
-        .otherwise(F.col("sheet")).alias("Domain"),
-        fm.format_status(F.col("analysis.status_b")).alias("Status"),
-        U.url_change_type(F.col("b.url"), last).alias("Redirect Type"),
-        F.col("b.url").alias("Monitored URL"), last.alias("Redirected URL"),
-        fm.format_redirects(F.col("analysis.redirect.b_server"), F.col("analysis.redirect.b_client")).alias("All Redirects"),
-        F.col("url").alias("_url"),
-    ).where(F.col("Redirect Type").isNotNull())
+    current = sh.redirects_current(with_sheet, key).drop(key, "sheet")
     rio.write_csv(current.withColumn("_cat", F.col("Category")).withColumn("_dom", F.col("Domain")),
                   f"{out_dir}/_redirects-current", ["_cat", "_dom", "_url"])

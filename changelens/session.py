@@ -44,11 +44,10 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 
 
 def apply_job_conf(spark: SparkSession) -> None:
+    """Set the job settings that differ, on the session that runs the job."""
     for k, v in JOB_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings on a managed cluster
-            pass
 
 
 # Folders staged by this process, per application id, for ``drop_stages``.

@@ -15,12 +15,17 @@ from changelens.functions import urls as U
 
 def raw_results(results: DataFrame, pages: DataFrame, key: str = "page_id") -> DataFrame:
     """SNK-01 rows: page fields (no bodies), timeframe ends, analysis,
-    changes, error as 'Kind: message'; ordered by the page's URL key."""
+    changes of a deep run (``a``, ``b``, ``analysis``; else none), error as
+    'Kind: message'; ordered by the page's URL key."""
     r = results.join(pages, key, "left")
+    if "changes" not in r.columns:
+        part = F.struct("a", "b", "analysis")
+        r = r.withColumn("changes", F.filter(F.array(part), lambda _: F.lit(False)))
     return r.select(
         F.struct(key, "url", U.canonical_key(F.col("url")).alias("url_key"), "title", "tags", "maintainers").alias("page"),
         F.array(F.col("b"), F.col("a")).alias("timeframe"),
         F.col("analysis").alias("overall"),
+        "changes",
         F.when(F.col("error_kind").isNotNull(), F.concat(F.col("error_kind"), F.lit(": "), F.col("error"))).alias("error"),
     ).orderBy(F.col("page.url_key"))
 
@@ -50,10 +55,11 @@ def sheet_file_name(sheet):
 
 
 def write_sheets(rows: DataFrame, path: str) -> None:
-    """SNK-02: one CSV folder per sheet (``sheet=<name>``), rows in Index
-    order inside each sheet."""
+    """SNK-02: one CSV folder per sheet (``sheet=<name>``); its part files in
+    name order hold the rows in Index order.  A large sheet is several files."""
+    order = ["sheet", "_order"] + (["_change"] if "_change" in rows.columns else [])
     (rows.withColumn("sheet", sheet_file_name(F.col("sheet")))
-     .repartition("sheet").sortWithinPartitions("sheet", "_order").drop("_order")
+     .repartitionByRange(*order).sortWithinPartitions(*order).drop(*order[1:])
      .write.mode("overwrite").partitionBy("sheet").option("header", True).csv(path))
 
 

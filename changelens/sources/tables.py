@@ -6,11 +6,10 @@ the views below re-read them as one:
 * ``versions``   (F1) captures from ``events``; bodies by join to
                  ``documents`` (text) and ``pages`` (HTML)
 * ``page_meta``  (F6) catalogue rows from ``customer ⋈ nation ⋈ region``
-* ``doc_pairs``  (F2) previous document of the same source / same opening
+* ``doc_pairs``  (F2) previous document of the same source
 * ``page_pairs`` (F3) previous page of the same host and language
 
-Everything is lazy; nothing is collected.  Scalar counts are scalar
-subqueries, planned by Spark.
+Nothing is collected.  Scalar counts are scalar subqueries, planned by Spark.
 """
 
 from __future__ import annotations
@@ -111,16 +110,14 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("text/html").alias("media_type"),
         F.concat(F.lit("https://bodies.example.org/"), F.col("event_id").cast("string")).alias("body_url"),
         redirects.alias("redirects"),
+        F.when(F.col("event_id") % 19 == 0, F.create_map(F.lit("apex-debug-id"), F.lit("user=1;LEVEL=ERROR"), F.lit("server"), F.lit("x")))
+        .when(F.col("event_id") % 19 == 1, F.create_map(F.lit("apex-debug-id"), F.lit("level=info"))).alias("headers"),
     )
 
 
-def doc_pairs(spark: SparkSession, sf_dir: str, kind: str = "src") -> DataFrame:
-    """(pair_id, a_doc, b_doc); ``src`` = same source, ``near`` = same first 40 chars."""
-    d = table(spark, sf_dir, "documents")
-    if kind == "src":
-        g = d.select("doc_id", F.col("source").alias("grp"))
-    else:
-        g = d.select("doc_id", F.substring("text", 1, 40).alias("grp"))
+def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pair_id, a_doc, b_doc): a document and the one before it of the same source."""
+    g = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("grp"))
     p = previous_in_group(g, "grp", "doc_id")
     return p.where(F.col("prev_doc_id").isNotNull()).select(
         F.col("doc_id").alias("pair_id"),
@@ -162,6 +159,9 @@ def url_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(bare, F.lit("/#section-2")),
         F.upper(bare),
         F.lit("not a url"),
+        F.lit("../../../../up4/x.html"), F.lit("../../../../../up5"), F.lit("a/b/../../../../../../x/y/../z/"),
+        F.lit("/a/b/c/d/e/f/p.html/../../../../x"), F.lit("/a/b/c/d/e/f/g/../../../../../../../../x/.."),
+        F.lit("/a/./b/../../c/./?q=/../x#/../y"), F.lit("/.."), F.lit("/a//b/../c/."), F.lit(".."),
     )
     hrefs = F.concat(F.regexp_extract_all(F.col("html"), F.lit(LINK_RE), 1), variants)
     return p.select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
@@ -180,3 +180,38 @@ def version_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(vid % 29 == 0, F.lit('<meta http-equiv="refresh" content="5">'))
         .otherwise(F.lit("")))
     return v.join(p, "html_id").select("version_id", F.concat(tag, F.col("html")).alias("html"))
+
+
+# F8: markup put in right after <body>, picked by page_id % len, to reach the
+# rules that the driver's pages have no case of: (html, texts kept by the strip
+# rules, on news pages too or only there).
+STRIP_MARKS = [
+    ("", []),
+    ('<div class="social-links"><p>Follow us</p></div><i>Italic stays</i>', ["Italic stays"]),
+    ("<div id='sharing'>Share it</div><i class='fa'>icon</i><div class='feedback'>Feedback stays</div>", ["Feedback stays"]),
+    ('<div class="Tweet-Feed-Box"><b>tweets</b></div><div class="related">Related stays</div>', ["Related stays"]),
+    ('<nav><span class="news">Nav news</span></nav><p class="news">Plain news stays</p>', ["*Nav news", "Plain news stays"]),
+    ('<div class="news box"><p>News box</p></div><p hidden>Hidden attribute stays</p>', ["*News box", "Hidden attribute stays"]),
+    ('<select><option>1<option>2<option>3<option>4<option>5<option>6<option>7<option>8<option>9<option>10<option>11</select>'
+     "<noscript>no script</noscript><template>no template</template>", []),
+]
+MAIN_MARKS = [
+    "", "<header><p>Site head</p></header>", "<main><p>Main before the nav</p></main>",
+    "<article><p>Second article</p></article>", '<div id="main"><p>Id before the nav</p></div>',
+]
+LINK_MARKS = [
+    ("", None), ('<a aria-controls="m" href="#a9">Menu</a>', ("#", "Menu")),
+    ('<a aria-controls="m" href="javascript:go()">Go</a>', ("#", "Go")),
+    ('<a aria-controls="m" href="/real">Real <b>one</b></a>', ("/real", "Real one")),
+    ("<a aria-controls='m'>None</a>", ("#", "None")), ("<A HREF='single'>Single</A>", ("single", "Single")),
+    ('<!-- <a href="/commented">no</a> -->', None),
+]
+
+
+def marked_pages(spark: SparkSession, sf_dir: str, marks: list[str]) -> DataFrame:
+    """``pages`` with one of ``marks`` after <body>."""
+    p = table(spark, sf_dir, "pages")
+    mark = F.element_at(F.array(*[F.lit(m) for m in marks]), (F.col("page_id") % len(marks) + 1).cast("int"))
+    at = F.instr("html", "<body>")
+    return p.withColumn("html", F.when(at > 0, F.concat(
+        F.substr("html", F.lit(1), at + 5), mark, F.substr("html", at + 6))).otherwise(F.col("html")))

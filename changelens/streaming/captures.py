@@ -40,10 +40,10 @@ def daily_changes(captures: DataFrame, lateness: str = "1 day", key: str = "page
             .select(key, F.col("day.start").alias("day"), "captures"))
 
 
-def run_available_now(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Run a streaming query over all available input (available-now
-    trigger) into a memory table and return that table as a batch frame."""
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
+def run_available_now(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run a streaming query over all available input (available-now trigger)
+    into Parquet files at ``path``, in append mode, and read them back."""
+    q = (df.writeStream.format("parquet").outputMode("append").option("path", path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
