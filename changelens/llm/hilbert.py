@@ -101,13 +101,13 @@ def assign(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, carry: tuple
 
 
 def write_shards(docs: DataFrame, path: str | None = None, shards: int = SHARDS, bits: int = BITS) -> tuple[str, DataFrame]:
-    """Write whole documents as one folder per shard, in slot order, and return
-    the path and the level ranges of the shards for pruning."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id",))
-    out = assign(docs.withColumnsRenamed({c: f"doc_{c}" for c in rest}).select(
-        "*", *[F.col(f"doc_{c}").alias(c) for c in ("text", "lang", "source")]), shards, bits, tuple(f"doc_{c}" for c in rest))
+    """Write whole documents (each as the struct ``row``) as one folder per
+    shard, in slot order, and return the path and the level ranges of the
+    shards for pruning."""
+    whole = docs.select("doc_id", "text", "lang", "source", F.struct("*").alias("row"))
     path = path or stage_path(docs.sparkSession, "shards")
-    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    (assign(whole, shards, bits, ("row",)).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+     .write.partitionBy("shard").parquet(path))
     return path, shard_ranges(docs.sparkSession.read.parquet(path))
 
 
