@@ -33,6 +33,12 @@ def test_swap_flips_ops(spark):
     assert one == two
 
 
+def test_ordered_diff_puts_removed_lines_in_place(spark):
+    lab = dif.label_units(units(spark, ["a", "gone1", "b", "gone2", "c"], ["a", "b", "new", "c"]))
+    rows = dif.ordered_diff(lab).orderBy("seq").collect()
+    assert [(r.op, r.unit) for r in rows] == [(0, "a"), (-1, "gone1"), (0, "b"), (-1, "gone2"), (1, "new"), (0, "c")]
+
+
 def test_key_term_net(spark):
     lab = dif.label_units(units(spark, ["the old green energy plan"], ["the new green energy plan", "green energy"]))
     d = trm.term_dictionary(values_table(spark, ["Green Energy", "plan"], ["term"]))
@@ -46,3 +52,10 @@ def test_normalize_text(spark):
     from changelens.functions import text as tx
     df = spark.createDataFrame([("Ça va? L'été—très  Straße_x",)], "t string")
     assert df.select(tx.normalize_text(F.col("t")).alias("n")).first().n == "ca va lete tres strasse_x"
+
+
+def test_marks_and_other_scripts(spark):
+    from changelens.functions import text as tx
+    df = spark.createDataFrame([("e\u0301te\u0301 Ž Ωμέγα Йод 한글",)], "t string")
+    assert df.select(tx.normalize_text(F.col("t")).alias("n")).first().n == "ete z ωμεγα иод 한글"
+    assert df.select(tx.normalize_text_exact(F.col("t")).alias("n")).first().n.startswith("ete z ωμεγα иод")
