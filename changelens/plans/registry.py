@@ -2,7 +2,7 @@
 
 Each one reads the driver tables (through the fixture views of
 ``changelens.sources.tables``) and runs a library operator on all rows.
-Column names equal those of the matching oracle SQL in ``plans.oracle``.
+Column names equal those of the matching oracle SQL in ``tools/oracle.py``.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from changelens.operators import analysis as an
 from changelens.operators import blocks as bk
 from changelens.operators import versions as ver
 from changelens.operators.catalog import select_pages
-from changelens.plans.oracle import FRAMES
 from changelens.session import stage_path, stage_table
 from changelens.sources import tables as tb
+from changelens.sources.tables import FRAMES, STOP_WORDS, TERMS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -64,7 +64,6 @@ def trimmed_versions(spark, sf):
 from changelens.functions import text as tx  # noqa: E402
 from changelens.operators import diffs as dif  # noqa: E402
 from changelens.operators import terms as trm  # noqa: E402
-from changelens.plans.oracle import STOP_WORDS, TERMS  # noqa: E402
 from changelens.sources.local import values_table  # noqa: E402
 
 

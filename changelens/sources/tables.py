@@ -25,6 +25,21 @@ TABLES = (
 ).split()
 
 
+# Timeframes of FIXTURES.md F1 (all four paths: normal, questionable-only,
+# no baseline, month end).
+FRAMES = [
+    ("2024-01-08", "2024-01-15"),
+    ("2024-01-10", "2024-01-11"),
+    ("2024-01-01", "2024-01-04"),
+    ("2024-01-25", "2024-01-31"),
+]
+
+# Fixture dictionaries (FIXTURES.md F4).
+TERMS = ["orantion", "Thanedble", "worthless", "license", "License", "MIT license", "released under",
+         "orantion orantion", "eriner thanea", "anea eriner thanea", "Ñga", "rééaution", "inoran inoran"]
+STOP_WORDS = ["the", "and", "of", "to", "a", "de", "la"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
