@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelens.session import stage_table
+from changelens.operators.sequence import with_rank as numbered
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = " \t\n\x0b\f\r"
@@ -52,38 +52,22 @@ def free_name(base: str, *frames: DataFrame) -> str:
     return base
 
 
-def join_on(left: DataFrame, right: DataFrame, cols: dict[str, str] | list[str], how: str = "inner") -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame, cols: dict[str, str] | list[str], how: str = "inner", hint: str = "") -> DataFrame:
     """Join on null-safe equality of ``cols`` (left name: right name); the
-    right side's key columns are dropped, so its other names must not clash."""
+    right side's key columns are dropped, so its other names must not clash.
+
+    ``hint="merge"`` is for a right side that grows with the documents: it is
+    then shuffled at every size, and never broadcast because it still happens to fit.
+    """
     pairs = cols if isinstance(cols, dict) else {c: c for c in cols}
     names = {r: free_name(f"_on_{r}", left, right) for r in pairs.values()}
     right = right.withColumnsRenamed(names)
+    right = right.hint(hint) if hint else right
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(names[r])) for k, r in pairs.items()])
     return left.join(right, on, how).drop(*names.values())
 
 
-def with_rank(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
-    """Add ``rank``: the place of each row in its group, from 0 without gaps, in
-    ascending order of ``order``.
-
-    Rows are dealt into sorted ranges, numbered inside each range, and the
-    ranges' counts (one row for each group and range) give the numbers before
-    them.  A group may span many ranges, so a group of any size is never
-    sorted by one task as long as ``order`` tells its rows apart.  The sorted
-    rows are staged, because ranges are cut from a sample and two evaluations
-    may cut them differently.  ``df`` should be narrow.
-    """
-    keys = [F.col(c) for c in group] + order
-    ranged = stage_table(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        .withColumn("_range", F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
-        name)
-    w = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        ranged.groupBy(*group, "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_first"))
-        .drop("_n", "_first")
-    )
-    return join_on(ranged, before, [*group, "_range"]).select(
-        *df.columns, (F.col("_at") + F.col("_before")).alias("rank"))
+def with_rank(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
+    """Add ``rank``: the place of each row in its group from 0, without gaps or large windows
+    (``sequence.with_rank``); ``df`` should be narrow."""
+    return numbered(df, group, order, "rank").withColumn("rank", F.col("rank") - 1)

@@ -109,7 +109,7 @@ def drop_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
         .select("doc_id", "h").distinct(), "dedup-gone")
     h = free_name("_h", docs)
     named = docs.withColumn(h, F.xxhash64(normalised(F.col("text"))))
-    return join_on(named, gone, {"doc_id": "doc_id", h: "h"}, "left_anti").drop(h)
+    return join_on(named, gone, {"doc_id": "doc_id", h: "h"}, "left_anti", "merge").drop(h)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,7 +90,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, carry: tuple
         "doc_id", "size", "text_crc32", *[f"_{c}" for c in carry], *[v.alias(f"level_{k}") for k, v in q.items()])
     cell = sum(F.shiftleft(F.col(f"level_{k}").cast("long"), bits * i) for i, k in enumerate(DIMS))
     placed = d.withColumn("cell", cell).join(F.broadcast(cells(docs.sparkSession, bits)), "cell").drop("cell")
-    ranked = with_rank(placed, [], [F.col("curve"), F.col("text_crc32"), F.col("size"), F.col("doc_id")], "hilbert")
+    ranked = with_rank(placed, [], [F.col("curve"), F.col("text_crc32"), F.col("size"), F.col("doc_id")])
     n = ranked.select(F.count("*")).scalar()
     # the first rank of shard s is the least r with r * shards >= s * n
     return (

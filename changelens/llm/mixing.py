@@ -118,7 +118,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     times = F.when(F.col("source_size") > 0, F.least(F.lit(float(MAX_COPIES)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     goal = targets.withColumn("base", F.floor(times).cast("long")).withColumn("p", times - F.col("base"))
     ranked = with_rank(
-        sized, ["source"], [F.col("size").desc(), F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")], "mix-ranks")
+        sized, ["source"], [F.col("size").desc(), F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")])
     ranked = join_on(ranked, goal, ["source"])
     picks = pivotal(
         ranked.where((F.col("size") > 0) & (F.col("p") > 0))
@@ -142,7 +142,7 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
         mix(docs, seed).groupBy("doc_id", "size").agg(F.round(F.avg("copies")).cast("int").alias(n)).where(F.col(n) > 0)
     )
     named = docs.withColumn(size, count_words(F.col("text")))
-    return join_on(named, copies, {"doc_id": "doc_id", size: "size"}).withColumn(
+    return join_on(named, copies, {"doc_id": "doc_id", size: "size"}, hint="merge").withColumn(
         copy, F.explode(F.array_repeat(F.lit(1), F.col(n)))).select(*docs.columns)
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changelens.llm.common import SPACE_RE, free_name, join_on, table, words
+from changelens.llm.common import SPACE_RE, join_on, table, words
 from changelens.session import stage_table
 
 ALPHA = 0.02
@@ -43,9 +43,9 @@ def _length_of(text: Column, other: str) -> Column:
     return F.length(F.regexp_replace(text, other, "")).cast("long")
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, lang, n_words, word_chars, n_symbols, n_bangs,
-    n_capitals, n_lines, n_dup_lines, n_repeat_words.
+def measures(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, lang, n_words, word_chars, n_symbols, n_bangs, n_capitals,
+    n_lines, n_dup_lines, n_repeat_words, and with ``carry`` the whole row as ``row``.
 
     Windows of ``WINDOW`` words that occur twice are found inside the row: hash
     the windows, and only where two hashes agree sort (hash, position) and
@@ -53,9 +53,10 @@ def measures(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    d = docs.select("doc_id", "lang", text.alias("text"), words(F.col("text")).alias("w"), lines.alias("lines"))
+    row = [F.struct("*").alias("row")] if carry else []
+    d = docs.select(*row, "doc_id", "lang", text.alias("text"), words(F.col("text")).alias("w"), lines.alias("lines"))
     d = d.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), "lang", F.size("w").cast("long").alias("n_words"),
+        *["row"] * carry, "doc_id", "lang", F.size("w").cast("long").alias("n_words"),
         _length_of(F.col("text"), SPACE_RE).alias("word_chars"), _length_of(F.col("text"), r"[^#*$%&|<>]+").alias("n_symbols"),
         _length_of(F.col("text"), r"[^!]+").alias("n_bangs"), _length_of(F.col("text"), r"[^A-Z]+").alias("n_capitals"),
         F.size("lines").cast("long").alias("n_lines"),
@@ -130,15 +131,15 @@ def cutoffs(rated: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: fl
         "stratum", "rule", "cutoff", "k", "n", "caught", "p_value")
 
 
-def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """One row per document: the measures, base_failed, kept.
+def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, carry: bool = False) -> DataFrame:
+    """One row per document: the measures, base_failed, kept, and with ``carry`` the whole row as ``row``.
 
     Defined cases: a null text has no words, so it fails the base rules; a null
     language is a stratum of its own; without labels (or for a stratum without
     any certified cutoff) the base rules decide alone.  Rows that repeat are
     judged alike.  An empty table gives an empty result.
     """
-    rated = with_rates(stage_table(measures(docs), "quality-measures"))
+    rated = with_rates(stage_table(measures(docs, carry), "quality-measures"))
     chosen = stage_table(cutoffs(rated, labels, alpha, delta), "quality-cutoffs")
     # one row per stratum: a column for each rule
     limits = chosen.groupBy("stratum").agg(
@@ -151,12 +152,12 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    bad = stage_table(
-        judge(docs, labels).where(~F.col("kept")).select("doc_id", "text_hash").distinct(), "quality-bad")
-    h = free_name("_hash", docs)
-    named = docs.withColumn(h, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return join_on(named, bad, {"doc_id": "doc_id", h: "text_hash"}, "left_anti").drop(h)
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    Whole rows are staged with their measures, so neither texts are shuffled
+    nor the measures taken twice, and a verdict is always on its own row.
+    """
+    return judge(docs, labels, carry=True).where("kept").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is its component's smallest, with all their columns."""
     keep = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return join_on(docs, stage_table(keep, "simhash-keep"), ["doc_id"], "left_semi")
+    return join_on(docs, stage_table(keep, "simhash-keep"), ["doc_id"], "left_semi", "merge")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
