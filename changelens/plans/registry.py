@@ -577,11 +577,8 @@ def sheet_files(spark, sf):
     path = stage_path(spark, "sheets")
     rio.write_sheets(rows, path)
     back = spark.read.option("header", True).csv(path)
-    return back.select("sheet", F.col("Index").cast("bigint").alias("idx"), F.col("URL").alias("url"),
-                       F.col("Effective Status").alias("effective_status"),
-                       # CSV has no null/empty distinction: analysed rows have text here
-                       F.when(F.col("Effective Status").isNotNull(),
-                              F.coalesce(F.col("Redirects Changed?"), F.lit(""))).alias("redirect_change"))
+    # CSV tells null from empty only by quotes and trims blanks
+    return back.select("sheet", *[F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in sh.SHEET_COLUMNS])
 
 
 @register
