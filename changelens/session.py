@@ -43,18 +43,24 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package when only the driver's path names it."""
+#: Bytes of rows that go to a Python worker at once: what a task holds several times over.
+ARROW_BATCH_BYTES = 8 << 20
+
+
+def prepare_python(spark: SparkSession) -> None:
+    """For queries with Python workers: let them find this package when only
+    the driver's path names it, and keep Arrow batches of long texts small."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
 def apply_job_conf(spark: SparkSession) -> None:
     """Set the job settings that differ, on the session that runs the job."""
-    importable(spark)
+    prepare_python(spark)
     for k, v in JOB_CONF.items():
         if spark.conf.get(k, None) != v and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
