@@ -16,8 +16,9 @@ up word by word in the task; nothing is shuffled.
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
 from os.path import commonprefix
 
 import numpy as np
@@ -28,10 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelens.llm.common import table
+from changelens.session import prepare_python
 
 #: Words, pairs of tokens that a worker remembers, and characters of text handled at once.
-CACHE_WORDS = 500_000
-CACHE_PAIRS = 1_000_000
+CACHE_WORDS = 250_000
+CACHE_PAIRS = 200_000
 BATCH_CHARS = 1 << 21
 NEVER = 1 << 60
 
@@ -39,6 +41,8 @@ NEVER = 1 << 60
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+#: The same for texts of ASCII characters only, for the faster engine.
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 #: A place where no pre-token goes on: they have white space only in front.
 CUT = regex.compile(r"(?<=\S)(?=\s)")
 
@@ -51,18 +55,31 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Codec:
+class Tokens:
+    """The bytes of each id of a vocabulary file: all that decoding needs."""
+
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+            self.load(json.load(f))
+
+    def load(self, spec: dict) -> None:
         letters = byte_letters()
-        raw = lambda token: bytes(letters[c] for c in token)
+        self.raw = lambda token: bytes(letters[c] for c in token)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.ids = {raw(t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
-        self.bytes_of = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
+        self.bytes_of = {i: self.raw(t) for t, i in spec["model"]["vocab"].items() if t not in self.special}
+        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
+class Codec(Tokens):
+    def load(self, spec: dict) -> None:
+        super().load(spec)
+        raw = self.raw
+        self.ids = {b: i for i, b in self.bytes_of.items() if i not in self.special.values()}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.ranks = {(raw(a), raw(b)): r for r, (a, b) in enumerate(pairs)}
-        self.joins = {(self.ids[a], self.ids[b]): r for (a, b), r in self.ranks.items()}
+        self.joins = {(self.ids[raw(a)], self.ids[raw(b)]): r for r, (a, b) in enumerate(pairs)}
         self.made_of: dict[int, tuple[int, int, int]] = {}
         for (a, b), r in self.joins.items():
             self.made_of.setdefault(self.ids[self.bytes_of[a] + self.bytes_of[b]], (a, b, r))
@@ -81,18 +98,19 @@ class Codec:
             if len(node[b[-1]]) == 1:  # a leaf is its token
                 node[b[-1]] = i
         self.find = regex.compile(PATTERN).findall
+        self.find_ascii = re.compile(ASCII_PATTERN, re.ASCII).findall
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else lambda x: [x]
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}  # ids as 32-bit integers
         self.pairs: dict[tuple[int, int], bool] = {}
 
-    def merged(self, word: bytes) -> list[bytes]:
+    def merged(self, word: bytes) -> list[int]:
         """Plain BPE: merge the leftmost pair of the lowest rank until none is left.  For short words."""
-        parts = [word[i : i + 1] for i in range(len(word))]
+        parts = [self.ids[word[i : i + 1]] for i in range(len(word))]
         while len(parts) > 1:
-            rank, at = min((self.ranks.get(p, NEVER), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
+            rank, at = min((self.joins.get(p, NEVER), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
             if rank == NEVER:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            parts[at : at + 2] = [self.ids[self.bytes_of[parts[at]] + self.bytes_of[parts[at + 1]]]]
         return parts
 
     def spine(self, token: int, side: int) -> tuple[list[int], list[int]]:
@@ -114,7 +132,7 @@ class Codec:
         border comes before the next one of either side.
         """
         if before < 0:
-            known = self.merged(self.bytes_of[token]) == [self.bytes_of[token]]
+            known = self.merged(self.bytes_of[token]) == [token]
         else:
             (left, left_ranks), (right, right_ranks) = self.spine(before, 1), self.spine(token, 0)
             i = j = 0
@@ -135,22 +153,23 @@ class Codec:
         self.pairs[before, token] = known
         return known
 
-    def traverse(self, words: Iterable[bytes]) -> Iterator[tuple[int, ...]]:
+    def traverse(self, words: Iterable[bytes]) -> Iterator[list[int]]:
         """The ids of distinct words in byte order, depth first through their trie.
 
         The state of a trie node is the last token of its prefix, and the walks
         through the vocabulary's own trie that are still alive there: pairs of
         the last token before the walk's start and its place in the vocabulary.
         """
-        top, pairs, stays = self.vocabulary, self.pairs, self.stays
-        last, alive = [-1], [()]
+        pairs, stays, sizes = self.pairs, self.stays, self.sizes
+        start = self.vocabulary
+        last, alive = [-1], [[(-1, start)]]
         path = b""
         for word in words:
             shared = len(commonprefix((path, word)))
             del last[shared + 1 :], alive[shared + 1 :]
             for byte in word[shared:]:
                 walks, found = [], None
-                for before, node in (*alive[-1], (last[-1], top)):
+                for before, node in alive[-1]:
                     if (node := node.get(byte)) is None:
                         continue
                     if node.__class__ is int:  # a token that no longer one starts with
@@ -162,14 +181,16 @@ class Codec:
                         ok = pairs.get((before, token))
                         if ok or ok is None and stays(before, token):
                             found = token
+                walks.append((found, start))
                 last.append(found)
                 alive.append(walks)
             path = word
             ids, end = [], len(word)
             while end:
                 ids.append(last[end])
-                end -= self.sizes[last[end]]
-            yield tuple(reversed(ids))
+                end -= sizes[last[end]]
+            ids.reverse()
+            yield ids
 
     def pre_tokens(self, text: str) -> Iterator[list[str] | int]:
         """Lists of words, and the ids of special tokens between them; a long text comes in pieces."""
@@ -181,32 +202,32 @@ class Codec:
             while at < len(part):
                 cut = CUT.search(part, at + BATCH_CHARS)
                 end = cut.start() if cut else len(part)
-                yield self.find(part[at:end])
+                piece = part[at:end]
+                yield self.find_ascii(piece) if piece.isascii() else self.find(piece)
                 at = end
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         docs = [list(self.pre_tokens(t)) for t in texts]
         used = set().union(*(p for d in docs for p in d if not isinstance(p, int)))
-        new = sorted((w.encode("utf-8", "surrogatepass"), w) for w in used - self.words.keys())
+        new = used - self.words.keys()
         if len(self.words) + len(new) > CACHE_WORDS:
-            self.words = {w: self.words[w] for w in used & self.words.keys()}  # the common ones are in any batch
-        self.words.update(zip((w for _, w in new), self.traverse(b for b, _ in new), strict=True))
+            self.words = {w: self.words[w] for w in used - new}  # the common ones are in any batch
+        in_order = sorted(w.encode() for w in new)
+        for word, ids in zip(in_order, self.traverse(in_order), strict=True):
+            self.words[word.decode()] = array("i", ids).tobytes()
         get = self.words.__getitem__
-        flat = lambda d: chain.from_iterable((p,) if isinstance(p, int) else chain.from_iterable(map(get, p)) for p in d)
-        return [np.fromiter(flat(d), np.int32) for d in docs]
-
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        joined = lambda d: b"".join(array("i", [p]).tobytes() if isinstance(p, int) else b"".join(map(get, p)) for p in d)
+        return [np.frombuffer(joined(d), np.int32) for d in docs]
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[tuple[type, str], Tokens] = {}
 
 
-def codec(path: str) -> Codec:
-    """The worker's codec of a vocabulary file, with the words it has seen."""
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+def loaded(kind: type, path: str) -> Tokens:
+    """The worker's ``Codec`` of a vocabulary file, with the words it has seen, or its ``Tokens``."""
+    if (kind, path) not in _CODECS:
+        _CODECS[kind, path] = kind(path)
+    return _CODECS[kind, path]
 
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
@@ -220,8 +241,9 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = BATCH_CHARS) -> Iter
         at = end
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids array<int>) of every whole text, as the vocabulary's own library gives them.
+def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) of every whole text, as the vocabulary's own
+    library gives them, and with ``decoded`` the text that those ids decode to.
 
     Strings of special tokens in a text become their ids, nothing is added.
     Defined cases: a null or empty text has no ids; rows that repeat are
@@ -230,23 +252,27 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
+        c = loaded(Codec, path)
         for b in it:
             for part in chunks(b, "text"):
                 ids = c.encode([x or "" for x in part.column("text").to_pylist()])
                 sizes = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 values = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(sizes), values)], ["doc_id", "ids"])
+                columns = {"doc_id": part.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(sizes), values)}
+                if decoded:
+                    columns["decoded"] = pa.array([c.decode(x) for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(batches, "doc_id long, ids array<int>")
+    prepare_python(docs.sparkSession)
+    schema = "doc_id long, ids array<int>" + ", decoded string" * decoded
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(batches, schema)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """``tokens`` (doc_id, ids) with ``decoded``: the text of the ids, special tokens as their strings."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
+        c = loaded(Tokens, path)
         for b in it:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
@@ -254,12 +280,13 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
                 texts = [c.decode(x.values.to_numpy()) if x.is_valid else "" for x in column]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), column, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
+    prepare_python(tokens.sparkSession)
     return tokens.select("doc_id", "ids").mapInArrow(batches, "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decode(encode(docs, path), path).select(
+    return encode(docs, path, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
