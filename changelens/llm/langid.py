@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from changelens.llm.bpe import chunks
 from changelens.llm.common import table
+from changelens.session import prepare_python
 
 BUCKETS = 1 << 14
 SIZES = (1, 2, 3)
@@ -68,13 +69,15 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
             at = np.nonzero(own)[0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])], ["lang", "bucket", "n"])
 
+    prepare_python(labelled.sparkSession)
+    most = (MATRIX_MB << 20) // ((BUCKETS + 1) * 8)
+    if labelled.select("lang").distinct().limit(most + 2).count() > most + 1:  # a null is one of them
+        raise ValueError(f"more than {most} languages of {BUCKETS} buckets do not fit {MATRIX_MB} MB; use fewer buckets")
     rows = labelled.select(F.col("text").cast("string"), F.col("lang").cast("string")).where("text IS NOT NULL AND lang IS NOT NULL")
     sums = rows.mapInArrow(batches, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    langs = sorted(r.lang for r in sums.where(F.col("bucket") == BUCKETS).select("lang").collect())
-    if len(langs) * (BUCKETS + 1) * 8 > MATRIX_MB << 20:
-        raise ValueError(f"{len(langs)} languages x {BUCKETS} buckets are more than {MATRIX_MB} MB; use fewer buckets")
+    got = sums.toArrow()  # languages x (BUCKETS + 1) rows at most
+    langs = sorted(set(got["lang"].to_pylist()))
     counts = np.zeros((BUCKETS + 1, len(langs)))
-    got = sums.toArrow()
     column = {lang: i for i, lang in enumerate(langs)}
     counts[got["bucket"].to_numpy(), [column[x] for x in got["lang"].to_pylist()]] = got["n"].to_numpy()
     grams = counts[:-1] + SMOOTHING
@@ -100,6 +103,7 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
     order.  Rows that repeat are judged alike.
     """
     shared = docs.sparkSession.sparkContext.broadcast((langs, matrix))
+    prepare_python(docs.sparkSession)
     kept = [c for c in docs.columns if c != "text"]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
