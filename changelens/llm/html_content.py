@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from changelens.llm.bpe import chunks
 from changelens.llm.common import table
+from changelens.session import prepare_python
 
 PAGES = 400
 SEED = 11
@@ -368,6 +369,7 @@ def extract(pages: DataFrame, trained: Model | None = None) -> DataFrame:
     the common cases; rows that repeat are extracted alike; other columns are
     not read; an empty table gives an empty result.
     """
+    prepare_python(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(trained or model())
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

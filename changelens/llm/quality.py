@@ -49,7 +49,8 @@ def measures(docs: DataFrame, carry: bool = False) -> DataFrame:
 
     Windows of ``WINDOW`` words that occur twice are found inside the row: hash
     the windows, and only where two hashes agree sort (hash, position) and
-    count the words that repeated windows cover.
+    count the words that repeated windows cover.  Within one text windows are
+    told apart by their 64-bit hash.  A row holds some tens of bytes a word.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,18 +10,6 @@ import corpus_pipeline
 from changelens.llm import (
     bpe, chat, exact_dedup, hilbert, html_content, langid, mixing, quality, simhash, token_counts,
 )
-from changelens.session import importable
-
-
-
-def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    @wraps(fn)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        importable(spark)
-        return fn(spark, sf_dir)
-
-    return run
-
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash.query,
@@ -37,7 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": token_counts.query,
     "pipeline": corpus_pipeline.run,
 }
-QUERIES = {name: _query(fn) for name, fn in QUERIES.items()}
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelens.llm.common import join_on, table
-from changelens.session import stage_table
+from changelens.session import prepare_python, stage_table
 
 SHINGLE = 3
 RADIUS = 2
@@ -60,6 +60,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fp = [fingerprint(x.as_py(), shingle) for x in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
 
+    prepare_python(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(batches, "doc_id long, fp long")
 
 
