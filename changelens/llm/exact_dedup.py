@@ -113,7 +113,7 @@ def drop_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("bucket", "chain")
 
 
 SQL = """
