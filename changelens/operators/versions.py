@@ -51,6 +51,12 @@ def status_error_class(status: Column) -> Column:
     return F.when(cls >= 4, cls).otherwise(F.lit(0))
 
 
+def default_quality() -> Column:
+    """FLT-02's input where captures carry no ``quality``: 0.5 for errors and
+    captures without a status, else 1."""
+    return F.when(F.coalesce(F.col("status"), F.lit(600)) >= 400, F.lit(0.5)).otherwise(F.lit(1.0))
+
+
 def in_frame(after, before, time_type: str = "timestamp_ntz") -> Column:
     """FLT-01: half-open ``after <= capture_time < before``."""
     t = F.col("capture_time")
@@ -88,7 +94,9 @@ def select_versions(v: DataFrame, after, before, key: str | list[str] = "page_id
     """
     tt = _time_type(v)
     keys = _keys(key)
-    q = F.col(quality) if isinstance(quality, str) else quality
+    if isinstance(quality, str):
+        quality = F.col(quality) if quality in v.columns else default_quality()
+    q = quality
     cols = v.columns
     c = v.where(F.col("capture_time") < ts_lit(before, tt)).withColumn("_good", q >= 1.0)
     inr = F.col("capture_time") >= ts_lit(after, tt)
@@ -256,7 +264,8 @@ SELECTION_COLUMNS = ["version_id", "capture_time", "status", "body_hash"]
 def narrow(v: DataFrame, key: str = "page_id", quality: str = "quality") -> DataFrame:
     """The columns selection and trimming need; wide capture fields (URL,
     title, redirect chains, headers) stay behind until ``widen``."""
-    return v.select(key, *SELECTION_COLUMNS, quality)
+    q = F.col(quality) if quality in v.columns else default_quality().alias(quality)
+    return v.select(key, *SELECTION_COLUMNS, q)
 
 
 def widen(pairs: DataFrame, v: DataFrame, key: str = "page_id") -> DataFrame:

@@ -418,6 +418,13 @@ def sheet_rows(spark, sf):
                     F.round("analysis.priority", 6).alias("priority"), "error", "change_group")
 
 
+@register
+def top_changes(spark, sf):
+    """SRT-04: the three first rows of every sheet."""
+    o = sh.top_k(sh.order_sheets(sh.threshold(_sheeted(spark, sf), 0.25)), 3)
+    return o.select("sheet", F.col("Index").cast("bigint").alias("idx"), "page_id")
+
+
 @register
 def status_sheet(spark, sf):
     """SHT-05 for the 7 days before the end of the fixture month."""

@@ -87,3 +87,15 @@ def test_missing_bodies_fail(spark):
     gone = {x.page_id for x in r if x.error_kind in (None, "failed") and (x.a.version_id % 5 == 0 or x.b.version_id % 5 == 0)}
     assert gone and {x.page_id for x in r if x.error_kind == "failed"} == gone
     assert all(x.analysis is None for x in r if x.page_id in gone)
+
+
+def test_status_sheet_file(spark, tmp_path):
+    from changelens.plans import status
+    from changelens.sources import tables as tb
+
+    rows = status.status_sheet(tb.versions(spark, SF), tb.page_meta(spark, SF), tb.version_bodies(spark, SF), "2024-01-31",
+                               url_pattern="*/p/*", tags=["category:BUILDING"])
+    status.write_status_sheet(rows, str(tmp_path / "s"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "s")).collect()
+    assert back and back[0].asDict().keys() == set(status.HEADERS)
+    assert all("/p/" in r.URL and r["Scanner URL"].startswith("https://") for r in back)

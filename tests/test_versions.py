@@ -98,3 +98,10 @@ def test_records_with_maps_and_string_ids(spark):
     ends = ver.widen(ver.endpoints(trimmed), df).first()
     assert (ends.a.version_id, ends.b.version_id, ends.b.headers) == ("v-0", "v-3", {"k": "3"})
     assert ver.latest_valid(df, trimmed).first().latest.headers == {"k": "3"}
+
+
+def test_default_quality(spark):
+    rows = [(1, i, T0 + dt.timedelta(days=10, hours=i), status, f"h{i}") for i, status in enumerate((200, 404, None, 301))]
+    df = spark.createDataFrame(rows, "page_id long, version_id long, capture_time timestamp_ntz, status int, body_hash string")
+    assert {r.version_id for r in ver.select_versions(ver.narrow(df), AFTER, BEFORE).collect()} == {0, 3}
+    assert {r.version_id for r in ver.select_versions(df, AFTER, BEFORE).collect()} == {0, 3}
