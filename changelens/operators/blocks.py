@@ -257,15 +257,10 @@ def strip_blocks(blocks: DataFrame, url: Column | None = None, is_news: Column |
     return blocks.where(~is_stripped(F.lit("") if url is None else url, F.lit(False) if is_news is None else is_news))
 
 
-# Fixed value: classes that readability never shows (BLK-13).
+# Fixed value: classes that readability never shows (BLK-13), beside invisible elements (BLK-12).
 READABLE_HIDE_RE = r"\|[^/]*(teaser|related)"
 
 
-def visible_blocks(blocks: DataFrame) -> DataFrame:
-    """BLK-12/13: drop invisible blocks and teaser/related classes (readable text only)."""
-    return blocks.where(~F.col("hidden") & ~F.col("path").rlike(READABLE_HIDE_RE))
-
-
 # ------------------------------------------------------------------ links, media, source
 def fix_accordion_links(links: DataFrame) -> DataFrame:
     """BLK-03: ARIA-control links without a real target become '#'."""

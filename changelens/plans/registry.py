@@ -433,9 +433,6 @@ def status_sheet(spark, sf):
     return build(tb.versions(spark, sf), tb.page_meta(spark, sf), tb.version_bodies(spark, sf), "2024-01-31")
 
 
-from changelens.functions import formats as fm  # noqa: E402
-
-
 # ---------------------------------------------------------------- HTML blocks
 
 
@@ -494,8 +491,6 @@ def ordered_diff(spark, sf):
 
 
 # ---------------------------------------------------------------- deep search
-from changelens.operators import deep as dp  # noqa: E402
-
 DEEP_THRESHOLD = 0.5
 
 
