@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelens.operators.sequence import with_rank as numbered
+from changelens.session import stage_table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = " \t\n\x0b\f\r"
@@ -71,3 +72,12 @@ def with_rank(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame
     """Add ``rank``: the place of each row in its group from 0, without gaps or large windows
     (``sequence.with_rank``); ``df`` should be narrow."""
     return numbered(df, group, order, "rank").withColumn("rank", F.col("rank") - 1)
+
+
+def with_row_number(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` staged with a number that no two rows share, and that column's name.
+
+    Staged, because numbers follow partitions, and two evaluations may differ.
+    """
+    number = free_name("_row", docs)
+    return stage_table(docs.withColumn(number, F.monotonically_increasing_id()), name), number

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changelens.llm.common import count_words, free_name, join_on, table, unit, with_rank
+from changelens.llm.common import count_words, free_name, join_on, table, unit, with_rank, with_row_number
 from changelens.session import stage_table
 
 BLOCK = 64
@@ -104,21 +104,23 @@ def pivotal(rows: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     return reduce(DataFrame.unionByName, settled, last)
 
 
-def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken.
+def mix(docs: DataFrame, seed: int = SEED, number: str | None = None) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken,
+    and with ``number`` that column of ``docs``, which then also settles ties.
 
     Defined cases: a null text has size 0; documents of size 0 take no copies;
     a null source is a source of its own, the last; sources without words have
     target 0.  Rows that repeat are documents of their own.  Where nothing has
     words every target is 0; an empty table gives an empty result.
     """
-    sized = stage_table(docs.select("doc_id", "source", count_words(F.col("text")).alias("size")), "mix-sizes")
+    own = [number] if number else []
+    sized = stage_table(docs.select(*own, "doc_id", "source", count_words(F.col("text")).alias("size")), "mix-sizes")
     targets = stage_table(
         source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "mix-targets")
     times = F.when(F.col("source_size") > 0, F.least(F.lit(float(MAX_COPIES)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     goal = targets.withColumn("base", F.floor(times).cast("long")).withColumn("p", times - F.col("base"))
     ranked = with_rank(
-        sized, ["source"], [F.col("size").desc(), F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")])
+        sized, ["source"], [F.col("size").desc(), F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id"), *map(F.col, own)])
     ranked = join_on(ranked, goal, ["source"])
     picks = pivotal(
         ranked.where((F.col("size") > 0) & (F.col("p") > 0))
@@ -127,7 +129,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
         F.col("base") + F.coalesce(F.col("up").cast("long"), F.lit(0))).cast("long")
     return (
         join_on(ranked, picks, {"source": "source", "rank": "id"}, "left")
-        .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+        .select(*own, "doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
 
@@ -135,14 +137,13 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (not at all for 0).
 
-    Rows that share a doc_id and size share their copies evenly, rounded.
+    Rows are known by a number of their own, so ids that are null or repeat
+    never share copies.
     """
-    n, size, copy = (free_name(c, docs) for c in ("_copies", "_size", "_copy"))
-    copies = (
-        mix(docs, seed).groupBy("doc_id", "size").agg(F.round(F.avg("copies")).cast("int").alias(n)).where(F.col(n) > 0)
-    )
-    named = docs.withColumn(size, count_words(F.col("text")))
-    return join_on(named, copies, {"doc_id": "doc_id", size: "size"}, hint="merge").withColumn(
+    n, copy = (free_name(c, docs) for c in ("_copies", "_copy"))
+    rows, number = with_row_number(docs, "mix-rows")
+    copies = mix(rows, seed, number).where("copies > 0").select(number, F.col("copies").cast("int").alias(n))
+    return join_on(rows, copies, [number], hint="merge").withColumn(
         copy, F.explode(F.array_repeat(F.lit(1), F.col(n)))).select(*docs.columns)
 
 

@@ -256,6 +256,23 @@ def test_mixed_documents_repeat(odd):
     assert Counter(r.doc_id for r in got.collect()) == Counter({k: v for k, v in copies.items() if v})
 
 
+def test_mixed_documents_share_no_copies(spark):
+    """Null ids of one size in sources of different targets: every row has its own copies."""
+    rows = [(None, f"w{i} x y", "en", "a" if i < 600 else "b" if i < 640 else "c") for i in range(700)]
+    docs = frame(spark, rows)
+    copies = Counter()
+    for r in mixing.mix(docs).collect():
+        copies[r.source] += r.copies
+    got = mixing.mixed_documents(docs).collect()
+    assert Counter(r.source for r in got) == copies
+    by = Counter((r.source, r.text) for r in got)
+    targets = plain_targets(Counter({s: 3 * n for s, n in (("a", 600), ("b", 40), ("c", 60))}))
+    assert len({targets[s] / n for s, n in (("a", 600), ("b", 40), ("c", 60))}) > 1
+    for _, text, _, s in rows:
+        share = targets[s] / {"a": 1800, "b": 120, "c": 180}[s]
+        assert abs(by[s, text] - share) < 1
+
+
 # --- chat -----------------------------------------------------------------
 
 CONV = [
