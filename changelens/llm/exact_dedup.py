@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changelens.llm.common import ascii_lower, free_name, join_on, table
+from changelens.llm.common import ascii_lower, free_name, join_on, table, with_row_number
 from changelens.session import stage_path, stage_table
 
 #: Keys (distinct hashes) that a bucket may hold before it is split.
@@ -63,12 +63,14 @@ def directory(keys: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFram
         "local_depth"), depth
 
 
-def build_index(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(keys, index).  ``keys``: doc_id, h, text_sha256 of every row.  ``index``:
-    the bucket files read back: h, chain, text_sha256, keep_id, group_size, bucket."""
+def build_index(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, number: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(keys, index).  ``keys``: doc_id, h, text_sha256 of every row, and with
+    ``number`` that column of ``docs``.  ``index``: the bucket files read back:
+    h, chain, text_sha256, keep_id, group_size, bucket."""
     spark = docs.sparkSession
-    norm = docs.select(F.col("doc_id").cast("long"), normalised(F.col("text")).alias("norm")).withColumn("h", F.xxhash64("norm"))
-    keys = stage_table(norm.select("doc_id", "h", F.sha2("norm", 256).alias("text_sha256")), "dedup-keys")
+    own = [number] if number else []
+    norm = docs.select(*own, F.col("doc_id").cast("long"), normalised(F.col("text")).alias("norm")).withColumn("h", F.xxhash64("norm"))
+    keys = stage_table(norm.select(*own, "doc_id", "h", F.sha2("norm", 256).alias("text_sha256")), "dedup-keys")
     entries, depth = directory(keys, bucket_rows)
     groups = (
         norm.groupBy("h", "norm").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -112,6 +114,20 @@ def drop_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     return join_on(named, gone, {"doc_id": "doc_id", h: "h"}, "left_anti", "merge").drop(h)
 
 
+def one_of_each(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """One row of each group of equal texts, with all its columns.
+
+    The largest doc_id stays (null last), and of rows that repeat it the first.
+    """
+    rows, number = with_row_number(docs, "dedup-rows")
+    keys, index = build_index(rows, bucket_rows, number)
+    # one row per text and id before the join, so that repeats are never gathered
+    firsts = keys.groupBy("h", "text_sha256", "doc_id").agg(F.min(number).alias(number))
+    kept = stage_table(
+        firsts.join(index, ["h", "text_sha256"]).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(number), "dedup-kept")
+    return join_on(rows, kept, [number], "left_semi", "merge").drop(number)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("bucket", "chain")
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelens.llm.common import join_on, table
+from changelens.llm.common import join_on, table, with_row_number
 from changelens.session import prepare_python, stage_table
 
 SHINGLE = 3
@@ -52,16 +52,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, number: str | None = None) -> DataFrame:
+    """(doc_id, fp) of every row, and with ``number`` that column of ``docs`` in front."""
+    own = [number] if number else []
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             fp = [fingerprint(x.as_py(), shingle) for x in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            names = [*own, "doc_id"]
+            yield pa.RecordBatch.from_arrays([*map(b.column, names), pa.array(fp, pa.int64())], [*names, "fp"])
 
     prepare_python(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(batches, "doc_id long, fp long")
+    return docs.select(*own, F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        batches, "".join(f"`{c}` long, " for c in own) + "doc_id long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -207,6 +210,13 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
+def with_component(distinct: DataFrame, radius: int, shard_rows: int) -> DataFrame:
+    """Distinct fingerprints ``fp`` with their ``component``, named by one of its fingerprints."""
+    # ids of fingerprints are the fingerprints themselves: unique even where doc_ids repeat or are null
+    comps = components(links(distinct.select("fp", F.col("fp").alias("id")), radius, shard_rows))
+    return join_on(distinct, comps, {"fp": "id"}, "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per document: doc_id, fp, component_id.
 
@@ -219,18 +229,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """
     fps = stage_table(fingerprints(docs, shingle), "simhash")
     distinct = stage_table(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
-    # ids of fingerprints are the fingerprints themselves: unique even where doc_ids repeat or are null
-    comps = components(links(distinct.select("fp", F.col("fp").alias("id")), radius, shard_rows))
-    named = join_on(distinct, comps, {"fp": "id"}, "left").withColumn("component", F.coalesce("component", "fp"))
+    named = with_component(distinct, radius, shard_rows)
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
     label = join_on(named.select("fp", "component"), lows, ["component"]).select("fp", "component_id")
     return join_on(fps, label, ["fp"]).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest, with all their columns."""
-    keep = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return join_on(docs, stage_table(keep, "simhash-keep"), ["doc_id"], "left_semi", "merge")
+    """One row of each component, with all its columns.
+
+    The smallest doc_id stays (null last), and of rows that repeat it the first.
+    """
+    rows, number = with_row_number(docs, "simhash-rows")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col(number).alias("number"))
+    distinct = stage_table(fingerprints(rows, number=number).groupBy("fp").agg(F.min(first).alias("first")), "simhash-distinct")
+    firsts = with_component(distinct, RADIUS, SHARD_ROWS).groupBy("component").agg(F.min("first").alias("first"))
+    kept = stage_table(firsts.select(F.col("first.number").alias(number)), "simhash-keep")
+    return join_on(rows, kept, [number], "left_semi", "merge").drop(number)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

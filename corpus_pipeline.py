@@ -24,12 +24,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest doc_id stays."""
-    return exact_dedup.drop_copies(docs)
+    """Of equal texts one row stays, of the largest doc_id."""
+    return exact_dedup.one_of_each(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the smallest doc_id stays."""
+    """Of each group of near-duplicates one row stays, of the smallest doc_id."""
     return simhash.one_of_each(docs)
 
 

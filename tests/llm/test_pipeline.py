@@ -10,6 +10,7 @@ from changelens.llm import mixing, quality
 from changelens.llm.common import table
 from changelens.session import drop_stages
 
+from .conftest import frame
 from .test_native_ops import plain_dedup, plain_measures
 from .test_python_ops import plain_components, plain_fingerprint
 
@@ -66,3 +67,20 @@ def test_stages_take_odd_and_empty_tables(spark, odd, empty, name):
         out = stages()[name](spark, docs, SF)
         assert name == "bpe" or out.columns == docs.columns
         assert out.count() <= 3 * docs.count()
+
+
+def test_one_document_of_each_group_stays(spark):
+    """Repeated rows, groups of null ids alone and an id with two texts."""
+    long = [f"word{i}" for i in range(400)]
+    near = " ".join([*long[:-1], "other"])
+    assert (plain_fingerprint(" ".join(long)) ^ plain_fingerprint(near)).bit_count() <= 2
+    rows = [(5, "twice", "en", "a")] * 3 + [(None, "No id", "en", "a"), (None, "no id", "en", "b"), (None, "NO ID", "en", "c")]
+    rows += [(6, "mixed ids", "en", "a"), (None, "Mixed ids", "en", "a")]
+    left = rows_of(stages()["exact dedup"](spark, frame(spark, rows), SF))
+    assert Counter(r[1].lower() for r in left) == Counter(["twice", "no id", "mixed ids"])
+    assert {r[0] for r in left if r[1].lower() == "mixed ids"} == {6}
+    for ids in ((None, None, None), (8, 8, 8), (None, 9, 9)):
+        rows = list(zip(ids, (" ".join(long), near, near), ("en",) * 3, ("a",) * 3, strict=True))
+        left = rows_of(stages()["near dedup"](spark, frame(spark, rows), SF))
+        assert len(left) == 1
+        assert left[0][0] == ids[-1]
