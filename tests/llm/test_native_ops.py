@@ -315,6 +315,17 @@ def test_chat_whole_table(spark):
     assert {r.conv_id: tuple(r)[1:5] for r in chat.query(spark, SF).collect()} == want
 
 
+def test_chat_text_longer_than_a_json_string(spark):
+    n = chat.PARSED_CHARS + 1
+    rows = spark.range(1).select(
+        F.lit(1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit("assistant").alias("role"),
+        F.repeat(F.lit("x"), n).alias("text"))
+    r = chat.digests(chat.format_conversations(rows)).first()
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (1, n, hashlib.sha256(b"x" * n).hexdigest())
+    with pytest.raises(Exception, match="too long"):
+        chat.canonical(rows.select(F.to_json(F.struct(F.array(F.struct("role", "text")).alias("turns"))).alias("record"))).collect()
+
+
 def test_layouts(spark):
     cases = {
         '{"messages":[{"role":"user","content":"q"},{"role":"assistant","content":null}]}': ("messages", [("user", "q"), ("assistant", "")]),
