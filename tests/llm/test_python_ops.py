@@ -166,6 +166,20 @@ def test_codec_in_pieces_and_with_a_full_cache(monkeypatch):
         assert [x.tolist() for x in own.encode(part)] == [e.ids for e in lib.encode_batch(part, add_special_tokens=False)]
 
 
+def test_bpe_texts_with_nul(spark):
+    """Texts with NUL go through Arrow and the digests like any other."""
+    lib = Tokenizer.from_file(BYTE_BPE)
+    texts = ["\x00", "a\x00b", "\x00\x00 x", "end\x00", "é\x00\n😀"]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = Counter()
+    for i, t in enumerate(texts):
+        ids = lib.encode(t, add_special_tokens=False).ids
+        assert lib.decode(ids, skip_special_tokens=False) == t
+        want[i, len(ids), sha(",".join(map(str, ids))), sha(t)] += 1
+    docs = frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    assert Counter(map(tuple, bpe.digests(docs, BYTE_BPE).collect())) == want
+
+
 def test_bpe_odd_rows(spark, odd, empty):
     lib = Tokenizer.from_file(BYTE_BPE)
     rows = ODD + [(50 + i, t, "en", "a") for i, t in enumerate(fuzz(20, 6)) if "\x00" not in t]
