@@ -6,7 +6,7 @@ stratum (language) and rule, on the labelled holdout: among its good documents
 (quality 1) a cutoff wrongly rejects k of n.  It may be used only if the exact
 binomial test rejects "the false rejection rate is above ``alpha``", that is
 P(Bin(n, alpha) <= k) <= delta / m, where m counts every (stratum, rule,
-cutoff) tried (Bonferroni).  So with probability 1 - delta, no rule in use
+cutoff) tried on a stratum with good labels (Bonferroni).  So with probability 1 - delta, no rule in use
 rejects more than ``alpha`` of the good documents of any stratum.  Of the
 certified cutoffs the one with the best balance of bad documents caught and
 good ones lost is used, the larger one on ties; a rule that catches nothing,
@@ -125,7 +125,7 @@ def cutoffs(rated: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: fl
                   for rule, cs in GRID.items() for c in cs]).alias("tried"))
     tried = counts.select("stratum", "n", F.explode("tried").alias("t")).select("stratum", "n", "t.*")
     m = F.count("*").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    tested = tried.withColumn("m", m).withColumn("p_value", binomial_tail("k", "n", alpha))
+    tested = tried.where("n > 0").withColumn("m", m).withColumn("p_value", binomial_tail("k", "n", alpha))
     used = tested.where((F.col("p_value") <= delta / F.col("m")) & (F.col("caught") > LOSS * F.col("k")))
     best = Window.partitionBy("stratum", "rule").orderBy((F.col("caught") - LOSS * F.col("k")).desc(), F.col("cutoff").desc())
     return used.withColumn("r", F.row_number().over(best)).where("r = 1").select(

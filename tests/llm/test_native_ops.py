@@ -173,6 +173,17 @@ def test_cutoffs_hold_their_risk(spark):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
+def test_strata_without_good_labels_are_no_tests(spark):
+    """340 good documents certify a cutoff among the tests of one stratum, not among those of two."""
+    bad = F.col("id") >= 340
+    rated = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 390, "en").otherwise("xx").alias("lang"), F.lit(False).alias("base_failed"),
+        *[F.when(bad, 2.0 * (rule == "bangs_per_word")).otherwise(0.0).alias(rule) for rule in quality.GRID])
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), F.when(bad, 0).otherwise(1).alias("quality"))
+    used = quality.cutoffs(rated, labels).collect()
+    assert [(u.stratum, u.rule, u.n, u.caught) for u in used] == [("en", "bangs_per_word", 340, 50)]
+
+
 # --- mixing ---------------------------------------------------------------
 
 def plain_targets(sizes, cap=3):
