@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from changelens.llm import (
-    bpe, chat, exact_dedup, hilbert, html_content, langid, mixing, quality, simhash, token_counts,
+    bpe, chat, exact_dedup, hilbert, html_content, langid, mixing, quality, simhash, token_counts, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": mixing.query,
     "op9_chat_format": chat.query,
     "op10_token_counts": token_counts.query,
+    "op11_warc_segments": warc.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -29,4 +30,5 @@ ORACLE: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op5_quality_rules": quality.SQL,
     "op9_chat_format": chat.SQL,
+    "op11_warc_segments": warc.SQL,
 }
