@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from changelens.llm import (
-    bpe, chat, exact_dedup, hilbert, html_content, langid, mixing, quality, simhash, token_counts, warc,
+    alignment, bpe, chat, exact_dedup, hilbert, html_content, langid, mixing, quality, simhash, token_counts, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": chat.query,
     "op10_token_counts": token_counts.query,
     "op11_warc_segments": warc.query,
+    "op12_token_alignment": alignment.query,
     "pipeline": corpus_pipeline.run,
 }
 
