@@ -74,10 +74,23 @@ def with_rank(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame
     return numbered(df, group, order, "rank").withColumn("rank", F.col("rank") - 1)
 
 
+def _scans_parquet(df: DataFrame) -> bool:
+    """Whether ``df`` is a Parquet table, or columns and rows chosen from one."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation" and plan.toString().rstrip().endswith("parquet")
+
+
 def with_row_number(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``docs`` staged with a number that no two rows share, and that column's name.
+    """``docs`` with a key that no two rows share, and that column's name.
 
-    Staged, because numbers follow partitions, and two evaluations may differ.
+    Rows of a Parquet table are known by file and place in it, which any task
+    reads alike, so nothing is copied.  Other frames are staged with a number:
+    numbers follow partitions, and two evaluations may differ.
     """
     number = free_name("_row", docs)
+    if _scans_parquet(docs):
+        at = docs.metadataColumn("_metadata")
+        return docs.withColumn(number, F.struct(at["file_path"].alias("file"), at["row_index"].alias("place"))), number
     return stage_table(docs.withColumn(number, F.monotonically_increasing_id()), name), number

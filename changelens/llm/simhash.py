@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, number: str | None = N
 
     prepare_python(docs.sparkSession)
     return docs.select(*own, F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        batches, "".join(f"`{c}` long, " for c in own) + "doc_id long, fp long")
+        batches, "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in own) + "doc_id long, fp long")
 
 
 def _signed(x: int) -> int:
