@@ -10,6 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -66,8 +69,10 @@ def apply_job_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-# Folders staged by this process, per application id, for ``drop_stages``.
+# Folders staged by this process, per application id, for ``drop_stages``,
+# but those staged inside a ``stage_scope``, which deletes its own.
 _STAGED: dict[str, list[str]] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("stage_scope", default=None)
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -93,10 +98,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder."""
     path = f"{checkpoint_dir(spark)}/stage-{name}-{uuid.uuid4().hex[:12]}"
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    scope = _SCOPE.get()
+    (_STAGED.setdefault(spark.sparkContext.applicationId, []) if scope is None else scope).append(path)
     return path
 
 
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside the block is deleted at its end, also on failure.
+
+    A job writes its result inside the block to a path named outside of it;
+    frames that read the block's staged tables can't be used afterwards.
+    """
+    own: list[str] = []
+    token = _SCOPE.set(own)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        delete_paths(spark, own)
+
+
 def stage_table(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: a lineage cut that survives executor loss and keeps later plans
@@ -108,13 +130,19 @@ def stage_table(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete every folder this application has staged; call it once the
-    results that read them have been written.  Returns how many were deleted."""
+def delete_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete folders of any file system Spark knows; how many there were."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+    for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         n += bool(p.getFileSystem(conf).delete(p, True))
     return n
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete every folder this application has staged outside of a scope; call
+    it once the results that read them have been written.  Returns how many
+    were deleted."""
+    return delete_paths(spark, _STAGED.pop(spark.sparkContext.applicationId, []))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changelens.llm import bpe, exact_dedup, mixing, quality, simhash
 from changelens.llm.common import table
-from changelens.session import stage_table
+from changelens.session import delete_paths, stage_path, stage_scope
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -53,9 +53,15 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Tokens of the documents that are left.  A stage's own folders go when its
+    result is written, and that goes when the next stage's is."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stage_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = stage_path(spark, name.replace(" ", "-"))
+        with stage_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        delete_paths(spark, before)
+        docs, before = spark.read.parquet(path), [path]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
