@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from changelens.llm import (
-    alignment, bpe, chat, exact_dedup, hilbert, html_content, langid, mixing, quality, simhash, token_counts, warc,
+    alignment, bpe, chat, collocations, exact_dedup, hilbert, html_content, langid, mixing, quality, simhash, token_counts, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": token_counts.query,
     "op11_warc_segments": warc.query,
     "op12_token_alignment": alignment.query,
+    "op13_collocations": collocations.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -32,4 +33,5 @@ ORACLE: dict[str, str] = {
     "op5_quality_rules": quality.SQL,
     "op9_chat_format": chat.SQL,
     "op11_warc_segments": warc.SQL,
+    "op13_collocations": collocations.SQL,
 }
