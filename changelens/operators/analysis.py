@@ -53,30 +53,35 @@ def _join_body(e: DataFrame, bodies: DataFrame, ref: str, body_key: str, body_co
 DOC = ["pair_id", "side"]
 
 
-def html_nodes(e_html: DataFrame) -> DataFrame:
+def html_nodes(e_html: DataFrame, rules: list[bk.StripRule] = bk.STRIP_RULES, kinds: list[str] | None = None) -> DataFrame:
     """The parse of both ends' bodies, once: node rows (BLK-01) with pair_id,
-    side, url, news, content and the client redirect (SC-08).  Bodies of
-    pairs that are not content-analysable (FLT-06) are not parsed further."""
+    side, url, news, content and the client redirect (SC-08), all or those of
+    ``kinds``.  Bodies of pairs that are not content-analysable (FLT-06) are
+    not parsed further."""
     e = e_html.select(
         *DOC, "url", G.is_news_page(F.col("url"), F.col("title")).alias("news"), "content",
         R.client_redirect(F.col("_body")).alias("client"),
         F.when(F.col("content") | F.col("_body").isNull(), F.col("_body")).otherwise(F.lit("")).alias("_body"))
-    return bk.parse_html(e, [*DOC, "url", "news", "content", "client"], "_body")
+    return bk.parse_html(e, [*DOC, "url", "news", "content", "client"], "_body", rules, DOC, kinds)
 
 
-def html_units(nodes: DataFrame) -> DataFrame:
+def link_units(nodes: DataFrame, rules: list[bk.StripRule] = bk.STRIP_RULES) -> DataFrame:
+    n = nodes.where(F.col("content") & ~bk.is_stripped(F.col("url"), F.col("news"), rules))
+    return bk.links(n, F.col("url")).select(
+        *DOC, F.lit("link").alias("kind"), "pos", F.concat("href", F.lit("\t"), "text").alias("unit"))
+
+
+def html_units(nodes: DataFrame, rules: list[bk.StripRule] = bk.STRIP_RULES) -> DataFrame:
     """(pair_id, side, kind, pos, unit): 'link' units are href TAB text
     (BLK-02/03, SC-01), 'source' units the cleaned source (DIF-07, BLK-05..07)."""
     n = nodes.where(F.col("content"))
     url, news = F.col("url"), F.col("news")
-    links = bk.links(n.where(~bk.is_stripped(url, news)), url).select(
-        *DOC, F.lit("link").alias("kind"), "pos", F.concat("href", F.lit("\t"), "text").alias("unit"))
-    source = n.where(bk.is_source(url, news)).select(
+    source = n.where(bk.is_source(url, news, rules)).select(
         *DOC, F.lit("source").alias("kind"), "pos", bk.source_unit(url).alias("unit")).where(F.col("unit") != "")
-    return links.unionByName(source)
+    return link_units(nodes, rules).unionByName(source)
 
 
-def html_text_units(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def html_text_units(nodes: DataFrame, rules: list[bk.StripRule] = bk.STRIP_RULES) -> tuple[DataFrame, DataFrame]:
     """BLK-14: text units taken from the HTML itself.
 
     Per end: content blocks (BLK-05) without boilerplate (BLK-07).  When both
@@ -86,7 +91,7 @@ def html_text_units(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     ('no').  Returns (units, per-pair flags)."""
     url, news = F.col("url"), F.col("news")
     n = nodes.where(F.col("content"))
-    kept = n.where(~bk.is_stripped(url, news) & ~bk.inside("script", "style", "link"))
+    kept = n.where(~bk.is_stripped(url, news, rules) & ~bk.inside("unsourced"))
     docs = n.where(F.col("kind") == "doc").select(*DOC, "url")
     bounds = bk.main_bounds(kept.where(F.col("kind").isin("element", "comment", "text", "doc")), DOC)
     blocks = bk.content_blocks(kept)
@@ -98,7 +103,7 @@ def html_text_units(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     p = F.col("pos")
     in_main = (p > F.col("after")) & (p < F.col("until")) & (
         F.col("main_pos").isNull() | p.between(F.col("main_pos"), F.col("main_last")))
-    shown = ~F.col("hidden") & ~F.col("path").rlike(bk.READABLE_HIDE_RE)
+    shown = ~F.col("hidden") & ~bk.inside("unshown")
     units = (blocks.join(bounds.drop("found"), DOC).join(flags, "pair_id")
              .where((F.col("readable") == "no") | (in_main & ((F.col("readable") != "yes") | shown)))
              .select(*DOC, "pos", F.trim(tx.normalize_text(F.col("text"))).alias("unit")).where(F.col("unit") != ""))
@@ -173,11 +178,11 @@ def priority(content: Column, links_len: Column, links_ratio: Column, removed_se
     return F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0))
 
 
-def effective(v: str, client: Column, fields: list[str]) -> Column:
+def effective(v: str, client: Column, fields: list[str], overrides: list[tuple] | None = None) -> Column:
     c = F.col(v)
     return ST.effective_status(c["url"], c["status"], c["network_error"], c["title"],
                                c["headers"] if "headers" in fields else None,
-                               R.all_redirects(c["redirects"], client))
+                               R.all_redirects(c["redirects"], client), overrides)
 
 
 def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_bodies: DataFrame,
@@ -185,12 +190,15 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
                   key: str = "page_id", text_ref: str = "doc_id", html_ref: str = "html_id",
                   text_key: str = "doc_id", text_col: str = "text",
                   html_key: str = "html_id", html_col: str = "html",
-                  view_url: str = VIEW_URL) -> DataFrame:
+                  view_url: str = VIEW_URL, strip_rules: list[bk.StripRule] = bk.STRIP_RULES,
+                  status_overrides: list[tuple] | None = None) -> DataFrame:
     """PRI-01/02: one result row per key: gate error or the analysis struct.
 
     ``pages`` gives (key, url[, title]) of the catalogue; ``text_bodies`` and
     ``html_bodies`` are looked up through the capture fields ``text_ref`` /
     ``html_ref`` (both may be the same table keyed by version id).
+    ``strip_rules`` (``blocks.read_strip_rules`` reads a table) and
+    ``status_overrides`` (``status.read_overrides``) replace the defaults.
     """
     kind, msg = G.gate(F.col("n_versions"))
     page_status = F.col("status") if "status" in pages.columns else F.lit(None)
@@ -202,13 +210,13 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
     e = ends(ok.select(key, "a", "b", "content"), key)
 
     # HTML bodies, read and parsed once: links, source, text blocks, client redirects.
-    nodes = stage(html_nodes(_join_body(e, html_bodies, html_ref, html_key, html_col)), "html_nodes")
+    nodes = stage(html_nodes(_join_body(e, html_bodies, html_ref, html_key, html_col), strip_rules), "html_nodes")
     read = nodes.where(F.col("kind") == "doc")
     client = read.groupBy("pair_id").agg(
         F.max(F.when(F.col("side") == "a", F.col("client"))).alias("a_client"),
         F.max(F.when(F.col("side") == "b", F.col("client"))).alias("b_client"),
         F.count("*").alias("_ends"))
-    hl = stage(dif.label_units(html_units(nodes), ("pair_id", "kind")), "html_labelled")
+    hl = stage(dif.label_units(html_units(nodes, strip_rules), ("pair_id", "kind")), "html_labelled")
     links = link_metrics(hl.where(F.col("kind") == "link"), ok, key)
     source = source_metrics(hl.where(F.col("kind") == "source"))
 
@@ -217,7 +225,7 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
         e_text = _join_body(e.where("content"), text_bodies, text_ref, text_key, text_col)
         tu, text_flags = text_units(e_text), None
     else:
-        tu, text_flags = html_text_units(nodes)
+        tu, text_flags = html_text_units(nodes, strip_rules)
     labelled = stage(dif.label_units(tu), "text_labelled")
     text = dif.text_metrics(labelled)
     if text_flags is not None:
@@ -260,8 +268,8 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
         F.lit(0).cast("bigint").alias("diff_length"), F.lit(0.0).alias("diff_ratio")))))
 
     fields = pairs.schema["a"].dataType.fieldNames()
-    j = (j.withColumn("status_a", effective("a", t("a_client"), fields))
-          .withColumn("status_b", effective("b", t("b_client"), fields))
+    j = (j.withColumn("status_a", effective("a", t("a_client"), fields, status_overrides))
+          .withColumn("status_b", effective("b", t("b_client"), fields, status_overrides))
           .withColumn("redirect", R.compare(t("a.url"), t("a.redirects"), t("a_client"),
                                             t("b.url"), t("b.redirects"), t("b_client"))))
     home = U.is_home_page(F.coalesce(t("page_url"), t("b.url")))

@@ -1,16 +1,17 @@
 """HTML structure: one parse job, then relational rules (BLK-01..14).
 
-``parse_html`` is the only Python step: a ``mapInPandas`` generator that runs
+``flatten_html`` is the only Python step: a ``mapInArrow`` generator that runs
 the standard library's ``html.parser`` over each body and emits flat rows -
 elements, text, comments and links - in document order.  Everything after it
 (strip rules, landmarks, readability) is Column expressions, aggregates and
-joins over that table.
+windows over that table.
 
-A row's place in the tree is two things: ``pos``/``last``, the interval of
-row numbers an element covers, and ``path``, its chain of elements as text:
-``/tag:eid#id| class class `` for each one, ``eid`` being the element's own
-``pos``; ids and classes in lower case with ``-`` as ``_``.  So "inside an
-element that matches a rule" is one regular expression on ``path``.
+A row's place in the tree is an interval: an element covers the rows
+``pos``..``last``; ``parent`` is the element right around a row.  Intervals nest
+or are disjoint, so a row is inside some element that matches a condition
+exactly when the largest ``last`` of the matching elements up to it reaches it:
+a running maximum over the document (``mark``).  Rows and memory grow linearly
+with a body however deep it nests.
 
 ``keys`` names the columns that identify a document, of any type.
 """
@@ -19,15 +20,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from html.parser import HTMLParser
+from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changelens.functions import text as tx
 from changelens.functions import urls as U
+from changelens.session import prepare_python
 
 NODE_FIELDS = [
     T.StructField("pos", T.IntegerType()),
@@ -38,10 +42,23 @@ NODE_FIELDS = [
     T.StructField("href", T.StringType()),      # href of links and base, src of media
     T.StructField("aria_controls", T.StringType()),
     T.StructField("attrs", T.StringType()),     # other attributes of an element, by name
-    T.StructField("path", T.StringType()),
+    T.StructField("el_id", T.StringType()),     # id of an element, in lower case with - as _
+    T.StructField("classes", T.StringType()),   # likewise, with blanks around each
+    T.StructField("parent", T.IntegerType()),   # pos of the element right around the row
+    T.StructField("up", T.StringType()),        # and its tag
     T.StructField("hidden", T.BooleanType()),   # BLK-12, of the element or one around it
+    T.StructField("chars", T.IntegerType()),    # of an element: characters of its text without outer white space
+    T.StructField("inner", T.IntegerType()),    # of an element: the div and p inside it
+    T.StructField("li", T.IntegerType()),       # of a text: innermost li around it, and that one's last row
+    T.StructField("li_last", T.IntegerType()),
+    T.StructField("div", T.IntegerType()),
+    T.StructField("div_last", T.IntegerType()),
     T.StructField("base", T.StringType()),      # BLK-08, first <base href> of the document
 ]
+NAMES = [f.name for f in NODE_FIELDS]
+POS, LAST, KIND, TAG, TEXT = range(5)
+HIDDEN, CHARS, INNER, LI, LI_LAST, DIV, DIV_LAST, BASE = map(
+    NAMES.index, ("hidden", "chars", "inner", "li", "li_last", "div", "div_last", "base"))
 
 # Elements without content, and elements that an opening tag
 # closes implicitly (the parser does not repair markup).
@@ -53,10 +70,11 @@ AUTO_CLOSE |= {t: {"p"} for t in ("p", "div", "ul", "ol", "dl", "table", "sectio
                                   "h3", "h4", "h5", "h6", "pre", "form", "aside", "main", "blockquote", "figure")}
 # Elements that keep such a sibling inside them from being closed.
 SCOPE = {"ul", "ol", "dl", "table", "button", "select", "td", "th", "tr", "caption", "object"}
+CLOSES = {tag: [(old, SCOPE - {old, tag}) for old in olds] for tag, olds in AUTO_CLOSE.items()}
 # A <select> with more options than this is dropped (BLK-13).
 MAX_SELECT_OPTIONS = 10
-# Documents per output batch of the parser: bounds a task's memory.
-DOCS_PER_BATCH = 200
+# Rows per output batch of the parser: with one body's rows the bound of a task's memory.
+ROWS_PER_BATCH = 20_000
 
 
 def _hidden(attrs: dict) -> bool:
@@ -70,13 +88,32 @@ def _name(value: str) -> str:
     return re.sub(r"[/|#\s]", "", value).lower().replace("-", "_")
 
 
+class _Open(NamedTuple):
+    """An open element: its row, and what had been read when it opened."""
+
+    row: list
+    link: list | None
+    chars: int
+    shown: int
+    blocks: int
+    waiting: int
+
+
 class _Flattener(HTMLParser):
+    """Every step costs the same however many elements are open: ``places`` has
+    the stack places of the open elements of each tag, so none is searched for."""
+
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self.stack: list[dict] = []      # rows of the open elements
-        self.count: dict[str, int] = {}  # open elements by tag
+        self.rows: list[list] = []
+        self.stack: list[_Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.options: dict[int, int] = {}  # by stack place of a select
         self.base: str | None = None
+        self.chars = self.shown = 0        # characters of text so far, and up to the last one that isn't white space
+        self.blocks = 0                    # div and p so far
+        self.starts: list[int | None] = [] # of each open element: where its text starts without white space
+        self.waiting = 0                   # open elements from this place on have had none yet
         self.feed(html)
         self.close()
         while self.stack:
@@ -86,72 +123,93 @@ class _Flattener(HTMLParser):
         end = self.rawdata.find(">", i)  # such a section is a comment in HTML
         return end + 1 if end >= 0 else -1
 
-    def _row(self, kind, tag=None, **given):
-        around = self.stack[-1] if self.stack else None
-        row = {"pos": len(self.rows), "last": len(self.rows), "kind": kind, "tag": tag or (around and around["tag"]),
-               "path": around["path"] if around else "", "hidden": bool(around and around["hidden"]), **given}
+    def _row(self, kind, tag=None, text=None, href=None, aria=None, attrs=None, own_id=None, classes=None):
+        around = self.stack[-1].row if self.stack else None
+        at = len(self.rows)
+        row = [at, at, kind, tag or (around and around[TAG]), text, href, aria, attrs, own_id, classes,
+               around and around[POS], around and around[TAG], bool(around and around[HIDDEN]), None, None, None, None, None, None, None]
         self.rows.append(row)
         return row
 
+    def _innermost(self, tag: str) -> _Open | None:
+        at = self.places.get(tag)
+        return self.stack[at[-1]] if at else None
+
     def handle_starttag(self, tag, attrs):
-        for old in AUTO_CLOSE.get(tag, ()):
-            self._close(old, SCOPE - {old, tag})
+        for old, stop in CLOSES.get(tag, ()):
+            self._close(old, stop)
         a = {k: (v if v is not None else "") for k, v in reversed(attrs)}
         if tag == "base" and self.base is None and a.get("href", "").strip():
             self.base = a["href"]
         own = "src" if tag in ("img", "source") else "href" if tag in ("a", "base") else None
         rest = "".join(f' {k}="{v}"' for k, v in sorted(a.items()) if k != own and k != "srcset")
-        row = self._row("element", tag, href=a.get(own) if own else None, attrs=rest, aria_controls=a.get("aria-controls"))
         classes = "".join(f"{_name(c)} " for c in a.get("class", "").split())
-        row["path"] += f"/{tag}:{row['pos']}#{_name(a.get('id', ''))}| {classes}"
-        row["hidden"] = row["hidden"] or _hidden(a)
+        before = self.blocks
+        self.blocks += tag in ("div", "p")
+        row = self._row("element", tag, href=a.get(own) if own else None, attrs=rest, aria=a.get("aria-controls"),
+                        own_id=_name(a.get("id", "")), classes=f" {classes}")
+        row[HIDDEN] = row[HIDDEN] or _hidden(a)
         if tag in VOID:
             return
+        link = None
         if tag == "a":
-            link = {**row, "kind": "link", "pos": len(self.rows), "last": len(self.rows), "text": []}
+            link = [*row]
+            link[POS] = link[LAST] = len(self.rows)
+            link[KIND], link[TEXT] = "link", []
             self.rows.append(link)
-            row["link"] = link
-        if tag == "option":
-            for r in reversed(self.stack):
-                if r["tag"] == "select":
-                    r["options"] = r.get("options", 0) + 1
-                    break
-        self.stack.append(row)
-        self.count[tag] = self.count.get(tag, 0) + 1
+        if tag == "option" and self.places.get("select"):
+            at = self.places["select"][-1]
+            self.options[at] = self.options.get(at, 0) + 1
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(_Open(row, link, self.chars, self.shown, before + (tag in ("div", "p")), self.waiting))
+        self.starts.append(None)
 
     def _pop(self, closed=False):
-        row = self.stack.pop()
-        tag = row["tag"]
-        self.count[tag] -= 1
-        row["last"] = len(self.rows) - 1
-        if tag == "a":
-            row["link"]["text"] = " ".join("".join(row["link"]["text"]).split())
-        if tag == "select" and closed and row.get("options", 0) > MAX_SELECT_OPTIONS:
-            del self.rows[row["pos"]:]
+        e, start = self.stack.pop(), self.starts.pop()
+        at, row = len(self.stack), e.row
+        self.waiting = min(self.waiting, at)
+        self.places[row[TAG]].pop()
+        row[LAST] = len(self.rows) - 1
+        row[CHARS] = 0 if start is None else self.shown - start
+        row[INNER] = self.blocks - e.blocks
+        if e.link is not None:
+            e.link[TEXT] = " ".join("".join(e.link[TEXT]).split())
+        if row[TAG] == "select" and closed and self.options.pop(at, 0) > MAX_SELECT_OPTIONS:
+            # as if it had not been there
+            del self.rows[row[POS]:]
+            self.chars, self.shown, self.blocks = e.chars, e.shown, e.blocks
+            while self.waiting and self.starts[self.waiting - 1] is not None and self.starts[self.waiting - 1] >= e.chars:
+                self.waiting -= 1
+                self.starts[self.waiting] = None
+        elif row[TAG] == "select":
+            self.options.pop(at, None)
 
     def _close(self, tag, stop=frozenset()):
         """Close the innermost open ``tag`` and all inside it, unless an element of ``stop`` is in between."""
-        if not self.count.get(tag):
+        if not self.places.get(tag):
             return
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at]["tag"] == tag:
-                while len(self.stack) > at:
-                    self._pop(closed=len(self.stack) == at + 1)
-                return
-            if self.stack[at]["tag"] in stop:
-                return
+        at = self.places[tag][-1]
+        if any(self.places.get(s) and self.places[s][-1] > at for s in stop):
+            return
+        while len(self.stack) > at:
+            self._pop(closed=len(self.stack) == at + 1)
 
     def handle_endtag(self, tag):
         self._close(tag)
 
     def handle_data(self, data):
-        if data.strip():
-            self._row("text", text=data)
-            if self.count.get("a"):
-                for r in reversed(self.stack):
-                    if r["tag"] == "a":
-                        r["link"]["text"].append(data)
-                        break
+        bare = data.strip()
+        if bare:
+            row = self._row("text", text=data)
+            if (a := self._innermost("a")) is not None:
+                a.link[TEXT].append(data)
+            row[LI], row[DIV] = self._innermost("li"), self._innermost("div")
+            start = self.chars + data.index(bare[0])
+            for at in range(self.waiting, len(self.starts)):
+                self.starts[at] = start
+            self.waiting = len(self.starts)
+            self.shown = start + len(bare)
+        self.chars += len(data)
 
     def handle_comment(self, data):
         self._row("comment", text=data)
@@ -161,104 +219,216 @@ def _flatten(html: str | None) -> list[tuple]:
     """Rows of one body after a ``doc`` row for the body itself.  A body that
     is missing or cannot be parsed is one ``error`` row instead, so that it
     fails as a whole and does not pass for a shorter page."""
-    names = [f.name for f in NODE_FIELDS]
-    doc = {"pos": -1, "last": -1, "kind": "doc", "path": "", "hidden": False}
+    doc = [-1, -1, "doc", *[None] * (len(NAMES) - 3)]
+    doc[HIDDEN] = False
     try:
         if html is None:
             raise ValueError("no body")
         p = _Flattener(html)
     except (AssertionError, ValueError) as e:
-        return [tuple({**doc, "kind": "error", "text": f"{type(e).__name__}: {e}"}.get(n) for n in names)]
-    return [tuple({**r, "base": p.base}.get(n) for n in names) for r in (doc, *p.rows)]
-
-
-def parse_html(bodies: DataFrame, keys: str | list[str], html_col: str = "html") -> DataFrame:
-    """BLK-01: the node rows of every body, with the columns ``keys`` as they are."""
+        doc[KIND], doc[TEXT] = "error", f"{type(e).__name__}: {e}"
+        return [tuple(doc)]
+    for r in p.rows:
+        r[BASE] = p.base
+        for own, last in ((LI, LI_LAST), (DIV, DIV_LAST)):
+            if r[KIND] == "text" and r[own] is not None:
+                r[own], r[last] = r[own].row[POS], r[own].row[LAST]
+    doc[BASE] = p.base
+    return [tuple(doc), *map(tuple, p.rows)]
+
+
+def flatten_html(bodies: DataFrame, keys: str | list[str], html_col: str = "html", kinds: list[str] | None = None) -> DataFrame:
+    """The node rows of every body, with the columns ``keys`` as they are; only those of ``kinds`` on request."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     schema = T.StructType([bodies.schema[k] for k in keys] + NODE_FIELDS)
-    cols = schema.fieldNames()
-
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            for at in range(0, len(pdf), DOCS_PER_BATCH):
-                part = pdf.iloc[at:at + DOCS_PER_BATCH]
-                out = [(*k, *row) for *k, html in part.itertuples(index=False, name=None) for row in _flatten(html)]
-                yield pd.DataFrame(out, columns=cols) if out else pd.DataFrame({c: [] for c in cols})
-
-    return bodies.select(*keys, F.col(html_col).alias("_html")).mapInPandas(batches, schema)
+    wanted = None if kinds is None else {"doc", "error", *kinds}
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(b, docs, rows):
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(NAMES)
+            of = pa.array(docs, pa.int64())
+            arrays = [b.column(i).take(of) for i in range(len(keys))] + [
+                pa.array(c, pa.bool_() if i == HIDDEN else pa.string() if isinstance(NODE_FIELDS[i].dataType, T.StringType) else pa.int32())
+                for i, c in enumerate(columns)]
+            return pa.RecordBatch.from_arrays(arrays, [*keys, *NAMES])
+
+        for b in it:
+            docs, rows = [], []
+            for i, html in enumerate(b.column(len(keys))):
+                got = _flatten(html.as_py())
+                if wanted is not None:
+                    got = [r for r in got if r[KIND] in wanted]
+                docs += [i] * len(got)
+                rows += got
+                if len(rows) >= ROWS_PER_BATCH:
+                    yield out(b, docs, rows)
+                    docs, rows = [], []
+            yield out(b, docs, rows)
+
+    prepare_python(bodies.sparkSession)
+    return bodies.select(*keys, F.col(html_col).cast("string").alias("_html")).mapInArrow(batches, schema)
 
 
 # ------------------------------------------------------------------ rules
-def inside(*tags: str) -> Column:
-    """The row is in (or is) an element of one of these tags."""
-    return F.col("path").rlike("/(" + "|".join(tags) + "):")
+class StripRule(NamedTuple):
+    """An element that is no part of a page's own content (BLK-07): one with all
+    of ``classes``, a class that contains ``has``, this ``id`` (or one that
+    contains ``id_has``), this ``tag``, inside a ``within`` element; on pages
+    that are no news pages (``unless_news``), or whose URL contains ``host``.
+    What is empty is not asked."""
+
+    classes: str = ""
+    has: str = ""
+    id: str = ""
+    id_has: str = ""
+    tag: str = ""
+    within: str = ""
+    unless_news: bool = False
+    host: str = ""
+
+    def gate(self) -> tuple[bool, str]:
+        return self.unless_news, self.host
+
+    def matches(self) -> Column:
+        c = F.lit(True)
+        for name in self.classes.split():
+            c = c & F.col("classes").contains(f" {name} ")
+        if self.has:
+            c = c & F.col("classes").contains(self.has)
+        if self.id or self.id_has:
+            c = c & (F.col("el_id") == self.id if self.id else F.col("el_id").contains(self.id_has))
+        if self.tag:
+            c = c & (F.col("tag") == self.tag)
+        return c & F.col(f"_in_{self.within}") if self.within else c
 
 
-def _parent() -> Column:
-    """``/tag:eid#id| classes `` of the element right around a text row, or of an element row itself."""
-    return F.regexp_extract("path", r"/[^/]*$", 0)
+# Elements that are no part of a page's own content.  Ids and
+# classes are compared in lower case with "-" as "_".
+STRIP_ALWAYS = [
+    StripRule("follow_links"), StripRule("social_links"),
+    StripRule(id_has="social"), StripRule(id_has="share"), StripRule(id_has="sharing"),
+    StripRule(has="social"), StripRule(has="share"), StripRule(has="sharing"),
+    StripRule(has="twitter_feed"), StripRule(has="tweet_feed"),
+    StripRule("carousel_teaser"), StripRule("multimedia_teaser"), StripRule("fa", tag="i"),
+]
+STRIP_UNLESS_NEWS = [r._replace(unless_news=True) for r in [
+    StripRule("news_section"), StripRule("news_content"), StripRule("box news"), StripRule("box related_info"),
+    StripRule("pane news"), StripRule("pane related_info"), StripRule("panel news"), StripRule("panel related_info"),
+    StripRule("panel_pane news"), StripRule("panel_pane related_info"), StripRule(has="pane_news"), StripRule("news_feed"),
+    StripRule("home_news_feed"), StripRule(has="pane_blog"), StripRule("whats_new"), StripRule("press_room"), StripRule(id="nav_news"),
+    StripRule("news", within="nav"), StripRule("news_teaser_list"), StripRule("nrcc_webinar_content", within="nav"),
+    StripRule(id_has="blog_content", within="nav"), StripRule(has="blog_content", within="nav"),
+    StripRule(has="pane_related_content"), StripRule(has="panel_related_content"), StripRule(has="related_content_pane"),
+]]
+STRIP_ON_HOST = [
+    StripRule("dgov_carousel_explore", host="defense.gov/"), StripRule(has="related_reports", within="aside", host="globalchange.gov/"),
+    StripRule(has="blockfeed_on_disaster_pages", host="fema.gov/"), StripRule(has="epa_banner", host="epa.gov/"),
+]
+STRIP_RULES = [*STRIP_ALWAYS, *STRIP_UNLESS_NEWS, *STRIP_ON_HOST]
+#: A rule table is compiled into one expression; it may have so many rows and ``GATES`` different gates.
+MAX_STRIP_RULES = 500
+GATES = 32
+
+
+def read_strip_rules(rules: DataFrame) -> list[StripRule]:
+    """The rules of a table whose columns are fields of ``StripRule``; null and absent ones ask nothing.
+
+    Names are taken in lower case with "-" as "_", as they are compared."""
+    rows = rules.limit(MAX_STRIP_RULES + 1).collect()
+    if len(rows) > MAX_STRIP_RULES:
+        raise ValueError(f"more than {MAX_STRIP_RULES} strip rules")
+    out = []
+    for r in rows:
+        given = {k: v for k, v in r.asDict().items() if k in StripRule._fields and v is not None}
+        names = {k: " ".join(map(_name, v.split())) for k, v in given.items() if k in ("classes", "has", "id", "id_has")}
+        rule = StripRule(**given | names | {k: given[k].lower() for k in ("tag", "within") if k in given})
+        if not any(rule[:5]):
+            raise ValueError("a strip rule must say something of the element")
+        out.append(rule)
+    return out
 
 
 NON_CONTENT_TAGS = ["script", "style", "link", "noscript", "template"]
+# Fixed values of the readability checks.
+READABLE_DROP_TAGS = ["aside", "nav", "table", "dl", "label", "fieldset", "noscript", "template", "header", "footer",
+                      "h1", "h2", "h3", "h4", "h5", "h6"]
+READABLE_DROP_CLASS_RE = "banner|aside|header"
+# Classes that readability never shows (BLK-13), beside invisible elements (BLK-12).
+READABLE_HIDE_RE = "teaser|related"
+
+#: What a row can be inside of; bits of ``marks`` from 0, those of the strip rules' gates behind them.
+MARKS = {
+    "non_content": lambda: F.col("tag").isin(NON_CONTENT_TAGS),
+    "unsourced": lambda: F.col("tag").isin("script", "style", "link"),
+    "head": lambda: F.col("tag") == "head",
+    "title": lambda: F.col("tag") == "title",
+    "unread": lambda: F.col("tag").isin(READABLE_DROP_TAGS) | F.col("classes").rlike(READABLE_DROP_CLASS_RE),
+    "unshown": lambda: F.col("classes").rlike(READABLE_HIDE_RE),
+}
+_BIT = {name: 1 << i for i, name in enumerate(MARKS)}
 
 
-def content_blocks(nodes: DataFrame) -> DataFrame:
-    """BLK-05: text blocks outside script, style, link, noscript, template."""
-    return nodes.where((F.col("kind") == "text") & ~inside(*NON_CONTENT_TAGS))
+def _gates(rules: list[StripRule]) -> dict[tuple[bool, str], int]:
+    gates = {g: 1 << (len(MARKS) + i) for i, g in enumerate(sorted({r.gate() for r in rules}))}
+    if len(gates) > GATES:
+        raise ValueError(f"strip rules with more than {GATES} different gates")
+    return gates
 
 
-def rule(classes: str = "", has: str = "", id: str = "", id_has: str = "", tag: str = "", within: str = "") -> str:
-    """Pattern on ``path`` of one strip rule: an element with all of
-    ``classes``, a class that contains ``has``, this ``id`` (or one that
-    contains ``id_has``), this ``tag``, somewhere inside a ``within`` element."""
-    own_id = id or (f"[^|/]*{id_has}[^|/]*" if id_has else r"[^|/]*")
-    looks = "".join(f"(?=[^/]* {c} )" for c in classes.split()) + (rf"(?=[^/]*\|[^/]*{has})" if has else "")
-    return (f"/{within}:.*" if within else "") + f"/{tag or '[^/:]+'}:{looks}\\d+#{own_id}\\|"
+def inside(name: str) -> Column:
+    """The row is in (or is) an element that ``MARKS`` calls so."""
+    return F.col("marks").bitwiseAND(F.lit(_BIT[name])) != 0
 
 
-# Elements that are no part of a page's own content.  Ids and
-# classes are compared in lower case with "-" as "_".
-STRIP_ALWAYS = [
-    rule("follow_links"), rule("social_links"),
-    rule(id_has="social"), rule(id_has="share"), rule(id_has="sharing"),
-    rule(has="social"), rule(has="share"), rule(has="sharing"),
-    rule(has="twitter_feed"), rule(has="tweet_feed"),
-    rule("carousel_teaser"), rule("multimedia_teaser"), rule("fa", tag="i"),
-]
-STRIP_UNLESS_NEWS = [
-    rule("news_section"), rule("news_content"), rule("box news"), rule("box related_info"),
-    rule("pane news"), rule("pane related_info"), rule("panel news"), rule("panel related_info"),
-    rule("panel_pane news"), rule("panel_pane related_info"), rule(has="pane_news"), rule("news_feed"),
-    rule("home_news_feed"), rule(has="pane_blog"), rule("whats_new"), rule("press_room"), rule(id="nav_news"),
-    rule("news", within="nav"), rule("news_teaser_list"), rule("nrcc_webinar_content", within="nav"),
-    rule(id_has="blog_content", within="nav"), rule(has="blog_content", within="nav"),
-    rule(has="pane_related_content"), rule(has="panel_related_content"), rule(has="related_content_pane"),
-]
-STRIP_ON_HOST = {
-    "defense.gov/": [rule("dgov_carousel_explore")], "globalchange.gov/": [rule(has="related_reports", within="aside")],
-    "fema.gov/": [rule(has="blockfeed_on_disaster_pages")], "epa.gov/": [rule(has="epa_banner")],
-}
+def mark(nodes: DataFrame, keys: str | list[str], rules: list[StripRule] = STRIP_RULES) -> DataFrame:
+    """Add ``marks``, the bits of what a row is inside of, and ``in_li``, whether an li is around it.
 
+    ``nodes`` has the elements of whole documents."""
+    by = Window.partitionBy(*([keys] if isinstance(keys, str) else keys)).orderBy("pos")
+    el, pos = F.col("kind") == "element", F.col("pos")
 
-def _any(rules: list[str]) -> Column:
-    return F.col("path").rlike("|".join(f"(?:{r})" for r in rules))
+    def within(cond: Column, w) -> Column:
+        return F.coalesce(F.max(F.when(el & cond, F.col("last"))).over(w) >= pos, F.lit(False))
 
+    around = by.rowsBetween(Window.unboundedPreceding, -1)
+    here = by.rowsBetween(Window.unboundedPreceding, 0)
+    strict = {f"_in_{tag}": within(F.col("tag") == tag, around) for tag in sorted({"li", *(r.within for r in rules if r.within)})}
+    conds = {_BIT[name]: cond() for name, cond in MARKS.items()}
+    for gate, bit in _gates(rules).items():
+        conds[bit] = reduce(Column.__or__, [r.matches() for r in rules if r.gate() == gate])
+    n = nodes.withColumns(strict)
+    bits = reduce(Column.bitwiseOR, [F.when(within(c, here), F.lit(bit).cast("long")).otherwise(F.lit(0).cast("long")) for bit, c in conds.items()])
+    return n.withColumn("marks", bits).withColumnRenamed("_in_li", "in_li").drop(*strict)
 
-def is_stripped(url: Column, is_news: Column) -> Column:
-    """BLK-07: the row is inside boilerplate of a page at ``url``."""
-    hit = _any(STRIP_ALWAYS) | (~is_news & _any(STRIP_UNLESS_NEWS))
-    for host, rules in STRIP_ON_HOST.items():
-        hit = hit | (F.coalesce(url, F.lit("")).contains(host) & _any(rules))
-    return hit
 
+def parse_html(bodies: DataFrame, keys: str | list[str], html_col: str = "html", rules: list[StripRule] = STRIP_RULES,
+               by: list[str] | None = None, kinds: list[str] | None = None) -> DataFrame:
+    """BLK-01: the marked node rows of every body, with the columns ``keys`` as they are.
 
-def strip_blocks(blocks: DataFrame, url: Column | None = None, is_news: Column | None = None) -> DataFrame:
-    """BLK-07: drop rows inside boilerplate."""
-    return blocks.where(~is_stripped(F.lit("") if url is None else url, F.lit(False) if is_news is None else is_news))
+    ``by`` names the keys that tell documents apart (all of them by default).
+    With ``kinds`` other rows are left out; elements are needed for marks."""
+    return mark(flatten_html(bodies, keys, html_col, kinds and ["element", *kinds]), by or keys, rules)
+
+
+def content_blocks(nodes: DataFrame) -> DataFrame:
+    """BLK-05: text blocks outside script, style, link, noscript, template."""
+    return nodes.where((F.col("kind") == "text") & ~inside("non_content"))
 
 
-# Fixed value: classes that readability never shows (BLK-13), beside invisible elements (BLK-12).
-READABLE_HIDE_RE = r"\|[^/]*(teaser|related)"
+def is_stripped(url: Column, is_news: Column, rules: list[StripRule] = STRIP_RULES) -> Column:
+    """BLK-07: the row is inside boilerplate of a page at ``url``; ``rules`` are those the rows were marked with."""
+    hit = F.lit(False)
+    for (unless_news, host), bit in _gates(rules).items():
+        on = F.col("marks").bitwiseAND(F.lit(bit)) != 0
+        on = on & ~is_news if unless_news else on
+        hit = hit | (on & F.coalesce(url, F.lit("")).contains(host) if host else on)
+    return hit
+
+
+def strip_blocks(blocks: DataFrame, url: Column | None = None, is_news: Column | None = None,
+                 rules: list[StripRule] = STRIP_RULES) -> DataFrame:
+    """BLK-07: drop rows inside boilerplate."""
+    return blocks.where(~is_stripped(F.lit("") if url is None else url, F.lit(False) if is_news is None else is_news, rules))
 
 
 # ------------------------------------------------------------------ links, media, source
@@ -288,14 +458,14 @@ def media_urls(nodes: DataFrame, url: Column) -> DataFrame:
                        ).withColumn("src", U.normalize_url(F.col("href"), base_of(url)))
 
 
-def is_source(url: Column, is_news: Column) -> Column:
+def is_source(url: Column, is_news: Column, rules: list[StripRule] = STRIP_RULES) -> Column:
     """BLK-05/06/07: the row belongs to the cleaned source: no script, style,
     link and meta (but for charset), no hidden or postback fields, no boilerplate."""
     attrs = F.coalesce(F.col("attrs"), F.lit(""))
     postback = (F.col("tag") == "input") & (attrs.contains(' type="hidden"') | attrs.contains(' name="__'))
     meta = (F.col("tag") == "meta") & ~attrs.contains(' charset="')
-    return (F.col("kind").isin("element", "text", "comment") & ~inside("script", "style", "link") & ~postback & ~meta
-            & ~is_stripped(url, is_news))
+    return (F.col("kind").isin("element", "text", "comment") & ~inside("unsourced") & ~postback & ~meta
+            & ~is_stripped(url, is_news, rules))
 
 
 def source_unit(url: Column) -> Column:
@@ -330,12 +500,12 @@ def main_bounds(nodes: DataFrame, keys: list[str]) -> DataFrame:
         F.coalesce(first(el & (role == "contentinfo")), F.max(F.when(el & (F.col("tag") == "footer"), span)),
                    first(comment & (note.contains("begin foot") | note.contains("start foot")))).alias("foot"),
         F.coalesce(first(el & (F.col("tag") == "main")), first(el & (role == "main")),
-                   first(el & F.col("path").rlike(r"/[^/]*#main\|[^/]*$")),
+                   first(el & (F.col("el_id") == "main")),
                    F.when(F.count(F.when(el & (F.col("tag") == "article"), 1)) == 1,
                           F.max(F.when(el & (F.col("tag") == "article"), span)))).alias("main"),
         F.coalesce(first(el & (F.col("tag") == "nav")), first(el & (role == "navigation"))).alias("nav"),
         F.count(F.when(el & ~in_head, 1)).alias("elements"),
-        F.count(F.when((F.col("kind") == "text") & ~inside("head", "title", *NON_CONTENT_TAGS), 1)).alias("texts"),
+        F.count(F.when((F.col("kind") == "text") & ~inside("head") & ~inside("title") & ~inside("non_content"), 1)).alias("texts"),
     )
     plain = (F.col("elements") == 0) | (F.col("texts") == 0)
     nav_counts = F.col("foot").isNull() | (F.col("nav.pos") < F.col("foot.pos"))
@@ -357,9 +527,6 @@ def main_content(blocks: DataFrame, bounds: DataFrame, keys: list[str]) -> DataF
 
 
 # Fixed values of the readability checks.
-READABLE_DROP_TAGS = ["aside", "nav", "table", "dl", "label", "fieldset", "noscript", "template", "header", "footer",
-                      "h1", "h2", "h3", "h4", "h5", "h6"]
-READABLE_DROP_CLASS_RE = r"\|[^/]*(banner|aside|header)"
 READABLE_MIN_CHARS = 500
 LI_MIN = 200
 DIV_MIN = 125
@@ -369,32 +536,32 @@ UNLIKELY_RE = r"-ad-|ai2html|banner|breadcrumbs|combx|comment|community|cover-wr
 LIKELY_RE = r"and|article|body|column|content|main|shadow"
 
 
-def _eids(tags: str) -> Column:
-    """One row for each element of ``tags`` (a pattern) around a row, or that the row is."""
-    return F.explode(F.transform(F.regexp_extract_all("path", F.lit(f"/(?:{tags}):(\\d+)#"), 1), lambda x: x.cast("int")))
-
+def _without_short(blocks: DataFrame, keys: list[str], tag: str, least: int) -> DataFrame:
+    """Drop the blocks inside elements of ``tag`` with less than ``least`` characters in all.
 
-def _around(blocks: DataFrame, keys: list[str], tags: str, size: Column) -> DataFrame:
-    """(keys, eid, size): total of ``size`` over the blocks inside each element of ``tags`` (a pattern)."""
-    return (blocks.select(*keys, size.alias("_size"), _eids(tags).alias("eid"))
-            .groupBy(*keys, "eid").agg(F.sum("_size").alias("size")))
+    An element has no fewer than one inside it, so a block's innermost one
+    settles it.  Its total is the difference of the running totals at its end
+    and before its start: two events for each element among the blocks."""
+    size = F.length(F.trim(tx.normalize_text(F.col("text")))).cast("long")
+    ends = blocks.where(F.col(tag).isNotNull()).select(*keys, F.col(tag).alias("_of"), F.col(f"{tag}_last").alias("_end")).distinct()
 
+    def event(at: str, sign: int) -> Column:
+        return F.struct(F.col(at).alias("_at"), F.lit(sign).alias("_sign"), F.lit(0).cast("long").alias("_size"), F.col("_of"))
 
-def _without_short(blocks: DataFrame, keys: list[str], tag: str, least: int) -> DataFrame:
-    """Drop the blocks inside elements of ``tag`` with less than ``least`` characters in all.
-    A short element is dropped whole, so only the outermost short one matters."""
-    size = F.length(F.trim(tx.normalize_text(F.col("text"))))
-    short = _around(blocks, keys, tag, size).where(F.col("size") < least).drop("size")
-    hit = (blocks.select(*keys, "pos", _eids(tag).alias("eid"))
-           .join(short, [*keys, "eid"], "left_semi").select(*keys, "pos").distinct())
-    return blocks.join(hit, [*keys, "pos"], "left_anti")
+    events = blocks.select(*keys, F.col("pos").alias("_at"), F.lit(0).alias("_sign"), size.alias("_size"), F.lit(None).cast("int").alias("_of")).unionByName(
+        ends.select(*keys, F.inline(F.array(event("_of", -1), event("_end", 1)))))
+    so_far = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_at", "_sign").rowsBetween(Window.unboundedPreceding, 0))
+    short = (events.withColumn("_so_far", so_far).where(F.col("_of").isNotNull())
+             .groupBy(*keys, "_of").agg(F.sum(F.col("_sign") * F.col("_so_far")).alias("_total"))
+             .where(F.col("_total") < least).select(*keys, F.col("_of").alias(tag)))
+    return blocks.join(short, [*keys, tag], "left_anti")
 
 
 def readable(main: DataFrame, docs: DataFrame, keys: list[str]) -> DataFrame:
     """BLK-10 per document of ``docs``: the main element's normalised text
     without asides, nav, tables, headings, labels, banner/aside/header
     classes, short ``li`` (< 200) and then short ``div`` (< 125) is longer than 500."""
-    kept = main.where(F.col("main_pos").isNotNull() & ~inside(*READABLE_DROP_TAGS) & ~F.col("path").rlike(READABLE_DROP_CLASS_RE))
+    kept = main.where(F.col("main_pos").isNotNull() & ~inside("unread"))
     kept = _without_short(_without_short(kept, keys, "li", LI_MIN), keys, "div", DIV_MIN)
     chars = kept.groupBy(*keys).agg(F.sum(F.length(F.trim(tx.normalize_text(F.col("text"))))).alias("chars"))
     total = F.coalesce("chars", F.lit(0)).cast("bigint")
@@ -407,29 +574,19 @@ def readerable(nodes: DataFrame, docs: DataFrame, keys: list[str]) -> DataFrame:
     ``article``, ``div`` with a ``br`` right inside, and ``li``/``dd`` without
     ``p`` or ``div`` but with something else than links and lists; visible,
     not ``li p``, not unlikely by class and id unless also likely; the score
-    is the sum of sqrt(length - 140) of those with 140 characters or more,
-    readerable when > 20."""
+    is the sum of sqrt(length - 140) of those whose text has 140 characters or
+    more without outer white space, readerable when > 20."""
     el = nodes.where(F.col("kind") == "element")
-    up = F.regexp_extract("path", r"/([^/:]+):\d+#[^/]*/[^/]*$", 1)     # of an element row: the one around it
-    up_eid = F.regexp_extract("path", r"/[^/:]+:(\d+)#[^/]*/[^/]*$", 1)
-    with_br = el.where((F.col("tag") == "br") & (up == "div")).select(*keys, up_eid.cast("int").alias("eid"))
-    blocky = el.where(F.col("tag").isin("div", "p")).select(*keys, _eids("li|dd").alias("eid")).distinct()
-    of_item = F.regexp_extract("path", r"/(?:li|dd):(\d+)#[^/]*$", 1)       # of a text row
-    of_item_el = F.regexp_extract("path", r"/(?:li|dd):(\d+)#[^/]*/[^/]*$", 1)
-    other = (nodes.where((F.col("kind") == "text") & (of_item != "")).select(*keys, of_item.cast("int").alias("eid"))
-             .unionByName(el.where((of_item_el != "") & ~F.col("tag").isin("a", "ol", "ul", "dl"))
-                          .select(*keys, of_item_el.cast("int").alias("eid"))))
-    item_ids = other.join(blocky, [*keys, "eid"], "left_anti")
-    ids = (el.where(F.col("tag").isin("p", "pre", "article")).select(*keys, F.col("pos").alias("eid"))
-           .unionByName(with_br).unionByName(item_ids).distinct())
+    with_br = (F.col("tag") == "br") & (F.col("up") == "div")
+    item = F.col("up").isin("li", "dd") & ((F.col("kind") == "text") | ((F.col("kind") == "element") & ~F.col("tag").isin("a", "ol", "ul", "dl")))
+    around = nodes.where(((F.col("kind") == "element") & with_br) | item).select(*keys, F.col("parent").alias("pos")).distinct()
     ident = F.concat_ws(" ", F.regexp_extract("attrs", r' class="([^"]*)"', 1), F.regexp_extract("attrs", r' id="([^"]*)"', 1))
     likely = ~F.lower(ident).rlike(UNLIKELY_RE) | F.lower(ident).rlike(LIKELY_RE)
-    fit = el.where(likely & ~F.col("hidden") & ~((F.col("tag") == "p") & F.col("path").rlike("/li:.*/p:"))).select(
-        *keys, F.col("pos").alias("eid"))
-    texts = nodes.where(F.col("kind") == "text")
-    sizes = _around(texts, keys, "p|pre|article|div|li|dd", F.length("text"))
-    score = (sizes.where(F.col("size") >= READERABLE_MIN_LEN).join(ids, [*keys, "eid"], "left_semi").join(fit, [*keys, "eid"], "left_semi")
-             .groupBy(*keys).agg(F.sum(F.sqrt(F.col("size") - READERABLE_MIN_LEN)).alias("score")))
+    fit = el.where((F.col("chars") >= READERABLE_MIN_LEN) & likely & ~F.col("hidden") & ~((F.col("tag") == "p") & F.col("in_li")))
+    by_tag = fit.where(F.col("tag").isin("p", "pre", "article"))
+    by_child = fit.where((F.col("tag") == "div") | (F.col("tag").isin("li", "dd") & (F.col("inner") == 0))).join(around, [*keys, "pos"], "left_semi")
+    score = by_tag.select(*keys, "chars").unionByName(by_child.select(*keys, "chars")).groupBy(*keys).agg(
+        F.sum(F.sqrt(F.col("chars") - READERABLE_MIN_LEN)).alias("score"))
     total = F.coalesce("score", F.lit(0.0))
     return docs.select(*keys).join(score, keys, "left").select(
         *keys, total.alias("score"), (total > READERABLE_MIN_SCORE).alias("readerable"))

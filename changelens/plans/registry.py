@@ -298,7 +298,7 @@ def page_links(spark, sf):
     return _numbered(nodes.where((F.col("kind") == "link") & F.col("href").isNotNull()), "href", "text")
 
 
-def _page_pair_units(spark, sf):
+def _page_pair_nodes(spark, sf, kinds=None):
     pp = tb.page_pairs(spark, sf)
     pages = tb.table(spark, sf, "pages")
     e = pp.select("pair_id", F.inline(F.array(F.struct(F.lit("a").alias("side"), F.col("a_page").alias("pid")),
@@ -306,20 +306,23 @@ def _page_pair_units(spark, sf):
     title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
     e = e.join(pages.select(F.col("page_id").alias("pid"), "url", title.alias("title"), F.lit(True).alias("content"),
                             F.col("html").alias("_body")), "pid").drop("pid")
-    return an.html_units(an.html_nodes(e))
+    return an.html_nodes(e, kinds=kinds)
+
+
+def _page_pair_links(spark, sf):
+    return an.link_units(_page_pair_nodes(spark, sf, ["link"]))
 
 
 @register
 def link_diff(spark, sf):
-    hu = _page_pair_units(spark, sf).where(F.col("kind") == "link")
-    return count_metrics(dif.label_units(hu))
+    return count_metrics(dif.label_units(_page_pair_links(spark, sf)))
 
 
 @register
 def self_link_removed(spark, sf):
     pp = tb.page_pairs(spark, sf)
     pages = tb.table(spark, sf, "pages").select("page_id", "url")
-    lab = dif.label_units(_page_pair_units(spark, sf).where(F.col("kind") == "link"))
+    lab = dif.label_units(_page_pair_links(spark, sf))
     selfs = (pp.join(pages.select(F.col("page_id").alias("a_page"), F.col("url").alias("a_url")), "a_page")
              .join(pages.select(F.col("page_id").alias("b_page"), F.col("url").alias("b_url")), "b_page")
              .select("pair_id", U.normalize_url(F.col("a_url"), F.col("a_url")).alias("sa"),
@@ -332,7 +335,7 @@ def self_link_removed(spark, sf):
 
 @register
 def source_diff(spark, sf):
-    hu = _page_pair_units(spark, sf).where(F.col("kind") == "source")
+    hu = an.html_units(_page_pair_nodes(spark, sf)).where(F.col("kind") == "source")
     return source_metrics(dif.label_units(hu))
 
 

@@ -22,7 +22,7 @@ PAGE_URL = "https://monitor.example.org/page/%s"
 
 def status_sheet(v: DataFrame, pages: DataFrame, html_bodies: DataFrame, before,
                  body_key: str = "version_id", body_col: str = "html", url_pattern: str | None = None,
-                 tags: list[str] | None = None) -> DataFrame:
+                 tags: list[str] | None = None, status_overrides: list[tuple] | None = None) -> DataFrame:
     """One row per page with captures before ``before``: latest capture,
     latest valid capture (newest of the trimmed 7-day selection, else the
     latest) and its effective status; ``url_pattern`` and ``tags`` as in ``catalog.select_pages``."""
@@ -35,7 +35,7 @@ def status_sheet(v: DataFrame, pages: DataFrame, html_bodies: DataFrame, before,
     body = html_bodies.select(F.col(body_key).alias("valid_id"), F.col(body_col).alias("html"))
     j = lv.join(vv, "valid_id").join(body, "valid_id", "left")
     eff = ST.effective_status(F.col("vv.url"), F.col("vv.status"), F.col("vv.network_error"), F.col("vv.title"),
-                              F.col("vv.headers") if "headers" in v.columns else None, RD.all_redirects(F.col("vv.redirects"), RD.client_redirect(F.col("html"))))
+                              F.col("vv.headers") if "headers" in v.columns else None, RD.all_redirects(F.col("vv.redirects"), RD.client_redirect(F.col("html"))), status_overrides)
     m = pages.select("page_id", "url", "tags")  # pages without captures are absent
     return j.join(m, "page_id").select(
         sh.prefixed_values(F.col("tags"), "agency:").alias("agencies"),
