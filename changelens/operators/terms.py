@@ -3,7 +3,9 @@
 
 Each side of a pair is a word stream: side ``a`` = unchanged + removed
 units, side ``b`` = unchanged + added units (exactly the labelled units of
-that side).  A word inherits its unit's changed flag.  Stop words break
+that side).  The words of changed units are compared a second time: the k-th
+occurrence of a word among them on one side matches the k-th on the other, and
+only words without a partner are changed.  Stop words break
 n-grams: a running count of stop words is the segment id.  N-grams are
 built only at positions whose word starts some dictionary term (a
 broadcast semi join on first words), so the n-gram table stays close to the
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changelens.functions import text as tx
+from changelens.operators import diffs as dif
 from changelens.operators.joins import small
 
 # Fixed value: the reference also treats '&' as a stop word.
@@ -42,11 +45,18 @@ def term_dictionary(terms: DataFrame, col: str = "term") -> DataFrame:
 
 
 def words(labelled: DataFrame) -> DataFrame:
-    """TRM-01: (pair_id, side, pos, wpos, word, changed)."""
-    return labelled.select(
+    """TRM-01: (pair_id, side, pos, wpos, word, changed).
+
+    Words of unchanged units are unchanged and take no part in the second
+    comparison, so its windows hold the changed units' words only."""
+    w = labelled.select(
         "pair_id", "side", "pos", F.col("op") != 0,
         F.posexplode(F.split("unit", " ")),
     ).toDF("pair_id", "side", "pos", "changed", "wpos", "word")
+    again = dif.label_units(
+        w.where("changed").select("pair_id", "side", F.struct("pos", "wpos").alias("pos"), F.col("word").alias("unit")))
+    return w.where("NOT changed").unionByName(again.select(
+        "pair_id", "side", "pos.pos", "pos.wpos", F.col("unit").alias("word"), (F.col("op") != 0).alias("changed")))
 
 
 def changed_ngrams(labelled: DataFrame, dictionary: DataFrame, stop_words: DataFrame,

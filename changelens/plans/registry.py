@@ -63,6 +63,7 @@ def trimmed_versions(spark, sf):
 # ---------------------------------------------------------------- text
 from changelens.functions import text as tx  # noqa: E402
 from changelens.operators import diffs as dif  # noqa: E402
+from changelens.operators import scripts as osc  # noqa: E402
 from changelens.operators import terms as trm  # noqa: E402
 from changelens.sources.local import values_table  # noqa: E402
 
@@ -493,6 +494,19 @@ def ordered_diff(spark, sf):
     return dif.ordered_diff(_labelled(spark, sf))
 
 
+@register
+def ordered_script(spark, sf):
+    """DIF-06 with order: a shortest script of every pair of documents."""
+    return osc.ordered_script(_labelled(spark, sf)).select("pair_id", "seq", "op", "pos", "unit")
+
+
+@register
+def ordered_script_sizes(spark, sf):
+    """What every shortest script agrees on: how many units stay, go and come."""
+    n = lambda op: F.count(F.when(F.col("op") == op, 1))
+    return osc.ordered_script(_labelled(spark, sf)).groupBy("pair_id").agg(n(0).alias("kept"), n(-1).alias("removed"), n(1).alias("added"))
+
+
 # ---------------------------------------------------------------- deep search
 DEEP_THRESHOLD = 0.5
 

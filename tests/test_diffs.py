@@ -59,3 +59,83 @@ def test_marks_and_other_scripts(spark):
     df = spark.createDataFrame([("e\u0301te\u0301 Ž Ωμέγα Йод 한글",)], "t string")
     assert df.select(tx.normalize_text(F.col("t")).alias("n")).first().n == "ete z ωμεγα иод 한글"
     assert df.select(tx.normalize_text_exact(F.col("t")).alias("n")).first().n.startswith("ete z ωμεγα иод")
+
+
+# ---------------------------------------------------------------- ordered scripts (DIF-06)
+import random  # noqa: E402
+import time  # noqa: E402
+
+from changelens.operators import scripts as osc  # noqa: E402
+
+
+def lcs_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        diag = 0
+        for j, y in enumerate(b, 1):
+            here = row[j]
+            row[j] = diag + 1 if x == y else max(here, row[j - 1])
+            diag = here
+    return row[-1]
+
+
+def script_of(spark, a, b):
+    return [(r.op, r.unit) for r in osc.ordered_script(units(spark, a, b)).orderBy("seq").collect()]
+
+
+def test_scripts_are_shortest():
+    rng = random.Random(4)
+    for k in range(1500):
+        kinds = rng.choice([1, 2, 4, 20, 200])
+        a = [rng.randrange(kinds) for _ in range(rng.randint(0, 30))]
+        b = rng.sample(a, len(a)) if k % 3 == 0 else [rng.randrange(kinds) for _ in range(rng.randint(0, 30))]
+        got = osc.kept_places(a, b)
+        assert len(got) == lcs_length(a, b) and all(a[i] == b[j] for i, j in got)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:], strict=False))
+
+
+def test_moved_units_are_removed_and_added(spark):
+    assert script_of(spark, list("ABCDE"), list("EABCD")) == [(1, "E"), *[(0, x) for x in "ABCD"], (-1, "E")]
+    assert script_of(spark, ["a", "gone", "b", "c"], ["c", "a", "b", "new"]) == [(1, "c"), (0, "a"), (-1, "gone"), (0, "b"), (-1, "c"), (1, "new")]
+
+
+def test_scripts_rebuild_both_sides(spark):
+    rng = random.Random(2)
+    rows, docs = [], {}
+    for pair in range(40):
+        for side in "ab":
+            doc = docs[pair, side] = [f"u{rng.randrange(6)}" for _ in range(rng.randint(0, 15))]
+            rows += [(pair, side, 3 * i, u) for i, u in enumerate(doc)]
+    df = spark.createDataFrame(rows, "pair_id long, side string, pos int, unit string")
+    got = osc.ordered_script(df).orderBy("pair_id", "seq").collect()
+    for (pair, side), doc in docs.items():
+        mine = [(r.unit, r.pos) for r in got if r.pair_id == pair and r.op in (0, 1 if side == "b" else -1)]
+        assert [u for u, _ in mine] == doc
+        if side == "b":
+            assert [p for _, p in mine] == [3 * i for i in range(len(doc))]
+    runs = osc.script_runs(osc.ordered_script(df)).groupBy().sum("n_units").first()[0]
+    assert runs == sum(r.op != 0 for r in got)
+    assert osc.ordered_script(df.limit(0)).count() == 0
+
+
+def test_long_scripts_take_no_time():
+    rng = random.Random(1)
+    for kinds in (50, 10**9):
+        a = [rng.randrange(kinds) for _ in range(10_000)]
+        start = time.process_time()
+        osc.kept_places(a, rng.sample(a, len(a)))
+        assert time.process_time() - start < 5
+
+
+# ---------------------------------------------------------------- words of changed lines (TRM-01)
+def test_one_new_word_changes_only_its_ngrams(spark):
+    lab = dif.label_units(units(spark, ["clean air act and green energy", "same line"], ["clean air act and new green energy", "same line"]))
+    d = trm.term_dictionary(values_table(spark, ["clean air", "air act", "green energy", "new green", "new green energy", "act and new", "same line"], ["term"]))
+    got = {r.term for r in trm.changed_ngrams(lab, d, values_table(spark, ["the"], ["word"])).collect()}
+    assert got == {"new green", "new green energy", "act and new"}
+
+
+def test_words_moved_between_changed_lines_are_unchanged(spark):
+    lab = dif.label_units(units(spark, ["a b c", "d"], ["a b", "c d d"]))
+    changed = sorted((r.side, r.word) for r in trm.words(lab).where("changed").collect())
+    assert changed == [("b", "d")]
