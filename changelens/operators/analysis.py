@@ -191,7 +191,7 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
                   text_key: str = "doc_id", text_col: str = "text",
                   html_key: str = "html_id", html_col: str = "html",
                   view_url: str = VIEW_URL, strip_rules: list[bk.StripRule] = bk.STRIP_RULES,
-                  status_overrides: list[tuple] | None = None) -> DataFrame:
+                  status_overrides: list[tuple] | None = None, store=None) -> DataFrame:
     """PRI-01/02: one result row per key: gate error or the analysis struct.
 
     ``pages`` gives (key, url[, title]) of the catalogue; ``text_bodies`` and
@@ -199,6 +199,7 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
     ``html_ref`` (both may be the same table keyed by version id).
     ``strip_rules`` (``blocks.read_strip_rules`` reads a table) and
     ``status_overrides`` (``status.read_overrides``) replace the defaults.
+    With ``store`` (``store.body_store``) bodies are looked up there instead.
     """
     kind, msg = G.gate(F.col("n_versions"))
     page_status = F.col("status") if "status" in pages.columns else F.lit(None)
@@ -210,7 +211,10 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
     e = ends(ok.select(key, "a", "b", "content"), key)
 
     # HTML bodies, read and parsed once: links, source, text blocks, client redirects.
-    nodes = stage(html_nodes(_join_body(e, html_bodies, html_ref, html_key, html_col), strip_rules), "html_nodes")
+    if store is None:
+        nodes = stage(html_nodes(_join_body(e, html_bodies, html_ref, html_key, html_col), strip_rules), "html_nodes")
+    else:
+        nodes = stage(store.html_nodes(e, html_ref), "html_nodes")
     read = nodes.where(F.col("kind") == "doc")
     client = read.groupBy("pair_id").agg(
         F.max(F.when(F.col("side") == "a", F.col("client"))).alias("a_client"),
@@ -222,8 +226,9 @@ def analyze_pairs(pairs: DataFrame, pages: DataFrame, text_bodies: DataFrame, ht
 
     # Text: lines of the text bodies, or blocks of the HTML (BLK-14).
     if text_bodies is not None:
-        e_text = _join_body(e.where("content"), text_bodies, text_ref, text_key, text_col)
-        tu, text_flags = text_units(e_text), None
+        read_text = e.where("content")
+        tu = text_units(_join_body(read_text, text_bodies, text_ref, text_key, text_col)) if store is None else store.text_units(read_text, text_ref)
+        text_flags = None
     else:
         tu, text_flags = html_text_units(nodes, strip_rules)
     labelled = stage(dif.label_units(tu), "text_labelled")

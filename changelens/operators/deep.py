@@ -14,7 +14,9 @@ order, older half first (path strings sort that way).
 The driver loops over rounds only, until no half is left (about log2 of the
 most versions of a page); every round's survivors are written to the shared
 checkpoint folder, so plans stay small and a lost executor costs at most one
-round.
+round.  Captures and bodies are read before the first round and never again:
+rounds look them up in a ``store.BodyStore``, where every distinct body is
+parsed once.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelens.operators import analysis as an
+from changelens.operators import store as st
 from changelens.operators import versions as ver
 from changelens.operators.sequence import with_rank
 from changelens.session import stage_table
@@ -45,8 +48,8 @@ def _split(nodes: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
 
 
 def deep_changes(results: DataFrame, trimmed: DataFrame, v: DataFrame, pages: DataFrame, text_bodies: DataFrame,
-                 html_bodies: DataFrame, threshold: float, dictionary=None, stop_words=None,
-                 **body_refs) -> DataFrame:
+                 html_bodies: DataFrame, threshold: float, dictionary=None, stop_words=None, strip_rules=None,
+                 status_overrides=None, **body_refs) -> DataFrame:
     """Sub-changes of every result whose overall priority >= threshold.
 
     ``results``: output of ``analyze_pairs`` keyed by ``page_id``;
@@ -61,6 +64,9 @@ def deep_changes(results: DataFrame, trimmed: DataFrame, v: DataFrame, pages: Da
     nodes = (trimmed.join(gate, "page_id", "left_semi").select(*cols)
              .withColumn("node", F.col("page_id").cast("string")).withColumn("parent", F.lit(None).cast("string")))
     page_urls = pages.select("page_id", "url")
+    own = trimmed.join(gate, "page_id", "left_semi").select("version_id")
+    more = {} if strip_rules is None else {"strip_rules": strip_rules}
+    store = st.body_store(v.join(own, "version_id", "left_semi"), page_urls, html_bodies, text_bodies, **more, **body_refs)
     kept, failed, depth = None, None, 0
     while True:
         depth += 1
@@ -78,12 +84,12 @@ def deep_changes(results: DataFrame, trimmed: DataFrame, v: DataFrame, pages: Da
         tr = stage_table(ver.select_and_trim(cand, F.col("_after"), F.col("_before"), key="node")
                          .drop("_after", "_before", "is_baseline"), f"deep-{depth}")
         pairs = ver.widen(ver.endpoints(tr.drop("parent", "page_id"), key="node").where(F.col("n_versions") >= 2),
-                          v.drop("page_id"), key="node")
+                          store.captures.drop("page_id"), key="node")
         pairs = stage_table(pairs, f"deep-{depth}-pairs")
         info = tr.select("node", "parent", "page_id").distinct()
         node_pages = info.join(page_urls, "page_id").select("node", "url")
         res = an.analyze_pairs(pairs, node_pages, text_bodies, html_bodies,
-                               dictionary, stop_words, key="node", **body_refs)
+                               dictionary, stop_words, key="node", store=store, status_overrides=status_overrides, **more, **body_refs)
         wanted = (F.col("analysis.priority") >= F.lit(t)) | (F.col("error_kind") == "failed")
         passed = stage_table(res.where(wanted).join(info, "node").withColumn("depth", F.lit(depth)), f"deep-pass-{depth}")
         bad, good = passed.where(F.col("analysis").isNull()), passed.where(F.col("analysis").isNotNull())

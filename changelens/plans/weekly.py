@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from changelens.functions import status as ST
 from changelens.operators import analysis as an
+from changelens.operators import blocks as bk
 from changelens.operators import deep as dp
 from changelens.operators import versions as ver
 from changelens.operators.catalog import select_pages
@@ -19,10 +21,17 @@ from changelens.session import stage_table
 def change_results(v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_bodies: DataFrame,
                    after, before, dictionary: DataFrame | None = None, stop_words: DataFrame | None = None,
                    key: str = "page_id", url_pattern: str | None = None, tags: list[str] | None = None,
-                   deep: bool = False, threshold: float = 0.25, **body_refs) -> DataFrame:
+                   deep: bool = False, threshold: float = 0.25, strip_rules=None, status_overrides=None,
+                   **body_refs) -> DataFrame:
     """One row per page with captures: gate error or analysis.  ``url_pattern``
     and ``tags`` choose pages (SRC-01).  ``deep`` adds ``changes``: the parts
-    of each result with priority >= ``threshold``, older first (VER-08/09)."""
+    of each result with priority >= ``threshold``, older first (VER-08/09).
+    ``strip_rules`` and ``status_overrides`` are rule lists, or tables of them."""
+    if isinstance(strip_rules, DataFrame):
+        strip_rules = bk.read_strip_rules(strip_rules)
+    if isinstance(status_overrides, DataFrame):
+        status_overrides = ST.read_overrides(status_overrides)
+    rules = {"status_overrides": status_overrides} | ({} if strip_rules is None else {"strip_rules": strip_rules})
     if url_pattern or tags:
         pages = select_pages(pages, url_pattern, tags)
         v = v.join(pages.select(key), key, "left_semi")
@@ -32,11 +41,11 @@ def change_results(v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_
     if deep:
         trimmed = stage_table(trimmed, "trimmed")
     pairs = stage_table(ver.widen(ver.endpoints(trimmed, key=key), v, key=key), "pairs")
-    results = an.analyze_pairs(pairs, pages, text_bodies, html_bodies, dictionary, stop_words, key=key, **body_refs)
+    results = an.analyze_pairs(pairs, pages, text_bodies, html_bodies, dictionary, stop_words, key=key, **rules, **body_refs)
     if not deep:
         return results
     results = stage_table(results, "results")
-    found = dp.deep_changes(results, trimmed, v, pages, text_bodies, html_bodies, threshold, dictionary, stop_words, **body_refs)
+    found = dp.deep_changes(results, trimmed, v, pages, text_bodies, html_bodies, threshold, dictionary, stop_words, **rules, **body_refs)
     return dp.with_changes(results, found, key)
 
 

@@ -72,6 +72,7 @@ def apply_job_conf(spark: SparkSession) -> None:
 # Folders staged by this process, per application id, for ``drop_stages``,
 # but those staged inside a ``stage_scope``, which deletes its own.
 _STAGED: dict[str, list[str]] = {}
+TABLE_PREFIX = "table:"
 _SCOPE: ContextVar[list[str] | None] = ContextVar("stage_scope", default=None)
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -97,7 +98,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder."""
-    path = f"{checkpoint_dir(spark)}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    path = name if name.startswith(TABLE_PREFIX) else f"{checkpoint_dir(spark)}/stage-{name}-{uuid.uuid4().hex[:12]}"
     scope = _SCOPE.get()
     (_STAGED.setdefault(spark.sparkContext.applicationId, []) if scope is None else scope).append(path)
     return path
@@ -130,12 +131,28 @@ def stage_table(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df, name: str, key: str):
+    """``stage_table`` bucketed and sorted by ``key``, for a side that many joins
+    on ``key`` read: they don't shuffle it.  It is a table of the session's
+    catalog, which is dropped with its folder."""
+    spark = df.sparkSession
+    path = stage_path(spark, name)
+    table = f"stage_{path.rsplit('-', 1)[1]}"
+    stage_path(spark, TABLE_PREFIX + table)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def delete_paths(spark: SparkSession, paths: list[str]) -> int:
     """Delete folders of any file system Spark knows; how many there were."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
     for path in paths:
+        if path.startswith(TABLE_PREFIX):
+            spark.sql(f"DROP TABLE IF EXISTS {path.removeprefix(TABLE_PREFIX)}")
+            continue
         p = jvm.org.apache.hadoop.fs.Path(path)
         n += bool(p.getFileSystem(conf).delete(p, True))
     return n
