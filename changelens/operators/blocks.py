@@ -448,7 +448,7 @@ def base_of(url: Column) -> Column:
 def links(nodes: DataFrame, url: Column) -> DataFrame:
     """BLK-02/03: the ``<a href>`` of every document: normalised ``href`` and ``text`` (SC-01, SC-06)."""
     a = fix_accordion_links(nodes.where(F.col("kind") == "link")).where(F.col("href").isNotNull())
-    href = F.when(F.trim("href") == "", F.col("href")).otherwise(U.normalize_url(F.col("href"), base_of(url)))
+    href = F.when(U.bare(F.col("href")) == "", F.col("href")).otherwise(U.normalize_url(F.col("href"), base_of(url)))
     return a.withColumn("href", href).withColumn("text", F.trim(tx.normalize_text(F.col("text"))))
 
 

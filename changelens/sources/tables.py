@@ -177,6 +177,8 @@ def url_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("../../../../up4/x.html"), F.lit("../../../../../up5"), F.lit("a/b/../../../../../../x/y/../z/"),
         F.lit("/a/b/c/d/e/f/p.html/../../../../x"), F.lit("/a/b/c/d/e/f/g/../../../../../../../../x/.."),
         F.lit("/a/./b/../../c/./?q=/../x#/../y"), F.lit("/.."), F.lit("/a//b/../c/."), F.lit(".."),
+        F.lit(" /c\n"), F.lit("\tx.html"), F.lit("a\nb/c\r\n.html"), F.lit("\n#top\n"), F.lit(" \t\x0b"), F.lit("java\nscript:void(0)"),
+        F.lit("\n#\t"), F.lit("//cdn.exa\n  mple.org/x"),
     )
     hrefs = F.concat(F.regexp_extract_all(F.col("html"), F.lit(LINK_RE), 1), variants)
     return p.select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))

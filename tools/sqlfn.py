@@ -82,6 +82,12 @@ def dot_segments(p):
     return f"({out} || regexp_extract({p}, '[?#].*$'))"
 
 
+def bare(href):
+    """No tabs and line breaks anywhere, no characters up to the blank at the ends."""
+    low = "||".join(f"chr({i})" for i in range(1, 33))
+    return f"trim(translate({href}, chr(9) || chr(10) || chr(13), ''), {low})"
+
+
 def absolute_url(base, href):
     body = f"""CASE WHEN xh IS NULL THEN NULL
       WHEN regexp_matches(xh, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN xh
@@ -92,7 +98,7 @@ def absolute_url(base, href):
       ELSE xo || {dot_segments('xt')} END"""
     b_dir = f"regexp_replace(CASE WHEN {part('xb', 5)} = '' THEN '/' ELSE {part('xb', 5)} END, '[^/]*$', '')"
     for name, value in (("xt", f"CASE WHEN starts_with(xh, '/') THEN xh ELSE {b_dir} || xh END"),
-                        ("xo", f"({part('xb', 1)} || '//' || {part('xb', 4)})"), ("xh", f"trim({href})"), ("xb", base)):
+                        ("xo", f"({part('xb', 1)} || '//' || {part('xb', 4)})"), ("xh", bare(href)), ("xb", base)):
         body = let(name, value, body)
     return body
 
@@ -117,7 +123,7 @@ def normalize_url(href, base):
       ELSE {remove_session_id('nw')} END"""
     for name, value in (("nw", f"regexp_replace({wf}, '^http:', 'https:')"), ("nc", canonical_url("na")),
                         ("nf", "regexp_extract(na, '#(.*)$', 1)"), ("na", absolute_url("nb", "nh")),
-                        ("nh", "trim(nr)"), ("nr", href), ("nb", base)):
+                        ("nh", bare("nr")), ("nr", href), ("nb", base)):
         body = let(name, value, body)
     return body
 
