@@ -566,6 +566,13 @@ def daily_changes_stream(spark, sf):
     return out.select("page_id", F.col("day").cast("timestamp_ntz").alias("day"), F.col("captures").cast("bigint").alias("captures"))
 
 
+@register
+def daily_totals_stream(spark, sf):
+    """STR-02 for all days, the newest included."""
+    out = stc.run_daily_totals(_capture_feed(spark, sf), stage_path(spark, "totals"), stage_path(spark, "totals-state"))
+    return out.select("page_id", F.col("day").cast("timestamp_ntz").alias("day"), "captures")
+
+
 # ---------------------------------------------------------------- sinks and reloads
 from changelens.sources import results_io as rio  # noqa: E402
 
