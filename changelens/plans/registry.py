@@ -150,6 +150,7 @@ def key_term_summary(spark, sf):
 
 
 # ---------------------------------------------------------------- URLs
+from changelens.functions import charsets as cs  # noqa: E402
 from changelens.functions import urls as U  # noqa: E402
 
 
@@ -437,6 +438,14 @@ def status_sheet(spark, sf):
     return build(tb.versions(spark, sf), tb.page_meta(spark, sf), tb.version_bodies(spark, sf), "2024-01-31")
 
 
+@register
+def decoded_bodies(spark, sf):
+    """SRC-03: bodies in three charsets, stated by header, by meta element or not at all."""
+    b = tb.encoded_pages(spark, sf)
+    label = cs.charset(F.col("content"), F.col("content_type"))
+    return b.select("page_id", label.alias("charset"), cs.decode(F.col("content"), label).alias("body"))
+
+
 # ---------------------------------------------------------------- HTML blocks
 
 

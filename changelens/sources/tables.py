@@ -184,6 +184,21 @@ def url_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
 
 
+def encoded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` as bytes in three charsets by page_id % 3: UTF-8 with a
+    malformed byte and no charset stated, windows-1252 by the header,
+    ISO-8859-15 by a meta element; the latter two with a euro sign, and with ?
+    for what they lack."""
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    plain = F.encode(F.regexp_replace("html", "[^\\x00-\\x7F\\xC0-\\xFF]", "?"), "ISO-8859-1")
+    kind = F.col("page_id") % 3
+    meta = F.lit('<META CHARSET="iso-8859-15">').cast("binary")
+    return p.select(
+        "page_id", F.when(kind == 1, F.lit("text/html; charset=Windows-1252")).otherwise(F.lit("text/html")).alias("content_type"),
+        F.when(kind == 0, F.concat(F.col("html").cast("binary"), F.unhex(F.lit("FF"))))
+        .when(kind == 1, F.concat(F.unhex(F.lit("80")), plain)).otherwise(F.concat(meta, F.unhex(F.lit("A4")), plain)).alias("content"))
+
+
 def version_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HTML body of each capture: the page row chosen by ``html_id``, with a
     refresh tag put in front for some captures so client redirects occur
