@@ -603,6 +603,18 @@ def results_roundtrip(spark, sf):
                     F.round("overall.priority", 6).alias("priority"), "error")
 
 
+@register
+def results_array_roundtrip(spark, sf):
+    """SRC-04 in the array form: the raw results as one JSON array, read back."""
+    raw = rio.raw_results(sh.drop_no_change(_results(spark, sf)),
+                          tb.page_meta(spark, sf).select("page_id", "url", "title", "tags", "maintainers"))
+    path = stage_path(spark, "raw-array")
+    rio.write_results_array(stage_table(raw, "raw"), path, ["page"])
+    f = rio.refilter(rio.read_results(spark, path, raw.schema, multiline=True), RESHEET_TAGS, RESHEET_THRESHOLD)
+    return f.select(F.col("page.page_id").alias("page_id"), F.col("page.url_key").alias("url_key"),
+                    F.round("overall.priority", 6).alias("priority"), "error")
+
+
 @register
 def sheet_files(spark, sf):
     """SHT-01 + SNK-02: write the formatted sheets as one CSV folder per
