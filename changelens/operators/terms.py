@@ -6,10 +6,8 @@ units, side ``b`` = unchanged + added units (exactly the labelled units of
 that side).  The words of changed units are compared a second time: the k-th
 occurrence of a word among them on one side matches the k-th on the other, and
 only words without a partner are changed.  Stop words break
-n-grams: a running count of stop words is the segment id.  N-grams are
-built only at positions whose word starts some dictionary term (a
-broadcast semi join on first words), so the n-gram table stays close to the
-number of term hits instead of N times the number of words.
+n-grams.  Terms are found in one pass over each stream, by an automaton of
+the dictionary (``automaton``).
 """
 
 from __future__ import annotations
@@ -18,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changelens.functions import text as tx
+from changelens.operators import automaton
 from changelens.operators import diffs as dif
 from changelens.operators.joins import small
 
@@ -61,8 +60,23 @@ def words(labelled: DataFrame) -> DataFrame:
 
 def changed_ngrams(labelled: DataFrame, dictionary: DataFrame, stop_words: DataFrame,
                    max_n: int | None = None) -> DataFrame:
-    """TRM-02..04: changed n-grams that are dictionary terms,
-    (pair_id, side, pos, wpos, n, term)."""
+    """TRM-02..04: changed n-grams that are dictionary terms, of ``max_n``
+    words at most, (pair_id, side, pos, wpos, n, term).
+
+    A dictionary within the bounds of ``automaton`` is broadcast as one; a
+    larger one is joined."""
+    if max_n is not None:
+        dictionary = dictionary.where(F.col("n_words") <= max_n)
+    lists = automaton.collected(dictionary, stop_words)
+    if lists is not None:
+        return automaton.term_hits(words(labelled), *lists)
+    return ngrams_by_join(labelled, dictionary, stop_words, max_n)
+
+
+def ngrams_by_join(labelled: DataFrame, dictionary: DataFrame, stop_words: DataFrame,
+                   max_n: int | None = None) -> DataFrame:
+    """``changed_ngrams`` for dictionaries of any size: n-grams at words that
+    start a term, joined with the terms."""
     if max_n is None:
         max_n = dictionary.agg(F.max("n_words")).first()[0] or 1
     w = words(labelled)

@@ -139,3 +139,47 @@ def test_words_moved_between_changed_lines_are_unchanged(spark):
     lab = dif.label_units(units(spark, ["a b c", "d"], ["a b", "c d d"]))
     changed = sorted((r.side, r.word) for r in trm.words(lab).where("changed").collect())
     assert changed == [("b", "d")]
+
+
+# ---------------------------------------------------------------- many terms (TRM-04)
+from changelens.operators import automaton  # noqa: E402
+
+
+def test_automaton_finds_overlapping_terms():
+    rng = random.Random(6)
+    for _ in range(300):
+        terms = list({" ".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 12))})
+        stream = [rng.choice("abcd") for _ in range(30)]
+        m, at, got = automaton.Automaton(terms), 0, []
+        for i, w in enumerate(stream):
+            at = m.next(at, w)
+            got += [(i - n + 1, n) for n in m.sizes(at)]
+        assert sorted(got) == sorted((i, n) for n in range(1, 5) for i in range(31 - n) if " ".join(stream[i : i + n]) in terms)
+
+
+def test_large_dictionary_gives_the_joined_rows(spark):
+    """200,000 terms of up to six words: the rows of the join."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(400)]
+    line = lambda: " ".join(rng.choice(vocabulary[:60] + ["the"]) for _ in range(rng.randint(1, 12)))
+    rows = [(p, s, i, line()) for p in range(6) for s in "ab" for i in range(12)]
+    lab = dif.label_units(spark.createDataFrame(rows, "pair_id long, side string, pos int, unit string"))
+    texts = [r[3].split() for r in rows]
+    terms = {" ".join(t[i : i + n]) for t in texts for n in range(1, 7) for i in range(len(t) - n + 1) if rng.random() < 0.5}
+    terms |= {" ".join(rng.choice(vocabulary) for _ in range(rng.randint(2, 6))) for _ in range(200_000)}
+    d = trm.term_dictionary(spark.createDataFrame([(t,) for t in terms], "term string"))
+    stop = values_table(spark, ["the"], ["word"])
+    cols = ["pair_id", "side", "pos", "wpos", "n", "term"]
+    got = sorted(map(tuple, trm.changed_ngrams(lab, d, stop).select(cols).collect()))
+    assert got == sorted(map(tuple, trm.ngrams_by_join(lab, d, stop).select(cols).collect())) and len(got) > 300
+    assert {r[4] for r in got} == {1, 2, 3, 4, 5, 6}
+
+
+def test_dictionaries_beyond_the_bound_are_joined(spark, monkeypatch):
+    lab = dif.label_units(units(spark, ["old plan"], ["green energy plan"]))
+    d = trm.term_dictionary(values_table(spark, ["green energy", "plan", "old"], ["term"]))
+    stop = values_table(spark, ["the"], ["word"])
+    rows = lambda: sorted((r.side, r.term) for r in trm.changed_ngrams(lab, d, stop).collect())
+    near = rows()
+    monkeypatch.setattr(automaton, "MAX_TERMS", 2)
+    assert automaton.collected(d, stop) is None and rows() == near == [("a", "old"), ("b", "green energy")]
