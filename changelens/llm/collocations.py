@@ -2,18 +2,21 @@
 
 Every word of a piece (a stretch without sentence marks) starts a suffix.  A
 suffix is cut to ``LONGEST`` words and, because a phrase is only as frequent as
-its rarest word, before its first infrequent one; suffixes of one word then
-have nothing to say.  Each task combines equal suffixes and sends them to the
-task of their leading words: up to the first word that is not hot, so a group
-holds fewer than ``HOT`` suffixes whatever the data.  There the suffixes are put
-in three by the pivot's word at a depth (less, equal, greater); the equal part
-goes on one word deeper, its weight is the count of the phrase so far, and a
-part lighter than ``least`` is abandoned.  Phrases shorter than the leading
-words may also lie in other groups, so their counts are partial and summed.
-
-Which words are frequent or hot goes to the tasks as a table of two bits for
-each of 2**``SLOT_BITS`` hash slots, of the same size whatever the corpus.  Words
-that share a slot with a frequent one only make a suffix longer than needed.
+any two neighbours in it, before its first infrequent pair of words; suffixes
+of one word then have nothing to say.  Each task combines equal suffixes and
+sends them to the task of their leading words: up to the first word that is
+not hot, so a group holds fewer than ``HOT`` suffixes whatever the data.  There
+the suffixes are put in three by the pivot's word at a depth (less, equal,
+greater); the equal part goes on one word deeper, its weight is the count of
+the phrase so far, and a part lighter than ``least`` is abandoned.  Phrases
+shorter than the leading words may also lie in other groups, so their counts
+are partial and summed.
+
+Which words are frequent or hot, and which pairs are frequent, goes to the
+tasks as tables of a fixed number of hash slots, whatever the corpus: 2 bits a
+word slot, 1 bit a pair slot.  Pairs are counted by a 32-bit hash, in sorted
+lists of slots.  Words or pairs that share a slot with a frequent one only make
+a suffix longer than needed; the counts themselves are of the words.
 """
 
 from __future__ import annotations
@@ -40,14 +43,22 @@ UNKNOWN = "und"
 HOT = 50_000
 SLOT_BITS = 26
 CHUNK_BITS = 22
-#: Different words or suffixes that a task combines before it sends them on; words whose level it remembers.
+#: Slots of pairs: as counted, and in the table that goes to the tasks; lists of counted slots are cut by their first bits.
+PAIR_BITS = 32
+TABLE_BITS = 26
+PART_BITS = 8
+#: Different words or suffixes that a task combines before it sends them on; words it remembers; pairs it counts at once.
 COMBINED = 400_000
+KNOWN = 500_000
+PAIRS = 1 << 22
 BATCH_CHARS = 1 << 21
 
 #: A-Z are folded, these marks end a piece, tabs are blanks.
 MARKS = b".,;:!?\n\x0b\x0c\r"
+#: Stands for a mark, as a word of its own; no byte of UTF-8.
+END = b"\xff"
 FOLD = bytes.maketrans(
-    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + MARKS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(MARKS) + b" ")
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + MARKS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + END * len(MARKS) + b" ")
 
 
 def texts_of(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
@@ -59,8 +70,12 @@ def texts_of(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
                     yield lang, text.encode().translate(FOLD)
 
 
-def slot(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang)) >> (64 - SLOT_BITS)
+def hashed(lang: str, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang))
+
+
+def slot(h: int) -> int:
+    return h >> (64 - SLOT_BITS)
 
 
 # --- words --------------------------------------------------------------------
@@ -82,7 +97,7 @@ def words(docs: DataFrame) -> DataFrame:
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int64())], ["lang", "word", "f"])
 
         for lang, text in texts_of(it):
-            seen.setdefault(lang, Counter()).update(text.split())
+            seen.setdefault(lang, Counter()).update(text.replace(END, b" ").split())
             if sum(map(len, seen.values())) > COMBINED:
                 yield out()
         yield out()
@@ -99,7 +114,7 @@ def levels(frequent: DataFrame, hot: int) -> bytes:
 
     def slots(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            at = [slot(lang, w.encode()) for lang, w in zip(b.column("lang").to_pylist(), b.column("word").to_pylist(), strict=True)]
+            at = [slot(hashed(lang, w.encode())) for lang, w in zip(b.column("lang").to_pylist(), b.column("word").to_pylist(), strict=True)]
             level = [2 if f >= hot else 1 for f in b.column("f").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x >> CHUNK_BITS for x in at], pa.int32()), pa.array(at, pa.int64()), pa.array(level, pa.int32())], ["part", "slot", "level"])
@@ -123,77 +138,177 @@ def levels(frequent: DataFrame, hot: int) -> bytes:
     return bytes(whole)
 
 
-# --- suffixes -------------------------------------------------------------------
+# --- pairs ----------------------------------------------------------------------
 
-class Level(dict):
-    """The level of a word of one language, remembered for ``COMBINED`` words."""
+class Words(dict):
+    """Numbers of the words a task has met, with the level and hash of each; 0 is the end of a piece."""
 
     def __init__(self, lang: str, table: bytes) -> None:
         super().__init__()
         self.lang, self.table = lang, table
+        self.level, self.hash = [0], [0]
+        self[END] = 0
 
     def __missing__(self, word: bytes) -> int:
-        at = slot(self.lang, word)
-        level = self.table[at >> 2] >> 2 * (at & 3) & 3
-        if len(self) >= COMBINED:
-            self.clear()
-        self[word] = level
-        return level
-
-
-def suffixes_of(text: bytes, level: Level, longest: int, seen: Counter) -> None:
-    """Count the suffixes of two frequent words or more in a folded text.  A long text is taken piece by piece."""
-    for piece in text.split(b"\n"):
-        ws = piece.split()
-        n = len(ws)
-        if n < 2:
-            continue
-        ls = list(map(level.__getitem__, ws))
-        end = n  # where the frequent words after i end
-        for i in range(n - 1, -1, -1):
-            if not ls[i]:
-                end = i
-            elif end - i > 1:
-                seen[b" ".join(ws[i : min(end, i + longest)])] += 1
+        h = hashed(self.lang, word)
+        at = slot(h)
+        self.level.append(self.table[at >> 2] >> 2 * (at & 3) & 3)
+        self.hash.append(h)
+        self[word] = n = len(self)
+        return n
+
+
+class Numbered:
+    """The texts of one language as numbers of words: a task's rows are taken some texts at a time."""
+
+    def __init__(self, lang: str, table: bytes) -> None:
+        self.known = Words(lang, table)
 
+    def take(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(words, levels, slots of the pairs that start at each but the last; pairs that end a piece or
+        have an infrequent word are told by a level of 0)."""
+        if len(self.known) > KNOWN:
+            self.known = Words(self.known.lang, self.known.table)
+        ws = text.replace(END, b" \xff ").split()
+        numbers = list(map(self.known.__getitem__, ws))
+        level = np.fromiter(map(self.known.level.__getitem__, numbers), np.uint8, len(ws))
+        h = np.fromiter(map(self.known.hash.__getitem__, numbers), np.uint64, len(ws))
+        mixed = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ (h[1:] >> np.uint64(29)))) * np.uint64(0xBF58476D1CE4E5B9)
+        return ws, level, (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.uint32)
 
-def lead(suffix: list[bytes], level: Level) -> int:
-    """How many leading words name the group of a suffix: up to the first that is not hot."""
-    for i, w in enumerate(suffix, 1):
-        if level[w] < 2:
-            return i
-    return len(suffix)
 
+def table_slot(pair: np.ndarray) -> np.ndarray:
+    return pair >> np.uint32(PAIR_BITS - TABLE_BITS)
+
+
+def frequent_pairs(docs: DataFrame, shared: object, least: int) -> bytes:
+    """The table of pairs: a bit for each slot where some pair slot was met ``least`` times or more.
+
+    Tasks send sorted slots with their counts, a row for each part of the
+    slots; a part is added up in one task, which holds one list at a time
+    beside the sum, and gives its bits of the table."""
+    part_shift = np.uint32(PAIR_BITS - PART_BITS)
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbered: dict[str, Numbered] = {}
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            slots, n = np.unique(np.concatenate(held) if held else np.empty(0, np.uint32), return_counts=True)
+            held.clear()
+            cuts = np.searchsorted(slots >> part_shift, np.arange((1 << PART_BITS) + 1))
+            parts = [p for p in range(1 << PART_BITS) if cuts[p] < cuts[p + 1]]
+            lists = [(slots[cuts[p] : cuts[p + 1]], n[cuts[p] : cuts[p + 1]]) for p in parts]
+            gaps = [np.diff(s, prepend=np.uint32(p << (PAIR_BITS - PART_BITS))).astype("<u4").tobytes() for p, (s, _) in zip(parts, lists, strict=True)]
+            # four planes of bytes: the high ones are almost all zero
+            planes = [np.frombuffer(g, np.uint8).reshape(-1, 4).T.tobytes() for g in gaps]
+            counts = [m.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for _, m in lists]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(parts, pa.int32()), pa.array(planes, pa.binary()), pa.array(counts, pa.binary())], ["part", "gaps", "counts"])
 
-def suffixes(docs: DataFrame, table_of: object, longest: int) -> DataFrame:
+        size = 0
+        for lang, text in texts_of(it):
+            ws, level, pair = numbered.setdefault(lang, Numbered(lang, shared.value)).take(text)
+            held.append(pair[(level[:-1] > 0) & (level[1:] > 0)])
+            size += len(held[-1])
+            if size > PAIRS:
+                yield out()
+                size = 0
+        yield out()
+
+    def unpacked(planes: bytes) -> np.ndarray:
+        return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+    def summed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a task's rows come sorted by part
+        now, slots, counts, waiting = None, None, None, []
+
+        def merge() -> None:
+            nonlocal slots, counts
+            s = np.concatenate([slots, *(x for x, _ in waiting)])
+            c = np.concatenate([counts, *(y for _, y in waiting)])
+            waiting.clear()
+            order = np.argsort(s, kind="stable")
+            s, c = s[order], c[order]
+            start = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.empty(0, np.int64)
+            slots, counts = s[start], np.minimum(np.add.reduceat(c, start), least) if len(s) else c
+
+        def close() -> pa.RecordBatch:
+            merge()
+            bits = np.zeros(1 << (TABLE_BITS - PART_BITS), np.uint8)
+            bits[table_slot(slots[counts >= least]) & np.uint32(len(bits) - 1)] = 1
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["part", "bits"])
+
+        for b in it:
+            for part, gaps, n in zip(*(b.column(c).to_pylist() for c in ("part", "gaps", "counts")), strict=True):
+                if part != now:
+                    if now is not None:
+                        yield close()
+                    now, slots, counts = part, np.empty(0, np.uint32), np.empty(0, np.int64)
+                first = np.uint32(part << (PAIR_BITS - PART_BITS))
+                waiting.append((first + np.cumsum(unpacked(gaps), dtype=np.uint32), unpacked(n).astype(np.int64)))
+                if sum(len(x) for x, _ in waiting) > max(1 << 20, len(slots)):
+                    merge()
+        if now is not None:
+            yield close()
+
+    lists = docs.mapInArrow(batches, "part int, gaps binary, counts binary")
+    rows = lists.repartition(1 << PART_BITS, "part").sortWithinPartitions("part").mapInArrow(summed, "part int, bits binary").collect()
+    size = (1 << (TABLE_BITS - PART_BITS)) // 8
+    whole = bytearray(size << PART_BITS)
+    for r in rows:
+        whole[r.part * size : (r.part + 1) * size] = r.bits
+    return bytes(whole)
+
+
+# --- suffixes -------------------------------------------------------------------
+
+def suffixes_of(text: bytes, numbered: Numbered, pairs: np.ndarray, longest: int, seen: Counter) -> None:
+    """Count the suffixes of two words or more in a folded text, as far as neighbours are frequent pairs.
+
+    A suffix is kept with how many of its words lead to its group: up to the first that is not hot."""
+    ws, level, pair = numbered.take(text)
+    if len(ws) < 2:
+        return
+    at = table_slot(pair)
+    good = (level[:-1] > 0) & (level[1:] > 0) & (pairs[at >> np.uint32(3)] >> (np.uint32(7) - (at & np.uint32(7))) & 1).astype(bool)
+    starts = np.flatnonzero(good)
+    if not len(starts):
+        return
+    ends = np.flatnonzero(np.diff(np.concatenate((good, [False])).astype(np.int8)) == -1)  # where a run of pairs ends
+    size = np.minimum(ends[np.searchsorted(ends, starts)] - starts + 2, longest)
+    warm = np.flatnonzero(np.concatenate((level < 2, [True])))
+    lead = np.minimum(warm[np.searchsorted(warm, starts)] - starts + 1, size)
+    seen.update([(k, *ws[i : i + n]) for i, n, k in zip(starts.tolist(), size.tolist(), lead.tolist(), strict=True)])
+
+
+def suffixes(docs: DataFrame, shared: object, longest: int) -> DataFrame:
     """(lang, lead, suffixes): what each task combined, a row for each of its groups.
 
     ``lead`` has the leading words that name the group; ``suffixes`` is a line for each, its weight and its further words.
     """
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, bits = shared.value
+        pairs = np.frombuffer(bits, np.uint8)
         seen: dict[str, Counter] = {}
-        level: dict[str, Level] = {}
+        numbered: dict[str, Numbered] = {}
 
         def out() -> Iterator[pa.RecordBatch]:
             for lang, c in seen.items():
-                groups: dict[bytes, list[bytes]] = {}
-                for suffix in sorted(c):
-                    ws = suffix.split(b" ")
-                    k = lead(ws, level[lang])
-                    groups.setdefault(b" ".join(ws[:k]), []).append(b" ".join([b"%d" % c[suffix], *ws[k:]]))
-                lines = [b"\n".join(g) for g in groups.values()]
-                for at in range(0, len(lines), 1 << 14):
-                    keys = list(groups)[at : at + (1 << 14)]
+                groups: dict[tuple, list[bytes]] = {}
+                for (k, *ws), n in c.items():
+                    groups.setdefault((k, *ws[:k]), []).append(b" ".join([b"%d" % n, *ws[k:]]))
+                keys, lines = list(groups), [b"\n".join(sorted(g)) for g in groups.values()]
+                for i in range(0, len(lines), 1 << 14):
+                    part = keys[i : i + (1 << 14)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.binary()), pa.array(lines[at : at + len(keys)], pa.binary())],
-                        ["lang", "lead", "suffixes"])
+                        [pa.array([lang] * len(part), pa.string()), pa.array([b" ".join(k[1:]) for k in part], pa.binary()),
+                         pa.array(lines[i : i + len(part)], pa.binary())], ["lang", "lead", "suffixes"])
             seen.clear()
 
         for lang, text in texts_of(it):
-            if lang not in level:
-                level[lang] = Level(lang, table_of.value)
-            suffixes_of(text, level[lang], longest, seen.setdefault(lang, Counter()))
+            suffixes_of(text, numbered.setdefault(lang, Numbered(lang, table)), pairs, longest, seen.setdefault(lang, Counter()))
             if sum(map(len, seen.values())) > COMBINED:
                 yield from out()
         yield from out()
@@ -227,40 +342,44 @@ def three_way(rows: list[tuple[list[bytes], int]], depth: int, prefix: bytes, le
             todo.append((equal, depth + 1, phrase))
 
 
-def group_counts(lead_words: bytes, rows: list[tuple[list[bytes], int]], least: int) -> list[tuple[bytes, int]]:
-    """Counts of the phrases that start with a group's leading words: those no longer than these are
-    partial sums, for words further on only counts of ``least`` or more."""
-    found: list[tuple[bytes, int]] = []
-    ws = lead_words.split(b" ")
-    weight = sum(n for _, n in rows)
-    found += [(b" ".join(ws[:k]), weight) for k in range(2, len(ws) + 1)]
-    if weight >= least:
-        three_way(rows, 0, lead_words, least, found)
-    return found
-
-
 def phrases(docs: DataFrame, frequent: DataFrame, least: int = LEAST, longest: int = LONGEST, hot: int = HOT) -> DataFrame:
     """(lang, phrase, f) of all phrases of two to ``longest`` words that occur ``least`` times or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels(frequent, hot))
+    sc = docs.sparkSession.sparkContext
+    table = levels(frequent, hot)
+    pairs = frequent_pairs(docs, sc.broadcast(table), least)
+    shared = sc.broadcast((table, pairs))
 
     def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a task's rows come sorted by group; a group may go on in the next batch
         now, rows = None, []
-        out: tuple[list, list, list] = ([], [], [])
+        found: list[tuple[str, bytes, int]] = []
+        partial: Counter = Counter()  # phrases that may lie in other groups, too
 
         def close() -> None:
-            if now is not None:
-                for phrase, f in group_counts(now[1], rows, least):
-                    out[0].append(now[0])
-                    out[1].append(phrase)
-                    out[2].append(f)
-
-        def batch() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.string()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64())], ["lang", "phrase", "f"])
-            for c in out:
-                c.clear()
-            return made
+            if now is None:
+                return
+            lang, lead = now
+            ws = lead.split(b" ")
+            weight = sum(n for _, n in rows)
+            at = slot(hashed(lang, ws[-1]))
+            whole = shared.value[0][at >> 2] >> 2 * (at & 3) & 3 < 2  # no other group starts with these words
+            for k in range(2, len(ws) + (not whole)):
+                partial[lang, b" ".join(ws[:k])] += weight
+            if weight >= least:
+                if whole and len(ws) > 1:
+                    found.append((lang, lead, weight))
+                deeper: list[tuple[bytes, int]] = []
+                three_way(rows, 0, lead, least, deeper)
+                found.extend((lang, p, n) for p, n in deeper)
+
+        def batch(rest: bool = False) -> pa.RecordBatch:
+            if rest or len(partial) > COMBINED:
+                found.extend((lang, p, n) for (lang, p), n in partial.items())
+                partial.clear()
+            columns = list(zip(*found, strict=True)) or [[], [], []]
+            found.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int64())], ["lang", "phrase", "f"])
 
         for b in it:
             for lang, key, lines in zip(*(b.column(c).to_pylist() for c in ("lang", "lead", "suffixes")), strict=True):
@@ -272,7 +391,7 @@ def phrases(docs: DataFrame, frequent: DataFrame, least: int = LEAST, longest: i
                     rows.append((ws, int(n)))
             yield batch()
         close()
-        yield batch()
+        yield batch(rest=True)
 
     routed = suffixes(docs, shared, longest).repartition("lang", "lead").sortWithinPartitions("lang", "lead")
     made = routed.mapInArrow(counted, "lang string, phrase binary, f long")
