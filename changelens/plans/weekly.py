@@ -7,7 +7,7 @@ collected; the only actions are the dictionary size checks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from changelens.functions import status as ST
 from changelens.operators import analysis as an
@@ -15,7 +15,7 @@ from changelens.operators import blocks as bk
 from changelens.operators import deep as dp
 from changelens.operators import versions as ver
 from changelens.operators.catalog import select_pages
-from changelens.session import stage_table
+from changelens.session import stage_scope, stage_table
 
 
 def change_results(v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_bodies: DataFrame,
@@ -49,6 +49,15 @@ def change_results(v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_
     return dp.with_changes(results, found, key)
 
 
+def weekly_job(spark: SparkSession, v: DataFrame, pages: DataFrame, text_bodies: DataFrame, html_bodies: DataFrame,
+               after, before, out_dir: str, threshold: float = 0.0, deep: bool = False, **how) -> None:
+    """``change_results`` and ``write_outputs`` as one job that leaves nothing
+    but its outputs: what it stages is deleted at its end."""
+    with stage_scope(spark):
+        results = change_results(v, pages, text_bodies, html_bodies, after, before, deep=deep, **how, **({"threshold": threshold} if deep else {}))
+        write_outputs(stage_table(results, "results"), pages, out_dir, threshold, deep)
+
+
 def write_outputs(results: DataFrame, pages: DataFrame, out_dir: str, threshold: float = 0.0,
                   deep: bool = False, key: str = "page_id") -> None:
     """The job's outputs, all written by Spark writers:

@@ -67,3 +67,21 @@ def test_bucketed_stage_is_read_without_a_shuffle(spark):
         name = [p for p in _SCOPE.get() if p.startswith("table:")][0].removeprefix("table:")
         assert spark.catalog.tableExists(name)
     assert not spark.catalog.tableExists(name)
+
+
+def test_weekly_job_leaves_only_its_outputs(spark, tmp_path):
+    import os
+
+    from changelens.plans.weekly import weekly_job
+    from changelens.session import checkpoint_dir
+
+    a, b = tb.FRAMES[0]
+    v = stage_table(tb.versions(spark, SF).where("page_id IN (1, 7)"), "test-captures")
+    bodies = stage_table(tb.version_bodies(spark, SF).join(v.select("version_id"), "version_id", "left_semi"), "test-bodies")
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    weekly_job(spark, v, tb.page_meta(spark, SF), tb.table(spark, SF, "documents"), bodies, a, b, str(tmp_path / "out"),
+               html_ref="version_id", html_key="version_id")
+    assert set(os.listdir(folder)) == before
+    assert sorted(n for n in os.listdir(tmp_path / "out")) == ["_redirects-changed", "_redirects-current", "_results.json.gz", "sheets"]
+    assert spark.read.json(str(tmp_path / "out" / "_results.json.gz")).count() == 2
