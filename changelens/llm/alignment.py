@@ -5,8 +5,10 @@ tokens are put in a dictionary each (end to index); the ends that both have,
 in order, cut the two id lists in groups, and every A-B pair inside a group is
 a link.  Groups of one token each are words that both vocabularies know.
 
-Neither vocabulary has tokens across the start of a spaced word, so a text is
-aligned word by word and a worker remembers words it has met.  A link's weight
+Neither vocabulary has tokens across the start of a spaced word, so the words
+of a batch are aligned once each, all together (their ends are common to both
+sides), and a worker remembers the words it has met.
+A link's weight
 is how many documents hold it: the documents' distinct pairs are counted by
 partial aggregation and joined back.  The ``TABLE_PAIRS`` pairs in most
 documents are broadcast (a bound of rows, whatever the data), the others are
@@ -15,10 +17,12 @@ joined by shuffle; none of those is in so many documents that it could be hot.
 
 from __future__ import annotations
 
+import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,42 +35,82 @@ from changelens.session import prepare_python, stage_table
 
 #: Pairs that are broadcast; words a worker remembers, and the longest of them; bytes of text aligned at once.
 TABLE_PAIRS = 1 << 18
-CACHE_WORDS = 250_000
+CACHE_WORDS = 200_000
 CACHE_CHARS = 40
 BATCH_BYTES = 1 << 20
-#: A pair of ids as one number: a * PAIR + b.
-PAIR = 1 << 24
-
-#: White space in front of a space; no word starts there.  Elsewhere one starts at every space.
-NO_START = re.compile("[\\s᠎] ")
-START = re.compile("(?<=[^\\s᠎])(?= )")
-
-
-def align(a: list[int], b: list[int], bytes_a: dict[int, bytes], bytes_b: list[bytes]) -> Iterator[tuple[list[int], list[int]]]:
-    """The groups of two tokenizations of the same bytes."""
-    at_a, at_b = {}, {}
-    end = 0
-    for i, x in enumerate(a, 1):
-        end += len(bytes_a[x])
-        at_a[end] = i
-    end = 0
-    for j, y in enumerate(b, 1):
-        end += len(bytes_b[y])
-        at_b[end] = j
-    i = j = 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        yield a[i : at_a[end]], b[j : at_b[end]]
-        i, j = at_a[end], at_b[end]
+#: A pair of ids as one number, a * PAIR + b; a word's place in its batch stands above it.
+PAIR = 1 << 20
+PLACE = 1 << 40
+#: Links of a group that is expanded by its distinct ids instead.
+LARGE_GROUP = 1 << 16
+
+#: White space in front of a space: no word starts there.  Elsewhere one starts at every space.
+NO_START = re.compile(r"[\s\u180e] ")
+START = re.compile(r"(?<=[^\s\u180e])(?= )")
+
+
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens of either side each group and those before it have, for the ends of two
+    tokenizations of the same bytes."""
+    at_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1), strict=True))
+    at_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1), strict=True))
+    both = sorted(at_a.keys() & at_b.keys())
+    return (np.fromiter(map(at_a.__getitem__, both), np.int64, len(both)),
+            np.fromiter(map(at_b.__getitem__, both), np.int64, len(both)))
+
+
+def links(ids_a: np.ndarray, ids_b: np.ndarray, upto_a: np.ndarray, upto_b: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (word, A id, B id) that are linked, as sorted numbers, and how often.
+
+    Every slice is expanded to its pairs; a very large one by its distinct ids, so that no slice
+    needs more room than the square of the ids in it.
+    """
+    n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+    group_of = np.repeat(np.arange(len(n_a)), n_a)
+    small = n_a * n_b <= LARGE_GROUP
+    width = np.where(small, n_b, 0)[group_of]           # partners of each A token
+    a = np.repeat(np.arange(len(ids_a)), width)
+    first = np.cumsum(width) - width
+    b = np.repeat((upto_b - n_b)[group_of] - first, width) + np.arange(len(a))
+    keys = [place[group_of[a]] * PLACE + ids_a[a] * PAIR + ids_b[b]]
+    times = [np.ones(len(a), np.int64)]
+    for g in np.flatnonzero(~small):
+        x, m = np.unique(ids_a[upto_a[g] - n_a[g] : upto_a[g]], return_counts=True)
+        y, n = np.unique(ids_b[upto_b[g] - n_b[g] : upto_b[g]], return_counts=True)
+        keys.append((place[g] * PLACE + x[:, None] * PAIR + y[None, :]).ravel())
+        times.append(np.outer(m, n).ravel())
+    key, time = np.concatenate(keys), np.concatenate(times)
+    order = np.argsort(key, kind="stable")
+    key, time = key[order], time[order]
+    start = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[start], np.add.reduceat(time, start) if len(start) else time
+
+
+def count(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(map(len, ids), np.int64, len(ids))
+
+
+def flat(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(ids), np.int64)
 
 
 class Aligner:
     def __init__(self, path_a: str, path_b: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads that wait for work would use others
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        self.a.no_truncation()
+        self.a.no_padding()
         letters = byte_letters()
-        self.bytes_a = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in letters for c in t)}
+        named = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        self.bytes_a = [bytes(letters[c] for c in named.get(i, "") if c in letters) for i in range(max(named) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = [self.piece_bytes(i) for i in range(self.b.get_piece_size())]
+        self.len_a, self.len_b = (np.fromiter(map(len, x), np.int64) for x in (self.bytes_a, self.bytes_b))
+        # ids as text, with what stands behind them inside a group and at its end
+        told = lambda n, end: np.array([f"{i}{end}" for i in range(n)], object)
+        n_a, n_b = len(self.bytes_a), len(self.bytes_b)
+        self.told_a, self.told_b = (told(n_a, ","), told(n_a, "|")), (told(n_b, ","), told(n_b, ";"))
         self.words: dict[str, tuple | None] = {}
 
     def piece_bytes(self, i: int) -> bytes:
@@ -74,42 +118,6 @@ class Aligner:
             return bytes([int(self.b.id_to_piece(i)[3:-1], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def encoded_b(self, words: list[str]) -> list[list[int]]:
-        """B's ids of a space and each word; alone, an empty word would lose its space."""
-        ids = self.b.encode([w or "\n " for w in words], num_threads=1)
-        return [i if w else i[2:] for w, i in zip(words, ids, strict=True)]
-
-    def word(self, word: str, a: list[int], b: list[int]) -> tuple | None:
-        """(n_a, n_b, n_groups, n_links, groups, ((pair, times), ...)) of a space and a word,
-        or None where either side's bytes are not those of the text."""
-        raw = (" " + word).encode()
-        if b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
-            return None
-        if len(a) == len(b) == 1:
-            return 1, 1, 1, 1, f"{a[0]}|{b[0]}", ((a[0] * PAIR + b[0], 1),)
-        groups, links = [], 0
-        times: dict[int, int] = {}
-        for x, y in align(a, b, self.bytes_a, self.bytes_b):
-            groups.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
-            links += len(x) * len(y)
-            of_a, of_b = ((x, y) if len(x) * len(y) <= 16 else (Counter(x), Counter(y)))
-            for i in of_a:
-                for j in of_b:
-                    n = 1 if of_a is x else of_a[i] * of_b[j]
-                    pair = i * PAIR + j
-                    times[pair] = times.get(pair, 0) + n
-        return len(a), len(b), len(groups), links, ";".join(groups), tuple(times.items())
-
-    def learn(self, words: set[str]) -> dict[str, tuple | None]:
-        """The entries of ``words``; the short ones are remembered."""
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words = {w: self.words[w] for w in words if w in self.words}  # the common ones are in any batch
-        ids_a = (e.ids for e in self.a.encode_batch([" " + w for w in new], add_special_tokens=False))
-        made = {w: self.word(w, a, b) for w, a, b in zip(new, ids_a, self.encoded_b(new), strict=True)}
-        self.words |= {w: e for w, e in made.items() if len(w) <= CACHE_CHARS}
-        return {w: made[w] if w in made else self.words[w] for w in words}
-
     @staticmethod
     def split(text: str) -> list[str]:
         """The words of a text, without the space each starts with (the first one's is not in the text)."""
@@ -118,34 +126,107 @@ class Aligner:
             return text.split(" ")
         return [w[1:] for w in START.split(spaced)]
 
+    def encoded(self, words: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        """Both sides' ids of a space and each word, and whether both give back its bytes; else it has none."""
+        spaced = [" " + w for w in words]
+        a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        # alone, an empty word would lose its space
+        b = [x if w else x[2:] for w, x in zip(words, self.b.encode([w or "\n " for w in words], num_threads=1), strict=True)]
+        raw = [w.encode() for w in spaced]
+        lens = count(raw)
+
+        def all_fine(ids: list[list[int]], parts: list[bytes], sizes: np.ndarray) -> bool:
+            n = count(ids)
+            return (bool(n.all()) and np.array_equal(np.add.reduceat(sizes[flat(ids)], np.cumsum(n) - n), lens)
+                    and b"".join([parts[k] for k in chain.from_iterable(ids)]) == b"".join(raw))
+
+        if all_fine(a, self.bytes_a, self.len_a) and all_fine(b, self.bytes_b, self.len_b):
+            return a, b, [True] * len(words)
+        fine = [b"".join([self.bytes_a[k] for k in x]) == r and b"".join([self.bytes_b[k] for k in y]) == r for x, y, r in zip(a, b, raw, strict=True)]
+        for i, ok in enumerate(fine):
+            if not ok:
+                a[i], b[i] = [], []
+        return a, b, fine
+
+    def entries(self, words: list[str]) -> list[tuple | None]:
+        """(n_a, n_b, n_groups, n_links, groups, pairs, times) of a space and each word, or None where
+        either side's bytes are not those of the text; up to ``LARGE_GROUP`` links ``pairs`` has one
+        for each link and ``times`` is None, else they are distinct pairs and how often they are linked."""
+        a, b, fine = self.encoded(words)
+        n_a, n_b, ids_a, ids_b = count(a), count(b), flat(a), flat(b)
+        upto_a, upto_b = align(np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b]))
+        place = np.repeat(np.arange(len(words)), n_a)[upto_a - 1] if len(upto_a) else np.empty(0, np.int64)
+        of_group = lambda w: np.bincount(place, w, len(words)).astype(np.int64).tolist()
+        sizes_a, sizes_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+
+        # a group's ids of A, then of B: a token's place is its own plus the other side's tokens in front of it
+        out = np.empty(len(ids_a) + len(ids_b), object)
+        for ids, upto, sizes, others, told in (
+                (ids_a, upto_a, sizes_a, upto_b - sizes_b, self.told_a), (ids_b, upto_b, sizes_b, upto_a, self.told_b)):
+            at = np.arange(len(ids)) + np.repeat(others, sizes)
+            out[at] = told[0][ids]
+            out[at[upto - 1]] = told[1][ids[upto - 1]]
+        out = out.tolist()
+        upto = np.cumsum(n_a + n_b).tolist()
+        told = ["".join(out[i:j])[:-1] for i, j in zip([0, *upto], upto)]  # noqa: B905
+
+        key, times = links(ids_a, ids_b, upto_a, upto_b, place)
+        ends = np.searchsorted(key, np.arange(1, len(words) + 1) * PLACE)
+        total = np.diff(np.concatenate(([0], np.cumsum(times)))[ends], prepend=0)
+        key, times, ends, total = (key % PLACE).tolist(), times.tolist(), ends.tolist(), total.tolist()
+        made = zip(n_a.tolist(), n_b.tolist(), of_group(None), of_group(sizes_a * sizes_b), told, [0, *ends], ends, total, fine)  # noqa: B905
+        out = []
+        for x, y, g, k, s, i, j, n, ok in made:
+            if not ok:
+                out.append(None)
+            elif n == j - i:
+                out.append((x, y, g, k, s, key[i:j], None))
+            elif n <= LARGE_GROUP:
+                out.append((x, y, g, k, s, [p for p, m in zip(key[i:j], times[i:j], strict=True) for _ in range(m)], None))
+            else:
+                out.append((x, y, g, k, s, key[i:j], times[i:j]))
+        return out
+
+    def learn(self, words: set[str]) -> list[str]:
+        """Have the entries of ``words`` in ``self.words``; returns those that are new."""
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words = {w: self.words[w] for w in words if w in self.words}  # the common ones are in any batch
+        if new:
+            self.words.update(zip(new, self.entries(new), strict=True))
+        return new
+
     def texts(self, texts: list[str]) -> Iterator[tuple]:
         """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text."""
         split = [self.split(t) if t else [] for t in texts]
-        entry = self.learn(set().union(*split)).__getitem__
+        new = self.learn(set().union(*split))
+        entry = self.words.__getitem__
         for words in split:
             entries = list(map(entry, words))
             if not entries or None in entries:
                 yield 0, 0, 0, 0, "", [], []
                 continue
-            times: dict[int, int] = {}
-            n_a = n_b = n_groups = n_links = 0
-            for w, n in Counter(words).items():
-                of_a, of_b, groups, links, _, pairs = entry(w)
-                n_a += n * of_a
-                n_b += n * of_b
-                n_groups += n * groups
-                n_links += n * links
-                for pair, k in pairs:
-                    times[pair] = times.get(pair, 0) + n * k
-            pairs = sorted(times)
-            yield n_a, n_b, n_groups, n_links, ";".join([e[4] for e in entries]), pairs, [times[p] for p in pairs]
+            n_a, n_b, groups, n_links, told, pairs, many = zip(*entries, strict=True)
+            linked = np.fromiter(chain.from_iterable(pairs), np.int64)
+            if any(many):
+                times = np.fromiter(chain.from_iterable([1] * len(p) if m is None else m for p, m in zip(pairs, many, strict=True)), np.int64)
+                order = np.argsort(linked, kind="stable")
+                linked, times = linked[order], times[order]
+                start = np.flatnonzero(np.diff(linked, prepend=-1))
+                linked, times = linked[start], np.add.reduceat(times, start)
+            else:
+                linked, times = np.unique(linked, return_counts=True)
+            yield sum(n_a), sum(n_b), sum(groups), sum(n_links), ";".join(told), linked.tolist(), times.tolist()
+        for w in new:
+            if len(w) > CACHE_CHARS:
+                del self.words[w]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
-    """The worker's aligner, with the words it has met."""
+    """The worker's aligner."""
     if (path_a, path_b) not in _ALIGNERS:
         _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
     return _ALIGNERS[path_a, path_b]
@@ -175,7 +256,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for part in chunks(b, "text", BATCH_BYTES):
                 columns = zip(*known.texts([x or "" for x in part.column("text").to_pylist()]), strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(c, t.type) for c, t in zip(columns, list(SCHEMA)[1:], strict=True))], schema=SCHEMA)
+                    [part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(SCHEMA)[1:], strict=True))], schema=SCHEMA)
 
     prepare_python(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(batches, DDL)

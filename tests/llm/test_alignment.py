@@ -111,24 +111,22 @@ def test_query(spark):
     assert Counter(map(tuple, alignment.query(spark, SF).collect())) == want
 
 
-def test_random_strings_word_by_word():
-    """Words are aligned alone; joined they must be the alignment of the whole text."""
+def test_random_strings_word_by_word(monkeypatch):
+    """Words are aligned alone and together with others; joined they must be the alignment of the whole text."""
     rng = random.Random(5)
-    letters = ["a", "the", "  ", " ", "\n", "\t", "\x0b", "\x1c", "\x85", "　", "᠎", "é", "日", "😀", "'s", "12", "...", "</s>", "​", "▁", "\x00", "ﬁ"]
-    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(3_000)]
+    letters = ["a", "the", "  ", " ", " ", "\n", "\t", "\x0b", "\x1c", "\x85", "　", "᠎", "é", "日", "😀", "'s", "12", "...", "</s>", "​", "▁", "\x00", "ﬁ"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 24))) for _ in range(3_000)]
+    texts += [" ".join(rng.choice(["ab", "the", "zq"]) for _ in range(n)) + end for n in (3, 9, 50) for end in ("", " ", "  ", "\n ")]
     got = list(alignment.Aligner(A, B).texts(texts))
+    monkeypatch.setattr(alignment, "LARGE_GROUP", 2)
+    monkeypatch.setattr(alignment, "CACHE_WORDS", 50)
+    small = alignment.Aligner(A, B)
+    again = [r for i in range(0, len(texts), 40) for r in small.texts(texts[i : i + 40])]
     for text, (n_a, n_b, n_groups, n_links, groups, pairs, times) in zip(texts, got, strict=True):
         want = plain_groups(text)
         told = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want)
         assert (groups, n_groups, n_links, sum(times)) == (told, len(want), sum(len(x) * len(y) for x, y in want), n_links), text
         assert (n_a, n_b) == (sum(len(x) for x, _ in want), sum(len(y) for _, y in want))
         assert pairs == sorted({i * alignment.PAIR + j for x, y in want for i in x for j in y})
-
-
-def test_words_beyond_the_cache(monkeypatch):
-    monkeypatch.setattr(alignment, "CACHE_WORDS", 5)
-    known = alignment.Aligner(A, B)
-    texts = [" ".join(f"w{i % k}x" for i in range(40)) for k in (3, 9, 30)] + ["y" * 100 + " " + "y" * 100]
-    first = [list(known.texts([t]))[0] for t in texts]
-    assert first == [list(alignment.Aligner(A, B).texts([t]))[0] for t in texts]
-    assert len(known.words) <= 31 and all(len(w) <= alignment.CACHE_CHARS for w in known.words)
+    assert again == got
+    assert all(len(w) <= alignment.CACHE_CHARS for w in small.words)
