@@ -4,17 +4,16 @@ Every word of a piece (a stretch without sentence marks) starts a suffix.  A
 suffix is cut to ``LONGEST`` words and, because a phrase is only as frequent as
 any two neighbours in it, before its first infrequent pair of words; suffixes
 of one word then have nothing to say.  Each task combines equal suffixes and
-sends them to the task of their leading words: up to the first word that is
-not hot, so a group holds fewer than ``HOT`` suffixes whatever the data.  There
-the suffixes are put in three by the pivot's word at a depth (less, equal,
+sends them to the task of their leading words: the first, or if it is hot as
+many as it takes to a pair that is not, so a group holds fewer than ``HOT``
+suffixes whatever the data.  There the suffixes are put in three by the pivot's word at a depth (less, equal,
 greater); the equal part goes on one word deeper, its weight is the count of
 the phrase so far, and a part lighter than ``least`` is abandoned.  Phrases
 shorter than the leading words may also lie in other groups, so their counts
 are partial and summed.
 
-Which words are frequent or hot, and which pairs are frequent, goes to the
-tasks as tables of a fixed number of hash slots, whatever the corpus: 2 bits a
-word slot, 1 bit a pair slot.  Pairs are counted by a 32-bit hash, in sorted
+Which words and which pairs are frequent or hot goes to the tasks as tables of
+a fixed number of hash slots, 2 bits each, whatever the corpus.  Pairs are counted by a 32-bit hash, in sorted
 lists of slots.  Words or pairs that share a slot with a frequent one only make
 a suffix longer than needed; the counts themselves are of the words.
 """
@@ -39,7 +38,7 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 UNKNOWN = "und"
-#: Occurrences from which a word is hot: a group of suffixes is smaller.
+#: Occurrences from which a word or a pair is hot: a group of suffixes is smaller.
 HOT = 50_000
 SLOT_BITS = 26
 CHUNK_BITS = 22
@@ -78,6 +77,11 @@ def slot(h: int) -> int:
     return h >> (64 - SLOT_BITS)
 
 
+def packed(level: np.ndarray) -> bytes:
+    """Levels of 0 to 2, four to a byte, the first in the lowest bits."""
+    return (level.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
+
+
 # --- words --------------------------------------------------------------------
 
 def words(docs: DataFrame) -> DataFrame:
@@ -126,8 +130,7 @@ def levels(frequent: DataFrame, hot: int) -> bytes:
             for p in np.unique(part).tolist():
                 held = made.setdefault(p, np.zeros(1 << CHUNK_BITS, np.uint8))
                 np.maximum.at(held, at[part == p] & ((1 << CHUNK_BITS) - 1), level[part == p].astype(np.uint8))
-        packed = [(h.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes() for h in made.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int32()), pa.array(packed, pa.binary())], ["part", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int32()), pa.array(list(map(packed, made.values())), pa.binary())], ["part", "bits"])
 
     found = frequent.select("lang", "word", "f").mapInArrow(slots, "part int, slot long, level int")
     rows = found.groupBy("part", "slot").agg(F.max("level").alias("level")).repartition(1 << (SLOT_BITS - CHUNK_BITS), "part").mapInArrow(
@@ -181,8 +184,8 @@ def table_slot(pair: np.ndarray) -> np.ndarray:
     return pair >> np.uint32(PAIR_BITS - TABLE_BITS)
 
 
-def frequent_pairs(docs: DataFrame, shared: object, least: int) -> bytes:
-    """The table of pairs: a bit for each slot where some pair slot was met ``least`` times or more.
+def frequent_pairs(docs: DataFrame, shared: object, least: int, hot: int) -> bytes:
+    """The table of pairs: 1 for each slot where some pair slot was met ``least`` times or more, 2 for ``hot``; four slots a byte.
 
     Tasks send sorted slots with their counts, a row for each part of the
     slots; a part is added up in one task, which holds one list at a time
@@ -231,13 +234,14 @@ def frequent_pairs(docs: DataFrame, shared: object, least: int) -> bytes:
             order = np.argsort(s, kind="stable")
             s, c = s[order], c[order]
             start = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.empty(0, np.int64)
-            slots, counts = s[start], np.minimum(np.add.reduceat(c, start), least) if len(s) else c
+            slots, counts = s[start], np.add.reduceat(c, start) if len(s) else c
 
         def close() -> pa.RecordBatch:
             merge()
-            bits = np.zeros(1 << (TABLE_BITS - PART_BITS), np.uint8)
-            bits[table_slot(slots[counts >= least]) & np.uint32(len(bits) - 1)] = 1
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["part", "bits"])
+            level = np.zeros(1 << (TABLE_BITS - PART_BITS), np.uint8)
+            for n, value in ((least, 1), (hot, 2)):
+                level[table_slot(slots[counts >= n]) & np.uint32(len(level) - 1)] = value
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([packed(level)], pa.binary())], ["part", "bits"])
 
         for b in it:
             for part, gaps, n in zip(*(b.column(c).to_pylist() for c in ("part", "gaps", "counts")), strict=True):
@@ -254,7 +258,7 @@ def frequent_pairs(docs: DataFrame, shared: object, least: int) -> bytes:
 
     lists = docs.mapInArrow(batches, "part int, gaps binary, counts binary")
     rows = lists.repartition(1 << PART_BITS, "part").sortWithinPartitions("part").mapInArrow(summed, "part int, bits binary").collect()
-    size = (1 << (TABLE_BITS - PART_BITS)) // 8
+    size = (1 << (TABLE_BITS - PART_BITS)) // 4
     whole = bytearray(size << PART_BITS)
     for r in rows:
         whole[r.part * size : (r.part + 1) * size] = r.bits
@@ -266,26 +270,30 @@ def frequent_pairs(docs: DataFrame, shared: object, least: int) -> bytes:
 def suffixes_of(text: bytes, numbered: Numbered, pairs: np.ndarray, longest: int, seen: Counter) -> None:
     """Count the suffixes of two words or more in a folded text, as far as neighbours are frequent pairs.
 
-    A suffix is kept with how many of its words lead to its group: up to the first that is not hot."""
+    A suffix is kept with how many of its words lead to its group, and whether no other group starts with these."""
     ws, level, pair = numbered.take(text)
     if len(ws) < 2:
         return
     at = table_slot(pair)
-    good = (level[:-1] > 0) & (level[1:] > 0) & (pairs[at >> np.uint32(3)] >> (np.uint32(7) - (at & np.uint32(7))) & 1).astype(bool)
-    starts = np.flatnonzero(good)
+    linked = pairs[at >> np.uint32(2)] >> (np.uint32(2) * (at & np.uint32(3))).astype(np.uint8) & 3
+    linked[(level[:-1] == 0) | (level[1:] == 0)] = 0
+    starts = np.flatnonzero(linked)
     if not len(starts):
         return
-    ends = np.flatnonzero(np.diff(np.concatenate((good, [False])).astype(np.int8)) == -1)  # where a run of pairs ends
+    ends = np.flatnonzero(np.diff(np.concatenate((linked > 0, [False])).astype(np.int8)) == -1)  # where a run of pairs ends
     size = np.minimum(ends[np.searchsorted(ends, starts)] - starts + 2, longest)
-    warm = np.flatnonzero(np.concatenate((level < 2, [True])))
-    lead = np.minimum(warm[np.searchsorted(warm, starts)] - starts + 1, size)
-    seen.update([(k, *ws[i : i + n]) for i, n, k in zip(starts.tolist(), size.tolist(), lead.tolist(), strict=True)])
+    warm = np.concatenate((np.flatnonzero(linked < 2), [len(ws)]))  # pairs that are not hot
+    lead = np.where(level[starts] < 2, 1, warm[np.searchsorted(warm, starts)] - starts + 2)
+    whole = (lead <= size) | (size == longest)
+    lead = np.minimum(lead, size)
+    seen.update([(k, x, *ws[i : i + n]) for i, n, k, x in zip(starts.tolist(), size.tolist(), lead.tolist(), whole.tolist(), strict=True)])
 
 
 def suffixes(docs: DataFrame, shared: object, longest: int) -> DataFrame:
-    """(lang, lead, suffixes): what each task combined, a row for each of its groups.
+    """(lang, lead, whole, suffixes): what each task combined, a row for each of its groups.
 
-    ``lead`` has the leading words that name the group; ``suffixes`` is a line for each, its weight and its further words.
+    ``lead`` has the leading words that name the group, ``whole`` says that no other group starts
+    with them; ``suffixes`` is a line for each, its weight and its further words.
     """
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,14 +305,15 @@ def suffixes(docs: DataFrame, shared: object, longest: int) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             for lang, c in seen.items():
                 groups: dict[tuple, list[bytes]] = {}
-                for (k, *ws), n in c.items():
-                    groups.setdefault((k, *ws[:k]), []).append(b" ".join([b"%d" % n, *ws[k:]]))
+                for (k, whole, *ws), n in c.items():
+                    groups.setdefault((whole, *ws[:k]), []).append(b" ".join([b"%d" % n, *ws[k:]]))
                 keys, lines = list(groups), [b"\n".join(sorted(g)) for g in groups.values()]
                 for i in range(0, len(lines), 1 << 14):
                     part = keys[i : i + (1 << 14)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(part), pa.string()), pa.array([b" ".join(k[1:]) for k in part], pa.binary()),
-                         pa.array(lines[i : i + len(part)], pa.binary())], ["lang", "lead", "suffixes"])
+                         pa.array([k[0] for k in part], pa.bool_()), pa.array(lines[i : i + len(part)], pa.binary())],
+                        ["lang", "lead", "whole", "suffixes"])
             seen.clear()
 
         for lang, text in texts_of(it):
@@ -313,7 +322,7 @@ def suffixes(docs: DataFrame, shared: object, longest: int) -> DataFrame:
                 yield from out()
         yield from out()
 
-    return docs.mapInArrow(batches, "lang string, lead binary, suffixes binary")
+    return docs.mapInArrow(batches, "lang string, lead binary, whole boolean, suffixes binary")
 
 
 def three_way(rows: list[tuple[list[bytes], int]], depth: int, prefix: bytes, least: int, found: list[tuple[bytes, int]]) -> None:
@@ -346,7 +355,7 @@ def phrases(docs: DataFrame, frequent: DataFrame, least: int = LEAST, longest: i
     """(lang, phrase, f) of all phrases of two to ``longest`` words that occur ``least`` times or more."""
     sc = docs.sparkSession.sparkContext
     table = levels(frequent, hot)
-    pairs = frequent_pairs(docs, sc.broadcast(table), least)
+    pairs = frequent_pairs(docs, sc.broadcast(table), least, hot)
     shared = sc.broadcast((table, pairs))
 
     def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,11 +367,9 @@ def phrases(docs: DataFrame, frequent: DataFrame, least: int = LEAST, longest: i
         def close() -> None:
             if now is None:
                 return
-            lang, lead = now
+            lang, lead, whole = now
             ws = lead.split(b" ")
             weight = sum(n for _, n in rows)
-            at = slot(hashed(lang, ws[-1]))
-            whole = shared.value[0][at >> 2] >> 2 * (at & 3) & 3 < 2  # no other group starts with these words
             for k in range(2, len(ws) + (not whole)):
                 partial[lang, b" ".join(ws[:k])] += weight
             if weight >= least:
@@ -382,10 +389,10 @@ def phrases(docs: DataFrame, frequent: DataFrame, least: int = LEAST, longest: i
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int64())], ["lang", "phrase", "f"])
 
         for b in it:
-            for lang, key, lines in zip(*(b.column(c).to_pylist() for c in ("lang", "lead", "suffixes")), strict=True):
-                if (lang, key) != now:
+            for *key, lines in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if key != now:
                     close()
-                    now, rows = (lang, key), []
+                    now, rows = key, []
                 for line in lines.split(b"\n"):
                     n, *ws = line.split(b" ")
                     rows.append((ws, int(n)))
@@ -393,7 +400,7 @@ def phrases(docs: DataFrame, frequent: DataFrame, least: int = LEAST, longest: i
         close()
         yield batch(rest=True)
 
-    routed = suffixes(docs, shared, longest).repartition("lang", "lead").sortWithinPartitions("lang", "lead")
+    routed = suffixes(docs, shared, longest).repartition("lang", "lead").sortWithinPartitions("lang", "lead", "whole")
     made = routed.mapInArrow(counted, "lang string, phrase binary, f long")
     return made.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
