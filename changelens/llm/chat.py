@@ -29,6 +29,8 @@ ROLE_ESCAPES = (*ESCAPES, ("\n", "&3;"))
 PROBE = "</s>[INST] ok [/INST]"
 #: Strings that Spark's JSON parser takes are no longer than this.
 PARSED_CHARS = 20_000_000
+#: Strings of a message that go through its JSON record have no more bytes than this: with all escapes the record stays within the parser's bounds.
+CARRIED_BYTES = 1_000_000
 #: Other layouts' names of the roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "ai": "assistant"}
 
@@ -190,23 +192,30 @@ def read_loss(text: Column, spans: Column) -> Column:
         F.substr(raw, (s["start"] + 1).cast("int"), s["length"].cast("int")), "utf-8"))))
 
 
+def _carried(c: str) -> Column:
+    """A string goes through JSON unless it is longer than a parsed record may be, or no valid UTF-8; null does."""
+    return F.coalesce((F.octet_length(c) <= CARRIED_BYTES) & F.is_valid_utf8(c), F.lit(True))
+
+
 def format_conversations(rows: DataFrame) -> DataFrame:
     """(conv_id, formatted, loss_spans) from message rows (conv_id, turn, role, text).
 
-    Every row is a record of layout ``turn``.  JSON serves for its fingerprint
-    and the choice of the mapping alone; role and text come from their columns,
-    so the limits of a JSON parser on long strings don't reach them.  Defined
-    cases: null text is empty, null role is
+    Every row is a record of layout ``turn``, and its role and text are those
+    that the mapping takes out of the record.  A string that the JSON parser
+    may refuse (``_carried``) is left out of the record, which holds an empty
+    one in its place, and comes from its column.  Defined cases: null text is empty, null role is
     empty; turns are in order of ``turn`` (null first), ties by role and text;
     rows that repeat are turns of their own; a null conv_id is a conversation.
     """
-    shape = F.array(F.struct(F.lit("").alias("role"), F.lit("").alias("text"), F.col("place").alias("turn")))
+    inside = lambda c: F.when(_carried(c), F.col(c)).otherwise(F.lit("")).alias(c)
+    shape = F.array(F.struct(inside("role"), inside("text"), F.col("place").alias("turn")))
     records = rows.select("conv_id", F.col("turn").cast("long").alias("place"), "role", "text").withColumn(
         "record", F.to_json(F.struct(shape.alias("turns")), {"ignoreNullFields": "false"}))
     named = canonical(records)
-    given = lambda c: F.when(F.col("layout") == "turn", F.coalesce(c, F.lit(""))).otherwise(
-        F.raise_error(F.concat(F.lit("no mapping for layout "), F.col("layout"))))
-    turns = named.select("conv_id", "place", given(F.col("role")).alias("role"), given(F.col("text")).alias("text"))
+    mapped = F.when(F.size("turns") == 1, F.element_at("turns", 1)).otherwise(
+        F.raise_error(F.concat(F.lit("not one turn from a record of layout "), F.col("layout"))))
+    turns = named.withColumn("turn", mapped).select(
+        "conv_id", "place", *[F.when(_carried(c), F.col(f"turn.{c}")).otherwise(F.col(c)).alias(c) for c in ("role", "text")])
     return formatted(turns)
 
 

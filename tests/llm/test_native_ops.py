@@ -326,6 +326,16 @@ def test_chat_whole_table(spark):
     assert {r.conv_id: tuple(r)[1:5] for r in chat.query(spark, SF).collect()} == want
 
 
+def test_chat_turns_are_those_of_the_mapping(spark, monkeypatch):
+    """A mapping that gives roles their canonical names changes the turns; a string too long for JSON keeps its place."""
+    monkeypatch.setattr(chat, "LAYOUTS", tuple(chat.Layout("turn", (), "turns", "role", "text", ("turns[].turn",), True) if x.name == "turn" else x for x in chat.LAYOUTS))
+    long = "é\\u0001" * 400_000
+    rows = spark.createDataFrame([(1, 0, "Human", 'a "b" \\ \n'), (1, 1, "GPT", long), (1, 2, None, None)], "conv_id long, turn long, role string, text string")
+    r = chat.digests(chat.format_conversations(rows)).first()
+    said = f'user\na "b" \\ \n\nassistant\n{long}\n\n\n'
+    assert (r.n_turns, r.turns_sha256) == (3, hashlib.sha256(said.encode()).hexdigest())
+
+
 def test_chat_text_longer_than_a_json_string(spark):
     n = chat.PARSED_CHARS + 1
     rows = spark.range(1).select(
