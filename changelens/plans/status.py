@@ -13,7 +13,9 @@ from changelens.functions import redirects as RD
 from changelens.functions import status as ST
 from changelens.operators import sheets as sh
 from changelens.operators import versions as ver
+from changelens.operators.bodies import bodies_of
 from changelens.operators.catalog import select_pages
+from changelens.session import stage_table
 from changelens.sources import results_io as rio
 
 WINDOW_DAYS = 7
@@ -32,10 +34,12 @@ def status_sheet(v: DataFrame, pages: DataFrame, html_bodies: DataFrame, before,
     vb = v.where(F.col("capture_time") < ver.ts_lit(before))
     lv = ver.latest_valid(vb, ver.select_and_trim(ver.narrow(v), after, before))
     vv = v.select(F.col("version_id").alias("valid_id"), F.struct(*v.columns).alias("vv"))
-    body = html_bodies.select(F.col(body_key).alias("valid_id"), F.col(body_col).alias("html"))
+    lv = stage_table(lv, "latest-valid")
+    body = bodies_of(html_bodies, lv.select("valid_id"), body_key).select(
+        F.col(body_key).alias("valid_id"), RD.client_redirect(F.col(body_col)).alias("client"))
     j = lv.join(vv, "valid_id").join(body, "valid_id", "left")
     eff = ST.effective_status(F.col("vv.url"), F.col("vv.status"), F.col("vv.network_error"), F.col("vv.title"),
-                              F.col("vv.headers") if "headers" in v.columns else None, RD.all_redirects(F.col("vv.redirects"), RD.client_redirect(F.col("html"))), status_overrides)
+                              F.col("vv.headers") if "headers" in v.columns else None, RD.all_redirects(F.col("vv.redirects"), F.col("client")), status_overrides)
     m = pages.select("page_id", "url", "tags")  # pages without captures are absent
     return j.join(m, "page_id").select(
         sh.prefixed_values(F.col("tags"), "agency:").alias("agencies"),
