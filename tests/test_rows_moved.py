@@ -82,3 +82,15 @@ def test_terms_across_lines_and_other_words_are_those_of_the_join(spark):
     got = sorted(map(tuple, trm.changed_ngrams(lab, d, stop).select(cols).collect()))
     assert got == sorted(map(tuple, trm.ngrams_by_join(lab, d, stop).select(cols).collect())) and len(got) > 100
     assert {r[4] for r in got} == {1, 2, 3}
+
+
+def test_the_store_reads_the_wanted_bodies_alone(spark):
+    from functools import partial
+
+    from changelens.operators import store as st
+
+    wanted = tb.versions(spark, SF).where("page_id = 7").selectExpr("version_id AS _ref", "true AS _parse").distinct()
+    want, got = [
+        [sorted(map(tuple, df.collect())) for df in st._distinct(bodies, wanted, "version_id", "html", "test-html")]
+        for bodies in (tb.version_bodies(spark, SF), partial(tb.version_bodies, spark, SF))]
+    assert got == want and got[0]
