@@ -4,10 +4,12 @@ Every word of a piece (a stretch without sentence marks) starts a suffix.  A
 suffix is cut to ``LONGEST`` words and, because a phrase is only as frequent as
 any two neighbours in it, before its first infrequent pair of words; suffixes
 of one word then have nothing to say.  Each task combines equal suffixes and
-sends them to the task of their leading words: the first, or if it is hot as
-many as it takes to a pair that is not, so a group holds fewer than ``HOT``
-suffixes whatever the data.  There the suffixes are put in three by the pivot's word at a depth (less, equal,
-greater); the equal part goes on one word deeper, its weight is the count of
+groups them by their leading words: the first, or if it is hot as many as it
+takes to a pair that is not, so a group holds fewer than ``HOT`` suffixes
+whatever the data.  Groups are dealt into parts by a hash, and a task sends one
+row for each part, so its rows do not grow with the groups; there are as many
+parts as it takes for one to fit in a task.  There a group's suffixes are put in
+three by the pivot's word at a depth (less, equal, greater); the equal part goes on one word deeper, its weight is the count of
 the phrase so far, and a part lighter than ``least`` is abandoned.  Phrases
 shorter than the leading words may also lie in other groups, so their counts
 are partial and summed.
@@ -50,6 +52,9 @@ PART_BITS = 8
 COMBINED = 400_000
 KNOWN = 500_000
 PAIRS = 1 << 22
+#: Parts of a language's suffixes at least, and occurrences of frequent words for each part beyond that.
+PARTS = 64
+PART_WORDS = 1 << 22
 BATCH_CHARS = 1 << 21
 
 #: A-Z are folded, these marks end a piece, tabs are blanks.
@@ -289,11 +294,15 @@ def suffixes_of(text: bytes, numbered: Numbered, pairs: np.ndarray, longest: int
     seen.update([(k, x, *ws[i : i + n]) for i, n, k, x in zip(starts.tolist(), size.tolist(), lead.tolist(), whole.tolist(), strict=True)])
 
 
-def suffixes(docs: DataFrame, shared: object, longest: int) -> DataFrame:
-    """(lang, lead, whole, suffixes): what each task combined, a row for each of its groups.
+def part_of(lead: bytes, parts: int) -> int:
+    return xxhash.xxh64_intdigest(lead) % parts
 
-    ``lead`` has the leading words that name the group, ``whole`` says that no other group starts
-    with them; ``suffixes`` is a line for each, its weight and its further words.
+
+def suffixes(docs: DataFrame, shared: object, longest: int, parts: int) -> DataFrame:
+    """(lang, part, groups): what each task combined, a row for each part.
+
+    ``groups`` has the part's groups, cut by ``END``: a line with 1 if no other group starts with
+    its leading words, else 0, and these words, then a line for each suffix, its weight and its further words.
     """
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,13 +316,13 @@ def suffixes(docs: DataFrame, shared: object, longest: int) -> DataFrame:
                 groups: dict[tuple, list[bytes]] = {}
                 for (k, whole, *ws), n in c.items():
                     groups.setdefault((whole, *ws[:k]), []).append(b" ".join([b"%d" % n, *ws[k:]]))
-                keys, lines = list(groups), [b"\n".join(sorted(g)) for g in groups.values()]
-                for i in range(0, len(lines), 1 << 14):
-                    part = keys[i : i + (1 << 14)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part), pa.string()), pa.array([b" ".join(k[1:]) for k in part], pa.binary()),
-                         pa.array([k[0] for k in part], pa.bool_()), pa.array(lines[i : i + len(part)], pa.binary())],
-                        ["lang", "lead", "whole", "suffixes"])
+                dealt: dict[int, list[bytes]] = {}
+                for (whole, *ws), lines in groups.items():
+                    lead = b" ".join(ws)
+                    dealt.setdefault(part_of(lead, parts), []).append(b"\n".join([b"%d %s" % (whole, lead), *sorted(lines)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(dealt), pa.string()), pa.array(list(dealt), pa.int32()),
+                     pa.array([END.join(g) for g in dealt.values()], pa.binary())], ["lang", "part", "groups"])
             seen.clear()
 
         for lang, text in texts_of(it):
@@ -322,7 +331,7 @@ def suffixes(docs: DataFrame, shared: object, longest: int) -> DataFrame:
                 yield from out()
         yield from out()
 
-    return docs.mapInArrow(batches, "lang string, lead binary, whole boolean, suffixes binary")
+    return docs.mapInArrow(batches, "lang string, part int, groups binary")
 
 
 def three_way(rows: list[tuple[list[bytes], int]], depth: int, prefix: bytes, least: int, found: list[tuple[bytes, int]]) -> None:
@@ -357,18 +366,21 @@ def phrases(docs: DataFrame, frequent: DataFrame, least: int = LEAST, longest: i
     table = levels(frequent, hot)
     pairs = frequent_pairs(docs, sc.broadcast(table), least, hot)
     shared = sc.broadcast((table, pairs))
+    # a suffix starts at a frequent word
+    most = frequent.groupBy("lang").agg(F.sum("f").alias("n")).agg(F.max("n")).first()[0] or 0
+    parts = max(PARTS, most // PART_WORDS)
 
     def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a task's rows come sorted by group; a group may go on in the next batch
-        now, rows = None, []
+        # a task's rows come sorted by part; a part may go on in the next batch
+        now, held = None, []
         found: list[tuple[str, bytes, int]] = []
         partial: Counter = Counter()  # phrases that may lie in other groups, too
 
-        def close() -> None:
-            if now is None:
-                return
-            lang, lead, whole = now
+        def close(lang: str, head: bytes, lists: list[bytes]) -> None:
+            lead = head[2:]
+            whole = head.startswith(b"1")
             ws = lead.split(b" ")
+            rows = [(further, int(n)) for lines in lists for n, *further in (line.split(b" ") for line in lines.split(b"\n"))]
             weight = sum(n for _, n in rows)
             for k in range(2, len(ws) + (not whole)):
                 partial[lang, b" ".join(ws[:k])] += weight
@@ -388,19 +400,28 @@ def phrases(docs: DataFrame, frequent: DataFrame, least: int = LEAST, longest: i
             return pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int64())], ["lang", "phrase", "f"])
 
-        for b in it:
-            for *key, lines in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if key != now:
-                    close()
-                    now, rows = key, []
-                for line in lines.split(b"\n"):
-                    n, *ws = line.split(b" ")
-                    rows.append((ws, int(n)))
+        def close_part() -> Iterator[pa.RecordBatch]:
+            groups: dict[bytes, list[bytes]] = {}
+            while held:
+                for group in held.pop().split(END):
+                    head, _, lines = group.partition(b"\n")
+                    groups.setdefault(head, []).append(lines)
+            for head, lists in groups.items():
+                close(now[0], head, lists)
+                if max(len(found), len(partial)) > COMBINED:
+                    yield batch()
             yield batch()
-        close()
+
+        for b in it:
+            for lang, part, groups in zip(*(b.column(c).to_pylist() for c in ("lang", "part", "groups")), strict=True):
+                if now != (lang, part):
+                    yield from close_part()
+                    now = lang, part
+                held.append(groups)
+        yield from close_part()
         yield batch(rest=True)
 
-    routed = suffixes(docs, shared, longest).repartition("lang", "lead").sortWithinPartitions("lang", "lead", "whole")
+    routed = suffixes(docs, shared, longest, parts).repartition("lang", "part").sortWithinPartitions("lang", "part")
     made = routed.mapInArrow(counted, "lang string, phrase binary, f long")
     return made.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 

@@ -109,3 +109,22 @@ def test_parts_of_longer_phrases_go(spark):
     left = lambda share: {(r.lang, r.phrase) for r in collocations.without_parts(df.withColumnRenamed("f", "a"), df, share).collect()}
     assert left(100) == {("en", "a b c"), ("en", "b c"), ("en", "c d"), ("fr", "a b")}
     assert left(90) == {("en", "a b c"), ("en", "c d"), ("fr", "a b")}
+
+
+def test_rows_of_partial_counts_do_not_grow_with_the_groups(spark):
+    """A task sends a row for each part of a language, however many groups the suffixes have."""
+    rng = random.Random(5)
+    sent = []
+    for n in (300, 3_000):
+        texts = [(" ".join(f"w{rng.randrange(n)}" for _ in range(60)), rng.choice(["en", "fr"])) for _ in range(n)]
+        df, _ = docs(spark, texts)
+        df = df.select("lang", "text").coalesce(1)
+        everything = bytes([0b01010101]) * ((1 << collocations.SLOT_BITS) // 4)
+        shared = spark.sparkContext.broadcast((everything, everything))
+        rows = collocations.suffixes(df, shared, 5, 64).collect()
+        keys = {(r.lang, r.part) for r in rows}
+        assert len(rows) == len(keys) <= 2 * 64
+        groups = [(r.lang, g.split(b"\n")[0]) for r in rows for g in bytes(r.groups).split(collocations.END)]
+        assert len(groups) == len(set(groups)) and len({g for _, g in groups}) == n  # a group for each word
+        sent.append(len(rows))
+    assert sent[1] <= 1.1 * sent[0]
