@@ -7,7 +7,11 @@ a link.  Groups of one token each are words that both vocabularies know.
 
 Neither vocabulary has tokens across the start of a spaced word, so the words
 of a batch are aligned once each, all together (their ends are common to both
-sides), and a worker remembers the words it has met.
+sides), and a worker remembers the words it has met.  New words are encoded as
+lines of many words, and cut where both sides have an end at the end of a word;
+words that could touch their neighbours, and lines that do not give back their
+bytes, are encoded word by word.  What is known of the words is kept in arrays,
+so a batch of texts is put together by slices.
 A link's weight
 is how many documents hold it: the documents' distinct pairs are counted by
 partial aggregation and joined back.  The ``TABLE_PAIRS`` pairs in most
@@ -21,6 +25,7 @@ import os
 import re
 from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +52,11 @@ LARGE_GROUP = 1 << 16
 #: White space in front of a space: no word starts there.  Elsewhere one starts at every space.
 NO_START = re.compile(r"[\s\u180e] ")
 START = re.compile(r"(?<=[^\s\u180e])(?= )")
+#: A word that is encoded alone: after it no word would start, or it has the sign that stands for a space.
+ALONE = re.compile(r"[\s\u180e]\Z|▁")
+#: New words aligned at once, and words to a line.
+NEW_WORDS = 100_000
+LINE_WORDS = 1_000
 
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +104,46 @@ def flat(ids: list[list[int]]) -> np.ndarray:
     return np.fromiter(chain.from_iterable(ids), np.int64)
 
 
+def slices(first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, sizes) of the slices ``at``, one behind the other, where slice i is first[i]..first[i + 1]."""
+    size = first[at + 1] - first[at]
+    upto = np.cumsum(size)
+    return np.repeat(first[at] - upto + size, size) + np.arange(upto[-1] if len(upto) else 0), size
+
+
+class Entries(NamedTuple):
+    """What is known of some words, each with a space in front: ``numbers`` has a row for each word (n_a,
+    n_b, n_groups, n_links), ``told`` its groups, ``first`` where its ``pairs`` and their ``times`` start."""
+
+    numbers: np.ndarray
+    told: list[str]
+    first: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+
+    def of(self, at: np.ndarray) -> Entries:
+        places, size = slices(self.first, at)
+        return Entries(self.numbers[at], [self.told[i] for i in at.tolist()], np.concatenate(([0], np.cumsum(size))), self.pairs[places], self.times[places])
+
+    def start(self, n: int) -> Entries:
+        end = self.first[n]
+        return Entries(self.numbers[:n], self.told[:n], self.first[: n + 1], self.pairs[:end], self.times[:end])
+
+    def behind(self, others: list[Entries]) -> Entries:
+        """The entries of ``others`` and these, in order."""
+        every = [*others, self]
+        shift = np.cumsum([0, *(e.first[-1] for e in every)])
+        return Entries(
+            np.concatenate([e.numbers for e in every]), list(chain.from_iterable(e.told for e in every)),
+            np.concatenate([[0], *(e.first[1:] + n for e, n in zip(every, shift, strict=False))]),
+            np.concatenate([e.pairs for e in every]), np.concatenate([e.times for e in every]))
+
+
+def no_entries() -> Entries:
+    none = np.empty(0, np.int64)
+    return Entries(np.empty((0, 4), np.int64), [], np.zeros(1, np.int64), none, none)
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads that wait for work would use others
@@ -111,7 +161,10 @@ class Aligner:
         told = lambda n, end: np.array([f"{i}{end}" for i in range(n)], object)
         n_a, n_b = len(self.bytes_a), len(self.bytes_b)
         self.told_a, self.told_b = (told(n_a, ","), told(n_a, "|")), (told(n_b, ","), told(n_b, ";"))
-        self.words: dict[str, tuple | None] = {}
+        self.last_b = told(n_b, "\n")
+        #: Places of the words in ``known``; below zero where either side's bytes are not those of the text.
+        self.words: dict[str, int] = {}
+        self.known = no_entries()
 
     def piece_bytes(self, i: int) -> bytes:
         if self.b.is_byte(i):
@@ -148,15 +201,44 @@ class Aligner:
                 a[i], b[i] = [], []
         return a, b, fine
 
-    def entries(self, words: list[str]) -> list[tuple | None]:
-        """(n_a, n_b, n_groups, n_links, groups, pairs, times) of a space and each word, or None where
-        either side's bytes are not those of the text; up to ``LARGE_GROUP`` links ``pairs`` has one
-        for each link and ``times`` is None, else they are distinct pairs and how often they are linked."""
-        a, b, fine = self.encoded(words)
-        n_a, n_b, ids_a, ids_b = count(a), count(b), flat(a), flat(b)
+    def in_lines(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Both sides' ids of the words, each with a space in front, and how many each word has, encoded in
+        lines of many words; None if some line does not give back its bytes or has no end where a word ends."""
+        lines = [" ".join(words[i : i + LINE_WORDS]) for i in range(0, len(words), LINE_WORDS)]
+        spaced = [" " + x for x in lines]
+        raw = "".join(spaced).encode()
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, words)), np.int64, len(words)) + 1)
+        out = []
+        for ids, parts, sizes in (
+                ([e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)], self.bytes_a, self.len_a),
+                (self.b.encode(lines, num_threads=1), self.bytes_b, self.len_b)):
+            joined = np.concatenate([np.array(x, np.int64) for x in ids])
+            token_ends = np.cumsum(sizes[joined])
+            upto = np.searchsorted(token_ends, ends, "right")
+            if not upto[0] or not np.array_equal(token_ends[upto - 1], ends) or b"".join([parts[k] for k in chain.from_iterable(ids)]) != raw:
+                return None
+            out += [joined, np.diff(upto, prepend=0)]
+        return tuple(out)
+
+    def entries(self, words: list[str]) -> tuple[list[str], Entries]:
+        """The words whose bytes both sides give back, and their entries."""
+        near = [w for w in words if w and ALONE.search(w) is None]
+        made = self.in_lines(near) if near else None
+        if made is None:
+            near = []
+        alone = words if not near else [w for w in words if not w or ALONE.search(w) is not None]
+        if alone:
+            a, b, fine = self.encoded(alone)
+            given = [np.concatenate(x) if made else x[0] for x in zip(*([made] if made else []), (flat(a), count(a), flat(b), count(b)), strict=True)]
+            words = near + [w for w, ok in zip(alone, fine, strict=True) if ok]
+            kept = np.concatenate((np.ones(len(near), bool), fine))
+        else:
+            given, words, kept = made, near, np.ones(len(near), bool)
+        ids_a, n_a, ids_b, n_b = given
+        n_a, n_b = n_a[kept], n_b[kept]  # the others have no ids
         upto_a, upto_b = align(np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b]))
         place = np.repeat(np.arange(len(words)), n_a)[upto_a - 1] if len(upto_a) else np.empty(0, np.int64)
-        of_group = lambda w: np.bincount(place, w, len(words)).astype(np.int64).tolist()
+        of_group = lambda w: np.bincount(place, w, len(words)).astype(np.int64)
         sizes_a, sizes_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
 
         # a group's ids of A, then of B: a token's place is its own plus the other side's tokens in front of it
@@ -166,60 +248,73 @@ class Aligner:
             at = np.arange(len(ids)) + np.repeat(others, sizes)
             out[at] = told[0][ids]
             out[at[upto - 1]] = told[1][ids[upto - 1]]
-        out = out.tolist()
-        upto = np.cumsum(n_a + n_b).tolist()
-        told = ["".join(out[i:j])[:-1] for i, j in zip([0, *upto], upto)]  # noqa: B905
+        out[np.cumsum(n_a + n_b) - 1] = self.last_b[ids_b[np.cumsum(n_b) - 1]]
+        told = "".join(out.tolist()).split("\n")[:-1]
 
         key, times = links(ids_a, ids_b, upto_a, upto_b, place)
-        ends = np.searchsorted(key, np.arange(1, len(words) + 1) * PLACE)
-        total = np.diff(np.concatenate(([0], np.cumsum(times)))[ends], prepend=0)
-        key, times, ends, total = (key % PLACE).tolist(), times.tolist(), ends.tolist(), total.tolist()
-        made = zip(n_a.tolist(), n_b.tolist(), of_group(None), of_group(sizes_a * sizes_b), told, [0, *ends], ends, total, fine)  # noqa: B905
-        out = []
-        for x, y, g, k, s, i, j, n, ok in made:
-            if not ok:
-                out.append(None)
-            elif n == j - i:
-                out.append((x, y, g, k, s, key[i:j], None))
-            elif n <= LARGE_GROUP:
-                out.append((x, y, g, k, s, [p for p, m in zip(key[i:j], times[i:j], strict=True) for _ in range(m)], None))
-            else:
-                out.append((x, y, g, k, s, key[i:j], times[i:j]))
-        return out
-
-    def learn(self, words: set[str]) -> list[str]:
-        """Have the entries of ``words`` in ``self.words``; returns those that are new."""
+        first = np.searchsorted(key, np.arange(len(words) + 1) * PLACE)
+        return words, Entries(np.stack([n_a, n_b, of_group(None), of_group(sizes_a * sizes_b)], axis=1), told, first, key % PLACE, times)
+
+    def learn(self, words: set[str]) -> int:
+        """Have the entries of ``words`` in ``self.known``; returns how many of them all are to be remembered."""
         new = [w for w in words if w not in self.words]
         if len(self.words) + len(new) > CACHE_WORDS:
-            self.words = {w: self.words[w] for w in words if w in self.words}  # the common ones are in any batch
-        if new:
-            self.words.update(zip(new, self.entries(new), strict=True))
-        return new
-
-    def texts(self, texts: list[str]) -> Iterator[tuple]:
-        """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text."""
+            common = [w for w in words if w in self.words]  # the common ones are in any batch
+            at = np.array([self.words[w] for w in common], np.int64)
+            self.known = self.known.of(at[at >= 0])
+            self.words = dict(zip(common, np.where(at < 0, -1, np.cumsum(at >= 0) - 1).tolist(), strict=True))
+        short = [w for w in new if len(w) <= CACHE_CHARS]
+        long = [w for w in new if len(w) > CACHE_CHARS]
+        made, n, remembered = [self.known], len(self.known.told), 0
+        for some in (short, long):
+            remembered = n if some is long else 0
+            for i in range(0, len(some), NEW_WORDS):
+                part = some[i : i + NEW_WORDS]
+                self.words.update(dict.fromkeys(part, -1))
+                fine, entries = self.entries(part)
+                self.words.update(zip(fine, range(n, n + len(fine)), strict=True))
+                made.append(entries)
+                n += len(fine)
+        if len(made) > 1:
+            self.known = made[-1].behind(made[:-1])
+        return remembered
+
+    def batch(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of the texts: their numbers (n_a, n_b, n_groups, n_links), groups, where their distinct pairs start
+        and end, these pairs, sorted, and the links of each."""
         split = [self.split(t) if t else [] for t in texts]
-        new = self.learn(set().union(*split))
-        entry = self.words.__getitem__
-        for words in split:
-            entries = list(map(entry, words))
-            if not entries or None in entries:
-                yield 0, 0, 0, 0, "", [], []
-                continue
-            n_a, n_b, groups, n_links, told, pairs, many = zip(*entries, strict=True)
-            linked = np.fromiter(chain.from_iterable(pairs), np.int64)
-            if any(many):
-                times = np.fromiter(chain.from_iterable([1] * len(p) if m is None else m for p, m in zip(pairs, many, strict=True)), np.int64)
-                order = np.argsort(linked, kind="stable")
-                linked, times = linked[order], times[order]
-                start = np.flatnonzero(np.diff(linked, prepend=-1))
-                linked, times = linked[start], np.add.reduceat(times, start)
-            else:
-                linked, times = np.unique(linked, return_counts=True)
-            yield sum(n_a), sum(n_b), sum(groups), sum(n_links), ";".join(told), linked.tolist(), times.tolist()
-        for w in new:
+        words = set().union(*split)
+        remembered = self.learn(words)
+        at = [list(map(self.words.__getitem__, ws)) for ws in split]
+        at = [x if not x or min(x) >= 0 else [] for x in at]
+        told = self.known.told.__getitem__
+        groups = [";".join(map(told, x)) for x in at]
+        words_upto = np.cumsum(count(at))
+        flat_at = flat(at)
+        sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(self.known.numbers[flat_at], axis=0)))
+        numbers = np.diff(sums[words_upto], axis=0, prepend=sums[:1])
+
+        places, size = slices(self.known.first, flat_at)
+        text = np.repeat(np.repeat(np.arange(len(texts)), np.diff(words_upto, prepend=0)), size)
+        key, times = text * PLACE + self.known.pairs[places], self.known.times[places]
+        order = np.argsort(key)
+        key, times = key[order], times[order]
+        start = np.flatnonzero(np.diff(key, prepend=-1))
+        key, times = key[start], np.add.reduceat(times, start) if len(start) else times
+        first = np.searchsorted(key, np.arange(len(texts) + 1) * PLACE)
+
+        if remembered < len(self.known.told):
+            self.known = self.known.start(remembered)
+        for w in words:
             if len(w) > CACHE_CHARS:
                 del self.words[w]
+        return numbers, groups, first, key % PLACE, times
+
+    def texts(self, texts: list[str]) -> Iterator[tuple]:
+        """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text."""
+        numbers, groups, first, pairs, times = self.batch(texts)
+        for n, told, i, j in zip(numbers.tolist(), groups, first[:-1].tolist(), first[1:].tolist(), strict=True):
+            yield *n, told, pairs[i:j].tolist(), times[i:j].tolist()
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -254,9 +349,10 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         known = aligner(path_a, path_b)
         for b in it:
             for part in chunks(b, "text", BATCH_BYTES):
-                columns = zip(*known.texts([x or "" for x in part.column("text").to_pylist()]), strict=True)
+                numbers, groups, first, pairs, times = known.batch([x or "" for x in part.column("text").to_pylist()])
+                lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int64())) for x in (pairs, times)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(SCHEMA)[1:], strict=True))], schema=SCHEMA)
+                    [part.column("doc_id"), *(pa.array(c, pa.int64()) for c in numbers.T), pa.array(groups, pa.string()), *lists], schema=SCHEMA)
 
     prepare_python(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(batches, DDL)

@@ -130,3 +130,26 @@ def test_random_strings_word_by_word(monkeypatch):
         assert pairs == sorted({i * alignment.PAIR + j for x, y in want for i in x for j in y})
     assert again == got
     assert all(len(w) <= alignment.CACHE_CHARS for w in small.words)
+
+
+def test_new_words_are_encoded_in_lines(monkeypatch):
+    """The libraries are called for lines of many words, not for each word; words that could touch others stay alone."""
+    lines = alignment.Aligner.in_lines
+    seen = []
+    monkeypatch.setattr(alignment.Aligner, "in_lines", lambda self, words: seen.append(words) or lines(self, words))
+    alone = alignment.Aligner.encoded
+    monkeypatch.setattr(alignment.Aligner, "encoded", lambda self, words: seen.append(("alone", *words)) or alone(self, words))
+    texts = [" ".join(f"w{i}x{k}" for i in range(2_500)) for k in range(2)] + ["an end \n", "a ▁ b"]
+    got = list(alignment.Aligner(A, B).texts(texts))
+    assert len(seen) == 2 and len(seen[0]) == 5_000 + 4 and set(seen[1]) == {"alone", "\n", "▁"}
+    for text, r in zip(texts, got, strict=True):
+        want = plain_groups(text)
+        assert r[4] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want)
+        assert r[:4] == (sum(len(x) for x, _ in want), sum(len(y) for _, y in want), len(want), sum(len(x) * len(y) for x, y in want))
+
+
+def test_lines_that_lose_bytes_are_encoded_word_by_word(monkeypatch):
+    texts = ["some words here", "and  more\nof them "]
+    want = list(alignment.Aligner(A, B).texts(texts))
+    monkeypatch.setattr(alignment.Aligner, "in_lines", lambda self, words: None)
+    assert list(alignment.Aligner(A, B).texts(texts)) == want
