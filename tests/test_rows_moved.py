@@ -94,3 +94,13 @@ def test_the_store_reads_the_wanted_bodies_alone(spark):
         [sorted(map(tuple, df.collect())) for df in st._distinct(bodies, wanted, "version_id", "html", "test-html")]
         for bodies in (tb.version_bodies(spark, SF), partial(tb.version_bodies, spark, SF))]
     assert got == want and got[0]
+
+
+def test_results_look_up_their_bodies(spark, monkeypatch):
+    """The queries on results give the job a lookup of bodies, not a view that builds all of them."""
+    given = []
+    monkeypatch.setattr(registry, "change_results", lambda *a, **_: given.append(a))
+    registry._results(spark, SF)
+    bodies = given[0][3]
+    got = bodies(spark.createDataFrame([(1,), (2,)], "version_id long")).select("version_id").collect()
+    assert sorted(r.version_id for r in got) == [1, 2]
