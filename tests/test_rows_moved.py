@@ -5,6 +5,7 @@ import random
 from conftest import SF
 from pyspark.sql import functions as F
 
+from changelens.functions import urls as U
 from changelens.operators import analysis as an
 from changelens.operators import automaton
 from changelens.operators import diffs as dif
@@ -104,3 +105,43 @@ def test_results_look_up_their_bodies(spark, monkeypatch):
     bodies = given[0][3]
     got = bodies(spark.createDataFrame([(1,), (2,)], "version_id long")).select("version_id").collect()
     assert sorted(r.version_id for r in got) == [1, 2]
+
+
+def test_html_metrics_are_those_of_each_kind(spark):
+    """Link and source metrics of one pass over the labelled units are those of a pass for each."""
+    rng = random.Random(5)
+    hrefs = [r[0] for r in spark.range(4).select(F.concat(F.lit("http://x/"), "id").alias("u")).select(U.normalize_url(F.col("u"), F.col("u"))).collect()]
+    rows = [(p, s, k, 2 * i, f"{rng.choice(hrefs)}\tt{rng.randrange(3)}" if k == "link" else f"<p>{rng.randrange(5)}")
+            for p in range(30) for s in "ab" for k in ("link", "source") if rng.random() < 0.9 for i in range(rng.randint(0, 9))]
+    kinds = ("pair_id", "kind")
+    lab = dif.label_units(spark.createDataFrame(rows, "pair_id long, side string, kind string, pos int, unit string"), kinds)
+    url = lambda s: F.struct(F.concat(F.lit("http://x/"), F.col("page_id") % s).alias("url"))
+    pairs = spark.range(30).toDF("page_id").select("page_id", url(2).alias("a"), url(3).alias("b"))
+    pairs = pairs.unionByName(pairs.where("page_id < 3"))
+    metrics = an.html_metrics(dif.with_runs(lab, kinds), pairs)
+    assert exchanges(metrics.select("pair_id", "source")) <= 2  # the units' and the narrow pairs'
+    got = {r.pair_id: (tuple(r.links), tuple(r.source)) for r in metrics.collect()}
+    links = {r.pair_id: (r.diff_hash, r.diff_length, r.diff_ratio) for r in an.count_metrics(lab.where("kind = 'link'")).collect()}
+    source = {r.pair_id: (r.diff_hash, r.diff_count, r.diff_length, r.diff_ratio) for r in an.source_metrics(lab.where("kind = 'source'")).collect()}
+    own = {(r.page_id, u) for r in pairs.select("page_id", *[U.normalize_url(F.col(f"{c}.url"), F.col(f"{c}.url")).alias(c) for c in "ab"]).collect() for u in (r.a, r.b)}
+    lost = {r.pair_id for r in lab.where("kind = 'link' AND op = -1").collect() if (r.pair_id, r.unit.split("\t")[0]) in own}
+    assert got.keys() == links.keys() | source.keys() and 0 < len(lost) < 30
+    for p, (ln, src) in got.items():
+        assert ln == (*links.get(p, (dif.EMPTY_HASH, 0, 0.0)), p in lost)
+        assert src == source.get(p, (dif.EMPTY_HASH, 0, 0, 0.0))
+
+
+def test_results_stage_no_units_of_the_html(spark, monkeypatch):
+    names = []
+    real = an.stage_table
+    monkeypatch.setattr(an, "stage_table", lambda df, name: names.append((name, df.columns)) or real(df, name))
+    v = tb.versions(spark, SF).where("page_id = 7").selectExpr("version_id", "struct(*) AS rec").limit(2).collect()
+    ids = sorted(r.version_id for r in v)
+    caps = tb.versions(spark, SF).where(F.col("version_id").isin(ids)).drop("page_id")
+    side = lambda i, n: caps.where(F.col("version_id") == i).select(F.struct("*").alias(n))
+    pairs = side(ids[0], "a").crossJoin(side(ids[1], "b")).selectExpr("7L AS page_id", "2 AS n_versions", "a", "b")
+    pages = tb.page_meta(spark, SF).where("page_id = 7")
+    got = an.analyze_pairs(pairs, pages, tb.table(spark, SF, "documents"), registry._bodies(spark, SF), html_ref="version_id", html_key="version_id").collect()
+    assert len(got) == 1 and got[0].analysis is not None
+    assert ("html_metrics", ["pair_id", "links", "source"]) in names
+    assert [c for _, c in names if "kind" in c and "unit" in c] == []
